@@ -1,0 +1,101 @@
+"""Telematics events derived from the ``events`` table.
+
+The test tables carry generic click-stream events (``event_id``, ``ts``,
+``user_id``); this projection turns each row into one vehicle sensor event
+with integer arithmetic only, so any SQL engine computes identical values.
+Six users form one driver, time is compressed 200x and moved to 2026, and
+speeds are multiples of 0.5 km/h.  The projection is narrow (no shuffle) and
+reads only ``event_id``, ``ts`` and ``user_id`` from the scan.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..schemas import EVENT_COLUMNS
+
+# fixed values: the projection constants
+PROFILES = ("safe", "average", "aggressive", "night_driver", "urban_driver")
+PROFILE_K = (30, 75, 130, 90, 80)          # behaviour intensity (percent) per profile
+USERS_PER_DRIVER = 6
+TARGET_EPOCH_MS = 1767225600000            # 2026-01-01T00:00:00Z
+SOURCE_EPOCH_US = 1704067200000000         # 2024-01-01T00:00:00 (ts has no zone)
+COMPRESSION_US_PER_MS = 200000             # 200 us of source time -> 1 ms of event time
+ISO_MS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+_NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _mulmod(multiplier: int, modulus: int) -> str:
+    """SQL text for (e * multiplier) % modulus that cannot overflow a bigint e >= 0."""
+    return f"((e % {modulus}) * {multiplier % modulus} % {modulus})"
+
+
+def _k_case() -> str:
+    arms = " ".join(f"WHEN {i} THEN {k}" for i, k in enumerate(PROFILE_K))
+    return f"(CASE p {arms} END)"
+
+
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def project_events(events: DataFrame) -> DataFrame:
+    """Raw telematics events (the typed form of a message value), plus the helper columns
+
+    ``event_no`` (1-based global arrival number: the source ids are in time
+    order) and ``event_ms`` (event time as epoch millis).
+    """
+    base = events.select(
+        F.col("event_id").alias("e"),
+        F.expr(f"timestampdiff(MICROSECOND, {_NTZ_EPOCH}, ts)").alias("ts_us"),
+        F.hour("ts").alias("src_hour"),
+        F.expr(f"user_id div {USERS_PER_DRIVER}").alias("d"),
+    ).withColumn("p", F.col("d") % len(PROFILES))
+    k = _k_case()
+    profiles = ", ".join(f"'{p}'" for p in PROFILES)
+    projected = base.selectExpr(
+        "e",
+        "d",
+        "p",
+        f"{TARGET_EPOCH_MS} + (ts_us - {SOURCE_EPOCH_US}) div {COMPRESSION_US_PER_MS} AS event_ms",
+        "src_hour",
+        "CAST(30 + 10 * (e % 9) AS BIGINT) AS limit_i",
+        f"{k} AS k",
+    )
+    out = projected.selectExpr(
+        "CAST(e AS STRING) AS event_id",
+        "concat('D', lpad(CAST(d + 1 AS STRING), 4, '0')) AS driver_id",
+        "concat('V', lpad(CAST(d + 1 AS STRING), 4, '0')) AS vehicle_id",
+        f"element_at(array({profiles}), CAST(p + 1 AS INT)) AS driver_profile",
+        f"date_format(timestampadd(MILLISECOND, event_ms, {_NTZ_EPOCH}), \"{ISO_MS_FORMAT}\") AS event_time",
+        f"CAST(limit_i AS DOUBLE) + CAST(({_mulmod(7919, 311)} * k) div 500 - (42 * k) div 100 AS DOUBLE) / 2.0 AS speed_kmh",
+        "CAST(limit_i AS DOUBLE) AS speed_limit_kmh",
+        f"CAST(({_mulmod(104729, 400)} * k) div 100 - 50 AS DOUBLE) / 100.0 AS acceleration_ms2",
+        f"CAST(-(({_mulmod(1299709, 500)} * k) div 100) AS DOUBLE) / 100.0 AS braking_ms2",
+        f"CAST(({_mulmod(15485863, 400)} * k) div 100 AS DOUBLE) / 1000.0 AS cornering_g",
+        "CASE WHEN limit_i <= 60 THEN 'urban' WHEN limit_i <= 90 THEN 'suburban' ELSE 'highway' END AS road_type",
+        "CASE WHEN p = 0 THEN (CASE WHEN e % 29 = 0 THEN 'rain' ELSE 'clear' END) "
+        "WHEN e % 7 = 0 THEN 'rain' WHEN e % 31 = 3 THEN 'fog' WHEN e % 37 = 5 THEN 'snow' ELSE 'clear' END AS weather",
+        "(src_hour >= 22 OR src_hour < 6) AS is_night",
+        f"CAST(20 + {_mulmod(31, 50)} AS DOUBLE) / 1000.0 AS distance_delta_km",
+        f"({_mulmod(37, 29)} = 0 AND p != 0) AS phone_usage",
+        "e + 1 AS event_no",
+        "event_ms",
+    )
+    return out
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed raw events (15 event columns + ``event_no``, ``event_ms``)."""
+    return project_events(events_table(spark, sf_dir))
+
+
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as broker messages: ``key`` = driver id, ``value`` = JSON text of the event."""
+    ev = raw_events(spark, sf_dir)
+    return ev.select(
+        F.col("driver_id").alias("key"),
+        F.to_json(F.struct(*[F.col(c) for c in EVENT_COLUMNS])).alias("value"),
+    )
