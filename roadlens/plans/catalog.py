@@ -3,8 +3,9 @@
 Each query reads the given tables (the ``events`` table, projected to vehicle
 events) and runs one operator of the library over the whole input.  Output
 timestamps are given as epoch seconds / millis (bigint) so that they compare
-equal across engines; derived doubles that are not rounded by the operator
-itself are rounded to 9 places for the same reason.
+equal across engines; derived doubles that the operator itself does not round
+are rounded to 9 places for the same reason, and rule arrays are joined to
+``|``-separated text.
 """
 
 from __future__ import annotations
@@ -14,9 +15,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..operators import events as E
+from ..operators import pricing as P
+from ..operators import reports as R
 from ..operators import windows as W
+from ..schemas import EVENT_COLUMNS, PREMIUM_HISTORY_COLUMNS
 from ..sources.fixture import raw_events, raw_messages
+from . import inputs as I
+from .inputs import flagged_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -30,8 +37,10 @@ def register(name: str):
     return deco
 
 
-def r9(c: str | Column) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+def r9(c: str | Column, alias: str | None = None) -> Column:
+    out = F.round(F.col(c) if isinstance(c, str) else c, 9)
+    name = alias or (c if isinstance(c, str) else None)
+    return out.alias(name) if name else out
 
 
 def epoch_s(name: str) -> Column:
@@ -42,16 +51,8 @@ def epoch_ms(name: str) -> Column:
     return F.unix_millis(F.col(name)).alias(name)
 
 
-# --- shared inputs ------------------------------------------------------------------------------
-
-
-def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed events with the parsed ``event_time_ts`` (the ISO text goes through the message parser's time rule)."""
-    return E.normalise_event_time(raw_events(spark, sf_dir))
-
-
-def flagged_events(spark: SparkSession, sf_dir: str, with_incident: bool = True) -> DataFrame:
-    return E.flag_events(parsed_events(spark, sf_dir), with_incident)
+def joined(name: str) -> Column:
+    return F.concat_ws("|", F.col(name)).alias(name)
 
 
 FLAG_OUTPUT = (
@@ -83,30 +84,174 @@ FEATURE_OUTPUT = (
     "risk_event_count",
 )
 
+DECISION_WINDOW_OUTPUT = (
+    "driver_id",
+    "event_count",
+    "km_driven",
+    "avg_speed",
+    "risk_event_count",
+    "risk_score_5m",
+    "speeding_count",
+    "hard_braking_count",
+    "harsh_acceleration_count",
+    "sharp_cornering_count",
+    "bad_weather_event_count",
+    "night_event_count",
+    "phone_usage_count",
+)
+
 
 def feature_output(df: DataFrame) -> DataFrame:
     """Window features with epoch-second bounds and 9-place derived doubles."""
     return df.select(
         *FEATURE_OUTPUT,
-        r9("speeding_ratio").alias("speeding_ratio"),
-        r9("night_event_ratio").alias("night_event_ratio"),
-        r9("bad_weather_event_ratio").alias("bad_weather_event_ratio"),
+        r9("speeding_ratio"),
+        r9("night_event_ratio"),
+        r9("bad_weather_event_ratio"),
         F.col("exposure_km"),
-        r9("risk_events_per_100km").alias("risk_events_per_100km"),
+        r9("risk_events_per_100km"),
         epoch_s("window_start"),
         epoch_s("window_end"),
     )
 
 
+def alert_output(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[
+            epoch_ms(c) if c == "event_time_ts" else joined(c) if c == "active_rules" else F.col(c)
+            for c in E.ALERT_FIELDS
+        ]
+    )
+
+
+def event_decision_output(df: DataFrame) -> DataFrame:
+    cols = [c for c in df.columns if c != "decision_ts"]
+    return df.select(
+        *[epoch_ms(c) if c == "event_time_ts" else joined(c) if c == "active_rules" else F.col(c) for c in cols]
+    )
+
+
+def window_decision_output(df: DataFrame) -> DataFrame:
+    cols = [c for c in df.columns if c != "decision_ts"]
+    return df.select(*[epoch_s(c) if c in ("window_start", "window_end") else F.col(c) for c in cols])
+
+
+def history_output(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[
+            r9(c) if c in ("exposure_km", "speeding_ratio", "hard_braking_count_per_100km",
+                           "harsh_acceleration_count_per_100km", "night_event_ratio", "bad_weather_event_ratio",
+                           "predicted_claim_count", "predicted_frequency", "risk_multiplier",
+                           "target_technical_premium") else F.col(c)
+            for c in PREMIUM_HISTORY_COLUMNS
+        ]
+    )
+
+
 # --- 2.2 event level --------------------------------------------------------------------------
 
 
+@register("parse_events")
+def q_parse_events(spark, sf_dir):
+    parsed = E.parse_events(raw_messages(spark, sf_dir))
+    return parsed.select(*EVENT_COLUMNS, epoch_ms("event_time_ts"))
+
+
+@register("event_time_normalise")
+def q_event_time_normalise(spark, sf_dir):
+    ev = E.normalise_event_time(raw_events(spark, sf_dir))
+    return ev.select("event_id", "event_time", epoch_ms("event_time_ts"))
+
+
 @register("risk_flags")
 def q_risk_flags(spark, sf_dir):
     fl = flagged_events(spark, sf_dir, with_incident=False)
     return fl.select("event_id", "driver_id", epoch_ms("event_time_ts"), *FLAG_OUTPUT)
 
 
+@register("incident_flags")
+def q_incident_flags(spark, sf_dir):
+    fl = flagged_events(spark, sf_dir)
+    return fl.select("event_id", "driver_id", "is_sharp_cornering", "is_extreme_braking", "possible_crash_or_incident")
+
+
+@register("active_rules")
+def q_active_rules(spark, sf_dir):
+    fl = flagged_events(spark, sf_dir)
+    return fl.select(
+        "event_id",
+        F.concat_ws("|", E.active_rules(False)).alias("alert_rules"),
+        F.concat_ws("|", E.active_rules(True)).alias("decision_rules"),
+    )
+
+
+@register("risk_filter")
+def q_risk_filter(spark, sf_dir):
+    return E.filter_risky(flagged_events(spark, sf_dir, with_incident=False)).select(
+        "event_id", "driver_id", "risk_score_event"
+    )
+
+
+@register("alerts")
+def q_alerts(spark, sf_dir):
+    return alert_output(E.build_alert_rows(flagged_events(spark, sf_dir, with_incident=False)))
+
+
+@register("event_preview")
+def q_event_preview(spark, sf_dir):
+    pv = E.event_preview(flagged_events(spark, sf_dir, with_incident=False))
+    return pv.select(*[epoch_ms(c) if c == "event_time_ts" else F.col(c) for c in pv.columns])
+
+
+@register("event_decisions")
+def q_event_decisions(spark, sf_dir):
+    return event_decision_output(E.build_event_decision_rows(flagged_events(spark, sf_dir), "stream"))
+
+
+@register("event_decisions_demo_policy")
+def q_event_decisions_demo(spark, sf_dir):
+    return event_decision_output(E.build_event_decision_rows(flagged_events(spark, sf_dir), "demo"))
+
+
+@register("payload_encode")
+def q_payload_encode(spark, sf_dir):
+    """Alert messages encoded to JSON, then decoded again with the alert schema."""
+    msgs = E.build_alerts(flagged_events(spark, sf_dir, with_incident=False))
+    schema = E.build_alert_rows(flagged_events(spark, sf_dir, with_incident=False)).schema
+    decoded = msgs.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*")
+    return alert_output(decoded).withColumn("key", F.col("driver_id")).select("key", *E.ALERT_FIELDS)
+
+
+def _pricing_output(df: DataFrame) -> DataFrame:
+    return df.select(
+        "driver_id",
+        epoch_s("window_start"),
+        r9("exposure_km"),
+        r9("speeding_ratio"),
+        r9("hard_braking_count_per_100km"),
+        r9("harsh_acceleration_count_per_100km"),
+        r9("night_event_ratio"),
+        r9("bad_weather_event_ratio"),
+        "phone_usage_count",
+    )
+
+
+@register("prepare_features")
+def q_prepare_features(spark, sf_dir):
+    return _pricing_output(P.prepare_features(I.pricing_features(spark, sf_dir)))
+
+
+@register("expected_claim_rate")
+def q_expected_claim_rate(spark, sf_dir):
+    df = P.expected_claim_rate(P.prepare_features(I.pricing_features(spark, sf_dir)))
+    return df.select("driver_id", "driver_profile", epoch_s("window_start"), r9("expected_claim_rate"))
+
+
+@register("impute_claim_count")
+def q_impute_claim_count(spark, sf_dir):
+    return I.training_set(spark, sf_dir).select("driver_id", epoch_s("window_start"), "claim_count")
+
+
 # --- 2.3 aggregations -------------------------------------------------------------------------
 
 
@@ -118,3 +263,174 @@ def q_features_tumbling(spark, sf_dir):
 @register("features_sliding_5m")
 def q_features_sliding(spark, sf_dir):
     return feature_output(W.sliding_features(flagged_events(spark, sf_dir, with_incident=False)))
+
+
+def decision_window_frame(spark, sf_dir) -> DataFrame:
+    return W.decision_windows(flagged_events(spark, sf_dir))
+
+
+@register("decision_window_features")
+def q_decision_windows(spark, sf_dir):
+    df = decision_window_frame(spark, sf_dir)
+    return df.select(
+        *DECISION_WINDOW_OUTPUT,
+        r9("risk_intensity"),
+        r9("risk_events_per_100km"),
+        epoch_s("window_start"),
+        epoch_s("window_end"),
+    )
+
+
+@register("window_decisions")
+def q_window_decisions(spark, sf_dir):
+    return window_decision_output(W.build_window_decision_rows(decision_window_frame(spark, sf_dir)))
+
+
+@register("driver_rollup")
+def q_driver_rollup(spark, sf_dir):
+    roll = P.driver_rollup(I.training_set(spark, sf_dir))
+    return roll.select(
+        "driver_id",
+        r9("exposure_km"),
+        r9("speeding_ratio"),
+        r9("hard_braking_count_per_100km"),
+        r9("harsh_acceleration_count_per_100km"),
+        r9("night_event_ratio"),
+        r9("bad_weather_event_ratio"),
+        "phone_usage_count",
+    )
+
+
+@register("mean_frequency")
+def q_mean_frequency(spark, sf_dir):
+    rolled = P.driver_rollup(I.training_set(spark, sf_dir))
+    return P.mean_frequency(P.predict(rolled, C.COMMITTED_COEFFICIENTS)).select(r9("mean_frequency"))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    from ..operators.model import evaluate
+
+    m = evaluate(I.test_predictions(spark, sf_dir))
+    return m.select(
+        r9("mae"), r9("rmse"), r9("mean_claim_count"), r9("mean_predicted_claim_count"), "poisson_note"
+    )
+
+
+@register("risk_proxy_by_window")
+def q_risk_proxy(spark, sf_dir):
+    return R.risk_proxy(I.training_set(spark, sf_dir)).select(epoch_s("window_start"), "risk_proxy")
+
+
+@register("mean_speeding_by_driver")
+def q_top_speeding(spark, sf_dir):
+    return R.top_speeding(I.training_set(spark, sf_dir), 15)
+
+
+@register("driver_risk_score")
+def q_top_risk(spark, sf_dir):
+    return R.top_risk(I.training_set(spark, sf_dir), 15)
+
+
+@register("predicted_frequency_by_driver")
+def q_top_frequency(spark, sf_dir):
+    return R.top_frequency(I.test_predictions(spark, sf_dir), 15)
+
+
+@register("profile_comparison")
+def q_profile_comparison(spark, sf_dir):
+    return R.profile_summary(I.training_set(spark, sf_dir))
+
+
+# --- 2.4 window functions / 2.5 joins / 2.6 sort, set ops --------------------------------------
+
+
+@register("latest_premium")
+def q_latest_premium(spark, sf_dir):
+    return history_output(P.latest_premium(I.earlier_history(spark, sf_dir)))
+
+
+@register("join_previous_premium")
+def q_join_previous(spark, sf_dir):
+    rolled = P.driver_rollup(P.prepare_features(I.pricing_features(spark, sf_dir)))
+    joined_prev = P.with_previous(rolled, I.earlier_history(spark, sf_dir))
+    return joined_prev.select("driver_id", "technical_premium_previous")
+
+
+@register("premium_trajectory_top5")
+def q_trajectory(spark, sf_dir):
+    traj = R.trajectory(I.full_history(spark, sf_dir), 5)
+    return traj.select("driver_id", "scored_at", "technical_premium", "technical_premium_previous")
+
+
+@register("top_premiums")
+def q_top_premiums(spark, sf_dir):
+    run = I.premium_runs(spark, sf_dir)[-1]
+    return R.top_premiums(run, 20).select("driver_id", "technical_premium", r9("target_technical_premium"))
+
+
+@register("top_latest_premiums")
+def q_top_latest(spark, sf_dir):
+    return R.top_latest(I.full_history(spark, sf_dir), 15).select("driver_id", "scored_at", "technical_premium")
+
+
+@register("union_history")
+def q_union_history(spark, sf_dir):
+    return history_output(I.full_history(spark, sf_dir))
+
+
+@register("union_decisions")
+def q_union_decisions(spark, sf_dir):
+    ev = E.build_event_decision_rows(flagged_events(spark, sf_dir), "stream")
+    win = W.build_window_decision_rows(decision_window_frame(spark, sf_dir))
+    both = W.union_decisions(ev, win)
+    return both.select(
+        "decision_source",
+        "driver_id",
+        F.coalesce(F.col("event_id"), F.lit("")).alias("event_id"),
+        F.coalesce(F.unix_seconds("window_start"), F.lit(-1)).alias("window_start"),
+        "decision_type",
+        "priority",
+    )
+
+
+# --- 2.7 scoring with fixed coefficients --------------------------------------------------------
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    train, test = I.train_test(spark, sf_dir)
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True))).select(
+        "driver_id", epoch_s("window_start"), "is_test"
+    )
+
+
+@register("glm_test_predictions")
+def q_glm_test_predictions(spark, sf_dir):
+    pred = I.test_predictions(spark, sf_dir)
+    return pred.select(
+        "driver_id",
+        epoch_s("window_start"),
+        r9("exposure_km"),
+        "claim_count",
+        r9("predicted_claim_count"),
+        r9("predicted_frequency"),
+    )
+
+
+@register("premium_score")
+def q_premium_score(spark, sf_dir):
+    rolled = P.driver_rollup(P.prepare_features(I.pricing_features(spark, sf_dir)))
+    scored = P.score(rolled, C.COMMITTED_COEFFICIENTS, 1000.0)
+    return scored.select(
+        "driver_id",
+        r9("predicted_claim_count"),
+        r9("predicted_frequency"),
+        r9("risk_multiplier"),
+        r9("target_technical_premium"),
+    )
+
+
+@register("premium_cap")
+def q_premium_cap(spark, sf_dir):
+    return history_output(I.premium_runs(spark, sf_dir)[-1])

@@ -52,7 +52,7 @@ def _expand_rounding(sql: str) -> str:
                     cut = pos
             arg, places = inner[:cut], inner[cut + 1 :]
             arg = expand(name, fn, arg)
-            out.append(f"CAST({fn}(CAST(CAST(CAST({arg} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,12)), {places.strip()}) AS DOUBLE)")
+            out.append(f"CAST({fn}(CAST(CAST(CAST({arg} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,28)), {places.strip()}) AS DOUBLE)")
             i = k
 
     sql = expand("BRND", "round_even", sql)
@@ -174,3 +174,384 @@ FLAG_COLS = """is_speeding, speeding_margin, is_hard_braking, is_harsh_accelerat
 sql("risk_flags", f"WITH {FL} SELECT event_id, driver_id, event_ms AS event_time_ts, {FLAG_COLS} FROM fl")
 sql("features_tumbling_1m", features_sql(1))
 sql("features_sliding_5m", features_sql(5))
+
+
+# --- shared SQL pieces -----------------------------------------------------------------------------
+
+from .. import config as C  # noqa: E402
+from .inputs import (  # noqa: E402
+    EXPOSURE_SCALE,
+    LABEL_D_MULT,
+    LABEL_MINUTE_MULT,
+    LABEL_MOD,
+    LEFT_OUT_EVERY,
+    RUNS,
+    SPLIT_D_MULT,
+    SPLIT_MINUTE_MULT,
+    SPLIT_MOD,
+)
+
+
+def dbl(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def lin(pairs) -> str:
+    """Left-to-right linear predictor text: ((0 + b0) + b1*x1) + ..."""
+    text = dbl(0.0)
+    for term, beta in pairs:
+        text = f"({text} + {dbl(beta) if term in ('intercept', 'const') else dbl(beta) + ' * ' + term})"
+    return text
+
+
+def rules_text(with_extreme: bool) -> str:
+    rules = C.RULES_WITH_EXTREME if with_extreme else C.RULES_WITHOUT_EXTREME
+    arms = ", ".join(f"CASE WHEN {flag} THEN '{name}' END" for flag, name in rules)
+    return f"concat_ws('|', {arms})"
+
+
+PROFILE_EFFECT_SQL = (
+    "CASE driver_profile "
+    + " ".join(f"WHEN '{k}' THEN {dbl(v)}" for k, v in C.PROFILE_EFFECT.items())
+    + f" ELSE {dbl(0.0)} END"
+)
+
+ALERT_SELECT = f"""event_id, driver_id, vehicle_id, event_ms AS event_time_ts, {rules_text(False)} AS active_rules,
+  risk_score_event, speed_kmh, speed_limit_kmh, acceleration_ms2, braking_ms2, cornering_g, road_type, weather,
+  is_night, distance_delta_km, phone_usage"""
+
+EVENT_DECISION_CTE = f"""ed AS (
+  SELECT *,
+    CASE WHEN possible_crash_or_incident THEN '{C.CHECK_DRIVER_STATUS}'
+         WHEN risk_score_event >= {C.EVENT_NUDGE_SCORE} THEN '{C.SEND_SAFETY_NUDGE}' END AS decision_type,
+    CASE WHEN possible_crash_or_incident THEN '{C.ACTION_CHECK_STATUS}' ELSE '{C.ACTION_EVENT_NUDGE}' END AS recommended_action,
+    CASE WHEN possible_crash_or_incident THEN '{C.MESSAGE_CHECK_STATUS}' ELSE '{C.MESSAGE_EVENT_NUDGE}' END AS customer_message,
+    {rules_text(True)} AS active_rules
+  FROM fl)"""
+
+STREAM_PRIORITY = (
+    f"CASE WHEN possible_crash_or_incident THEN 'critical' WHEN risk_score_event >= {C.EVENT_HIGH_SCORE} THEN 'high' "
+    "ELSE 'medium' END"
+)
+DEMO_PRIORITY = "CASE WHEN possible_crash_or_incident THEN 'critical' ELSE 'high' END"
+
+DW_CTES = f"""{windows_cte('fw5', 5)},
+dw0 AS (
+  SELECT driver_id, count(*) AS event_count, RND(sum(distance_delta_km), 4) AS km_driven, RND(avg(speed_kmh), 2) AS avg_speed,
+    CAST(sum(CAST(risk_event AS INTEGER)) AS BIGINT) AS risk_event_count,
+    CAST(sum(risk_score_event) AS BIGINT) AS risk_score_5m,
+    CAST(sum(CAST(is_speeding AS INTEGER)) AS BIGINT) AS speeding_count,
+    CAST(sum(CAST(is_hard_braking AS INTEGER)) AS BIGINT) AS hard_braking_count,
+    CAST(sum(CAST(is_harsh_acceleration AS INTEGER)) AS BIGINT) AS harsh_acceleration_count,
+    CAST(sum(CAST(is_sharp_cornering AS INTEGER)) AS BIGINT) AS sharp_cornering_count,
+    CAST(sum(CAST(is_bad_weather AS INTEGER)) AS BIGINT) AS bad_weather_event_count,
+    CAST(sum(CAST(is_night AS INTEGER)) AS BIGINT) AS night_event_count,
+    CAST(sum(CAST(phone_usage AS INTEGER)) AS BIGINT) AS phone_usage_count,
+    window_start, window_end
+  FROM fw5 WHERE event_ms IS NOT NULL GROUP BY driver_id, window_start, window_end),
+dw AS (
+  SELECT *, risk_event_count / event_count AS risk_intensity,
+    risk_event_count / greatest(km_driven, {dbl(0.001)}) * {dbl(100.0)} AS risk_events_per_100km
+  FROM dw0),
+wd0 AS (
+  SELECT *,
+    CASE WHEN risk_score_5m >= {C.ESCALATE_SCORE} OR phone_usage_count >= {C.ESCALATE_PHONE} THEN '{C.ESCALATE_HIGH_RISK_REVIEW}'
+         WHEN event_count >= {C.NUDGE_MIN_EVENTS} AND risk_intensity >= {dbl(C.NUDGE_INTENSITY)} THEN '{C.SEND_SAFETY_NUDGE}'
+         WHEN event_count >= {C.POINTS_MIN_EVENTS} AND risk_event_count = 0 AND km_driven >= {dbl(C.POINTS_MIN_KM)}
+           THEN '{C.GRANT_SAFE_DRIVING_POINTS}' END AS decision_type
+  FROM dw),
+wd AS (
+  SELECT '{C.SOURCE_SLIDING}' AS decision_source, driver_id, window_start, window_end, decision_type,
+    CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN 'high' WHEN '{C.SEND_SAFETY_NUDGE}' THEN 'medium' ELSE 'low' END AS priority,
+    CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN '{C.ACTION_ESCALATE}'
+         WHEN '{C.SEND_SAFETY_NUDGE}' THEN '{C.ACTION_WINDOW_NUDGE}' ELSE '{C.ACTION_POINTS.replace("'", "''")}' END AS recommended_action,
+    CASE WHEN decision_type = '{C.GRANT_SAFE_DRIVING_POINTS}' THEN '{C.MESSAGE_POINTS}' ELSE '{C.MESSAGE_WINDOW_RISK}' END AS customer_message,
+    '{C.WINDOW_REASON_PREFIX}' || CAST(event_count AS VARCHAR) || ', risk_events=' || CAST(risk_event_count AS VARCHAR)
+      || ', risk_score=' || CAST(risk_score_5m AS VARCHAR) || ', phone_usage=' || CAST(phone_usage_count AS VARCHAR) AS decision_reason,
+    event_count, km_driven, avg_speed, RND(risk_intensity, 3) AS risk_intensity,
+    RND(risk_events_per_100km, 2) AS risk_events_per_100km, risk_event_count, risk_score_5m, speeding_count,
+    hard_braking_count, harsh_acceleration_count, sharp_cornering_count, bad_weather_event_count, night_event_count,
+    phone_usage_count
+  FROM wd0 WHERE decision_type IS NOT NULL)"""
+
+# Pricing features (one-minute windows per driver and profile, exposure x10), prepared.
+PF_CTES = f"""{windows_cte('fw1', 1)},
+pagg AS (SELECT driver_profile, {FEATURE_AGGS} FROM fw1 WHERE event_ms IS NOT NULL
+         GROUP BY driver_id, driver_profile, window_start, window_end),
+pf0 AS (
+  SELECT driver_id, driver_profile, window_start, event_count, hard_braking_count, harsh_acceleration_count, phone_usage_count,
+    speeding_count / event_count AS speeding_ratio, night_event_count / event_count AS night_event_ratio,
+    bad_weather_event_count / event_count AS bad_weather_event_ratio,
+    greatest(km_driven, {dbl(0.001)}) * {dbl(EXPOSURE_SCALE)} AS exposure_raw,
+    CAST(substr(driver_id, 2) AS BIGINT) - 1 AS d, (window_start - {1767225600}) // 60 AS minute
+  FROM pagg),
+pf1 AS (SELECT *, greatest(exposure_raw, {dbl(0.001)}) AS exposure_km FROM pf0),
+pf AS (
+  SELECT *, hard_braking_count / exposure_km * {dbl(100.0)} AS hard_braking_count_per_100km,
+    harsh_acceleration_count / exposure_km * {dbl(100.0)} AS harsh_acceleration_count_per_100km
+  FROM pf1)"""
+
+RULE_ETA = lin([("intercept", C.CLAIM_RULE_INTERCEPT), *C.CLAIM_RULE_BETA.items()])
+COMMITTED_ETA = lin(C.COMMITTED_COEFFICIENTS)
+
+TS_CTES = f"""{PF_CTES},
+lab0 AS (SELECT *, exposure_km * exp({RULE_ETA} + {PROFILE_EFFECT_SQL}) AS expected_claim_rate FROM pf),
+lab1 AS (
+  SELECT driver_id, window_start, least(greatest(expected_claim_rate, {dbl(C.CLAIM_RATE_MIN)}), {dbl(C.CLAIM_RATE_MAX)}) AS lamc,
+    (CAST((d * {LABEL_D_MULT} + minute * {LABEL_MINUTE_MULT}) % {LABEL_MOD} AS DOUBLE) + {dbl(0.5)}) / {dbl(LABEL_MOD)} AS u
+  FROM lab0),
+lab2 AS (
+  SELECT driver_id, window_start, u, k, exp(-lamc) * pow(lamc, k) / CAST(factorial(CAST(k AS INTEGER)) AS DOUBLE) AS pmf
+  FROM lab1, range(0, {C.POISSON_MAX_COUNT + 1}) t(k)),
+lab3 AS (
+  SELECT driver_id, window_start, u,
+    sum(pmf) OVER (PARTITION BY driver_id, window_start ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cdf
+  FROM lab2),
+lab4 AS (SELECT driver_id, window_start, CAST(sum(CASE WHEN cdf < u THEN 1 ELSE 0 END) AS BIGINT) AS claim_count
+         FROM lab3 GROUP BY driver_id, window_start),
+tset AS (SELECT lab0.*, lab4.claim_count,
+           (d * {SPLIT_D_MULT} + minute * {SPLIT_MINUTE_MULT}) % {SPLIT_MOD} = 0 AS is_test
+         FROM lab0 JOIN lab4 USING (driver_id, window_start)),
+tpred0 AS (SELECT driver_id, window_start, exposure_km, claim_count,
+             exp({COMMITTED_ETA}) * greatest(exposure_km, {dbl(0.001)}) AS predicted_claim_count
+           FROM tset WHERE is_test),
+tpred AS (SELECT *, predicted_claim_count / greatest(exposure_km, {dbl(0.001)}) AS predicted_frequency FROM tpred0)"""
+
+ROLLUP_SELECT = """driver_id, sum(exposure_km) AS exposure_km, avg(speeding_ratio) AS speeding_ratio,
+    avg(hard_braking_count_per_100km) AS hard_braking_count_per_100km,
+    avg(harsh_acceleration_count_per_100km) AS harsh_acceleration_count_per_100km,
+    avg(night_event_ratio) AS night_event_ratio, avg(bad_weather_event_ratio) AS bad_weather_event_ratio,
+    CAST(sum(phone_usage_count) AS BIGINT) AS phone_usage_count"""
+
+HISTORY_COLS = """driver_id, exposure_km, speeding_ratio, hard_braking_count_per_100km, harsh_acceleration_count_per_100km,
+  night_event_ratio, bad_weather_event_ratio, phone_usage_count, predicted_claim_count, predicted_frequency, risk_multiplier,
+  target_technical_premium, technical_premium_previous, technical_premium, scored_at, base_premium, premium_change_cap"""
+
+HISTORY_OUT = """driver_id, RND(exposure_km, 9) AS exposure_km, RND(speeding_ratio, 9) AS speeding_ratio,
+  RND(hard_braking_count_per_100km, 9) AS hard_braking_count_per_100km,
+  RND(harsh_acceleration_count_per_100km, 9) AS harsh_acceleration_count_per_100km,
+  RND(night_event_ratio, 9) AS night_event_ratio, RND(bad_weather_event_ratio, 9) AS bad_weather_event_ratio,
+  phone_usage_count, RND(predicted_claim_count, 9) AS predicted_claim_count, RND(predicted_frequency, 9) AS predicted_frequency,
+  RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 9) AS target_technical_premium,
+  technical_premium_previous, technical_premium, scored_at, base_premium, premium_change_cap"""
+
+
+def _run_ctes(i: int, last_minute, stamp: str, history: str | None, base: float = 1000.0, cap: float = 0.10) -> str:
+    where = "TRUE" if last_minute is None else (
+        f"minute < {last_minute} AND (d + 1) % {LEFT_OUT_EVERY} <> 0"
+    )
+    prev = (
+        f"""r{i}_prev AS (
+  SELECT driver_id, technical_premium AS tp FROM (
+    SELECT driver_id, technical_premium,
+      row_number() OVER (PARTITION BY driver_id ORDER BY scored_at DESC, technical_premium DESC) AS rn
+    FROM {history}) WHERE rn = 1),"""
+        if history
+        else f"r{i}_prev AS (SELECT NULL::VARCHAR AS driver_id, NULL::DOUBLE AS tp WHERE FALSE),"
+    )
+    return f"""r{i}_roll AS (SELECT {ROLLUP_SELECT} FROM pf WHERE {where} AND driver_id IS NOT NULL GROUP BY driver_id),
+r{i}_p0 AS (SELECT *, exp({COMMITTED_ETA}) * greatest(exposure_km, {dbl(0.001)}) AS predicted_claim_count FROM r{i}_roll),
+r{i}_p1 AS (SELECT *, predicted_claim_count / greatest(exposure_km, {dbl(0.001)}) AS predicted_frequency FROM r{i}_p0),
+r{i}_mean AS (SELECT greatest(avg(predicted_frequency), {dbl(C.MIN_MEAN_FREQUENCY)}) AS mf FROM r{i}_p1),
+{prev}
+r{i}_s AS (
+  SELECT p.*, p.predicted_frequency / m.mf AS risk_multiplier,
+    {dbl(base)} * (p.predicted_frequency / m.mf) AS target_technical_premium,
+    coalesce(h.tp, {dbl(base)}) AS technical_premium_previous
+  FROM r{i}_p1 p CROSS JOIN r{i}_mean m LEFT JOIN r{i}_prev h ON p.driver_id = h.driver_id),
+r{i} AS (
+  SELECT {HISTORY_COLS.replace('technical_premium, scored_at', f'BRND(least(greatest(target_technical_premium, technical_premium_previous * {dbl(1.0 - cap)}), technical_premium_previous * {dbl(1.0 + cap)}), 2) AS technical_premium, {chr(39)}{stamp}{chr(39)} AS scored_at').replace('base_premium, premium_change_cap', f'{dbl(base)} AS base_premium, {dbl(cap)} AS premium_change_cap')}
+  FROM r{i}_s)"""
+
+
+def premium_ctes() -> str:
+    parts = []
+    history = None
+    for i, (last_minute, stamp) in enumerate(RUNS, start=1):
+        parts.append(_run_ctes(i, last_minute, stamp, history))
+        hist_name = f"h{i}"
+        union = " UNION ALL ".join(f"SELECT {HISTORY_COLS} FROM r{j}" for j in range(1, i + 1))
+        parts.append(f"{hist_name} AS ({union})")
+        history = hist_name
+    return f"{PF_CTES},\n" + ",\n".join(parts)
+
+
+# --- 2.2 event level -------------------------------------------------------------------------------
+
+EVENT_COLS = """event_id, driver_id, vehicle_id, driver_profile, event_time, speed_kmh, speed_limit_kmh, acceleration_ms2,
+  braking_ms2, cornering_g, road_type, weather, is_night, distance_delta_km, phone_usage"""
+
+sql("parse_events", f"WITH {EV} SELECT {EVENT_COLS}, event_ms AS event_time_ts FROM ev")
+sql("event_time_normalise", f"WITH {EV} SELECT event_id, event_time, event_ms AS event_time_ts FROM ev")
+sql(
+    "incident_flags",
+    f"WITH {FL} SELECT event_id, driver_id, is_sharp_cornering, is_extreme_braking, possible_crash_or_incident FROM fl",
+)
+sql(
+    "active_rules",
+    f"WITH {FL} SELECT event_id, {rules_text(False)} AS alert_rules, {rules_text(True)} AS decision_rules FROM fl",
+)
+sql("risk_filter", f"WITH {FL} SELECT event_id, driver_id, risk_score_event FROM fl WHERE risk_event")
+sql("alerts", f"WITH {FL} SELECT {ALERT_SELECT} FROM fl WHERE risk_event")
+sql("payload_encode", f"WITH {FL} SELECT driver_id AS key, {ALERT_SELECT} FROM fl WHERE risk_event")
+sql(
+    "event_preview",
+    f"WITH {FL} SELECT event_id, driver_id, event_ms AS event_time_ts, speed_kmh, speed_limit_kmh, risk_score_event FROM fl",
+)
+_ED_TAIL = """event_id, driver_id, vehicle_id, driver_profile, event_ms AS event_time_ts, decision_type, {prio} AS priority,
+  recommended_action, customer_message, active_rules, risk_score_event, speed_kmh, speed_limit_kmh, braking_ms2, cornering_g,
+  road_type, weather, is_night, phone_usage"""
+sql(
+    "event_decisions",
+    f"WITH {FL}, {EVENT_DECISION_CTE} SELECT '{C.SOURCE_EVENT}' AS decision_source, "
+    + _ED_TAIL.format(prio=STREAM_PRIORITY)
+    + " FROM ed WHERE decision_type IS NOT NULL",
+)
+sql(
+    "event_decisions_demo_policy",
+    f"WITH {FL}, {EVENT_DECISION_CTE} SELECT '{C.SOURCE_EVENT}' AS decision_source, driver_id, event_id, decision_type, "
+    f"{DEMO_PRIORITY} AS priority, recommended_action, customer_message, active_rules, risk_score_event "
+    "FROM ed WHERE decision_type IS NOT NULL",
+)
+
+PRICING_OUT = """driver_id, window_start, RND(exposure_km, 9) AS exposure_km, RND(speeding_ratio, 9) AS speeding_ratio,
+  RND(hard_braking_count_per_100km, 9) AS hard_braking_count_per_100km,
+  RND(harsh_acceleration_count_per_100km, 9) AS harsh_acceleration_count_per_100km,
+  RND(night_event_ratio, 9) AS night_event_ratio, RND(bad_weather_event_ratio, 9) AS bad_weather_event_ratio, phone_usage_count"""
+
+sql("prepare_features", f"WITH {FL}, {PF_CTES} SELECT {PRICING_OUT} FROM pf")
+sql(
+    "expected_claim_rate",
+    f"WITH {FL}, {TS_CTES} SELECT driver_id, driver_profile, window_start, RND(expected_claim_rate, 9) AS expected_claim_rate FROM lab0",
+)
+sql("impute_claim_count", f"WITH {FL}, {TS_CTES} SELECT driver_id, window_start, claim_count FROM tset")
+
+# --- 2.3 aggregations ----------------------------------------------------------------------------
+
+sql(
+    "decision_window_features",
+    f"""WITH {FL}, {DW_CTES}
+SELECT driver_id, event_count, km_driven, avg_speed, risk_event_count, risk_score_5m, speeding_count, hard_braking_count,
+  harsh_acceleration_count, sharp_cornering_count, bad_weather_event_count, night_event_count, phone_usage_count,
+  RND(risk_intensity, 9) AS risk_intensity, RND(risk_events_per_100km, 9) AS risk_events_per_100km, window_start, window_end
+FROM dw""",
+)
+sql("window_decisions", f"WITH {FL}, {DW_CTES} SELECT * FROM wd")
+sql(
+    "driver_rollup",
+    f"""WITH {FL}, {TS_CTES}, roll AS (SELECT {ROLLUP_SELECT} FROM tset WHERE driver_id IS NOT NULL GROUP BY driver_id)
+SELECT driver_id, RND(exposure_km, 9) AS exposure_km, RND(speeding_ratio, 9) AS speeding_ratio,
+  RND(hard_braking_count_per_100km, 9) AS hard_braking_count_per_100km,
+  RND(harsh_acceleration_count_per_100km, 9) AS harsh_acceleration_count_per_100km,
+  RND(night_event_ratio, 9) AS night_event_ratio, RND(bad_weather_event_ratio, 9) AS bad_weather_event_ratio, phone_usage_count
+FROM roll""",
+)
+sql(
+    "mean_frequency",
+    f"""WITH {FL}, {TS_CTES}, roll AS (SELECT {ROLLUP_SELECT} FROM tset WHERE driver_id IS NOT NULL GROUP BY driver_id),
+p0 AS (SELECT exp({COMMITTED_ETA}) * greatest(exposure_km, {dbl(0.001)}) / greatest(exposure_km, {dbl(0.001)}) AS f FROM roll)
+SELECT RND(greatest(avg(f), {dbl(C.MIN_MEAN_FREQUENCY)}), 9) AS mean_frequency FROM p0""",
+)
+sql(
+    "model_metrics",
+    f"""WITH {FL}, {TS_CTES}
+SELECT RND(avg(abs(claim_count - predicted_claim_count)), 9) AS mae,
+  RND(sqrt(avg((claim_count - predicted_claim_count) * (claim_count - predicted_claim_count))), 9) AS rmse,
+  RND(avg(CAST(claim_count AS DOUBLE)), 9) AS mean_claim_count,
+  RND(avg(predicted_claim_count), 9) AS mean_predicted_claim_count,
+  '{C.METRICS_NOTE}' AS poisson_note
+FROM tpred""",
+)
+sql(
+    "risk_proxy_by_window",
+    f"WITH {FL}, {TS_CTES} SELECT window_start, RND(sum(speeding_ratio + night_event_ratio), 9) AS risk_proxy FROM tset GROUP BY window_start",
+)
+sql(
+    "mean_speeding_by_driver",
+    f"""WITH {FL}, {TS_CTES}
+SELECT driver_id, RND(avg(speeding_ratio), 9) AS speeding_ratio FROM tset GROUP BY driver_id
+ORDER BY speeding_ratio DESC, driver_id LIMIT 15""",
+)
+RISK_SCORE_DRIVER = (
+    f"speeding_ratio + hard_braking_count_per_100km / {dbl(100.0)} + harsh_acceleration_count_per_100km / {dbl(100.0)} "
+    "+ night_event_ratio + bad_weather_event_ratio"
+)
+sql(
+    "driver_risk_score",
+    f"""WITH {FL}, {TS_CTES}
+SELECT driver_id, RND(avg({RISK_SCORE_DRIVER}), 9) AS risk_score_driver FROM tset GROUP BY driver_id
+ORDER BY risk_score_driver DESC, driver_id LIMIT 15""",
+)
+sql(
+    "predicted_frequency_by_driver",
+    f"""WITH {FL}, {TS_CTES}
+SELECT driver_id, RND(avg(predicted_frequency), 9) AS predicted_frequency FROM tpred GROUP BY driver_id
+ORDER BY predicted_frequency DESC, driver_id LIMIT 15""",
+)
+sql(
+    "profile_comparison",
+    f"""WITH {FL}, {TS_CTES}
+SELECT driver_profile, RND(avg(speeding_ratio), 9) AS speeding_ratio, RND(avg(night_event_ratio), 9) AS night_event_ratio,
+  RND(avg(bad_weather_event_ratio), 9) AS bad_weather_event_ratio, RND(avg({RISK_SCORE_DRIVER}), 9) AS risk_score_driver,
+  CAST(CASE driver_profile WHEN 'safe' THEN 1 WHEN 'average' THEN 2 ELSE 3 END AS INTEGER) AS profile_order
+FROM tset WHERE driver_profile IN ('safe', 'average', 'aggressive') GROUP BY driver_profile ORDER BY profile_order""",
+)
+
+# --- 2.4-2.6 --------------------------------------------------------------------------------------
+
+LATEST = """SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY scored_at DESC, technical_premium DESC) AS rn FROM {src}
+) WHERE rn = 1"""
+
+sql("latest_premium", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM ({LATEST.format(src='h2')})")
+sql(
+    "join_previous_premium",
+    f"""WITH {FL}, {premium_ctes()},
+roll AS (SELECT driver_id FROM pf WHERE driver_id IS NOT NULL GROUP BY driver_id),
+prev AS ({LATEST.format(src='h2')})
+SELECT roll.driver_id, coalesce(prev.technical_premium, {dbl(1000.0)}) AS technical_premium_previous
+FROM roll LEFT JOIN prev ON roll.driver_id = prev.driver_id""",
+)
+sql(
+    "premium_trajectory_top5",
+    f"""WITH {FL}, {premium_ctes()},
+top AS (SELECT driver_id FROM ({LATEST.format(src='h3')}) ORDER BY technical_premium DESC, driver_id LIMIT 5)
+SELECT driver_id, scored_at, technical_premium, technical_premium_previous FROM h3 WHERE driver_id IN (SELECT driver_id FROM top)""",
+)
+sql(
+    "top_premiums",
+    f"""WITH {FL}, {premium_ctes()}
+SELECT driver_id, technical_premium, RND(target_technical_premium, 9) AS target_technical_premium FROM r3
+ORDER BY technical_premium DESC, driver_id LIMIT 20""",
+)
+sql(
+    "top_latest_premiums",
+    f"""WITH {FL}, {premium_ctes()}
+SELECT driver_id, scored_at, technical_premium FROM ({LATEST.format(src='h3')}) ORDER BY technical_premium DESC, driver_id LIMIT 15""",
+)
+sql("union_history", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM h3")
+sql(
+    "union_decisions",
+    f"""WITH {FL}, {EVENT_DECISION_CTE}, {DW_CTES}
+SELECT '{C.SOURCE_EVENT}' AS decision_source, driver_id, event_id, CAST(-1 AS BIGINT) AS window_start, decision_type,
+  {STREAM_PRIORITY} AS priority FROM ed WHERE decision_type IS NOT NULL
+UNION ALL
+SELECT decision_source, driver_id, '' AS event_id, window_start, decision_type, priority FROM wd""",
+)
+
+# --- 2.7 -------------------------------------------------------------------------------------------
+
+sql("train_test_split", f"WITH {FL}, {TS_CTES} SELECT driver_id, window_start, is_test FROM tset")
+sql(
+    "glm_test_predictions",
+    f"""WITH {FL}, {TS_CTES}
+SELECT driver_id, window_start, RND(exposure_km, 9) AS exposure_km, claim_count,
+  RND(predicted_claim_count, 9) AS predicted_claim_count, RND(predicted_frequency, 9) AS predicted_frequency FROM tpred""",
+)
+sql(
+    "premium_score",
+    f"""WITH {FL}, {premium_ctes()}
+SELECT driver_id, RND(predicted_claim_count, 9) AS predicted_claim_count, RND(predicted_frequency, 9) AS predicted_frequency,
+  RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 9) AS target_technical_premium FROM r3""",
+)
+sql("premium_cap", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM r3")
