@@ -19,6 +19,7 @@ from .. import config as C
 from ..operators import events as E
 from ..operators import pricing as P
 from ..operators import reports as R
+from ..operators import rolling as RL
 from ..operators import windows as W
 from ..schemas import EVENT_COLUMNS, PREMIUM_HISTORY_COLUMNS
 from ..sources.fixture import raw_events, raw_messages
@@ -219,7 +220,10 @@ def q_payload_encode(spark, sf_dir):
     msgs = E.build_alerts(flagged_events(spark, sf_dir, with_incident=False))
     schema = E.build_alert_rows(flagged_events(spark, sf_dir, with_incident=False)).schema
     decoded = msgs.select("key", F.from_json("value", schema).alias("v")).select("key", "v.*")
-    return alert_output(decoded).withColumn("key", F.col("driver_id")).select("key", *E.ALERT_FIELDS)
+    return decoded.select(
+        "key",
+        *[epoch_ms(c) if c == "event_time_ts" else joined(c) if c == "active_rules" else F.col(c) for c in E.ALERT_FIELDS],
+    )
 
 
 def _pricing_output(df: DataFrame) -> DataFrame:
@@ -345,6 +349,28 @@ def q_profile_comparison(spark, sf_dir):
 # --- 2.4 window functions / 2.5 joins / 2.6 sort, set ops --------------------------------------
 
 
+@register("rolling_last_n_features")
+def q_rolling_features(spark, sf_dir):
+    rolled = RL.rolling_features(flagged_events(spark, sf_dir), n=C.JobConfig.window_events)
+    return rolled.select(
+        "driver_id",
+        "event_id",
+        "event_no",
+        "event_count",
+        F.round("km_window", 4).alias("km_driven"),
+        "risk_event_count",
+        "risk_score_window",
+        "phone_usage_count",
+        "next_seq",
+    )
+
+
+@register("rolling_tick_decisions")
+def q_rolling_ticks(spark, sf_dir):
+    ticks = RL.tick_decisions(flagged_events(spark, sf_dir), n=C.JobConfig.window_events, every=C.JobConfig.tick_every)
+    return ticks.drop("decision_ts")
+
+
 @register("latest_premium")
 def q_latest_premium(spark, sf_dir):
     return history_output(P.latest_premium(I.earlier_history(spark, sf_dir)))
@@ -434,3 +460,49 @@ def q_premium_score(spark, sf_dir):
 @register("premium_cap")
 def q_premium_cap(spark, sf_dir):
     return history_output(I.premium_runs(spark, sf_dir)[-1])
+
+
+# --- 2.7 model fits (rows-only in the driver; optimum conditions are unit-tested) --------------
+
+
+def _fit(spark, sf_dir, kind: str):
+    from ..operators.model import fit_glm
+
+    train, test = I.train_test(spark, sf_dir)
+    return fit_glm(train, kind), test
+
+
+@register("glm_offset")
+def q_glm_offset(spark, sf_dir):
+    from ..operators.model import predict_with
+
+    fit, test = _fit(spark, sf_dir, "offset")
+    return predict_with(fit, test).select(
+        "driver_id", epoch_s("window_start"), "claim_count", r9("predicted_claim_count"), r9("predicted_frequency")
+    )
+
+
+@register("glm_rate_weighted")
+def q_glm_rate(spark, sf_dir):
+    from ..operators.model import predict_with
+
+    fit, test = _fit(spark, sf_dir, "rate")
+    return predict_with(fit, test).select(
+        "driver_id", epoch_s("window_start"), "claim_count", r9("predicted_claim_count"), r9("predicted_frequency")
+    )
+
+
+@register("glm_coefficients")
+def q_glm_coefficients(spark, sf_dir):
+    from ..operators.model import coefficients
+
+    fit, _ = _fit(spark, sf_dir, "rate")
+    return coefficients(spark, fit)
+
+
+@register("glm_summary")
+def q_glm_summary(spark, sf_dir):
+    from ..operators.model import summary_text
+
+    fit, _ = _fit(spark, sf_dir, "offset")
+    return spark.createDataFrame([(line,) for line in summary_text(fit).splitlines()], "line string")

@@ -555,3 +555,45 @@ SELECT driver_id, RND(predicted_claim_count, 9) AS predicted_claim_count, RND(pr
   RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 9) AS target_technical_premium FROM r3""",
 )
 sql("premium_cap", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM r3")
+
+
+# --- 2.4 count windows ------------------------------------------------------------------------------
+
+ROLL_CTE = """rl AS (
+  SELECT driver_id, event_id, event_no,
+    count(*) OVER w AS event_count, sum(distance_delta_km) OVER w AS km_window,
+    CAST(sum(CAST(risk_event AS INTEGER)) OVER w AS BIGINT) AS risk_event_count,
+    CAST(sum(risk_score_event) OVER w AS BIGINT) AS risk_score_window,
+    CAST(sum(CAST(is_phone_usage AS INTEGER)) OVER w AS BIGINT) AS phone_usage_count,
+    lead(event_no) OVER (PARTITION BY driver_id ORDER BY event_no) AS next_seq
+  FROM fl
+  WINDOW w AS (PARTITION BY driver_id ORDER BY event_no ROWS BETWEEN 11 PRECEDING AND CURRENT ROW))"""
+
+sql(
+    "rolling_last_n_features",
+    f"""WITH {FL}, {ROLL_CTE}
+SELECT driver_id, event_id, event_no, event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window,
+  phone_usage_count, next_seq FROM rl""",
+)
+sql(
+    "rolling_tick_decisions",
+    f"""WITH {FL}, {ROLL_CTE},
+rd AS (
+  SELECT *, risk_event_count / event_count AS ri,
+    CASE WHEN risk_score_window >= {C.ESCALATE_SCORE} OR phone_usage_count >= {C.ESCALATE_PHONE} THEN '{C.ESCALATE_HIGH_RISK_REVIEW}'
+         WHEN event_count >= {C.NUDGE_MIN_EVENTS} AND risk_event_count / event_count >= {dbl(C.NUDGE_INTENSITY)} THEN '{C.SEND_SAFETY_NUDGE}'
+         WHEN event_count >= {C.POINTS_MIN_EVENTS} AND risk_event_count = 0 AND km_window >= {dbl(C.POINTS_MIN_KM)}
+           THEN '{C.GRANT_SAFE_DRIVING_POINTS}' END AS decision_type
+  FROM rl),
+lastseq AS (SELECT max(event_no) AS ls FROM fl),
+tk AS (
+  SELECT rd.*, unnest(range(((event_no + 9) // 10) * 10, (coalesce(next_seq - 1, ls) // 10) * 10 + 1, 10)) AS tick
+  FROM rd, lastseq WHERE decision_type IS NOT NULL)
+SELECT tick, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, decision_type,
+  CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN 'high' WHEN '{C.SEND_SAFETY_NUDGE}' THEN 'medium' ELSE 'low' END AS priority,
+  CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN '{C.ACTION_ESCALATE}'
+       WHEN '{C.SEND_SAFETY_NUDGE}' THEN '{C.ACTION_WINDOW_NUDGE}' ELSE '{C.ACTION_POINTS.replace("'", "''")}' END AS recommended_action,
+  CASE WHEN decision_type = '{C.GRANT_SAFE_DRIVING_POINTS}' THEN '{C.MESSAGE_POINTS}' ELSE '{C.MESSAGE_ROLLING_RISK}' END AS customer_message,
+  event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window, RND(ri, 3) AS risk_intensity, phone_usage_count
+FROM tk""",
+)
