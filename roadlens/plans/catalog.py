@@ -137,8 +137,9 @@ def window_decision_output(df: DataFrame) -> DataFrame:
     return df.select(*[epoch_s(c) if c in ("window_start", "window_end") else F.col(c) for c in cols])
 
 
-def history_output(df: DataFrame) -> DataFrame:
+def history_output(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
+        *extra,
         *[
             r9(c) if c in ("exposure_km", "speeding_ratio", "hard_braking_count_per_100km",
                            "harsh_acceleration_count_per_100km", "night_event_ratio", "bad_weather_event_ratio",

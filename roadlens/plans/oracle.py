@@ -161,11 +161,11 @@ FEATURE_DERIVED = """
   window_start, window_end"""
 
 
-def features_sql(size_min: int) -> str:
+def features_sql(size_min: int, where: str = "TRUE") -> str:
     return f"""WITH {FL},
 {windows_cte('fw', size_min)},
 agg AS (SELECT {FEATURE_AGGS} FROM fw WHERE event_ms IS NOT NULL GROUP BY driver_id, window_start, window_end)
-SELECT {FEATURE_DERIVED} FROM agg"""
+SELECT {FEATURE_DERIVED} FROM agg WHERE {where}"""
 
 
 FLAG_COLS = """is_speeding, speeding_margin, is_hard_braking, is_harsh_acceleration, is_sharp_cornering,
@@ -597,3 +597,29 @@ SELECT tick, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, decision_type,
   event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window, RND(ri, 3) AS risk_intensity, phone_usage_count
 FROM tk""",
 )
+
+
+# --- streaming and sources / sinks (same results as the batch operators) ----------------------------
+
+CLOSED = f"window_end * 1000 <= (SELECT max(event_ms) FROM ev) - {30_000}"
+
+sql("source_events_stream", f"WITH {FL} SELECT event_id, driver_id, event_ms AS event_time_ts, risk_score_event FROM fl")
+ORACLE["stream_alerts"] = ORACLE["alerts"]
+sql("sink_features_parquet", features_sql(1, CLOSED))
+ORACLE["stream_tumbling_append"] = ORACLE["sink_features_parquet"]
+ORACLE["stream_sliding_update"] = ORACLE["features_sliding_5m"]
+ORACLE["stream_event_decisions"] = ORACLE["event_decisions"]
+ORACLE["stream_window_decisions"] = ORACLE["window_decisions"]
+ORACLE["source_feature_store"] = ORACLE["features_tumbling_1m"]
+sql("source_premium_history", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM h2")
+ORACLE["sink_premium_history"] = ORACLE["union_history"]
+sql("sink_premium_updates", f"WITH {FL}, {premium_ctes()} SELECT driver_id AS key, {HISTORY_OUT} FROM r3")
+ORACLE["sink_decisions_jsonl"] = ORACLE["rolling_tick_decisions"]
+sql(
+    "source_decisions",
+    f"""WITH {FL}, {EVENT_DECISION_CTE}, {DW_CTES}
+SELECT driver_id AS key, '{C.SOURCE_EVENT}' AS decision_source, driver_id, event_id, CAST(-1 AS BIGINT) AS window_start,
+  decision_type, {STREAM_PRIORITY} AS priority FROM ed WHERE decision_type IS NOT NULL
+UNION ALL
+SELECT driver_id AS key, decision_source, driver_id, '' AS event_id, window_start, decision_type, priority FROM wd""",
+)
