@@ -47,6 +47,14 @@ def _design(df: DataFrame, features) -> DataFrame:
     return assembler.transform(df.withColumn("exposure_c", exposure()))
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """IRLS reads the design once per iteration: write it to the shared checkpoint folder first."""
+    from ..session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def fit_glm(
     train: DataFrame,
     kind: str = "rate",
@@ -61,17 +69,21 @@ def fit_glm(
             family="poisson", link="log", labelCol=label, featuresCol="features", offsetCol="log_exposure",
             maxIter=max(25, min(max_iter, 100)), regParam=0.0, tol=1e-10,
         )
-        model = glr.fit(data.withColumn("log_exposure", F.log("exposure_c")).withColumn(label, F.col(label).cast("double")))
+        design = data.select(
+            F.col(label).cast("double").alias(label), F.log("exposure_c").alias("log_exposure"), "features"
+        )
+        model = glr.fit(_materialize(design))
         return GlmFit(model, kind, tuple(features), 0.0)
     if kind != "rate":
         raise ValueError(f"unknown model kind {kind!r}")
-    totals = data.agg(F.sum("exposure_c").alias("w"), F.sum(label).alias("y")).first()  # one row
+    design = _materialize(data.select((F.col(label) / F.col("exposure_c")).alias("rate"), "exposure_c", "features", label))
+    totals = design.agg(F.sum("exposure_c").alias("w"), F.sum(label).alias("y")).first()  # one row
     reg = alpha * float(totals["w"]) / float(totals["y"]) if totals["y"] else alpha
     glr = GeneralizedLinearRegression(
         family="poisson", link="log", labelCol="rate", featuresCol="features", weightCol="exposure_c",
         maxIter=max_iter, regParam=reg, tol=1e-10,
     )
-    model = glr.fit(data.withColumn("rate", F.col(label) / F.col("exposure_c")))
+    model = glr.fit(design)
     return GlmFit(model, kind, tuple(features), reg)
 
 

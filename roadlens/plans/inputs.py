@@ -20,6 +20,7 @@ from .. import config as C
 from ..operators import events as E
 from ..operators import pricing as P
 from ..operators import windows as W
+from ..session import shared_dir
 from ..sources.fixture import TARGET_EPOCH_MS, raw_events
 
 # fixed values: fixture parameters of the pricing inputs
@@ -40,7 +41,14 @@ RUNS = (
 
 
 def flagged_events(spark: SparkSession, sf_dir: str, with_incident: bool = True) -> DataFrame:
-    return E.flag_events(E.normalise_event_time(raw_events(spark, sf_dir)), with_incident)
+    """Flagged events of the typed table (its ``event_time_ts`` is native; messages are parsed instead)."""
+    return E.flag_events(raw_events(spark, sf_dir), with_incident)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage (reused several times below)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def pricing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +99,16 @@ def _run_features(features: DataFrame, last_minute: int | None) -> DataFrame:
 
 
 def premium_runs(spark: SparkSession, sf_dir: str, coefficients=C.COMMITTED_COEFFICIENTS) -> list[DataFrame]:
-    """The three scoring runs, each taking the history of the runs before it."""
-    features = pricing_features(spark, sf_dir)
+    """The three scoring runs, each taking the history of the runs before it.
+
+    The feature table is materialised once; each run's rows (one per driver)
+    are materialised as the next run's history, as a history table would be.
+    """
+    features = materialize(pricing_features(spark, sf_dir))
     runs: list[DataFrame] = []
     history: DataFrame | None = None
     for last_minute, stamp in RUNS:
-        run = P.premium_run(_run_features(features, last_minute), coefficients, history, scored_at=stamp)
+        run = materialize(P.premium_run(_run_features(features, last_minute), coefficients, history, scored_at=stamp))
         runs.append(run)
         history = P.union_history(history, run)
     return runs

@@ -45,7 +45,9 @@ def project_events(events: DataFrame) -> DataFrame:
     """Raw telematics events (the typed form of a message value), plus the helper columns
 
     ``event_no`` (1-based global arrival number: the source ids are in time
-    order) and ``event_ms`` (event time as epoch millis).
+    order), ``event_ms`` (event time as epoch millis) and ``event_time_ts``
+    (the same instant as a timestamp: a typed table carries its event time
+    natively, so only message sources need to parse the ISO text).
     """
     base = events.select(
         F.col("event_id").alias("e"),
@@ -83,12 +85,13 @@ def project_events(events: DataFrame) -> DataFrame:
         f"({_mulmod(37, 29)} = 0 AND p != 0) AS phone_usage",
         "e + 1 AS event_no",
         "event_ms",
+        "timestamp_millis(event_ms) AS event_time_ts",
     )
     return out
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed raw events (15 event columns + ``event_no``, ``event_ms``)."""
+    """The typed raw events (15 event columns + ``event_no``, ``event_ms``, ``event_time_ts``)."""
     return project_events(events_table(spark, sf_dir))
 
 
