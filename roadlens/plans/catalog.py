@@ -102,9 +102,10 @@ DECISION_WINDOW_OUTPUT = (
 )
 
 
-def feature_output(df: DataFrame) -> DataFrame:
+def feature_output(df: DataFrame, *extra: str) -> DataFrame:
     """Window features with epoch-second bounds and 9-place derived doubles."""
     return df.select(
+        *extra,
         *FEATURE_OUTPUT,
         r9("speeding_ratio"),
         r9("night_event_ratio"),

@@ -623,3 +623,7 @@ SELECT driver_id AS key, '{C.SOURCE_EVENT}' AS decision_source, driver_id, event
 UNION ALL
 SELECT driver_id AS key, decision_source, driver_id, '' AS event_id, window_start, decision_type, priority FROM wd""",
 )
+sql(
+    "sink_topic_stream",
+    f"SELECT driver_id AS key, * FROM ({features_sql(1, CLOSED)})",
+)

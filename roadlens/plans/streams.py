@@ -254,3 +254,13 @@ def q_model_store(spark, sf_dir):
     M.save_model(fit, path)
     loaded = M.load_model(path)
     return M.coefficients(spark, loaded).withColumn("model_type", F.lit(loaded.kind))
+
+
+@register("sink_topic_stream")
+def q_sink_topic_stream(spark, sf_dir):
+    """The optional feature topic: closed one-minute windows as key/value messages, decoded again."""
+    cfg, sinks = _run(spark, sf_dir, "sink_topic_stream", lambda s, c, k: [J.start_feature_topic(s, c, k, TRIGGER)])
+    log = _topic(spark, sinks, cfg.feature_topic, "features_kafka")
+    schema = W.tumbling_features(I.flagged_events(spark, sf_dir, with_incident=False)).schema
+    decoded = log.select("key", F.from_json("value", schema).alias("f")).select("key", "f.*")
+    return feature_output(decoded, "key")
