@@ -40,6 +40,7 @@ def auto_chunk_size(df: DataFrame, n: int = 12) -> int:
     rows = df.count()
     return max(MIN_CHUNK, math.isqrt(max(n - 1, 1) * max(rows, 1)))
 
+
 ROLLING_DECISION_FIELDS = (
     "decision_source",
     "decision_ts",
@@ -75,19 +76,22 @@ def _with_halo(df: DataFrame, n: int, seq: str, chunk_size: int) -> DataFrame:
     base = df.withColumn("_chunk", _chunk_of(seq, chunk_size))
     if n <= 1:
         return base.withColumn("_home", F.lit(True))
+    # Last n-1 rows of each chunk: row_number <= n-1 plans as a WindowGroupLimit, whose partial step runs
+    # before the shuffle, so at most n-1 rows per (driver, chunk) and map task are shuffled here.
     per_chunk_desc = Window.partitionBy("driver_id", "_chunk").orderBy(F.col(seq).desc())
     tails = base.withColumn("_k", F.row_number().over(per_chunk_desc)).filter(F.col("_k") <= n - 1).drop("_k")
-    # Rank the tails per driver: (n-1) x chunks rows per driver, independent of the driver's event count.
-    tails = tails.withColumn("_r", F.row_number().over(Window.partitionBy("driver_id").orderBy(seq)))
-    starts = tails.groupBy("driver_id", "_chunk").agg(F.min("_r").alias("_r0"))
-    # tail row r belongs to the halo of chunk c  <=>  r0(c) in [r + 1, r + n - 1]
-    candidates = tails.withColumn("_j", F.explode(F.sequence(F.lit(1), F.lit(n - 1)))).withColumn(
-        "_r0", F.col("_r") + F.col("_j")
-    )
+    # Over a driver's tails ((n-1) x chunks rows, independent of its event count), a tail row belongs to the
+    # halo of every chunk whose first tail row is one of the next n-1 tail rows.
+    per_driver = Window.partitionBy("driver_id").orderBy(seq)
+    prev_chunk = F.lag("_chunk").over(per_driver)
+    tails = tails.withColumn("_starts", prev_chunk.isNull() | (prev_chunk != F.col("_chunk")))
+    targets = F.array(*[F.when(F.lead("_starts", j).over(per_driver), F.lead("_chunk", j).over(per_driver)) for j in range(1, n)])
     halo = (
-        candidates.drop("_chunk")
-        .join(starts, ["driver_id", "_r0"], "inner")
-        .drop("_r", "_r0", "_j")
+        tails.withColumn("_targets", targets)
+        .withColumn("_target", F.explode("_targets"))
+        .filter(F.col("_target").isNotNull())
+        .withColumn("_chunk", F.col("_target"))
+        .drop("_target", "_targets", "_starts")
         .withColumn("_home", F.lit(False))
     )
     home = base.withColumn("_home", F.lit(True))
