@@ -6,8 +6,8 @@ Plan notes for scale:
 * ``driver_rollup`` is one hash aggregate on ``driver_id`` with map-side
   partial sums / counts: a driver with many windows costs one partial row per
   input partition, not one task holding all of its rows.
-* The global mean frequency is a one-row aggregate joined back with a
-  broadcast of that single row (its size is one row by construction).
+* The global mean frequency is a scalar subquery (``DataFrame.scalar``):
+  partial averages per partition, one value, evaluated once; no join.
 * ``latest_premium`` is a ``max(struct(...))`` aggregate (partial, no sort),
   so the join with the roll-up is between two frames keyed by ``driver_id``.
 """
@@ -117,12 +117,9 @@ def mean_frequency(scored: DataFrame) -> DataFrame:
 def score(rollup: DataFrame, coefficients: Coefficients | Mapping[str, float], base_premium: float = 1000.0) -> DataFrame:
     """Predicted count and frequency, risk multiplier against the mean driver, target premium."""
     predicted = predict(rollup, coefficients)
-    mean = F.broadcast(mean_frequency(predicted))  # exactly one row
-    return (
-        predicted.crossJoin(mean)
-        .withColumn("risk_multiplier", F.col("predicted_frequency") / F.col("mean_frequency"))
-        .withColumn("target_technical_premium", F.lit(float(base_premium)) * F.col("risk_multiplier"))
-        .drop("mean_frequency")
+    mean = mean_frequency(predicted).scalar()  # scalar subquery: one global aggregate, evaluated once
+    return predicted.withColumn("risk_multiplier", F.col("predicted_frequency") / mean).withColumn(
+        "target_technical_premium", F.lit(float(base_premium)) * F.col("risk_multiplier")
     )
 
 

@@ -165,12 +165,12 @@ def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "even
             "risk_score_window", "phone_usage_count", "event_count", "risk_intensity_raw", "risk_event_count", "km_window"
         ),
     ).filter(F.col("decision_type").isNotNull())
-    last = F.broadcast(df.agg(F.max(seq).alias("_last_seq")))  # one row
+    last_seq = df.agg(F.max(seq)).scalar()  # scalar subquery: the stream's last event number
     every_l = F.lit(every).cast("long")
     first_tick = F.expr(f"(({seq} + {every} - 1) div {every}) * {every}")
-    last_tick = F.expr(f"(coalesce(next_seq - 1, _last_seq) div {every}) * {every}")
+    last_tick = F.expr(f"(_upto div {every}) * {every}")
     ticks = (
-        decided.crossJoin(last)
+        decided.withColumn("_upto", F.coalesce(F.col("next_seq") - F.lit(1), last_seq))
         .withColumn("_first_tick", first_tick)
         .withColumn("_last_tick", last_tick)
         .filter(F.col("_first_tick") <= F.col("_last_tick"))

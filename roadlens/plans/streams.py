@@ -67,12 +67,6 @@ def _topic(spark: SparkSession, sinks: J.StreamSinks, topic: str, name: str) ->
     return J.topic_log(spark, sinks, topic, name)
 
 
-def _closed(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows an append-mode stream has emitted: end <= max(event time) - watermark delay."""
-    last = F.broadcast(raw_events(spark, sf_dir).agg(F.max("event_ms").alias("_max_ms")))  # one row
-    return df.crossJoin(last).filter(F.unix_millis("window_end") <= F.col("_max_ms") - F.lit(30_000)).drop("_max_ms")
-
-
 # --- 2.8 streaming ----------------------------------------------------------------------------------
 
 
