@@ -144,6 +144,7 @@ class JobConfig:
     output_dir: str = "data/historical_features"
     checkpoint_dir: str = "data/checkpoints"
     write_feature_topic: bool = False
+    partition_features_by_date: bool = True
     show_console: bool = False
     starting_offsets: str = "latest"
     # Source format: "kafka" in production; "json"/"parquet"/"text" directories stand in for a broker in tests.

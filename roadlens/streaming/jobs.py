@@ -82,14 +82,27 @@ def write_topic(
     return _trigger(writer, trigger).queryName(name).start()
 
 
-def write_features(features: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Closed windows appended to a parquet folder (append mode: a window is written once, after the watermark passes its end)."""
+def write_features(
+    features: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, partition_by_date: bool = True
+) -> StreamingQuery:
+    """Closed windows appended to a parquet folder (append mode: a window is written once, after the watermark passes its end).
+
+    With ``partition_by_date`` the folder is partitioned by ``window_date``
+    (UTC date of the window start), so readers of a date range prune files
+    instead of listing the whole history.
+    """
+    if partition_by_date:
+        features = features.withColumn(
+            "window_date", F.expr("date_from_unix_date(CAST(unix_seconds(window_start) div 86400 AS INT))")
+        )
     writer = (
         features.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
+    if partition_by_date:
+        writer = writer.partitionBy("window_date")
     return _trigger(writer, trigger).start()
 
 
@@ -106,7 +119,8 @@ def start_alerts(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> Str
 def start_features(spark, cfg: JobConfig, trigger=None) -> StreamingQuery:
     tumbling = W.tumbling_features(flagged_stream(spark, cfg), watermark=cfg.watermark)
     return write_features(
-        tumbling, f"{cfg.output_dir}/tumbling_1m", f"{cfg.checkpoint_dir}/features_tumbling_1m", trigger
+        tumbling, f"{cfg.output_dir}/tumbling_1m", f"{cfg.checkpoint_dir}/features_tumbling_1m", trigger,
+        cfg.partition_features_by_date,
     )
 
 

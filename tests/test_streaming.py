@@ -85,3 +85,14 @@ def test_features_job_runs_its_queries_together(spark):
     J.run_until_done(queries)
     # max event 00:03:10 -> watermark 00:02:40: only windows ending by then are emitted (00:01 and 00:02)
     assert spark.read.parquet(f"{cfg.output_dir}/tumbling_1m").count() == 2
+
+
+def test_feature_sink_is_partitioned_by_window_date(spark):
+    cfg, _ = _setup(spark, "partitioned")
+    _write_batch(spark, cfg.source_path, ["2026-01-01T23:59:10.000Z", "2026-01-02T00:01:10.000Z"], "a")
+    J.run_until_done([J.start_features(spark, cfg, TRIGGER)])
+    out = spark.read.parquet(f"{cfg.output_dir}/tumbling_1m")
+    assert "window_date" in out.columns
+    assert [str(r["window_date"]) for r in out.collect()] == ["2026-01-01"]
+    pruned = out.filter(F.col("window_date") == F.lit("2026-01-01").cast("date"))
+    assert "PartitionFilters: [isnotnull(window_date" in pruned._jdf.queryExecution().executedPlan().toString()
