@@ -148,13 +148,33 @@ def rolling_decision_columns(km: str = "km_window") -> dict[str, Column]:
     }
 
 
-def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None) -> DataFrame:
-    """At every ``every``-th event of the stream, judge every driver seen so far on its last ``n`` events.
+TICK_PAYLOAD = (
+    "decision_source",
+    "decision_ts",
+    "driver_id",
+    "decision_type",
+    "priority",
+    "recommended_action",
+    "customer_message",
+    "event_count",
+    "km_driven",
+    "risk_event_count",
+    "risk_score_window",
+    "risk_intensity",
+    "phone_usage_count",
+)
+
 
-    A driver's buffer after its event e stays current until its next event;
-    the ticks in [e, next) each emit that buffer's decision (so a driver that
-    stops sending repeats its last decision at every later tick).  Only
-    buffers with a decision are expanded, and each row carries its ``tick``.
+def tick_decision_ranges(
+    df: DataFrame, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None
+) -> DataFrame:
+    """Each buffer state that yields a decision, once, with the ticks it is judged at: ``first_tick`` ..
+    ``last_tick`` (step ``every``) and ``n_ticks``.
+
+    A driver's buffer after its event e stays current until its next event,
+    so it is judged at every tick in [e, next) -- or up to the last event of
+    the stream if the driver sends nothing more.  This run-length form holds
+    the same information as the expanded one in O(states) rows.
     """
     rolled = rolling_features(df, n, seq, chunk_size).withColumn(
         "risk_intensity_raw", F.col("risk_event_count") / F.col("event_count")
@@ -166,18 +186,17 @@ def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "even
         ),
     ).filter(F.col("decision_type").isNotNull())
     last_seq = df.agg(F.max(seq)).scalar()  # scalar subquery: the stream's last event number
-    every_l = F.lit(every).cast("long")
-    first_tick = F.expr(f"(({seq} + {every} - 1) div {every}) * {every}")
-    last_tick = F.expr(f"(_upto div {every}) * {every}")
-    ticks = (
+    ranges = (
         decided.withColumn("_upto", F.coalesce(F.col("next_seq") - F.lit(1), last_seq))
-        .withColumn("_first_tick", first_tick)
-        .withColumn("_last_tick", last_tick)
-        .filter(F.col("_first_tick") <= F.col("_last_tick"))
-        .withColumn("tick", F.explode(F.sequence(F.col("_first_tick"), F.col("_last_tick"), every_l)))
+        .withColumn("first_tick", F.expr(f"(({seq} + {every} - 1) div {every}) * {every}"))
+        .withColumn("last_tick", F.expr(f"(_upto div {every}) * {every}"))
+        .filter(F.col("first_tick") <= F.col("last_tick"))
+        .withColumn("n_ticks", F.expr(f"(last_tick - first_tick) div {every} + 1"))
     )
-    return ticks.withColumns(rolling_decision_columns()).select(
-        "tick",
+    return ranges.withColumns(rolling_decision_columns()).select(
+        "first_tick",
+        "last_tick",
+        "n_ticks",
         "decision_source",
         "decision_ts",
         "driver_id",
@@ -192,3 +211,17 @@ def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "even
         F.round("risk_intensity_raw", 3).alias("risk_intensity"),
         "phone_usage_count",
     )
+
+
+def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None) -> DataFrame:
+    """At every ``every``-th event of the stream, judge every driver seen so far on its last ``n`` events.
+
+    The expanded form of ``tick_decision_ranges``: one row per (tick, driver
+    with a decision), as the count-window policy emits them (a driver that
+    stops sending repeats its last decision at every later tick).  The
+    expansion is a narrow ``explode`` of each range.
+    """
+    ranges = tick_decision_ranges(df, n, every, seq, chunk_size)
+    every_l = F.lit(every).cast("long")
+    ticks = ranges.withColumn("tick", F.explode(F.sequence(F.col("first_tick"), F.col("last_tick"), every_l)))
+    return ticks.select("tick", *TICK_PAYLOAD)

@@ -105,3 +105,11 @@ def test_tick_decisions_match_loop(spark, chunk):
 def test_auto_chunk_size_is_bounded(spark):
     df = spark.range(1000)
     assert RL.auto_chunk_size(df, 12) == RL.MIN_CHUNK
+
+
+def test_tick_ranges_expand_to_the_ticks(spark):
+    rows = _events(300, seed=3)
+    df = spark.createDataFrame(rows)
+    ranges = RL.tick_decision_ranges(df, n=12, every=10, chunk_size=16)
+    total = ranges.agg(F.sum("n_ticks")).first()[0]
+    assert total == RL.tick_decisions(df, n=12, every=10, chunk_size=16).count() == len(_brute_ticks(rows))
