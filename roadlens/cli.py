@@ -78,6 +78,7 @@ def cmd_score(a):
     from .operators import model as M
     from .operators import pricing as P
     from .operators import reports as R
+    from .session import shared_dir
     from .sources import io as IO
 
     spark = _session("roadlens-score")
@@ -86,7 +87,9 @@ def cmd_score(a):
     run = P.premium_run(
         IO.load_features(spark, a.features_path), fit.coefficient_pairs(), history, a.base_premium, a.premium_change_cap
     )
-    run = run.checkpoint(eager=True) if spark.sparkContext.getCheckpointDir() else run.cache()
+    # The run reads the history it is about to extend: materialise it first (shared checkpoint folder).
+    shared_dir(spark)
+    run = run.checkpoint(eager=True)
     IO.append_history(run, a.premium_history_path)
     R.top_premiums(run, 20).show(20, truncate=False)
     if a.publish_kafka:
