@@ -2,6 +2,7 @@
 
     python -m roadlens.cli features   [--bootstrap-server ... --raw-topic ... --output-dir ... --checkpoint-dir ...]
     python -m roadlens.cli decisions  [--decision-topic ... --show-console]
+    python -m roadlens.cli streams    (both jobs; stateless outputs share one read of the topic)
     python -m roadlens.cli train      --features-path PATH --output-dir DIR --model-path PATH [--model offset|rate]
     python -m roadlens.cli score      --features-path PATH --model-path PATH --premium-history-path PATH
                                       [--base-premium 1000 --premium-change-cap 0.10 --publish-kafka --topic ...]
@@ -58,6 +59,14 @@ def cmd_decisions(a):
     J.await_any(spark)
 
 
+def cmd_streams(a):
+    from .streaming import jobs as J
+
+    spark = _session("roadlens-streams")
+    J.run_combined_job(spark, _cfg(a), J.StreamSinks("kafka"))
+    J.await_any(spark)
+
+
 def cmd_train(a):
     from .operators import model as M
     from .operators import pricing as P
@@ -155,6 +164,15 @@ def main(argv=None) -> None:
     d.add_argument("--show-console", action="store_true")
     d.set_defaults(fn=cmd_decisions)
 
+    b = sub.add_parser("streams", help="alerts, event decisions (one shared read), features and window decisions")
+    b.add_argument("--bootstrap-server", dest="bootstrap_servers", default="broker:9092")
+    b.add_argument("--raw-topic", default=C.RAW_TOPIC)
+    b.add_argument("--alert-topic", default=C.ALERT_TOPIC)
+    b.add_argument("--decision-topic", default=C.DECISION_TOPIC)
+    b.add_argument("--output-dir", default="data/historical_features")
+    b.add_argument("--checkpoint-dir", default="data/checkpoints")
+    b.set_defaults(fn=cmd_streams)
+
     t = sub.add_parser("train")
     t.add_argument("--features-path", default="data/historical_features/tumbling_1m")
     t.add_argument("--output-dir", default="data/model_outputs")

@@ -174,6 +174,45 @@ def run_decisions_job(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -
     return queries
 
 
+def start_stateless_fanout(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> StreamingQuery:
+    """One read of the raw topic feeding every stateless output (alerts and event decisions).
+
+    The separate queries read and parse the topic once each; here each
+    micro-batch is parsed and flagged once, kept for the two writes and
+    released.  Folder sinks are written per batch id (a replayed batch
+    overwrites its own output); the Kafka sink is at-least-once on replay.
+    """
+    flagged = flagged_stream(spark, cfg, with_incident=True)
+    outputs = (
+        (cfg.alert_topic, "alerts", E.build_alerts),
+        (cfg.decision_topic, "event_interventions", E.build_event_decisions),
+    )
+
+    def fan_out(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for topic, name, build in outputs:
+                rows = build(batch).selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+                if sinks.sink_format == "kafka":
+                    rows.write.format("kafka").options(**kafka_writer_options(cfg, topic)).save()
+                else:
+                    rows.write.mode("overwrite").parquet(f"{sinks.topic_root}/{topic}/{name}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = flagged.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{cfg.checkpoint_dir}/stateless")
+    return _trigger(writer, trigger).queryName("stateless_fanout").start()
+
+
+def run_combined_job(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> list[StreamingQuery]:
+    """Both jobs in one session with three reads of the topic: stateless fan-out, tumbling features, window decisions."""
+    return [
+        start_stateless_fanout(spark, cfg, sinks, trigger),
+        start_features(spark, cfg, trigger),
+        start_window_decisions(spark, cfg, sinks, trigger),
+    ]
+
+
 def await_any(spark: SparkSession, queries: list[StreamingQuery] | None = None) -> None:
     """Block until any query of the session ends (a failed query re-raises its error)."""
     spark.streams.awaitAnyTermination()

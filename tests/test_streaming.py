@@ -96,3 +96,22 @@ def test_feature_sink_is_partitioned_by_window_date(spark):
     assert [str(r["window_date"]) for r in out.collect()] == ["2026-01-01"]
     pruned = out.filter(F.col("window_date") == F.lit("2026-01-01").cast("date"))
     assert "PartitionFilters: [isnotnull(window_date" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stateless_fanout_equals_separate_queries(spark):
+    from roadlens.operators import events as E
+
+    cfg, sinks = _setup(spark, "fanout")
+    rows = [
+        event_row(event_id="a", weather="rain"),
+        event_row(event_id="b", braking_ms2=-5.5, event_time="2026-01-01T00:00:01.000Z"),
+        event_row(event_id="c", event_time="2026-01-01T00:00:02.000Z"),
+    ]
+    spark.createDataFrame([(r["driver_id"], json.dumps(r)) for r in rows], "key string, value string").write.parquet(
+        cfg.source_path
+    )
+    J.run_until_done(J.run_combined_job(spark, cfg, sinks, TRIGGER))
+    alerts = J.topic_log(spark, sinks, cfg.alert_topic, "alerts")
+    decisions = J.topic_log(spark, sinks, cfg.decision_topic, "event_interventions")
+    assert sorted(json.loads(r["value"])["event_id"] for r in alerts.collect()) == ["a", "b"]
+    assert [json.loads(r["value"])["decision_type"] for r in decisions.collect()] == ["CHECK_DRIVER_STATUS"]
