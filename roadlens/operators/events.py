@@ -170,7 +170,7 @@ def _event_decision_columns(policy: str) -> dict[str, Column]:
     }
 
 
-def build_event_decision_rows(flagged: DataFrame, policy: str = "stream") -> DataFrame:
+def build_event_decision_rows(flagged: DataFrame, policy: str = "stream", extra: Sequence[str] = ()) -> DataFrame:
     """One decision per event that is a possible incident or scores >= 4; other events give no row.
 
     ``policy="stream"``: incident -> critical, score >= 5 -> high, else medium
@@ -180,7 +180,7 @@ def build_event_decision_rows(flagged: DataFrame, policy: str = "stream") -> Dat
     return (
         flagged.withColumns(_event_decision_columns(policy))
         .filter(F.col("decision_type").isNotNull())
-        .select(*fields)
+        .select(*extra, *fields)
     )
 
 

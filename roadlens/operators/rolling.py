@@ -225,3 +225,18 @@ def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "even
     every_l = F.lit(every).cast("long")
     ticks = ranges.withColumn("tick", F.explode(F.sequence(F.col("first_tick"), F.col("last_tick"), every_l)))
     return ticks.select("tick", *TICK_PAYLOAD)
+
+
+def demo_decisions(flagged: DataFrame, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None) -> DataFrame:
+    """All decisions of the count-window policy in one output: the per-event decisions (every nudge high)
+    and the tick decisions, each with ``at_event``, the event number it is taken at."""
+    events = _event_rows_with_seq(flagged, seq)
+    ticks = tick_decisions(flagged, n, every, seq, chunk_size).withColumnRenamed("tick", "at_event")
+    return events.unionByName(ticks, allowMissingColumns=True)
+
+
+def _event_rows_with_seq(flagged: DataFrame, seq: str) -> DataFrame:
+    from .events import DEMO_EVENT_DECISION_FIELDS, build_event_decision_rows
+
+    rows = build_event_decision_rows(flagged.withColumnRenamed(seq, "at_event"), "demo", extra=("at_event",))
+    return rows.select("at_event", *DEMO_EVENT_DECISION_FIELDS)

@@ -614,7 +614,35 @@ ORACLE["source_feature_store"] = ORACLE["features_tumbling_1m"]
 sql("source_premium_history", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM h2")
 ORACLE["sink_premium_history"] = ORACLE["union_history"]
 sql("sink_premium_updates", f"WITH {FL}, {premium_ctes()} SELECT driver_id AS key, {HISTORY_OUT} FROM r3")
-ORACLE["sink_decisions_jsonl"] = ORACLE["rolling_tick_decisions"]
+sql(
+    "sink_decisions_jsonl",
+    f"""WITH {FL}, {EVENT_DECISION_CTE}, {ROLL_CTE},
+rd AS (
+  SELECT *, risk_event_count / event_count AS ri,
+    CASE WHEN risk_score_window >= {C.ESCALATE_SCORE} OR phone_usage_count >= {C.ESCALATE_PHONE} THEN '{C.ESCALATE_HIGH_RISK_REVIEW}'
+         WHEN event_count >= {C.NUDGE_MIN_EVENTS} AND risk_event_count / event_count >= {dbl(C.NUDGE_INTENSITY)} THEN '{C.SEND_SAFETY_NUDGE}'
+         WHEN event_count >= {C.POINTS_MIN_EVENTS} AND risk_event_count = 0 AND km_window >= {dbl(C.POINTS_MIN_KM)}
+           THEN '{C.GRANT_SAFE_DRIVING_POINTS}' END AS rdt
+  FROM rl),
+lastseq AS (SELECT max(event_no) AS ls FROM fl),
+tk AS (
+  SELECT rd.*, unnest(range(((event_no + 9) // 10) * 10, (coalesce(next_seq - 1, ls) // 10) * 10 + 1, 10)) AS tick
+  FROM rd, lastseq WHERE rdt IS NOT NULL)
+SELECT event_no AS at_event, '{C.SOURCE_EVENT}' AS decision_source, driver_id, event_id, decision_type,
+  {DEMO_PRIORITY} AS priority, recommended_action, customer_message, active_rules, risk_score_event,
+  CAST(NULL AS BIGINT) AS event_count, CAST(NULL AS DOUBLE) AS km_driven, CAST(NULL AS BIGINT) AS risk_event_count,
+  CAST(NULL AS BIGINT) AS risk_score_window, CAST(NULL AS DOUBLE) AS risk_intensity, CAST(NULL AS BIGINT) AS phone_usage_count
+FROM ed WHERE decision_type IS NOT NULL
+UNION ALL
+SELECT tick AS at_event, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, CAST(NULL AS VARCHAR) AS event_id, rdt AS decision_type,
+  CASE rdt WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN 'high' WHEN '{C.SEND_SAFETY_NUDGE}' THEN 'medium' ELSE 'low' END AS priority,
+  CASE rdt WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN '{C.ACTION_ESCALATE}'
+       WHEN '{C.SEND_SAFETY_NUDGE}' THEN '{C.ACTION_WINDOW_NUDGE}' ELSE '{C.ACTION_POINTS.replace("'", "''")}' END AS recommended_action,
+  CASE WHEN rdt = '{C.GRANT_SAFE_DRIVING_POINTS}' THEN '{C.MESSAGE_POINTS}' ELSE '{C.MESSAGE_ROLLING_RISK}' END AS customer_message,
+  CAST(NULL AS VARCHAR) AS active_rules, CAST(NULL AS INTEGER) AS risk_score_event,
+  event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window, RND(ri, 3) AS risk_intensity, phone_usage_count
+FROM tk""",
+)
 sql(
     "source_decisions",
     f"""WITH {FL}, {EVENT_DECISION_CTE}, {DW_CTES}

@@ -201,13 +201,22 @@ def _history_with_key(decoded: DataFrame) -> DataFrame:
     return history_output(decoded, "key")
 
 
+DEMO_OUTPUT = (
+    "at_event", "decision_source", "driver_id", "event_id", "decision_type", "priority", "recommended_action",
+    "customer_message", "active_rules", "risk_score_event", "event_count", "km_driven", "risk_event_count",
+    "risk_score_window", "risk_intensity", "phone_usage_count",
+)
+
+
 @register("sink_decisions_jsonl")
 def q_sink_decisions_jsonl(spark, sf_dir):
+    """The count-window policy's decisions (per event and per tick) written as JSON lines and read back."""
     path = scratch_path(spark, "decisions_jsonl")
-    ticks = RL.tick_decisions(I.flagged_events(spark, sf_dir), C.JobConfig.window_events, C.JobConfig.tick_every)
-    IO.write_decisions(ticks, path)
-    back = spark.read.schema(ticks.schema).json(path)
-    return back.drop("decision_ts")
+    decisions = RL.demo_decisions(I.flagged_events(spark, sf_dir), C.JobConfig.window_events, C.JobConfig.tick_every)
+    IO.write_decisions(decisions, path)
+    back = spark.read.schema(decisions.schema).json(path)
+    rules = F.when(F.col("active_rules").isNull(), F.lit(None).cast("string")).otherwise(F.concat_ws("|", "active_rules"))
+    return back.withColumn("active_rules", rules).select(*DEMO_OUTPUT)
 
 
 @register("source_decisions")
