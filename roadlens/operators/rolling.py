@@ -1,45 +1,37 @@
 """Count-based windows: each driver's last N events, and decisions taken every K events.
 
-Skew-safe plan.  A plain ``Window.partitionBy("driver_id")`` would put every
-event of a driver into one task; one driver may own a third of the data.
-Instead rows are cut into chunks by their arrival number
-(``seq div chunk_size``), so a (driver, chunk) partition never holds more
-than ``chunk_size`` rows whatever the skew.  A frame of the last N events may
-reach back into earlier chunks, so each chunk receives a *halo*: the N-1
-events of its driver that come just before its first row.  Those are always
-among the last N-1 rows of the earlier chunks ("tails"), so the halo search
-only touches (N-1) x chunks rows per driver.  After the halo is attached, a
-bounded ``rowsBetween(-(N-1), 0)`` frame over each (driver, chunk) partition
-gives exact results; halo rows are dropped again.
-
-The same halo gives the next event of the same driver (needed to know how
-long a buffer state stays current): inside a chunk it is ``lead``; for the
-last row of a chunk it is the first row of the driver's next chunk.
+Skew-safe plan.  A plain ``Window.partitionBy("driver_id")`` puts every event
+of a driver into one task, and one driver may own a third of the data.  So
+only *hot* drivers are split: a per-driver count (one partial aggregate)
+finds the drivers with more than ``chunk_size`` events; their rows are cut
+into chunks by arrival number (``seq div chunk_size``), so no (driver, chunk)
+partition holds more than ``chunk_size`` rows.  Every other driver stays one
+partition (at most ``chunk_size`` rows), exactly as a plain window.
+
+A frame of the last N events may reach back into a hot driver's earlier
+chunk, so each of its chunks receives a *halo*: the N-1 events just before
+the chunk's first row.  Those are always among the last N-1 rows of the
+earlier chunks ("tails"), so the halo search touches (N-1) x chunks rows per
+hot driver.  After the halo is attached, a bounded ``rowsBetween(-(N-1), 0)``
+frame per (driver, chunk) partition gives exact results; halo rows are then
+dropped.  The next event of the same driver (how long a buffer state stays
+current) is ``lead`` inside a partition, and for the last row of a hot
+driver's chunk the first row of its next chunk.
+
+The hot-driver list has at most rows / chunk_size entries (each has more than
+chunk_size rows); it is broadcast only after that count is checked.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from .windows import window_action, window_decision_type, window_priority
 
-MIN_CHUNK = 1024
-
-
-def auto_chunk_size(df: DataFrame, n: int = 12) -> int:
-    """Chunk size balancing the two bounded partitions: ~sqrt((n-1) * rows).
-
-    A (driver, chunk) partition holds at most ``chunk`` rows and a driver's
-    tail ranking at most (n-1) * rows / chunk rows; the square root makes
-    both ~sqrt(rows) (about 3 million rows per task at 10^12 events).
-    """
-    rows = df.count()
-    return max(MIN_CHUNK, math.isqrt(max(n - 1, 1) * max(rows, 1)))
-
+DEFAULT_CHUNK = 1 << 22          # rows per partition for a hot driver (~4 million)
+MAX_BROADCAST_HOT = 1_000_000    # hot-driver list broadcast only up to this many entries
 
 ROLLING_DECISION_FIELDS = (
     "decision_source",
@@ -67,26 +59,38 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def _chunk_of(seq: str, chunk_size: int) -> Column:
-    return F.expr(f"CAST({seq} AS BIGINT) div {int(chunk_size)}")
+def hot_drivers(df: DataFrame, chunk_size: int) -> DataFrame:
+    """Drivers with more than ``chunk_size`` events (at most rows / chunk_size of them)."""
+    counts = df.groupBy("driver_id").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > F.lit(chunk_size)).select("driver_id", F.lit(True).alias("_hot"))
 
 
-def _with_halo(df: DataFrame, n: int, seq: str, chunk_size: int) -> DataFrame:
-    """Rows tagged ``_home`` plus, per (driver, chunk), the n-1 earlier rows of that driver (``_home`` false)."""
-    base = df.withColumn("_chunk", _chunk_of(seq, chunk_size))
-    if n <= 1:
-        return base.withColumn("_home", F.lit(True))
+def assign_chunks(df: DataFrame, seq: str, chunk_size: int) -> tuple[DataFrame, bool]:
+    """Add ``_chunk`` (0 for ordinary drivers, ``seq div chunk_size`` for hot ones) and ``_hot``."""
+    hot = hot_drivers(df, chunk_size)
+    n_hot = hot.count()  # one small job; bounds the broadcast below
+    if n_hot == 0:
+        return df.withColumns({"_chunk": F.lit(0).cast("long"), "_hot": F.lit(False)}), False
+    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT else hot
+    tagged = df.join(hot, "driver_id", "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+    chunk = F.when(F.col("_hot"), F.expr(f"CAST({seq} AS BIGINT) div {int(chunk_size)}")).otherwise(F.lit(0).cast("long"))
+    return tagged.withColumn("_chunk", chunk), True
+
+
+def _halo(base: DataFrame, n: int, seq: str) -> DataFrame:
+    """For the hot drivers' chunks: the n-1 rows of the driver just before each chunk (``_home`` false)."""
+    hot_rows = base.filter(F.col("_hot"))
     # Last n-1 rows of each chunk: row_number <= n-1 plans as a WindowGroupLimit, whose partial step runs
     # before the shuffle, so at most n-1 rows per (driver, chunk) and map task are shuffled here.
     per_chunk_desc = Window.partitionBy("driver_id", "_chunk").orderBy(F.col(seq).desc())
-    tails = base.withColumn("_k", F.row_number().over(per_chunk_desc)).filter(F.col("_k") <= n - 1).drop("_k")
+    tails = hot_rows.withColumn("_k", F.row_number().over(per_chunk_desc)).filter(F.col("_k") <= n - 1).drop("_k")
     # Over a driver's tails ((n-1) x chunks rows, independent of its event count), a tail row belongs to the
     # halo of every chunk whose first tail row is one of the next n-1 tail rows.
     per_driver = Window.partitionBy("driver_id").orderBy(seq)
     prev_chunk = F.lag("_chunk").over(per_driver)
     tails = tails.withColumn("_starts", prev_chunk.isNull() | (prev_chunk != F.col("_chunk")))
     targets = F.array(*[F.when(F.lead("_starts", j).over(per_driver), F.lead("_chunk", j).over(per_driver)) for j in range(1, n)])
-    halo = (
+    return (
         tails.withColumn("_targets", targets)
         .withColumn("_target", F.explode("_targets"))
         .filter(F.col("_target").isNotNull())
@@ -94,8 +98,6 @@ def _with_halo(df: DataFrame, n: int, seq: str, chunk_size: int) -> DataFrame:
         .drop("_target", "_targets", "_starts")
         .withColumn("_home", F.lit(False))
     )
-    home = base.withColumn("_home", F.lit(True))
-    return home.unionByName(halo.select(*home.columns))
 
 
 def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_size: int | None = None) -> DataFrame:
@@ -104,14 +106,16 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
     ``seq`` orders a driver's events (arrival number).  Adds ``event_count``,
     ``km_window`` (unrounded), ``risk_event_count``, ``risk_score_window``,
     ``phone_usage_count`` and ``next_seq`` (the driver's next event number, null
-    for its last event).
+    for its last event).  ``chunk_size`` bounds the rows of one partition.
     """
-    chunk_size = chunk_size or auto_chunk_size(df, n)
+    chunk_size = chunk_size or DEFAULT_CHUNK
     src = df.withColumns(_measures())
-    halo = _with_halo(src, n, seq, chunk_size)
+    base, any_hot = assign_chunks(src, seq, chunk_size)
+    home = base.withColumn("_home", F.lit(True))
+    rows = home.unionByName(_halo(base, n, seq).select(*home.columns)) if any_hot and n > 1 else home
     part = Window.partitionBy("driver_id", "_chunk").orderBy(seq)
     frame = part.rowsBetween(-(n - 1), 0)
-    rolled = halo.withColumns(
+    rolled = rows.withColumns(
         {
             "event_count": F.count(F.lit(1)).over(frame),
             "km_window": F.sum("m_km").over(frame),
@@ -121,17 +125,18 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
             "_lead": F.lead(seq).over(part),
         }
     ).filter(F.col("_home"))
-    # Last row of a chunk: its next event is the first row of the driver's next non-empty chunk.
-    firsts = src.withColumn("_chunk", _chunk_of(seq, chunk_size)).groupBy(
-        "driver_id", "_chunk"
-    ).agg(F.min(seq).alias("_first"))
-    nxt = firsts.withColumn(
-        "_next_first", F.lead("_first").over(Window.partitionBy("driver_id").orderBy("_chunk"))
-    ).select("driver_id", "_chunk", "_next_first")
-    out = rolled.join(nxt, ["driver_id", "_chunk"], "left").withColumn(
-        "next_seq", F.coalesce(F.col("_lead"), F.col("_next_first"))
-    )
-    return out.drop("_lead", "_next_first", "_chunk", "_home", *_measures().keys())
+    if not any_hot:
+        out = rolled.withColumn("next_seq", F.col("_lead"))
+    else:
+        # Last row of a hot driver's chunk: its next event is the first row of the driver's next chunk.
+        firsts = base.filter(F.col("_hot")).groupBy("driver_id", "_chunk").agg(F.min(seq).alias("_first"))
+        nxt = firsts.withColumn(
+            "_next_first", F.lead("_first").over(Window.partitionBy("driver_id").orderBy("_chunk"))
+        ).select("driver_id", "_chunk", "_next_first")
+        out = rolled.join(nxt, ["driver_id", "_chunk"], "left").withColumn(
+            "next_seq", F.coalesce(F.col("_lead"), F.col("_next_first"))
+        )
+    return out.drop("_lead", "_next_first", "_chunk", "_home", "_hot", *_measures().keys())
 
 
 def rolling_decision_columns(km: str = "km_window") -> dict[str, Column]:

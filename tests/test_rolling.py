@@ -49,7 +49,7 @@ def _brute_rolling(rows, n):
     return out
 
 
-@pytest.mark.parametrize("chunk", [1, 5, 13, 64, 10_000])
+@pytest.mark.parametrize("chunk", [1, 5, 13, 64, 100, 10_000])
 def test_rolling_matches_deque(spark, chunk):
     rows = _events(600)
     df = spark.createDataFrame(rows)
@@ -102,9 +102,20 @@ def test_tick_decisions_match_loop(spark, chunk):
     assert got  # the fixture produces decisions
 
 
-def test_auto_chunk_size_is_bounded(spark):
-    df = spark.range(1000)
-    assert RL.auto_chunk_size(df, 12) == RL.MIN_CHUNK
+def test_only_hot_drivers_are_split(spark):
+    rows = _events(600)
+    df = spark.createDataFrame(rows)
+    counts = {}
+    for r in rows:
+        counts[r["driver_id"]] = counts.get(r["driver_id"], 0) + 1
+    expected = {d for d, c in counts.items() if c > 100}
+    hot = {r["driver_id"] for r in RL.hot_drivers(df, 100).collect()}
+    assert hot == expected and "HOT" in hot and len(hot) < len(counts)
+    tagged, any_hot = RL.assign_chunks(df, "event_no", 100)
+    assert any_hot
+    chunks = {(r["driver_id"], r["_chunk"]) for r in tagged.select("driver_id", "_chunk").distinct().collect()}
+    assert {c for d, c in chunks if d not in hot} == {0}
+    assert {c for d, c in chunks if d == "HOT"} == {r["event_no"] // 100 for r in rows if r["driver_id"] == "HOT"}
 
 
 def test_tick_ranges_expand_to_the_ticks(spark):
