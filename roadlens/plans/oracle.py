@@ -8,7 +8,6 @@ decimal cast.
 
 from __future__ import annotations
 
-import re
 
 from ..sources.fixture import (
     COMPRESSION_US_PER_MS,

@@ -115,3 +115,13 @@ def test_stateless_fanout_equals_separate_queries(spark):
     decisions = J.topic_log(spark, sinks, cfg.decision_topic, "event_interventions")
     assert sorted(json.loads(r["value"])["event_id"] for r in alerts.collect()) == ["a", "b"]
     assert [json.loads(r["value"])["decision_type"] for r in decisions.collect()] == ["CHECK_DRIVER_STATUS"]
+
+
+def test_console_preview_runs_without_checkpoint_option(spark):
+    from roadlens.operators import events as E
+
+    cfg, _ = _setup(spark, "console")
+    _write_batch(spark, cfg.source_path, ["2026-01-01T00:00:10.000Z"], "a")
+    q = J.preview(E.event_preview(J.flagged_stream(spark, cfg)), "append", TRIGGER)
+    J.run_until_done([q])
+    assert q.lastProgress["numInputRows"] == 1
