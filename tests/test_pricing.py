@@ -112,3 +112,20 @@ def test_premium_run_has_history_columns(spark):
     rows = run.collect()
     assert all(r["technical_premium_previous"] == 1000.0 for r in rows)
     assert abs(sum(r["risk_multiplier"] for r in rows) / 2 - 1.0) < 1e-12
+
+
+def test_single_driver_lookup_pushes_the_filter_into_the_scan(spark):
+    from roadlens.session import scratch_path
+    from roadlens.sources import io as IO
+
+    path = scratch_path(spark, "history-pushdown") + "/premium_history"
+    feats = spark.createDataFrame(
+        [("D1", 1.0, 0.1, 0, 0, 0.0, 0.0, 0), ("D2", 2.0, 0.5, 3, 2, 0.5, 0.5, 1)],
+        ["driver_id", "exposure_km", "speeding_ratio", "hard_braking_count", "harsh_acceleration_count",
+         "night_event_ratio", "bad_weather_event_ratio", "phone_usage_count"],
+    )
+    IO.append_history(P.premium_run(feats, C.COMMITTED_COEFFICIENTS, None, scored_at="s1"), path)
+    lookup = P.latest_premium(IO.load_history(spark, path), "D2")
+    plan = lookup._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(driver_id), EqualTo(driver_id,D2)]" in plan
+    assert lookup.first()["driver_id"] == "D2"
