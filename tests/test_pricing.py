@@ -129,3 +129,16 @@ def test_single_driver_lookup_pushes_the_filter_into_the_scan(spark):
     plan = lookup._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(driver_id), EqualTo(driver_id,D2)]" in plan
     assert lookup.first()["driver_id"] == "D2"
+
+
+def test_unrolled_poisson_draw_equals_the_recurrence(spark):
+    from roadlens.functions.expressions import poisson_inverse_cdf
+
+    df = spark.range(5000).select(
+        (F.col("id") % 97 / F.lit(40.0) + F.lit(0.0001)).alias("lam"),
+        ((F.col("id") * 7919 % 10007 + F.lit(0.5)) / F.lit(10007.0)).alias("u"),
+        "id",
+    )
+    a = P.with_poisson_draw(df, F.col("lam"), F.col("u"), "k").select("id", "k")
+    b = df.select("id", poisson_inverse_cdf(F.col("lam"), F.col("u")).alias("k"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
