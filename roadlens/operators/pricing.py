@@ -27,7 +27,9 @@ Coefficients = Sequence[tuple[str, float]]
 
 
 def exposure(col: str = "exposure_km") -> Column:
-    return F.greatest(F.col(col), F.lit(C.EXPOSURE_FLOOR_KM))
+    """Exposure floored at 0.001 km; a missing exposure stays missing (a lower clip, not ``greatest``,
+    which would turn null into the floor)."""
+    return F.when(F.col(col).isNotNull(), F.greatest(F.col(col), F.lit(C.EXPOSURE_FLOOR_KM)))
 
 
 def prepare_features(df: DataFrame) -> DataFrame:

@@ -142,3 +142,10 @@ def test_unrolled_poisson_draw_equals_the_recurrence(spark):
     a = P.with_poisson_draw(df, F.col("lam"), F.col("u"), "k").select("id", "k")
     b = df.select("id", poisson_inverse_cdf(F.col("lam"), F.col("u")).alias("k"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_missing_exposure_stays_missing_in_training_features(spark):
+    df = spark.createDataFrame([("D1", None, 1, 1), ("D2", 0.0, 1, 1)], "driver_id string, exposure_km double, hard_braking_count long, harsh_acceleration_count long")
+    rows = {r["driver_id"]: r for r in P.prepare_features(df).collect()}
+    assert rows["D1"]["exposure_km"] is None and rows["D1"]["hard_braking_count_per_100km"] is None
+    assert rows["D2"]["exposure_km"] == 0.001
