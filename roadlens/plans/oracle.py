@@ -654,3 +654,24 @@ sql(
     "sink_topic_stream",
     f"SELECT driver_id AS key, * FROM ({features_sql(1, CLOSED)})",
 )
+
+from ..plans.streams import SPLIT_MS as _SPLIT_MS  # noqa: E402
+
+sql(
+    "late_data",
+    features_sql(1, f"{CLOSED} AND window_start * 1000 >= {_SPLIT_MS}").replace(
+        "FROM fw WHERE event_ms IS NOT NULL", f"FROM fw WHERE event_ms IS NOT NULL AND event_ms >= {_SPLIT_MS}"
+    ),
+)
+ORACLE["checkpoint_restart"] = ORACLE["alerts"]
+sql(
+    "multi_query",
+    f"""WITH {FL},
+{windows_cte('fw', 1)},
+agg AS (SELECT driver_id, window_start, window_end, count(*) AS n FROM fw WHERE event_ms IS NOT NULL GROUP BY ALL),
+closed AS (SELECT driver_id, count(*) AS window_count, CAST(sum(n) AS BIGINT) AS windowed_events FROM agg WHERE {CLOSED} GROUP BY driver_id),
+al AS (SELECT driver_id, count(*) AS alert_count FROM fl WHERE risk_event GROUP BY driver_id)
+SELECT coalesce(al.driver_id, closed.driver_id) AS driver_id, coalesce(alert_count, 0) AS alert_count,
+  coalesce(window_count, 0) AS window_count, coalesce(windowed_events, 0) AS windowed_events
+FROM al FULL OUTER JOIN closed ON al.driver_id = closed.driver_id""",
+)

@@ -267,3 +267,52 @@ def q_sink_topic_stream(spark, sf_dir):
     schema = W.tumbling_features(I.flagged_events(spark, sf_dir, with_incident=False)).schema
     decoded = log.select("key", F.from_json("value", schema).alias("f")).select("key", "f.*")
     return feature_output(decoded, "key")
+
+
+def _run_slices(spark, sf_dir, name, start, slices):
+    """Like ``_run`` but with the given message slices, each followed by a run of the started queries."""
+    root = scratch_path(spark, name)
+    cfg = J.with_paths(JobConfig(), root, f"{root}/input")
+    sinks = J.StreamSinks("parquet", f"{root}/topics")
+    msgs = _messages(spark, sf_dir)
+    for cond in slices:
+        if cond is not None:
+            msgs.filter(cond).drop("event_ms").write.mode("append").parquet(cfg.source_path)
+        J.run_until_done(start(spark, cfg, sinks))
+    return cfg, sinks
+
+
+@register("late_data")
+def q_late_data(spark, sf_dir):
+    """Later half of the stream first, earlier half second: the earlier rows are behind the watermark and dropped."""
+    late_first = [F.col("event_ms") >= SPLIT_MS, F.col("event_ms") < SPLIT_MS]
+    cfg, _ = _run_slices(spark, sf_dir, "late_data", lambda s, c, k: [J.start_features(s, c, TRIGGER)], late_first)
+    return feature_output(IO.load_features(spark, f"{cfg.output_dir}/tumbling_1m"))
+
+
+@register("checkpoint_restart")
+def q_checkpoint_restart(spark, sf_dir):
+    """Alerts over the first half, a restart with nothing new, then the second half: each alert once."""
+    slices = [F.col("event_ms") < SPLIT_MS, None, F.col("event_ms") >= SPLIT_MS]
+    cfg, sinks = _run_slices(spark, sf_dir, "checkpoint_restart", lambda s, c, k: [J.start_alerts(s, c, k, TRIGGER)], slices)
+    log = _topic(spark, sinks, cfg.alert_topic, "alerts")
+    decoded = log.select(F.from_json("value", _alert_schema(spark, sf_dir)).alias("a")).select("a.*")
+    return alert_output(decoded)
+
+
+@register("multi_query")
+def q_multi_query(spark, sf_dir):
+    """The features job's queries run together in one session; per driver: alerts sent and windows stored."""
+    cfg, sinks = _run(spark, sf_dir, "multi_query", lambda s, c, k: J.run_features_job(s, c, k, TRIGGER))
+    alerts = _topic(spark, sinks, cfg.alert_topic, "alerts").groupBy(F.col("key").alias("driver_id")).agg(
+        F.count(F.lit(1)).alias("alert_count")
+    )
+    windows = IO.load_features(spark, f"{cfg.output_dir}/tumbling_1m").groupBy("driver_id").agg(
+        F.count(F.lit(1)).alias("window_count"), F.sum("event_count").alias("windowed_events")
+    )
+    return alerts.join(windows, "driver_id", "full_outer").select(
+        "driver_id",
+        F.coalesce("alert_count", F.lit(0).cast("long")).alias("alert_count"),
+        F.coalesce("window_count", F.lit(0).cast("long")).alias("window_count"),
+        F.coalesce("windowed_events", F.lit(0).cast("long")).alias("windowed_events"),
+    )
