@@ -20,7 +20,6 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from . import config as C
 from .config import JobConfig

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.expressions import hash_uniform, poisson_inverse_cdf, profile_effect
+from ..functions.expressions import hash_uniform, profile_effect
 from ..schemas import PREMIUM_HISTORY_COLUMNS, PREMIUM_HISTORY_SCHEMA
 
 Coefficients = Sequence[tuple[str, float]]

@@ -27,7 +27,6 @@ from ..streaming import jobs as J
 from . import inputs as I
 from .catalog import (
     alert_output,
-    epoch_s,
     event_decision_output,
     feature_output,
     history_output,
