@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -232,9 +232,13 @@ def topic_log(spark: SparkSession, sinks: StreamSinks, topic: str, name: str) ->
 
 
 def latest_updates(log: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert view of an update-mode log: the last row per key by batch id."""
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return log.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """Upsert view of an update-mode log: the last row per key by batch id.
+
+    A ``max_by`` aggregate: partial per input partition, no sort of a key's rows.
+    """
+    rest = [c for c in log.columns if c not in keys]
+    last = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("batch_id")).alias("_last")
+    return log.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
 def with_paths(cfg: JobConfig, root: str, source_path: str, source_format: str = "parquet") -> JobConfig:
