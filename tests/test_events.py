@@ -124,3 +124,13 @@ def test_event_decisions_score_and_priority(spark, make_events):
     assert demo["s4"]["priority"] == "high"
     payload = json.loads(E.build_event_decisions(flagged).filter(F.col("key") == "D1").first()["value"])
     assert list(payload)[:3] == ["decision_source", "decision_ts", "event_id"]
+
+
+def test_payload_omits_nulls_and_writes_iso_millis(spark, make_events):
+    flagged = E.flag_events(make_events([event_row(weather="rain", vehicle_id=None, event_time="2026-01-01T00:00:10.123Z")]))
+    msg = E.build_alerts(flagged).first()
+    payload = json.loads(msg["value"])
+    assert msg["key"] == "D1"
+    assert "vehicle_id" not in payload
+    assert payload["event_time_ts"].startswith("2026-01-01T00:00:10.123")
+    assert payload["active_rules"] == ["bad_weather"] and payload["risk_score_event"] == 1
