@@ -470,7 +470,7 @@ def q_premium_cap(spark, sf_dir):
 def _fit(spark, sf_dir, kind: str):
     from ..operators.model import fit_glm
 
-    train, test = I.train_test(spark, sf_dir)
+    train, test = I.train_test(spark, sf_dir, materialized=True)  # the fit and the predictions both read it
     return fit_glm(train, kind), test
 
 

@@ -79,8 +79,10 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.impute_claims(P.prepare_features(pricing_features(spark, sf_dir)), u=label_uniform())
 
 
-def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return P.split(training_set(spark, sf_dir), test_flag())
+def train_test(spark: SparkSession, sf_dir: str, materialized: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Train and test parts of the training set (materialised once first when both parts feed several jobs)."""
+    data = training_set(spark, sf_dir)
+    return P.split(materialize(data) if materialized else data, test_flag())
 
 
 def test_predictions(spark: SparkSession, sf_dir: str, coefficients=C.COMMITTED_COEFFICIENTS) -> DataFrame:

@@ -239,7 +239,7 @@ def q_source_decisions(spark, sf_dir):
 @register("sink_model_outputs")
 def q_sink_model_outputs(spark, sf_dir):
     out = scratch_path(spark, "model_outputs")
-    train, test = I.train_test(spark, sf_dir)
+    train, test = I.train_test(spark, sf_dir, materialized=True)
     fit = M.fit_glm(train, "rate")
     pred = M.predict_with(fit, test).select(
         "driver_id", "exposure_km", "claim_count", "predicted_claim_count", "predicted_frequency"
