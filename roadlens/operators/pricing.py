@@ -8,8 +8,9 @@ Plan notes for scale:
   input partition, not one task holding all of its rows.
 * The global mean frequency is a scalar subquery (``DataFrame.scalar``):
   partial averages per partition, one value, evaluated once; no join.
-* ``latest_premium`` is a ``max(struct(...))`` aggregate (partial, no sort),
-  so the join with the roll-up is between two frames keyed by ``driver_id``.
+* ``latest_premium`` is a ``max(struct(...))`` aggregate: a partial step per
+  input partition (sort-based, as the struct holds strings), so the join with
+  the roll-up is between two frames keyed by ``driver_id``.
 """
 
 from __future__ import annotations
@@ -153,8 +154,9 @@ def score(rollup: DataFrame, coefficients: Coefficients | Mapping[str, float], b
 def latest_premium(history: DataFrame, driver_id: str | None = None) -> DataFrame:
     """Last history row per driver by ``scored_at`` (ties broken by the higher premium).
 
-    Written as a ``max(struct)`` aggregate: partial aggregation per input
-    partition, no sort of a driver's whole history.
+    Written as a ``max(struct)`` aggregate: each input partition reduces a
+    driver to one partial row before the shuffle (Spark plans it sort-based
+    because the struct holds strings), so no task gathers a whole history.
     """
     src = history if driver_id is None else history.filter(F.col("driver_id") == F.lit(driver_id))
     cols = [c for c in src.columns if c != "driver_id"]

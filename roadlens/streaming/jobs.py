@@ -234,7 +234,7 @@ def topic_log(spark: SparkSession, sinks: StreamSinks, topic: str, name: str) ->
 def latest_updates(log: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert view of an update-mode log: the last row per key by batch id.
 
-    A ``max_by`` aggregate: partial per input partition, no sort of a key's rows.
+    A ``max_by`` aggregate: each input partition reduces a key to one partial row before the shuffle.
     """
     rest = [c for c in log.columns if c not in keys]
     last = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("batch_id")).alias("_last")

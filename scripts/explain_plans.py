@@ -26,7 +26,7 @@ NOTES = {
     "rolling_last_n_features (no hot driver)": "A single Exchange on (driver_id, _chunk = 0) and a bounded RowFrame(-11, 0) window, plus the small per-driver count that looks for hot drivers.",
     "rolling_last_n_features (hot drivers, chunk_size=100)": "Hot drivers found by a partial count and broadcast after a size check. Tails via WindowGroupLimit (partial before the shuffle), halo targets by lead over the tails, union, one window per (driver, chunk), and a small join for the next chunk's first event.",
     "premium_score": "Per-driver roll-up (partial aggregate), prediction as column arithmetic, the mean frequency as a scalar Subquery (no join).",
-    "latest_premium (one driver)": "The driver filter reaches the parquet scan as PushedFilters; max(struct) aggregate, no sort.",
+    "latest_premium (one driver)": "The driver filter reaches the parquet scan (PushedFilters on the FileScan); max(struct) aggregate with a partial step before the shuffle (sort-based: the struct holds strings).",
     "premium_trajectory_top5": "Top-k (TakeOrderedAndProject) of latest premiums, broadcast (k rows) into a left-semi join over the history.",
 }
 
