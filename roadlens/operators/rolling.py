@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .events import DEMO_EVENT_DECISION_FIELDS, build_event_decision_rows
 from .windows import window_action, window_decision_type, window_priority
 
 DEFAULT_CHUNK = 1 << 22          # rows per partition for a hot driver (~4 million)
@@ -139,7 +140,7 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
     return out.drop("_lead", "_next_first", "_chunk", "_home", "_hot", *_measures().keys())
 
 
-def rolling_decision_columns(km: str = "km_window") -> dict[str, Column]:
+def rolling_decision_columns() -> dict[str, Column]:
     """The window rule chain on a count-window buffer (unrounded km and intensity compared)."""
     decision = F.col("decision_type")
     return {
@@ -153,21 +154,7 @@ def rolling_decision_columns(km: str = "km_window") -> dict[str, Column]:
     }
 
 
-TICK_PAYLOAD = (
-    "decision_source",
-    "decision_ts",
-    "driver_id",
-    "decision_type",
-    "priority",
-    "recommended_action",
-    "customer_message",
-    "event_count",
-    "km_driven",
-    "risk_event_count",
-    "risk_score_window",
-    "risk_intensity",
-    "phone_usage_count",
-)
+TICK_PAYLOAD = ROLLING_DECISION_FIELDS
 
 
 def tick_decision_ranges(
@@ -241,7 +228,5 @@ def demo_decisions(flagged: DataFrame, n: int = 12, every: int = 10, seq: str =
 
 
 def _event_rows_with_seq(flagged: DataFrame, seq: str) -> DataFrame:
-    from .events import DEMO_EVENT_DECISION_FIELDS, build_event_decision_rows
-
     rows = build_event_decision_rows(flagged.withColumnRenamed(seq, "at_event"), "demo", extra=("at_event",))
     return rows.select("at_event", *DEMO_EVENT_DECISION_FIELDS)
