@@ -34,7 +34,7 @@ def _session(app: str) -> SparkSession:
 def _cfg(a: argparse.Namespace) -> JobConfig:
     kw = {}
     for name in ("bootstrap_servers", "raw_topic", "alert_topic", "feature_topic", "decision_topic", "output_dir",
-                 "checkpoint_dir", "premium_topic"):
+                 "checkpoint_dir", "premium_topic", "source_format", "source_path"):
         if getattr(a, name, None) is not None:
             kw[name] = getattr(a, name)
     kw["write_feature_topic"] = bool(getattr(a, "write_feature_topic", False))
@@ -42,28 +42,52 @@ def _cfg(a: argparse.Namespace) -> JobConfig:
     return JobConfig(**kw)
 
 
+def _sinks(a: argparse.Namespace):
+    from .streaming import jobs as J
+
+    return J.StreamSinks("parquet", a.topic_root) if getattr(a, "topic_root", None) else J.StreamSinks("kafka")
+
+
+def _stream_args(p: argparse.ArgumentParser) -> None:
+    """Options shared by the streaming commands: a message folder instead of a broker, and a finite run."""
+    p.add_argument("--source-format", default=None, help="kafka (default), parquet or json: a folder of key/value messages")
+    p.add_argument("--source-path", default=None)
+    p.add_argument("--topic-root", default=None, help="write topics as folders under this path instead of Kafka")
+    p.add_argument("--available-now", action="store_true", help="process what is available, then stop")
+
+
+def _run_streams(spark, queries, a) -> None:
+    from .streaming import jobs as J
+
+    if getattr(a, "available_now", False):
+        J.run_until_done(queries)
+    else:
+        J.await_any(spark)
+
+
+def _trigger(a):
+    return {"availableNow": True} if getattr(a, "available_now", False) else None
+
+
 def cmd_features(a):
     from .streaming import jobs as J
 
     spark = _session("roadlens-features")
-    J.run_features_job(spark, _cfg(a), J.StreamSinks("kafka"))
-    J.await_any(spark)
+    _run_streams(spark, J.run_features_job(spark, _cfg(a), _sinks(a), _trigger(a)), a)
 
 
 def cmd_decisions(a):
     from .streaming import jobs as J
 
     spark = _session("roadlens-decisions")
-    J.run_decisions_job(spark, _cfg(a), J.StreamSinks("kafka"))
-    J.await_any(spark)
+    _run_streams(spark, J.run_decisions_job(spark, _cfg(a), _sinks(a), _trigger(a)), a)
 
 
 def cmd_streams(a):
     from .streaming import jobs as J
 
     spark = _session("roadlens-streams")
-    J.run_combined_job(spark, _cfg(a), J.StreamSinks("kafka"))
-    J.await_any(spark)
+    _run_streams(spark, J.run_combined_job(spark, _cfg(a), _sinks(a), _trigger(a)), a)
 
 
 def cmd_train(a):
@@ -153,6 +177,7 @@ def main(argv=None) -> None:
     f.add_argument("--checkpoint-dir", default="data/checkpoints")
     f.add_argument("--write-feature-topic", action="store_true")
     f.add_argument("--show-console", action="store_true")
+    _stream_args(f)
     f.set_defaults(fn=cmd_features)
 
     d = sub.add_parser("decisions")
@@ -161,6 +186,7 @@ def main(argv=None) -> None:
     d.add_argument("--decision-topic", default=C.DECISION_TOPIC)
     d.add_argument("--checkpoint-dir", default="data/checkpoints/realtime_decisions")
     d.add_argument("--show-console", action="store_true")
+    _stream_args(d)
     d.set_defaults(fn=cmd_decisions)
 
     b = sub.add_parser("streams", help="alerts, event decisions (one shared read), features and window decisions")
@@ -170,6 +196,7 @@ def main(argv=None) -> None:
     b.add_argument("--decision-topic", default=C.DECISION_TOPIC)
     b.add_argument("--output-dir", default="data/historical_features")
     b.add_argument("--checkpoint-dir", default="data/checkpoints")
+    _stream_args(b)
     b.set_defaults(fn=cmd_streams)
 
     t = sub.add_parser("train")

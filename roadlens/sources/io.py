@@ -87,9 +87,7 @@ def load_features(spark: SparkSession, path: str) -> DataFrame:
     """Feature table from a parquet folder, a parquet file, or a ``.csv`` file (header, inferred types)."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"feature table not found: {path}")
-    if not is_dir(spark, path) and path.lower().endswith(".csv"):
-        return spark.read.option("header", True).option("inferSchema", True).csv(path)
-    if path.lower().endswith(".csv"):
+    if path.lower().endswith(".csv"):  # a CSV file, or a folder of CSV parts named *.csv
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
     return spark.read.parquet(path)
 

@@ -30,3 +30,22 @@ def test_train_score_lookup(spark, capsys):
     capsys.readouterr()
     cli.main(["premium", "--premium-history-path", f"{root}/history", "--driver-id", "D0001"])
     assert "D0001" in capsys.readouterr().out
+
+
+def test_streams_command_replays_a_message_folder(spark):
+    import json
+
+    from conftest import event_row
+
+    root = scratch_path(spark, "cli-streams")
+    rows = [event_row(event_id=f"e{i}", weather="rain" if i % 2 else "clear", event_time=f"2026-01-01T00:0{i}:10.000Z")
+            for i in range(4)]
+    spark.createDataFrame([(r["driver_id"], json.dumps(r)) for r in rows], "key string, value string").write.parquet(
+        f"{root}/messages"
+    )
+    cli.main(["streams", "--source-format", "parquet", "--source-path", f"{root}/messages", "--topic-root",
+              f"{root}/topics", "--output-dir", f"{root}/features", "--checkpoint-dir", f"{root}/checkpoints",
+              "--available-now"])
+    assert spark.read.parquet(f"{root}/topics/telematics_alerts/alerts").count() == 2
+    # watermark = 00:03:10 - 30 s: the windows ending at 00:01 and 00:02 are closed and written
+    assert spark.read.parquet(f"{root}/features/tumbling_1m").count() == 2
