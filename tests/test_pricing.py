@@ -149,3 +149,21 @@ def test_missing_exposure_stays_missing_in_training_features(spark):
     rows = {r["driver_id"]: r for r in P.prepare_features(df).collect()}
     assert rows["D1"]["exposure_km"] is None and rows["D1"]["hard_braking_count_per_100km"] is None
     assert rows["D2"]["exposure_km"] == 0.001
+
+
+def test_hash_uniform_and_split_are_stable_under_repartitioning(spark):
+    from roadlens.functions.expressions import hash_uniform
+
+    df = spark.range(2000).select(
+        F.concat(F.lit("D"), (F.col("id") % 37).cast("string")).alias("driver_id"),
+        F.timestamp_seconds(F.col("id") * 60).alias("window_start"),
+    )
+    u = hash_uniform(F.col("driver_id"), F.col("window_start"))
+    a = df.select("driver_id", "window_start", u.alias("u"))
+    b = df.repartition(7, "window_start").select("driver_id", "window_start", u.alias("u"))
+    assert a.exceptAll(b).count() == 0
+    stats = a.agg(F.min("u"), F.max("u"), F.avg("u")).first()
+    assert 0.0 < stats[0] and stats[1] < 1.0 and abs(stats[2] - 0.5) < 0.03
+    _, test1 = P.split(df)
+    _, test2 = P.split(df.repartition(5))
+    assert test1.exceptAll(test2).count() == 0 and abs(test1.count() / 2000 - 0.25) < 0.04
