@@ -125,3 +125,18 @@ def test_console_preview_runs_without_checkpoint_option(spark):
     q = J.preview(E.event_preview(J.flagged_stream(spark, cfg)), "append", TRIGGER)
     J.run_until_done([q])
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_read_decisions_keeps_null_keys_and_decodes_both_payloads(spark):
+    from roadlens.sources import io as IO
+
+    path = scratch_path(spark, "decisions-read")
+    rows = [
+        (None, json.dumps({"decision_source": "event", "driver_id": "D1", "event_id": "E1", "decision_type": "CHECK_DRIVER_STATUS"})),
+        ("D2", json.dumps({"decision_source": "sliding_window_5m", "driver_id": "D2", "window_start": "2026-01-01T00:05:00.000Z",
+                           "event_count": 12, "decision_type": "ESCALATE_HIGH_RISK_REVIEW"})),
+    ]
+    spark.createDataFrame(rows, "key string, value string").write.parquet(path)
+    got = {r["driver_id"]: r for r in IO.read_decisions(spark, JobConfig(), path=path).collect()}
+    assert got["D1"]["key"] is None and got["D1"]["event_id"] == "E1"
+    assert got["D2"]["event_count"] == 12 and got["D2"]["window_start"] is not None
