@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JobConfig
-from ..schemas import DECISION_SCHEMA, PREMIUM_HISTORY_SCHEMA
+from ..schemas import DECISION_SCHEMA
 
 MESSAGE_SCHEMA = "key string, value string"
 
@@ -100,12 +100,19 @@ def write_features_csv(df: DataFrame, path: str) -> None:
 
 
 def load_history(spark: SparkSession, path: str) -> DataFrame | None:
-    """The premium history, or None when there is none yet."""
+    """The premium history, or None when there is none yet.
+
+    Columns are matched by name and cast to the history schema; a column an
+    older file lacks comes back null (a CSV schema would otherwise be applied
+    by position).
+    """
+    from ..operators.pricing import conform_history
+
     if not path_exists(spark, path):
         return None
     if path.lower().endswith(".csv"):
-        return spark.read.option("header", True).schema(PREMIUM_HISTORY_SCHEMA).csv(path)
-    return spark.read.schema(PREMIUM_HISTORY_SCHEMA).parquet(path)
+        return conform_history(spark.read.option("header", True).csv(path))
+    return conform_history(spark.read.parquet(path))
 
 
 def append_history(df: DataFrame, path: str) -> None:

@@ -167,3 +167,19 @@ def test_hash_uniform_and_split_are_stable_under_repartitioning(spark):
     _, test1 = P.split(df)
     _, test2 = P.split(df.repartition(5))
     assert test1.exceptAll(test2).count() == 0 and abs(test1.count() / 2000 - 0.25) < 0.04
+
+
+def test_history_csv_is_read_by_column_name(spark):
+    from roadlens.session import scratch_path
+    from roadlens.sources import io as IO
+
+    folder = scratch_path(spark, "history-csv")
+    path = f"{folder}/premium_history.csv"
+    # an older file: columns in another order and without premium_change_cap
+    spark.createDataFrame(
+        [("2026-01-01T00:00:00+00:00", 1010.5, "D7", 1000.0)],
+        "scored_at string, technical_premium double, driver_id string, base_premium double",
+    ).write.option("header", True).csv(path)
+    r = IO.load_history(spark, path).first()
+    assert (r["driver_id"], r["technical_premium"], r["base_premium"]) == ("D7", 1010.5, 1000.0)
+    assert r["premium_change_cap"] is None and r["scored_at"].startswith("2026-01-01")
