@@ -195,7 +195,7 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is in some learned language: not ``und``, and with some known n-gram."""
+    """The rows of ``docs`` whose text is put in some learned language (``und`` goes), all columns as they are."""
     predict = predictor(docs, learn(docs))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predict(F.col("text")).alias("p"))
-    return rows.filter((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") > 0)).select("row.*")
+    return rows.filter(F.col("p.lang_pred") != UNKNOWN).select("row.*")
