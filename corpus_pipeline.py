@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.llm import decontaminate, exact_dedup, langid, packing, simhash
-from roadlens.llm.common import table, write_table
+from roadlens.llm.common import reachable, table, write_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +44,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = write_table(stage(spark, docs, sf_dir), name)

@@ -9,7 +9,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -71,3 +73,36 @@ def without_rows(docs: DataFrame, losers: DataFrame, n_losers: int) -> DataFrame
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (text_digest(F.col("row.text")) == F.col("gone_digest"))
     return row.join(small_side(gone, 120, n_losers), same, "left_anti").select("row.*")
+
+
+def ranked(df: DataFrame, *order: str, group: str | None = None) -> DataFrame:
+    """Written table: ``df`` with ``rank``, the exact place (from 0) of each row in ``order``, within ``group`` if given.
+
+    Rows are range-sorted; a row's rank is its place in its partition plus the
+    rows of the partitions before it.  Only one small row per partition (and
+    group) is broadcast; nothing is gathered into one task.
+    """
+    keys = [group, *order] if group else list(order)
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id())
+    placed = write_table(placed.withColumn("part", F.shiftright("place", 33)), "placed")
+    by = [group] if group else []
+    earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("part", *by)
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+        .select("part", *by, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    )
+    found = placed.join(F.broadcast(starts), ["part", *by])
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("place") + F.col("shift")).alias("rank"))
+
+
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package when the session was started from another folder.
+
+    On a cluster the package is installed, or shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])

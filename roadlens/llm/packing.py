@@ -20,10 +20,10 @@ places.  An empty table gives an empty result.  Other columns are not read.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import ranked, write_table
 
 BUCKETS = 8
 TOKEN_BUDGET = 8_192
@@ -82,23 +82,9 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDG
     for i, upper in reversed(list(enumerate(uppers[:-1], 1))):
         number = F.when(F.col("n_tokens") <= upper, i).otherwise(number)
         tokens = F.when(F.col("n_tokens") <= upper, upper).otherwise(tokens)
-    placed = (
-        rows.withColumns({"bucket": number.cast("int"), "bucket_tokens": tokens.cast("long")})
-        .repartitionByRange("bucket", "doc_id", "row_no")
-        .sortWithinPartitions("bucket", "doc_id", "row_no")
-        .withColumn("place", F.monotonically_increasing_id())
-    )
-    placed = write_table(placed.withColumn("part", F.shiftright("place", 33)), "placed")
-    earlier = Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("part", "bucket")
-        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-        .select("part", "bucket", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
-    )
+    sized = rows.withColumns({"bucket": number.cast("int"), "bucket_tokens": tokens.cast("long")})
+    placed = ranked(sized, "doc_id", "row_no", group="bucket")
     capacity = F.expr(f"greatest(1L, {int(token_budget)}L div greatest(bucket_tokens, 1L))")
-    at = F.col("place") + F.col("shift")
-    return (
-        placed.join(F.broadcast(starts), ["part", "bucket"])
-        .withColumns({"at": at, "capacity": capacity})
-        .select("doc_id", "n_tokens", "bucket", "bucket_tokens", F.expr("at div capacity").alias("batch"), F.expr("at % capacity").alias("slot"))
+    return placed.withColumn("capacity", capacity).select(
+        "doc_id", "n_tokens", "bucket", "bucket_tokens", F.expr("rank div capacity").alias("batch"), F.expr("rank % capacity").alias("slot")
     )

@@ -2,28 +2,53 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, langid, packing, simhash
-from .common import LOWER, UPPER, table
+from . import decontaminate, exact_dedup, html_text, langid, licenses, packing, simhash, url_reputation, warc
+from .common import LOWER, UPPER, reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# fixed values: the rules of the URL query
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    outcomes = url_reputation.outcomes_by_document(pages, table(spark, sf_dir, "labels"))
+    return url_reputation.judge(pages, outcomes, URL_RULES).drop("bound")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -32,17 +57,75 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def _registered(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        reachable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: _registered(f)
     for f in (
         op1_simhash,
+        op2_html_text,
         op3_decontamination,
+        op4_url_filter,
         op6_packing,
+        op7_warc,
         op8_language_id,
         op9_exact_dedup,
+        op10_licenses,
     )
 }
 
+
+def _license_sql() -> str:
+    words = lambda text: f"list_filter(regexp_split_to_array(translate({text}, '{UPPER}', '{LOWER}'), '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), lambda w: w <> '')"
+    pairs = "CASE WHEN len(w) > 1 THEN list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END"
+    templates = ", ".join(f"('{name}', '{text}')" for name, text in licenses.TEMPLATES.items())
+    t = licenses.MIN_DICE
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+units AS (
+    SELECT doc_id, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS unit FROM texts
+    UNION ALL SELECT doc_id, text FROM texts WHERE regexp_matches(text, '[\\r\\n]')
+), u AS (SELECT doc_id, {pairs} AS have FROM (SELECT doc_id, {words("unit")} AS w FROM units) WHERE len(w) > 0),
+t AS (SELECT license, {pairs} AS want FROM (SELECT license, {words("body")} AS w FROM (VALUES {templates}) v(license, body))),
+m AS (
+    SELECT doc_id, license, dice FROM (SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(have, want)) / (len(have) + len(want)) AS dice
+    FROM u JOIN t ON len(have) >= ceil(len(want) * {t / (2 - t)} - 1e-9) AND len(want) >= ceil(len(have) * {t / (2 - t)} - 1e-9)) WHERE dice >= {t}
+), best AS (SELECT doc_id, min(struct_pack(d := -dice, l := license)) AS b, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS ls FROM m GROUP BY doc_id)
+SELECT d.doc_id, b.l AS license, coalesce(-b.d, 0.0::DOUBLE) AS dice, coalesce(n, 0)::BIGINT AS n_matches, coalesce(ls, '') AS licenses
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON d.doc_id = best.doc_id
+"""
+
+
+def _shrunk(groups: str) -> str:
+    """SQL of one shrinkage level: ``groups`` has bad, n and parent; adds rate and bound."""
+    low, high = url_reputation.STRENGTH
+    return f"""
+    SELECT *, rate - {url_reputation.BOUND_Z} * sqrt(rate * (1 - rate) / (n + k + 1)) AS bound FROM (
+        SELECT g.*, k, (bad + k * parent) / (n + k) AS rate FROM ({groups}) g, (
+            SELECT CASE WHEN v1 > v0 AND s > v0 THEN least(greatest((v1 - s) / (s - v0), {low}), {high}) ELSE {high} END AS k FROM (
+                SELECT sum(n * pow(bad / n - parent, 2)) AS s, sum(parent * (1 - parent)) AS v0, sum(n * parent * (1 - parent)) AS v1
+                FROM ({groups}) WHERE n > 0)))"""
+
+
+_RULE = "CASE " + " ".join(
+    f"WHEN (host = '{n}' OR ends_with(host, '.{n}')) AND starts_with(path, '/{p}') THEN '{{{i}}}'"
+    for i, (n, _, p) in enumerate(r[0].partition("/") for r in sorted(URL_RULES, key=lambda r: -len(r[0])))
+) + " END"
+_SORTED = sorted(URL_RULES, key=lambda r: -len(r[0]))
+_DOUBLES = ", ".join(f"'{d}'" for d in url_reputation.DOUBLE_SUFFIXES)
+_REST = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
+
 ORACLE: dict[str, str] = {
     "op3_decontamination": rf"""
 WITH d AS (
@@ -71,4 +154,33 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS digest FROM documents)
 WINDOW same AS (PARTITION BY digest)
 """,
+    "op4_url_filter": f"""
+WITH p AS (
+    SELECT page_id, translate(regexp_extract(coalesce({_REST}, ''), '^[^/?#]*', 0), '{UPPER}', '{LOWER}') AS host,
+           regexp_extract(coalesce({_REST}, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM pages
+), marks AS (
+    SELECT doc_id, max(CASE WHEN quality = 0 OR coalesce(toxic = 1, false) THEN 1 ELSE 0 END) AS bad FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), h0 AS (
+    SELECT host, coalesce(sum(bad), 0)::DOUBLE AS bad, count(bad)::DOUBLE AS n
+    FROM p LEFT JOIN marks ON try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) AS BIGINT) = doc_id WHERE host <> '' GROUP BY host
+), h1 AS (
+    SELECT *, CASE WHEN len(string_split(host, '.')) <= 2 THEN host
+        WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_DOUBLES}) THEN array_to_string(string_split(host, '.')[-3:], '.')
+        ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain FROM h0
+), h AS (SELECT *, CASE WHEN instr(domain, '.') > 0 THEN substr(domain, instr(domain, '.') + 1) ELSE '' END AS suffix FROM h1),
+overall AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS parent FROM h),
+s AS ({_shrunk("SELECT suffix, sum(bad) AS bad, sum(n) AS n, any_value(o.parent) AS parent FROM h, overall o GROUP BY suffix")}),
+d AS ({_shrunk("SELECT domain, sum(h.bad) AS bad, sum(h.n) AS n, any_value(s.rate) AS parent FROM h JOIN s USING (suffix) GROUP BY domain")}),
+r AS ({_shrunk("SELECT host, h.bad AS bad, h.n AS n, d.rate AS parent FROM h JOIN d USING (domain)")}),
+j AS (SELECT p.*, {_RULE.format(*[r[0] for r in _SORTED])} AS rule, {_RULE.format(*[r[1] for r in _SORTED])} AS decided FROM p)
+SELECT page_id, j.host AS host, path, rule, coalesce(decided, CASE WHEN bound > {url_reputation.MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN r ON j.host = r.host
+""",
+    "op7_warc": f"""
+SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+       CASE WHEN size >= {warc.LEAST_REVISIT} AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= {warc.LEAST_REVISIT} AND page_id <> first_id THEN first_id END AS refers_to
+FROM (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest, min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first_id FROM pages)
+""",
+    "op10_licenses": _license_sql(),
 }
