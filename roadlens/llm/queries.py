@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, html_text, langid, licenses, packing, simhash, url_reputation, warc
+from . import decontaminate, exact_dedup, html_text, kneser_ney, langid, licenses, packing, simhash, url_reputation, warc
 from .common import LOWER, UPPER, reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge(pages, outcomes, URL_RULES).drop("bound")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
         op2_html_text,
         op3_decontamination,
         op4_url_filter,
+        op5_quality,
         op6_packing,
         op7_warc,
         op8_language_id,
