@@ -15,7 +15,7 @@ is preceded by ``ORDER - 1`` begin tokens.  An n-gram is one 64-bit word.
    broadcast (its size is bounded) and texts are scored where they lie: one
    scan for up to ``SHARDS_PER_SCAN`` shards, more scans beyond, sums per row.
 5. Perplexity is per byte.  A document is kept if it lies between two quantiles
-   of the trusted documents of its language.  These come from a tenth of the
+   of the trusted documents of its language.  These come from a fifth of the
    trusted documents that the model never saw (by a hash of the id); its own
    training texts would look too good.
 
@@ -43,8 +43,8 @@ ORDER = 5
 TOKEN_BITS = 9
 VOCABULARY = 256
 #: One in so many trusted documents sets the bounds instead of training the model.
-BOUND_FOLDS = 10
-LOW_QUANTILE, HIGH_QUANTILE = 0.002, 0.99
+BOUND_FOLDS = 5
+LOW_QUANTILE, HIGH_QUANTILE = 0.002, 0.98
 #: Bytes of text that a task turns into n-grams at once.
 PIECE_BYTES = 2 << 20
 #: Distinct n-grams that a task holds before it hands on its partial counts.
@@ -256,7 +256,7 @@ def text_scores(docs: DataFrame, logs: DataFrame, shard_rows: int = SHARD_ROWS,
 
 
 def good_documents(labels: DataFrame) -> DataFrame:
-    """Written table (good_id, unseen): documents that all their labels call good and not toxic; a tenth is ``unseen``."""
+    """Written table (good_id, unseen): documents that all their labels call good and not toxic; a fifth is ``unseen``."""
     fine = F.coalesce((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), F.lit(False))
     marks = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(fine).alias("fine"))
     unseen = F.pmod(F.xxhash64("good_id"), F.lit(BOUND_FOLDS)) == 0
