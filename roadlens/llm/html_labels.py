@@ -48,4 +48,9 @@ LABELLED_PAGES = (
     f"<body><div>Welcome to the valley</div><div>News and weather since 1950</div><div>Log in or sign up</div><div>§ {_LONG} {_LONG}</div><div>§ {_MID} {_MID}</div><div>§ {_LONG}</div><div>Terms of use and privacy</div><div>All rights reserved</div><div>Made in the hills with care</div></body>",
     f"<body><p>Your daily paper</p><p>Read more, know more</p><p>§ {_LONG}</p><p>§ They came back in June.</p><p>§ {_LONG} {_LONG}</p><p>Print this page</p><p>Tell a friend about it</p><p>Write to the editor</p></body>",
     f"<body><article><p>§ {_LONG}</p><p>§ <a href=/a>{_MID}</a></p><p>§ <a href=/b>The map</a></p><p>§ {_LONG}</p></article></body>",
+    # articles that end the page, with short and linked blocks anywhere
+    f"<body><article><p>§ {_LONG}</p><p>§ The road is open again now.</p></article></body>",
+    f"<body><article><p>§ Rain.</p><p>§ {_LONG}</p><p>§ More rain is on its way.</p></article></body>",
+    f"<body><article><p>§ The <a href=/b>bridge on the river</a> is open.</p></article></body>",
+    f"<body><main><p>§ <a href=/b>All the pictures of the flood in one place</a></p><p>§ And that was that for now.</p></main></body>",
 )

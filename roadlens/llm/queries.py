@@ -113,11 +113,11 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON d.doc_id = best
 
 
 def _shrunk(groups: str) -> str:
-    """SQL of one shrinkage level: ``groups`` has bad, n and parent; adds rate and bound."""
+    """SQL of one shrinkage level: ``groups`` has bad, n, parent and weight; adds rate, pages and bound."""
     low, high = url_reputation.STRENGTH
     return f"""
-    SELECT *, rate - {url_reputation.BOUND_Z} * sqrt(rate * (1 - rate) / (n + k + 1)) AS bound FROM (
-        SELECT g.*, k, (bad + k * parent) / (n + k) AS rate FROM ({groups}) g, (
+    SELECT *, rate - {url_reputation.BOUND_Z} * sqrt(rate * (1 - rate) / (pages + 1)) AS bound FROM (
+        SELECT g.*, n + k * weight / (k + weight) AS pages, (bad + k * weight / (k + weight) * parent) / (n + k * weight / (k + weight)) AS rate FROM ({groups}) g, (
             SELECT CASE WHEN v1 > v0 AND s > v0 THEN least(greatest((v1 - s) / (s - v0), {low}), {high}) ELSE {high} END AS k FROM (
                 SELECT sum(n * pow(bad / n - parent, 2)) AS s, sum(parent * (1 - parent)) AS v0, sum(n * parent * (1 - parent)) AS v1
                 FROM ({groups}) WHERE n > 0)))"""
@@ -173,10 +173,10 @@ WITH p AS (
         WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_DOUBLES}) THEN array_to_string(string_split(host, '.')[-3:], '.')
         ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain FROM h0
 ), h AS (SELECT *, CASE WHEN instr(domain, '.') > 0 THEN substr(domain, instr(domain, '.') + 1) ELSE '' END AS suffix FROM h1),
-overall AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS parent FROM h),
-s AS ({_shrunk("SELECT suffix, sum(bad) AS bad, sum(n) AS n, any_value(o.parent) AS parent FROM h, overall o GROUP BY suffix")}),
-d AS ({_shrunk("SELECT domain, sum(h.bad) AS bad, sum(h.n) AS n, any_value(s.rate) AS parent FROM h JOIN s USING (suffix) GROUP BY domain")}),
-r AS ({_shrunk("SELECT host, h.bad AS bad, h.n AS n, d.rate AS parent FROM h JOIN d USING (domain)")}),
+overall AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS parent, coalesce(sum(n), 0) + 1 AS weight FROM h),
+s AS ({_shrunk("SELECT suffix, sum(bad) AS bad, sum(n) AS n, any_value(o.parent) AS parent, any_value(o.weight) AS weight FROM h, overall o GROUP BY suffix")}),
+d AS ({_shrunk("SELECT domain, sum(h.bad) AS bad, sum(h.n) AS n, any_value(s.rate) AS parent, any_value(s.pages) AS weight FROM h JOIN s USING (suffix) GROUP BY domain")}),
+r AS ({_shrunk("SELECT host, h.bad AS bad, h.n AS n, d.rate AS parent, d.pages AS weight FROM h JOIN d USING (domain)")}),
 j AS (SELECT p.*, {_RULE.format(*[r[0] for r in _SORTED])} AS rule, {_RULE.format(*[r[1] for r in _SORTED])} AS decided FROM p)
 SELECT page_id, j.host AS host, path, rule, coalesce(decided, CASE WHEN bound > {url_reputation.MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN r ON j.host = r.host

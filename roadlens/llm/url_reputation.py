@@ -4,7 +4,8 @@ Labelled page outcomes (bad or not) are counted per host.  A host's bad rate
 is shrunk towards its registered domain, the domain towards its public suffix
 and the suffix towards the overall rate; each level is a beta-binomial whose
 prior strength is estimated from the spread of its groups around their
-parents (method of moments).  A host is blocked if the lower bound of its
+parents (method of moments), and is never worth more pages than the parent's
+own posterior rests on.  A host is blocked if the lower bound of its
 posterior bad rate is above ``max_bad``; hosts without outcomes have their
 domain's posterior as prior and so a wide one.
 
@@ -78,11 +79,15 @@ def suffix_of(domain: Column) -> Column:
 
 
 def _shrink(groups: DataFrame) -> DataFrame:
-    """``groups(…, bad, n, parent)`` with ``strength``, the shrunken ``rate`` and its lower ``bound``.
+    """``groups(…, bad, n, parent, weight)`` with the shrunken ``rate``, its own ``pages`` and lower ``bound``.
+
+    ``parent`` is the rate of the level above, ``weight`` the pages it rests on.
 
     With S the spread of the groups' rates around their parents (weighted by
     pages), V0 the spread that binomial chance alone gives and V1 the most it
-    could be: share = (S - V0) / (V1 - V0), strength = (1 - share) / share.
+    could be: share = (S - V0) / (V1 - V0), strength = (1 - share) / share.  The
+    variances of a group around its parent and of the parent itself add up, so
+    the prior counts for strength * weight / (strength + weight) pages.
     """
     m, n = F.col("parent"), F.col("n")
     chance = m * (1 - m)
@@ -95,10 +100,10 @@ def _shrink(groups: DataFrame) -> DataFrame:
     share = (F.col("s") - F.col("v0")) / (F.col("v1") - F.col("v0"))
     strength = F.when((F.col("v1") > F.col("v0")) & (share > 0), F.least(F.greatest((1 - share) / share, F.lit(STRENGTH[0])), F.lit(STRENGTH[1]))).otherwise(F.lit(STRENGTH[1]))
     k = sums.select(strength.alias("k")).scalar()
-    out = groups.withColumn("strength", k)
-    total = F.col("n") + F.col("strength")
-    out = out.withColumn("rate", (F.col("bad") + F.col("strength") * F.col("parent")) / total)
-    return out.withColumn("bound", F.col("rate") - F.lit(BOUND_Z) * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (total + 1)))
+    prior = k * F.col("weight") / (k + F.col("weight"))
+    out = groups.withColumn("prior", prior).withColumn("pages", F.col("n") + F.col("prior"))
+    out = out.withColumn("rate", (F.col("bad") + F.col("prior") * F.col("parent")) / F.col("pages"))
+    return out.withColumn("bound", F.col("rate") - F.lit(BOUND_Z) * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("pages") + 1)))
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
@@ -110,11 +115,12 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     hosts = write_table(hosts, "hosts")
     sums = (F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     domains = write_table(hosts.groupBy("domain", "suffix").agg(*sums), "domains")
-    overall = hosts.agg((F.coalesce(F.sum("bad") / F.nullif(F.sum("n"), F.lit(0.0)), F.lit(0.0))).alias("rate")).scalar()
-    suffixes = write_table(_shrink(domains.groupBy("suffix").agg(*sums).withColumn("parent", overall)).select("suffix", F.col("rate").alias("parent")), "suffixes")
-    domains = _shrink(domains.join(small_side(suffixes, 64), "suffix"))
-    domains = write_table(domains.select("domain", F.col("rate").alias("parent")), "domain_rates")
-    return write_table(_shrink(hosts.join(small_side(domains, 96), "domain")).select("host", "bad", "n", "rate", "bound"), "host_rates")
+    total = hosts.agg(F.coalesce(F.sum("bad") / F.nullif(F.sum("n"), F.lit(0.0)), F.lit(0.0)).alias("parent"), (F.coalesce(F.sum("n"), F.lit(0.0)) + 1).alias("weight"))
+    above = lambda groups, name: groups.select(name, F.col("rate").alias("parent"), F.col("pages").alias("weight"))
+    suffixes = domains.groupBy("suffix").agg(*sums).withColumns({c: total.select(c).scalar() for c in ("parent", "weight")})
+    suffixes = write_table(above(_shrink(suffixes), "suffix"), "suffixes")
+    rates = write_table(above(_shrink(domains.join(small_side(suffixes, 64), "suffix")), "domain"), "domain_rates")
+    return write_table(_shrink(hosts.join(small_side(rates, 96), "domain")).select("host", "bad", "n", "rate", "bound"), "host_rates")
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], max_bad: float = MAX_BAD) -> DataFrame:
