@@ -8,8 +8,9 @@ bigrams (a single word counts as one).  Two prunings lose nothing:
   meets only templates within these bounds, and most none at all;
 * signature: within the bounds at least ``ceil(t / (2 - t) * |B|)`` bigrams of
   the template occur in the unit, so one of any ``|B| - that + 1`` of them
-  does; a unit without a signature bigram of any template is dropped before
-  it meets templates.
+  does.  These are chosen so that few words (anchors) stand in all of them: a
+  text without an anchor is dropped before its lines are looked at, a unit
+  without a signature bigram before it meets templates.
 
 Only DataFrame functions.  Texts are not shuffled: units stay in their row's
 task, and only matches and document ids meet by id, after partial sums.
@@ -68,6 +69,10 @@ TEMPLATES = {
 }
 
 
+#: Words of most English texts, poor anchors.
+COMMON_WORDS = frozenset("a all an and any as at be but by can for from in is it limited may no not of on or other than that the this to under use which with without you".split())
+
+
 def template_bigrams(text: str) -> set[str]:
     words = re.findall("[0-9a-z\x80-\U0010ffff]+", text.translate({c: c + 32 for c in range(65, 91)}))
     return {f"{a} {b}" for a, b in zip(words, words[1:])} or set(words)
@@ -78,17 +83,34 @@ def bounds(size: int, min_dice: float) -> tuple[int, int]:
     return math.ceil(size * min_dice / (2 - min_dice) - 1e-9), math.floor(size * (2 - min_dice) / min_dice + 1e-9)
 
 
-def signature(sets: dict[str, set[str]], min_dice: float) -> list[str]:
-    """For each template the ``size - fewest + 1`` bigrams that fewest templates share (ties by text)."""
-    shared = Counter(b for s in sets.values() for b in s)
-    out = set()
-    for s in sets.values():
-        out.update(sorted(s, key=lambda b: (shared[b], -len(b), b))[: len(s) - bounds(len(s), min_dice)[0] + 1])
-    return sorted(out)
+def signature(sets: dict[str, set[str]], min_dice: float) -> tuple[list[str], list[str]]:
+    """(bigrams, anchors): ``size - fewest + 1`` bigrams of each template, and words of which each of them has one.
+
+    Anchors are taken greedily: the word that stands in most bigrams still
+    needed (ties: the longer word, then by text), a common word only where no
+    other is left.
+    """
+    need = {name: len(s) - bounds(len(s), min_dice)[0] + 1 for name, s in sets.items()}
+    left = {name: {b: set(b.split()) for b in s} for name, s in sets.items()}
+    chosen: set[str] = set()
+    anchors: list[str] = []
+    while any(need.values()):
+        gain: Counter[str] = Counter()
+        for name, n in need.items():
+            for word, hits in Counter(w for ws in left[name].values() for w in ws).items():
+                gain[word] += min(n, hits)
+        word = min(gain, key=lambda w: (w in COMMON_WORDS, -gain[w], -len(w), w))
+        anchors.append(word)
+        for name, n in need.items():
+            taken = sorted(b for b, ws in left[name].items() if word in ws)[:n]
+            chosen.update(taken)
+            need[name] -= len(taken)
+            left[name] = {b: ws for b, ws in left[name].items() if b not in taken}
+    return sorted(chosen), anchors
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(lower_ascii(text), SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(lower_ascii(text), SPLIT), "")
 
 
 def bigrams(words: Column) -> Column:
@@ -103,12 +125,14 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, min_dice:
     sets = {name: template_bigrams(text) for name, text in sorted((templates or TEMPLATES).items())}
     sets = {name: s for name, s in sets.items() if s}
     largest = max(bounds(len(s), min_dice)[1] for s in sets.values())
+    rare, anchors = signature(sets, min_dice)
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    texts = texts.filter(F.arrays_overlap(words_of(F.col("text")), F.array(*[F.lit(w) for w in anchors])))
     lines = texts.select("doc_id", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line", "unit"))
     whole = texts.filter(F.col("text").rlike(r"[\r\n]")).select("doc_id", F.lit(-1).alias("line"), F.col("text").alias("unit"))
     units = lines.unionByName(whole).select("doc_id", (F.col("line") + 1).alias("line"), bigrams(words_of(F.col("unit"))).alias("have"))
     units = units.filter((F.size("have") > 0) & (F.size("have") <= largest))
-    units = units.filter(F.arrays_overlap("have", F.array(*[F.lit(b) for b in signature(sets, min_dice)])))
+    units = units.filter(F.arrays_overlap("have", F.array(*[F.lit(b) for b in rare])))
     rows = [F.struct(F.lit(name).alias("license"), F.array(*[F.lit(b) for b in sorted(s)]).alias("want")) for name, s in sets.items()]
     met = units.withColumn("t", F.explode(F.array(*rows))).select("doc_id", "line", "have", F.col("t.license").alias("license"), F.col("t.want").alias("want"))
     a, b = F.size("have"), F.size("want")
