@@ -1,25 +1,29 @@
 """Count-based windows: each driver's last N events, and decisions taken every K events.
 
 Skew-safe plan.  A plain ``Window.partitionBy("driver_id")`` puts every event
-of a driver into one task, and one driver may own a third of the data.  So
-only *hot* drivers are split: a per-driver count (one partial aggregate)
-finds the drivers with more than ``chunk_size`` events; their rows are cut
-into chunks by arrival number (``seq div chunk_size``), so no (driver, chunk)
-partition holds more than ``chunk_size`` rows.  Every other driver stays one
-partition (at most ``chunk_size`` rows), exactly as a plain window.
-
-A frame of the last N events may reach back into a hot driver's earlier
-chunk, so each of its chunks receives a *halo*: the N-1 events just before
-the chunk's first row.  Those are always among the last N-1 rows of the
-earlier chunks ("tails"), so the halo search touches (N-1) x chunks rows per
-hot driver.  After the halo is attached, a bounded ``rowsBetween(-(N-1), 0)``
-frame per (driver, chunk) partition gives exact results; halo rows are then
-dropped.  The next event of the same driver (how long a buffer state stays
-current) is ``lead`` inside a partition, and for the last row of a hot
-driver's chunk the first row of its next chunk.
-
-The hot-driver list has at most rows / chunk_size entries (each has more than
-chunk_size rows); it is broadcast only after that count is checked.
+of a driver into one task, and one driver may own a third of the data.  So the
+events of a driver are cut into *chunks* of at most ``chunk_size`` rows:
+
+* one partial aggregate counts the rows per driver and bucket of arrival
+  numbers (``seq div (chunk_size / 2)``, so at most half a chunk each);
+* a running sum over a driver's buckets merges neighbouring buckets until
+  half a chunk is full.  A driver with few rows in every bucket still gets
+  full chunks, and an ordinary driver gets a single one;
+* only chunks after a driver's first are listed, so the list that the events
+  are joined with has at most ``2 * rows / chunk_size`` chunks, none if no driver
+  is hot.  The join is a plain equi-join (null-safe: events without a driver
+  are a key like any other) whose strategy is left to the optimizer.
+
+A frame of the last N events may reach back into the driver's earlier chunk,
+so each later chunk receives a *halo*: the N-1 events just before its first
+row.  Those are always among the last N-1 rows of the earlier chunks
+("tails"): (N-1) rows per full chunk.  With the halo attached, a bounded
+``rowsBetween(-(N-1), 0)`` frame per (driver, chunk) gives exact results; halo
+rows are then dropped.  The next event of the same driver (how long a buffer
+state stays current) is ``lead`` inside a chunk, and for its last row the first
+row of the driver's next chunk.
+
+There is one plan for every size of data; nothing is counted while it is built.
 """
 
 from __future__ import annotations
@@ -28,11 +32,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import materialize
 from .events import DEMO_EVENT_DECISION_FIELDS, build_event_decision_rows
 from .windows import window_action, window_decision_type, window_priority
 
-DEFAULT_CHUNK = 1 << 22          # rows per partition for a hot driver (~4 million)
-MAX_BROADCAST_HOT = 1_000_000    # hot-driver list broadcast only up to this many entries
+DEFAULT_CHUNK = 1 << 22  # most rows of one (driver, chunk) partition (~4 million)
 
 ROLLING_DECISION_FIELDS = (
     "decision_source",
@@ -60,33 +64,34 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def hot_drivers(df: DataFrame, chunk_size: int) -> DataFrame:
-    """Drivers with more than ``chunk_size`` events (at most rows / chunk_size of them)."""
-    counts = df.groupBy("driver_id").agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > F.lit(chunk_size)).select("driver_id", F.lit(True).alias("_hot"))
+def chunk_starts(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
+    """(driver_id, bucket, chunk) of the buckets that belong to a driver's second or later chunk."""
+    half = max(1, chunk_size // 2)
+    sizes = df.groupBy("driver_id", F.expr(f"CAST({seq} AS BIGINT) div {half}").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("driver_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    chunk = F.expr(f"coalesce(_before, 0L) div {half}")
+    chunked = sizes.withColumn("_before", F.sum("_n").over(before)).select(F.col("driver_id").alias("_driver"), "_bucket", chunk.alias("_chunk"))
+    return chunked.filter(F.col("_chunk") > 0)
 
 
-def assign_chunks(df: DataFrame, seq: str, chunk_size: int) -> tuple[DataFrame, bool]:
-    """Add ``_chunk`` (0 for ordinary drivers, ``seq div chunk_size`` for hot ones) and ``_hot``."""
-    hot = hot_drivers(df, chunk_size)
-    n_hot = hot.count()  # one small job; bounds the broadcast below
-    if n_hot == 0:
-        return df.withColumns({"_chunk": F.lit(0).cast("long"), "_hot": F.lit(False)}), False
-    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT else hot
-    tagged = df.join(hot, "driver_id", "left").withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-    chunk = F.when(F.col("_hot"), F.expr(f"CAST({seq} AS BIGINT) div {int(chunk_size)}")).otherwise(F.lit(0).cast("long"))
-    return tagged.withColumn("_chunk", chunk), True
+def assign_chunks(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
+    """``df`` with ``_chunk``: 0 for a driver's first ``chunk_size`` rows or so, then counted on; at most ``chunk_size`` rows each."""
+    half = max(1, chunk_size // 2)
+    starts = chunk_starts(df, seq, chunk_size)
+    here = F.expr(f"CAST({seq} AS BIGINT) div {half}")
+    rows = df.withColumn("_at", here).join(starts, F.col("driver_id").eqNullSafe(F.col("_driver")) & (F.col("_at") == F.col("_bucket")), "left")
+    return rows.withColumn("_chunk", F.coalesce("_chunk", F.lit(0).cast("long"))).drop("_at", "_driver", "_bucket")
 
 
-def _halo(base: DataFrame, n: int, seq: str) -> DataFrame:
-    """For the hot drivers' chunks: the n-1 rows of the driver just before each chunk (``_home`` false)."""
-    hot_rows = base.filter(F.col("_hot"))
+def _halo(base: DataFrame, hot: DataFrame, n: int, seq: str) -> DataFrame:
+    """For the later chunks of drivers with several: the n-1 rows of the driver just before each (``_home`` false)."""
+    hot_rows = base.join(hot, F.col("driver_id").eqNullSafe(F.col("_hot_driver")), "left_semi")
     # Last n-1 rows of each chunk: row_number <= n-1 plans as a WindowGroupLimit, whose partial step runs
     # before the shuffle, so at most n-1 rows per (driver, chunk) and map task are shuffled here.
     per_chunk_desc = Window.partitionBy("driver_id", "_chunk").orderBy(F.col(seq).desc())
     tails = hot_rows.withColumn("_k", F.row_number().over(per_chunk_desc)).filter(F.col("_k") <= n - 1).drop("_k")
-    # Over a driver's tails ((n-1) x chunks rows, independent of its event count), a tail row belongs to the
-    # halo of every chunk whose first tail row is one of the next n-1 tail rows.
+    # Over a driver's tails ((n-1) rows per full chunk), a tail row belongs to the halo of every chunk whose
+    # first tail row is one of the next n-1 tail rows.
     per_driver = Window.partitionBy("driver_id").orderBy(seq)
     prev_chunk = F.lag("_chunk").over(per_driver)
     tails = tails.withColumn("_starts", prev_chunk.isNull() | (prev_chunk != F.col("_chunk")))
@@ -110,10 +115,11 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
     for its last event).  ``chunk_size`` bounds the rows of one partition.
     """
     chunk_size = chunk_size or DEFAULT_CHUNK
-    src = df.withColumns(_measures())
-    base, any_hot = assign_chunks(src, seq, chunk_size)
-    home = base.withColumn("_home", F.lit(True))
-    rows = home.unionByName(_halo(base, n, seq).select(*home.columns)) if any_hot and n > 1 else home
+    base = assign_chunks(df.withColumns(_measures()), seq, chunk_size)
+    hot = chunk_starts(df, seq, chunk_size).select(F.col("_driver").alias("_hot_driver")).distinct()
+    rows = base.withColumn("_home", F.lit(True))
+    if n > 1:
+        rows = rows.unionByName(_halo(base, hot, n, seq).select(*rows.columns))
     part = Window.partitionBy("driver_id", "_chunk").orderBy(seq)
     frame = part.rowsBetween(-(n - 1), 0)
     rolled = rows.withColumns(
@@ -126,18 +132,14 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
             "_lead": F.lead(seq).over(part),
         }
     ).filter(F.col("_home"))
-    if not any_hot:
-        out = rolled.withColumn("next_seq", F.col("_lead"))
-    else:
-        # Last row of a hot driver's chunk: its next event is the first row of the driver's next chunk.
-        firsts = base.filter(F.col("_hot")).groupBy("driver_id", "_chunk").agg(F.min(seq).alias("_first"))
-        nxt = firsts.withColumn(
-            "_next_first", F.lead("_first").over(Window.partitionBy("driver_id").orderBy("_chunk"))
-        ).select("driver_id", "_chunk", "_next_first")
-        out = rolled.join(nxt, ["driver_id", "_chunk"], "left").withColumn(
-            "next_seq", F.coalesce(F.col("_lead"), F.col("_next_first"))
-        )
-    return out.drop("_lead", "_next_first", "_chunk", "_home", "_hot", *_measures().keys())
+    # Last row of a chunk: its next event is the first row of the driver's next chunk.
+    hot_base = base.select("driver_id", "_chunk", seq).join(hot, F.col("driver_id").eqNullSafe(F.col("_hot_driver")), "left_semi")
+    firsts = hot_base.groupBy("driver_id", "_chunk").agg(F.min(seq).alias("_first"))
+    following = F.lead("_first").over(Window.partitionBy("driver_id").orderBy("_chunk"))
+    nxt = firsts.select(F.col("driver_id").alias("_d"), F.col("_chunk").alias("_c"), following.alias("_next_first"))
+    out = rolled.join(nxt, F.col("driver_id").eqNullSafe(F.col("_d")) & (F.col("_chunk") == F.col("_c")), "left")
+    out = out.withColumn("next_seq", F.coalesce(F.col("_lead"), F.col("_next_first")))
+    return out.drop("_lead", "_next_first", "_d", "_c", "_chunk", "_home", *_measures().keys())
 
 
 def rolling_decision_columns() -> dict[str, Column]:
@@ -166,7 +168,7 @@ def tick_decision_ranges(
     A driver's buffer after its event e stays current until its next event,
     so it is judged at every tick in [e, next) -- or up to the last event of
     the stream if the driver sends nothing more.  This run-length form holds
-    the same information as the expanded one in O(states) rows.
+    the same information as one row per tick in O(states) rows.
     """
     rolled = rolling_features(df, n, seq, chunk_size).withColumn(
         "risk_intensity_raw", F.col("risk_event_count") / F.col("event_count")
@@ -205,26 +207,42 @@ def tick_decision_ranges(
     )
 
 
-def tick_decisions(df: DataFrame, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None) -> DataFrame:
-    """At every ``every``-th event of the stream, judge every driver seen so far on its last ``n`` events.
+def tick_decisions(
+    df: DataFrame, first: int, last: int, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None
+) -> DataFrame:
+    """The decisions at the ticks from ``first`` to ``last``: one row per tick and driver with a decision.
 
-    The expanded form of ``tick_decision_ranges``: one row per (tick, driver
-    with a decision), as the count-window policy emits them (a driver that
-    stops sending repeats its last decision at every later tick).  The
-    expansion is a narrow ``explode`` of each range.
+    The expanded form of ``tick_decision_ranges`` for a stated span of ticks.
+    A driver that stops sending repeats its last decision at every later tick,
+    so the whole stream's expansion would grow with the square of its length;
+    the ranges hold the same information in one row per state.
     """
     ranges = tick_decision_ranges(df, n, every, seq, chunk_size)
-    every_l = F.lit(every).cast("long")
-    ticks = ranges.withColumn("tick", F.explode(F.sequence(F.col("first_tick"), F.col("last_tick"), every_l)))
-    return ticks.select("tick", *TICK_PAYLOAD)
+    low, high = -(-first // every) * every, last // every * every
+    inside = ranges.filter((F.col("first_tick") <= high) & (F.col("last_tick") >= low))
+    span = F.sequence(F.greatest(F.col("first_tick"), F.lit(low).cast("long")), F.least(F.col("last_tick"), F.lit(high).cast("long")), F.lit(every).cast("long"))
+    return inside.withColumn("tick", F.explode(span)).select("tick", *TICK_PAYLOAD)
 
 
 def demo_decisions(flagged: DataFrame, n: int = 12, every: int = 10, seq: str = "event_no", chunk_size: int | None = None) -> DataFrame:
-    """All decisions of the count-window policy in one output: the per-event decisions (every nudge high)
-    and the tick decisions, each with ``at_event``, the event number it is taken at."""
+    """All decisions of the count-window policy in one output, with ``at_event``, the event number they are first taken at.
+
+    Per event (every nudge high), and per buffer state with the last tick it
+    is repeated at and the number of ticks.
+    """
     events = _event_rows_with_seq(flagged, seq)
-    ticks = tick_decisions(flagged, n, every, seq, chunk_size).withColumnRenamed("tick", "at_event")
-    return events.unionByName(ticks, allowMissingColumns=True)
+    ranges = tick_decision_ranges(flagged, n, every, seq, chunk_size).withColumnRenamed("first_tick", "at_event")
+    return events.unionByName(ranges, allowMissingColumns=True)
+
+
+def with_sequence(events: DataFrame, *order: str, name: str = "event_no") -> DataFrame:
+    """``events`` with their exact place (from 1) in ``order``: a range sort, then partition offsets (one small row each)."""
+    placed = events.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("_part", F.shiftright("_place", 33)), "sequence")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    shifts = sizes.select("_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    return placed.join(F.broadcast(shifts), "_part").withColumn(name, F.col("_place") + F.col("_shift")).drop("_place", "_part", "_shift")
 
 
 def _event_rows_with_seq(flagged: DataFrame, seq: str) -> DataFrame:

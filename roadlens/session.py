@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "roadlens") -> SparkSession:
@@ -33,13 +34,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Taken from ``spark.checkpoint.dir`` (the cluster's shared location); only
-    when the session names none (local tests) is a fresh local folder set.
+    Taken from ``spark.checkpoint.dir`` (the cluster's shared location).  A
+    session that names none gets a fresh local folder if it runs in one
+    process (``local[...]``); on a cluster that would be a folder other nodes
+    cannot read, so it is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all nodes of {master} share")
         path = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
         try:
@@ -52,3 +58,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder (one per call)."""
     return f"{shared_dir(spark)}/roadlens/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back (columnar, prunable, no lineage)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose owner no longer needs it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

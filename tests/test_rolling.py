@@ -94,7 +94,7 @@ def test_tick_decisions_match_loop(spark, chunk):
     df = spark.createDataFrame(rows)
     got = sorted(
         tuple(r)
-        for r in RL.tick_decisions(df, n=12, every=10, chunk_size=chunk)
+        for r in RL.tick_decisions(df, 1, 500, n=12, every=10, chunk_size=chunk)
         .select("tick", "driver_id", "decision_type", "event_count", "risk_score_window")
         .collect()
     )
@@ -102,20 +102,51 @@ def test_tick_decisions_match_loop(spark, chunk):
     assert got  # the fixture produces decisions
 
 
-def test_only_hot_drivers_are_split(spark):
+def test_chunks_are_full_and_bounded(spark):
     rows = _events(600)
     df = spark.createDataFrame(rows)
-    counts = {}
-    for r in rows:
-        counts[r["driver_id"]] = counts.get(r["driver_id"], 0) + 1
-    expected = {d for d, c in counts.items() if c > 100}
-    hot = {r["driver_id"] for r in RL.hot_drivers(df, 100).collect()}
-    assert hot == expected and "HOT" in hot and len(hot) < len(counts)
-    tagged, any_hot = RL.assign_chunks(df, "event_no", 100)
-    assert any_hot
-    chunks = {(r["driver_id"], r["_chunk"]) for r in tagged.select("driver_id", "_chunk").distinct().collect()}
-    assert {c for d, c in chunks if d not in hot} == {0}
-    assert {c for d, c in chunks if d == "HOT"} == {r["event_no"] // 100 for r in rows if r["driver_id"] == "HOT"}
+    tagged = RL.assign_chunks(df, "event_no", 100).groupBy("driver_id", "_chunk").count().collect()
+    sizes = {(r["driver_id"], r["_chunk"]): r["count"] for r in tagged}
+    assert max(sizes.values()) <= 100 and sum(sizes.values()) == 600
+    per_driver = {d: sum(n for (x, _), n in sizes.items() if x == d) for d, _ in sizes}
+    for driver, n in per_driver.items():  # neighbouring buckets are merged until half a chunk is full
+        assert len([1 for d, _ in sizes if d == driver]) <= 2 * n // 100 + 1
+    assert len([1 for d, _ in sizes if d == "HOT"]) > 1
+
+
+def _sparse(rows):
+    """HOT's events far apart in the stream, and a third of the rows without a driver."""
+    out = []
+    for i, r in enumerate(rows):
+        driver = None if i % 3 == 0 else "SPARSE" if i % 50 == 1 else r["driver_id"]
+        out.append({**r, "driver_id": driver, "event_no": r["event_no"] * 7})
+    return out
+
+
+@pytest.mark.parametrize("chunk", [2, 16, 100])
+def test_null_and_sparse_drivers_match_the_deque(spark, chunk):
+    rows = _sparse(_events(600, seed=5))
+    df = spark.createDataFrame(rows, "driver_id string, event_no long, distance_delta_km double, risk_event boolean, risk_score_event int, is_phone_usage boolean")
+    got = {r["event_no"]: r for r in RL.rolling_features(df, n=12, chunk_size=chunk).collect()}
+    expected = _brute_rolling(rows, 12)
+    assert len(got) == len(rows)
+    following = {}
+    for r in reversed(rows):
+        g = got[r["event_no"]]
+        assert (g["event_count"], round(g["km_window"], 4), g["risk_event_count"], g["risk_score_window"], g["phone_usage_count"]) == expected[r["event_no"]]
+        assert g["next_seq"] == following.get(r["driver_id"])
+        following[r["driver_id"]] = r["event_no"]
+    sizes = RL.assign_chunks(df, "event_no", chunk).groupBy("driver_id", "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= chunk
+    assert sizes.filter("driver_id IS NULL").count() > 1  # events without a driver are cut like any other key
+
+
+def test_sequence_is_the_exact_place_in_time_order(spark):
+    rng = random.Random(2)
+    rows = [(f"e{i}", rng.randrange(40)) for i in range(500)]
+    out = RL.with_sequence(spark.createDataFrame(rows, "event_id string, t int").repartition(7), "t", "event_id").collect()
+    assert [r["event_id"] for r in sorted(out, key=lambda r: r["event_no"])] == [e for e, _ in sorted(rows, key=lambda x: (x[1], x[0]))]
+    assert sorted(r["event_no"] for r in out) == list(range(1, 501))
 
 
 def test_tick_ranges_expand_to_the_ticks(spark):
@@ -123,4 +154,15 @@ def test_tick_ranges_expand_to_the_ticks(spark):
     df = spark.createDataFrame(rows)
     ranges = RL.tick_decision_ranges(df, n=12, every=10, chunk_size=16)
     total = ranges.agg(F.sum("n_ticks")).first()[0]
-    assert total == RL.tick_decisions(df, n=12, every=10, chunk_size=16).count() == len(_brute_ticks(rows))
+    assert total == RL.tick_decisions(df, 1, 300, n=12, every=10, chunk_size=16).count() == len(_brute_ticks(rows))
+    some = RL.tick_decisions(df, 95, 140, n=12, every=10, chunk_size=16).select("tick").collect()
+    assert sorted(r["tick"] for r in some) == [t for t, *_ in _brute_ticks(rows) if 100 <= t <= 140]
+
+
+def test_ranges_grow_with_the_stream_and_silence_costs_nothing(spark):
+    n = [RL.tick_decision_ranges(spark.createDataFrame(_events(k, seed=11)), every=10).count() for k in (200, 2000)]
+    assert n[1] < 14 * n[0]
+    rows = _events(60) + [dict(driver_id="LAST", event_no=30_000_000_000, distance_delta_km=0.02, risk_event=False, risk_score_event=0, is_phone_usage=False)]
+    df = spark.createDataFrame(rows)
+    assert RL.tick_decision_ranges(df, every=10).agg(F.max("n_ticks")).first()[0] > 1_000_000_000
+    assert RL.tick_decisions(df, 1, 100, every=10).count() > 0
