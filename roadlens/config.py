@@ -104,6 +104,7 @@ POISSON_MAX_COUNT = 30          # inverse CDF search range; P(X > 30 | lambda <=
 MIN_MEAN_FREQUENCY = 1e-9
 RATE_MODEL_ALPHA = 0.001
 RATE_MODEL_MAX_ITER = 1000
+OFFSET_MODEL_MAX_ITER = 100
 METRICS_NOTE = "If residual variance materially exceeds the mean, consider Negative Binomial or Tweedie."
 PROFILE_REPORT_ORDER = ("safe", "average", "aggressive")
 
@@ -151,6 +152,7 @@ class JobConfig:
     source_format: str = "kafka"
     source_path: str | None = None
     source_options: dict = field(default_factory=dict)
+    max_per_trigger: int | None = None  # messages (broker) or files (folder) per micro-batch; None: no limit
     watermark: str = WATERMARK
     base_premium: float = 1000.0
     premium_change_cap: float = 0.10

@@ -106,3 +106,21 @@ PREMIUM_HISTORY_SCHEMA = StructType(
     ]
 )
 PREMIUM_HISTORY_COLUMNS = tuple(f.name for f in PREMIUM_HISTORY_SCHEMA.fields)
+
+# Windowed feature table (one-minute and sliding windows) with the optional columns that training adds.
+_FEATURE_TEXT = ("driver_id", "driver_profile")
+_FEATURE_TIMES = ("window_start", "window_end")
+_FEATURE_COUNTS = (
+    "event_count", "speeding_count", "hard_braking_count", "harsh_acceleration_count", "sharp_cornering_count", "night_event_count",
+    "bad_weather_event_count", "phone_usage_count", "risk_event_count", "claim_count",
+)
+_FEATURE_MEASURES = (
+    "km_driven", "avg_speed", "max_speed", "speeding_ratio", "night_event_ratio", "bad_weather_event_ratio", "exposure_km",
+    "risk_events_per_100km", "hard_braking_count_per_100km", "harsh_acceleration_count_per_100km", "expected_claim_rate",
+)
+FEATURE_SCHEMA = StructType(
+    [StructField(c, StringType()) for c in _FEATURE_TEXT]
+    + [StructField(c, TimestampType()) for c in _FEATURE_TIMES]
+    + [StructField(c, LongType()) for c in _FEATURE_COUNTS]
+    + [StructField(c, DoubleType()) for c in _FEATURE_MEASURES]
+)
