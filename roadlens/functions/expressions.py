@@ -18,9 +18,6 @@ __all__ = [
     "incident_flag_columns",
     "risk_score",
     "rule_list",
-    "epoch_seconds",
-    "epoch_millis",
-    "poisson_inverse_cdf",
     "hash_uniform",
     "profile_effect",
 ]
@@ -73,32 +70,6 @@ def rule_list(rules: Iterable[tuple[str, str]]) -> Column:
     return F.filter(arr, lambda x: x.isNotNull())
 
 
-def epoch_seconds(ts: Column) -> Column:
-    return F.unix_seconds(ts)
-
-
-def epoch_millis(ts: Column) -> Column:
-    return F.unix_millis(ts)
-
-
-def poisson_inverse_cdf(lam: Column, u: Column, max_count: int = C.POISSON_MAX_COUNT) -> Column:
-    """Smallest k with P(X <= k) >= u for X ~ Poisson(lam), searched over 0..max_count.
-
-    Computed as the number of k in [0, max_count] whose CDF is still below u,
-    with the pmf built by the recurrence p(k) = p(k-1) * lam / k inside one
-    ``aggregate`` over a literal sequence (JVM-side, per row, no UDF).
-    """
-    p0 = F.exp(-lam)
-    init = F.struct(p0.alias("pmf"), p0.alias("cdf"), F.when(p0 < u, 1).otherwise(0).alias("n"))
-
-    def step(acc: Column, k: Column) -> Column:
-        pmf = acc["pmf"] * lam / k.cast("double")
-        cdf = acc["cdf"] + pmf
-        return F.struct(pmf.alias("pmf"), cdf.alias("cdf"), (acc["n"] + F.when(cdf < u, 1).otherwise(0)).alias("n"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max_count)), init, step)["n"].cast("long")
-
-
 def hash_uniform(*cols: Column, seed: int = 2026) -> Column:
     """A uniform draw in (0, 1) from the row's key columns: stable under any repartitioning."""
     h = F.xxhash64(F.lit(seed), *cols)

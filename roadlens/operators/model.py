@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import materialize
 from .pricing import exposure, predict
 
 
@@ -43,45 +44,48 @@ class GlmFit:
 
 
 def _design(df: DataFrame, features) -> DataFrame:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
     return assembler.transform(df.withColumn("exposure_c", exposure()))
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """IRLS reads the design once per iteration: write it to the shared checkpoint folder first."""
-    from ..session import shared_dir
-
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fit_glm(
     train: DataFrame,
     kind: str = "rate",
     features=C.FEATURE_COLUMNS,
     alpha: float = C.RATE_MODEL_ALPHA,
-    max_iter: int = C.RATE_MODEL_MAX_ITER,
+    max_iter: int | None = None,
     label: str = "claim_count",
+    written: bool = False,
 ) -> GlmFit:
-    data = _design(train, features)
+    """Fit one of the two forms.  ``max_iter`` defaults to the form's own number of iterations.
+
+    IRLS reads the training rows once per iteration, so they are written to
+    the shared folder first, unless the caller says that ``train`` already is
+    a ``written`` table.  Rows with a null feature or label are an error, and
+    so is the rate form without any claim (its optimum does not exist).
+    """
+    columns = [label, "exposure_km", *features]
+    data = _design(train if written else materialize(train.select(*columns), "design"), features)
     if kind == "offset":
         glr = GeneralizedLinearRegression(
             family="poisson", link="log", labelCol=label, featuresCol="features", offsetCol="log_exposure",
-            maxIter=max(25, min(max_iter, 100)), regParam=0.0, tol=1e-10,
+            maxIter=C.OFFSET_MODEL_MAX_ITER if max_iter is None else max_iter, regParam=0.0, tol=1e-10,
         )
         design = data.select(
             F.col(label).cast("double").alias(label), F.log("exposure_c").alias("log_exposure"), "features"
         )
-        model = glr.fit(_materialize(design))
+        model = glr.fit(design)
         return GlmFit(model, kind, tuple(features), 0.0)
     if kind != "rate":
         raise ValueError(f"unknown model kind {kind!r}")
-    design = _materialize(data.select((F.col(label) / F.col("exposure_c")).alias("rate"), "exposure_c", "features", label))
+    design = data.select((F.col(label) / F.col("exposure_c")).alias("rate"), "exposure_c", "features", label)
     totals = design.agg(F.sum("exposure_c").alias("w"), F.sum(label).alias("y")).first()  # one row
-    reg = alpha * float(totals["w"]) / float(totals["y"]) if totals["y"] else alpha
+    if not totals["y"]:
+        raise ValueError("no claims in the training rows: the penalised rate model has no optimum")
+    reg = alpha * float(totals["w"]) / float(totals["y"])
     glr = GeneralizedLinearRegression(
         family="poisson", link="log", labelCol="rate", featuresCol="features", weightCol="exposure_c",
-        maxIter=max_iter, regParam=reg, tol=1e-10,
+        maxIter=C.RATE_MODEL_MAX_ITER if max_iter is None else max_iter, regParam=reg, tol=1e-10,
     )
     model = glr.fit(design)
     return GlmFit(model, kind, tuple(features), reg)
@@ -150,6 +154,20 @@ def fit_alpha(fit: GlmFit, train: DataFrame, label: str = "claim_count") -> floa
     return fit.reg_param * float(totals["y"]) / float(totals["w"])
 
 
+def moments(pairs: list[tuple[str, float]], train: DataFrame, alpha: float | None = None, label: str = "claim_count") -> DataFrame:
+    """(term, moment): per term the sum of feature times predicted count, plus the penalty's gradient if ``alpha`` is given.
+
+    At the optimum each equals the sum of feature times actual count, which
+    needs no fit to compute.
+    """
+    pred = predict(train, pairs).withColumn("exposure_c", exposure())
+    terms = [t for t, _ in pairs]
+    sums = [F.sum(F.col("predicted_claim_count") * (F.lit(1.0) if i == 0 else F.col(t))).alias(t) for i, t in enumerate(terms)]
+    row = pred.agg(*sums, F.sum("exposure_c").alias("exposure_sum")).first()
+    rows = [(t, float(row[t]) + (alpha * float(row["exposure_sum"]) * b if alpha and i else 0.0)) for i, (t, b) in enumerate(pairs)]
+    return train.sparkSession.createDataFrame(rows, "term string, moment double")
+
+
 def save_model(fit: GlmFit, path: str) -> None:
     """Spark ML writer for the model + a one-line JSON with its form and feature list."""
     fit.model.write().overwrite().save(f"{path}/model")

@@ -71,26 +71,27 @@ def impute_claims(df: DataFrame, u: Column | None = None, seed: int = 2026) -> D
         return df
     u = u if u is not None else hash_uniform(F.col("driver_id"), F.col("window_start"), seed=seed)
     with_rate = expected_claim_rate(df) if "expected_claim_rate" not in df.columns else df
-    lam = F.least(F.greatest(F.col("expected_claim_rate"), F.lit(C.CLAIM_RATE_MIN)), F.lit(C.CLAIM_RATE_MAX))
-    return with_poisson_draw(with_rate, lam, u, "claim_count")
+    return _poisson_draw(with_rate, F.col("expected_claim_rate"), u, "claim_count")
 
 
-def with_poisson_draw(df: DataFrame, lam: Column, u: Column, out: str, max_count: int = C.POISSON_MAX_COUNT) -> DataFrame:
-    """``out`` = smallest k with P(X <= k) >= u for X ~ Poisson(lam), k searched over 0..max_count.
+def _poisson_draw(df: DataFrame, rate: Column, u: Column, out: str) -> DataFrame:
+    """``out`` = smallest k with P(X <= k) >= u for X ~ Poisson(lam), lam the rate clipped to [1e-4, 2.5].
 
-    Same recurrence as ``poisson_inverse_cdf`` (pmf(k) = pmf(k-1) * lam / k,
-    running CDF, count of k whose CDF is still below u), unrolled into one
-    projection per k so that whole-stage codegen compiles it: about 5x less
-    CPU per row than the interpreted ``aggregate`` lambda.  The steps are
-    nested subqueries of a single ``spark.sql`` call over the DataFrame, so
-    the plan is analysed once.
+    The clip belongs here: with lam <= 2.5 the search over 0..30 leaves out
+    less than 1e-20 of the distribution.  The recurrence pmf(k) = pmf(k-1) *
+    lam / k, running CDF, count of k whose CDF is still below u is unrolled
+    into one projection per k so that whole-stage codegen compiles it: about
+    5x less CPU per row than an interpreted ``aggregate`` lambda.  The steps
+    are nested subqueries of a single ``spark.sql`` call over the DataFrame,
+    so the plan is analysed once.
     """
+    lam = F.least(F.greatest(rate, F.lit(C.CLAIM_RATE_MIN)), F.lit(C.CLAIM_RATE_MAX))
     src = df.withColumns({"__pd_lam": lam, "__pd_u": u})
     q = (
         "SELECT *, exp(-__pd_lam) AS __pd_p, exp(-__pd_lam) AS __pd_c, "
         "CAST(exp(-__pd_lam) < __pd_u AS BIGINT) AS __pd_n FROM {src}"
     )
-    for k in range(1, max_count + 1):
+    for k in range(1, C.POISSON_MAX_COUNT + 1):
         pmf = f"__pd_p * __pd_lam / {float(k)}"
         q = (
             f"SELECT * EXCEPT (__pd_p, __pd_c, __pd_n), {pmf} AS __pd_p, __pd_c + {pmf} AS __pd_c, "
@@ -108,7 +109,8 @@ def split(df: DataFrame, test_flag: Column | None = None, test_fraction: float =
     """
     if test_flag is None:
         test_flag = hash_uniform(*[F.col(k) for k in key], seed=seed) < F.lit(test_fraction)
-    flagged = df.withColumn("_is_test", test_flag)
+    # a row whose flag is null trains: both parts together are always the whole input
+    flagged = df.withColumn("_is_test", F.coalesce(test_flag, F.lit(False)))
     return (
         flagged.filter(~F.col("_is_test")).drop("_is_test"),
         flagged.filter(F.col("_is_test")).drop("_is_test"),
@@ -152,7 +154,11 @@ def score(rollup: DataFrame, coefficients: Coefficients | Mapping[str, float], b
 
 
 def latest_premium(history: DataFrame, driver_id: str | None = None) -> DataFrame:
-    """Last history row per driver by ``scored_at`` (ties broken by the higher premium).
+    """Last history row per driver by the instant of ``scored_at`` (ties: the later text, then the higher premium).
+
+    The stamps are texts; rows written under another zone offset must not win
+    or lose by their spelling, so the parsed instant decides.  A stamp that is
+    no instant is older than any.
 
     Written as a ``max(struct)`` aggregate: each input partition reduces a
     driver to one partial row before the shuffle (Spark plans it sort-based
@@ -162,7 +168,8 @@ def latest_premium(history: DataFrame, driver_id: str | None = None) -> DataFram
     cols = [c for c in src.columns if c != "driver_id"]
     order_first = ["scored_at", "technical_premium"]
     rest = [c for c in cols if c not in order_first]
-    packed = F.struct(*[F.col(c) for c in order_first + rest]).alias("last")
+    instant = F.try_to_timestamp(F.col("scored_at")).alias("scored_at_instant")
+    packed = F.struct(instant, *[F.col(c) for c in order_first + rest]).alias("last")
     return src.groupBy("driver_id").agg(F.max(packed).alias("last")).select(
         "driver_id", *[F.col(f"last.{c}").alias(c) for c in cols]
     )
@@ -189,7 +196,8 @@ def cap_change(df: DataFrame, cap: float = 0.10, scored_at: Column | str | None
         F.greatest(F.col("target_technical_premium"), prev * F.lit(1.0 - cap)), prev * F.lit(1.0 + cap)
     )
     if scored_at is None:
-        stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+        utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+        stamp = F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     else:
         stamp = F.lit(scored_at) if isinstance(scored_at, str) else scored_at
     return df.withColumns(
@@ -211,7 +219,18 @@ def premium_run(
     scored_at: str | None = None,
 ) -> DataFrame:
     """One scoring run: roll-up, prediction, multiplier, previous premium, cap -> 17 history columns."""
-    rolled = driver_rollup(prepare_features(features))
+    return premium_run_of_rollup(driver_rollup(prepare_features(features)), coefficients, history, base_premium, cap, scored_at)
+
+
+def premium_run_of_rollup(
+    rolled: DataFrame,
+    coefficients: Coefficients | Mapping[str, float],
+    history: DataFrame | None = None,
+    base_premium: float = 1000.0,
+    cap: float = 0.10,
+    scored_at: str | None = None,
+) -> DataFrame:
+    """``premium_run`` on drivers that are already rolled up (several runs can share one roll-up)."""
     scored = score(rolled, coefficients, base_premium)
     joined = with_previous(scored, history, base_premium)
     return cap_change(joined, cap, scored_at, base_premium).select(*PREMIUM_HISTORY_COLUMNS)

@@ -32,6 +32,11 @@ def with_driver_risk_score(features: DataFrame) -> DataFrame:
     )
 
 
+def _known(df: DataFrame) -> DataFrame:
+    """Rows with a driver: a missing driver id is not a driver to rank."""
+    return df.filter(F.col("driver_id").isNotNull())
+
+
 def risk_proxy(features: DataFrame, window_key: str = "window_start") -> DataFrame:
     """Sum over drivers of (speeding ratio + night ratio) per window."""
     return features.groupBy(window_key).agg(
@@ -40,19 +45,19 @@ def risk_proxy(features: DataFrame, window_key: str = "window_start") -> DataFra
 
 
 def top_speeding(features: DataFrame, n: int = 15) -> DataFrame:
-    agg = features.groupBy("driver_id").agg(F.round(F.avg("speeding_ratio"), 9).alias("speeding_ratio"))
+    agg = _known(features).groupBy("driver_id").agg(F.round(F.avg("speeding_ratio"), 9).alias("speeding_ratio"))
     return _top(agg, "speeding_ratio", n)
 
 
 def top_risk(features: DataFrame, n: int = 15) -> DataFrame:
-    agg = with_driver_risk_score(features).groupBy("driver_id").agg(
+    agg = with_driver_risk_score(_known(features)).groupBy("driver_id").agg(
         F.round(F.avg("risk_score_driver"), 9).alias("risk_score_driver")
     )
     return _top(agg, "risk_score_driver", n)
 
 
 def top_frequency(predictions: DataFrame, n: int = 15) -> DataFrame:
-    agg = predictions.groupBy("driver_id").agg(F.round(F.avg("predicted_frequency"), 9).alias("predicted_frequency"))
+    agg = _known(predictions).groupBy("driver_id").agg(F.round(F.avg("predicted_frequency"), 9).alias("predicted_frequency"))
     return _top(agg, "predicted_frequency", n)
 
 

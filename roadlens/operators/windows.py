@@ -60,6 +60,30 @@ def _grouped(flagged: DataFrame, duration: str, slide: str | None, watermark: st
     return src.groupBy(*[F.col(k) for k in keys], _window(duration, slide).alias("window"))
 
 
+def _window_aggregates() -> dict[str, Column]:
+    """The aggregates that feature windows and decision windows share, by name."""
+    counted = {
+        "speeding_count": "is_speeding",
+        "hard_braking_count": "is_hard_braking",
+        "harsh_acceleration_count": "is_harsh_acceleration",
+        "sharp_cornering_count": "is_sharp_cornering",
+        "night_event_count": "is_night",
+        "bad_weather_event_count": "is_bad_weather",
+        "phone_usage_count": "phone_usage",
+        "risk_event_count": "risk_event",
+    }
+    return {
+        "event_count": F.count(F.lit(1)),
+        "km_driven": F.round(F.sum("distance_delta_km"), 4),
+        "avg_speed": F.round(F.avg("speed_kmh"), 2),
+        **{name: _count_true(flag) for name, flag in counted.items()},
+    }
+
+
+def _aggregate(grouped, **more: Column) -> DataFrame:
+    return grouped.agg(*[c.alias(name) for name, c in {**_window_aggregates(), **more}.items()])
+
+
 def _unpack_window(df: DataFrame) -> DataFrame:
     return df.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")}).drop("window")
 
@@ -76,20 +100,7 @@ def window_features(
     ``keys`` may add columns that are functions of the driver (e.g. its
     profile) without changing the grouping.
     """
-    agg = _grouped(flagged, duration, slide, watermark, keys).agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.round(F.sum("distance_delta_km"), 4).alias("km_driven"),
-        F.round(F.avg("speed_kmh"), 2).alias("avg_speed"),
-        F.max("speed_kmh").alias("max_speed"),
-        _count_true("is_speeding").alias("speeding_count"),
-        _count_true("is_hard_braking").alias("hard_braking_count"),
-        _count_true("is_harsh_acceleration").alias("harsh_acceleration_count"),
-        _count_true("is_sharp_cornering").alias("sharp_cornering_count"),
-        _count_true("is_night").alias("night_event_count"),
-        _count_true("is_bad_weather").alias("bad_weather_event_count"),
-        _count_true("phone_usage").alias("phone_usage_count"),
-        _count_true("risk_event").alias("risk_event_count"),
-    )
+    agg = _aggregate(_grouped(flagged, duration, slide, watermark, keys), max_speed=F.max("speed_kmh"))
     exposure = F.greatest(F.col("km_driven"), F.lit(C.EXPOSURE_FLOOR_KM))
     derived = agg.withColumns(
         {
@@ -117,20 +128,7 @@ def decision_windows(
     watermark: str | None = C.WATERMARK,
 ) -> DataFrame:
     """Per driver x 5-minute window sliding by 1 minute: the 12 aggregates the decisions need."""
-    agg = _grouped(flagged, duration, slide, watermark, ("driver_id",)).agg(
-        F.count(F.lit(1)).alias("event_count"),
-        F.round(F.sum("distance_delta_km"), 4).alias("km_driven"),
-        F.round(F.avg("speed_kmh"), 2).alias("avg_speed"),
-        _count_true("risk_event").alias("risk_event_count"),
-        F.sum("risk_score_event").alias("risk_score_5m"),
-        _count_true("is_speeding").alias("speeding_count"),
-        _count_true("is_hard_braking").alias("hard_braking_count"),
-        _count_true("is_harsh_acceleration").alias("harsh_acceleration_count"),
-        _count_true("is_sharp_cornering").alias("sharp_cornering_count"),
-        _count_true("is_bad_weather").alias("bad_weather_event_count"),
-        _count_true("is_night").alias("night_event_count"),
-        _count_true("phone_usage").alias("phone_usage_count"),
-    )
+    agg = _aggregate(_grouped(flagged, duration, slide, watermark, ("driver_id",)), risk_score_5m=F.sum("risk_score_event"))
     derived = agg.withColumns(
         {
             "risk_intensity": F.col("risk_event_count") / F.col("event_count"),

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pytest
+
 from conftest import SF01
 from roadlens.operators import model as M
 from roadlens.plans import inputs as I
+from roadlens.session import materialize
 
 
 def test_fits_meet_optimum_conditions(spark, tmp_path):
     train, test = I.train_test(spark, SF01)
-    train = I.materialize(train)
+    train = materialize(train)
     for kind in ("offset", "rate"):
         fit = M.fit_glm(train, kind)
         grads = M.score_equations(fit, train)
@@ -27,7 +30,7 @@ def test_model_store_round_trip(spark):
     from roadlens.session import scratch_path
 
     train, _ = I.train_test(spark, SF01)
-    fit = M.fit_glm(I.materialize(train), "rate")
+    fit = M.fit_glm(materialize(train), "rate")
     path = scratch_path(spark, "test-model")
     M.save_model(fit, path)
     back = M.load_model(path)
@@ -40,3 +43,41 @@ def test_metrics(spark):
     m = M.evaluate(pred).first()
     assert m["mae"] == 0.75 and abs(m["rmse"] - ((0.25 + 1.0) / 2) ** 0.5) < 1e-15
     assert m["mean_claim_count"] == 1.0 and m["mean_predicted_claim_count"] == 0.75
+
+
+def test_iterations_are_the_callers(spark, monkeypatch):
+    seen = []
+
+    class Recorded(M.GeneralizedLinearRegression):
+        def __init__(self, **kw):
+            seen.append(kw["maxIter"])
+            super().__init__(**kw)
+
+    monkeypatch.setattr(M, "GeneralizedLinearRegression", Recorded)
+    train, _ = I.train_test(spark, SF01)
+    train = materialize(train)
+    for kind in ("offset", "rate"):
+        M.fit_glm(train, kind, max_iter=300, written=True)
+        M.fit_glm(train, kind, written=True)
+    assert seen == [300, 100, 300, 1000]
+
+
+def test_no_claims_and_null_features_are_errors(spark):
+    from pyspark.sql import functions as F
+
+    train = materialize(I.train_test(spark, SF01)[0])
+    with pytest.raises(ValueError):
+        M.fit_glm(train.withColumn("claim_count", F.lit(0)), "rate")
+    holed = train.withColumn("speeding_ratio", F.when(F.col("d") > 3, F.col("speeding_ratio")))
+    with pytest.raises(Exception):
+        M.fit_glm(holed, "offset")
+
+
+def test_deviance_of_the_summary(spark):
+    import math
+
+    train = materialize(I.train_test(spark, SF01)[0])
+    fit = M.fit_glm(train, "offset", written=True)
+    rows = M.predict_with(fit, train).select("claim_count", "predicted_claim_count").collect()
+    want = 2 * sum((y * math.log(y / mu) if y else 0.0) - (y - mu) for y, mu in rows)
+    assert abs(fit.model.summary.deviance - want) < 1e-6 * want

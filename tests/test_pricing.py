@@ -80,9 +80,25 @@ def test_profile_effect_unknown_and_null(spark):
     assert rates[1] == rates[2] == math.exp(-5.15)
 
 
-def test_poisson_inverse_cdf_moments(spark):
-    from roadlens.functions.expressions import poisson_inverse_cdf
+def poisson_inverse_cdf(lam, u, max_count: int = 30):
+    """Smallest k with P(X <= k) >= u for X ~ Poisson(lam), searched over 0..max_count.
+
+    Computed as the number of k in [0, max_count] whose CDF is still below u,
+    with the pmf built by the recurrence p(k) = p(k-1) * lam / k inside one
+    ``aggregate`` over a literal sequence (JVM-side, per row, no UDF).
+    """
+    p0 = F.exp(-lam)
+    init = F.struct(p0.alias("pmf"), p0.alias("cdf"), F.when(p0 < u, 1).otherwise(0).alias("n"))
+
+    def step(acc, k):
+        pmf = acc["pmf"] * lam / k.cast("double")
+        cdf = acc["cdf"] + pmf
+        return F.struct(pmf.alias("pmf"), cdf.alias("cdf"), (acc["n"] + F.when(cdf < u, 1).otherwise(0)).alias("n"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max_count)), init, step)["n"].cast("long")
 
+
+def test_poisson_inverse_cdf_moments(spark):
     n = 20000
     df = spark.range(n).withColumn("u", (F.col("id") + F.lit(0.5)) / F.lit(float(n)))
     stats = df.select(poisson_inverse_cdf(F.lit(0.7), F.col("u")).alias("k")).agg(
@@ -132,14 +148,12 @@ def test_single_driver_lookup_pushes_the_filter_into_the_scan(spark):
 
 
 def test_unrolled_poisson_draw_equals_the_recurrence(spark):
-    from roadlens.functions.expressions import poisson_inverse_cdf
-
     df = spark.range(5000).select(
         (F.col("id") % 97 / F.lit(40.0) + F.lit(0.0001)).alias("lam"),
         ((F.col("id") * 7919 % 10007 + F.lit(0.5)) / F.lit(10007.0)).alias("u"),
         "id",
     )
-    a = P.with_poisson_draw(df, F.col("lam"), F.col("u"), "k").select("id", "k")
+    a = P._poisson_draw(df, F.col("lam"), F.col("u"), "k").select("id", "k")
     b = df.select("id", poisson_inverse_cdf(F.col("lam"), F.col("u")).alias("k"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -183,3 +197,70 @@ def test_history_csv_is_read_by_column_name(spark):
     r = IO.load_history(spark, path).first()
     assert (r["driver_id"], r["technical_premium"], r["base_premium"]) == ("D7", 1010.5, 1000.0)
     assert r["premium_change_cap"] is None and r["scored_at"].startswith("2026-01-01")
+
+
+def test_split_loses_no_row(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, flag boolean")
+    train, test = P.split(df, F.col("flag"))
+    assert sorted(r["id"] for r in train.collect()) == [2, 3] and [r["id"] for r in test.collect()] == [1]
+
+
+def test_every_driver_is_in_every_run(spark):
+    from conftest import SF001
+    from roadlens.plans import inputs as I
+
+    drivers = I.pricing_features(spark, SF001).select("driver_id").distinct().count()
+    assert [run.select("driver_id").distinct().count() for run in I.premium_runs(spark, SF001)] == [drivers] * 3
+
+
+def test_stamp_is_utc_in_any_session_zone_and_instants_decide(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    feats = spark.createDataFrame(
+        [("D1", 1.0, 0.1, 0, 0, 0.0, 0.0, 0)],
+        ["driver_id", "exposure_km", "speeding_ratio", "hard_braking_count", "harsh_acceleration_count",
+         "night_event_ratio", "bad_weather_event_ratio", "phone_usage_count"],
+    )
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        stamp = P.premium_run(feats, C.COMMITTED_COEFFICIENTS).first()["scored_at"]
+        import datetime
+
+        assert stamp.endswith("+00:00")
+        assert abs((datetime.datetime.now(datetime.timezone.utc) - datetime.datetime.fromisoformat(stamp)).total_seconds()) < 120
+        rows = [("D1", "2026-01-01T09:30:00-08:00", 2.0), ("D1", "2026-01-01T17:00:00+00:00", 1.0), ("D1", "2026-01-01T17:20:00Z", 3.0), ("D1", "soon", 9.0)]
+        history = spark.createDataFrame(rows, "driver_id string, scored_at string, technical_premium double")
+        assert P.latest_premium(history).first()["technical_premium"] == 2.0  # 17:30 UTC
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_history_of_mixed_files_is_read_by_name(spark):
+    from roadlens.session import scratch_path
+    from roadlens.sources import io as IO
+
+    feats = spark.createDataFrame(
+        [("D1", 1.0, 0.1, 0, 0, 0.0, 0.0, 0), ("D2", 2.0, 0.5, 3, 2, 0.5, 0.5, 1)],
+        ["driver_id", "exposure_km", "speeding_ratio", "hard_braking_count", "harsh_acceleration_count",
+         "night_event_ratio", "bad_weather_event_ratio", "phone_usage_count"],
+    )
+    run = P.premium_run(feats, C.COMMITTED_COEFFICIENTS, None, scored_at="2026-01-02T00:00:00+00:00")
+    for name in ("h.csv", "h.parquet"):
+        path = scratch_path(spark, "mixed") + f"/{name}"
+        old = spark.createDataFrame([("2026-01-01T00:00:00+00:00", 7.5, "D7")], "scored_at string, technical_premium double, driver_id string")
+        old.write.option("header", True).csv(path) if name.endswith("csv") else old.write.parquet(path)
+        IO.append_history(run, path)
+        IO.append_history(run.withColumn("extra", F.lit(1)).select("extra", *reversed(run.columns)), path)
+        history = IO.load_history(spark, path)
+        assert tuple(history.columns) == PREMIUM_HISTORY_COLUMNS
+        rows = {r["driver_id"]: r for r in history.collect()}
+        assert history.count() == 5 and rows["D7"]["technical_premium"] == 7.5 and rows["D7"]["exposure_km"] is None
+        assert rows["D2"]["exposure_km"] == 2.0 and rows["D2"]["premium_change_cap"] == 0.1
+
+
+def test_reports_leave_out_rows_without_a_driver(spark):
+    from roadlens.operators import reports as R
+
+    cols = ["speeding_ratio", "hard_braking_count_per_100km", "harsh_acceleration_count_per_100km", "night_event_ratio", "bad_weather_event_ratio"]
+    df = spark.createDataFrame([(None, *[9.0] * 5, 9.0), ("D1", *[1.0] * 5, 1.0)], ["driver_id", *cols, "predicted_frequency"])
+    for top in (R.top_speeding, R.top_risk, R.top_frequency):
+        assert [r["driver_id"] for r in top(df).collect()] == ["D1"]
