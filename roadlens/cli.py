@@ -8,10 +8,12 @@
                                       [--base-premium 1000 --premium-change-cap 0.10 --publish-kafka --topic ...]
     python -m roadlens.cli premium    --premium-history-path PATH --driver-id D001
     python -m roadlens.cli rolling    --events-path PATH --output PATH [--window-events 12 --every 10]
-    python -m roadlens.cli consume    --decision-topic ... [--from-beginning]
+    python -m roadlens.cli consume    --decision-topic ... [--from-beginning | --available-now]
+    python -m roadlens.cli compact    --features-path PATH --into PATH [--files-per-date 1]
 
 Streaming jobs block until any of their queries ends.  Batch jobs use the
-session's ``spark.checkpoint.dir`` for intermediate tables.
+session's ``spark.checkpoint.dir`` for intermediate tables.  Relative paths
+resolve against the session's default file system.
 """
 
 from __future__ import annotations
@@ -93,24 +95,28 @@ def cmd_streams(a):
 def cmd_train(a):
     from .operators import model as M
     from .operators import pricing as P
+    from .session import materialize
     from .sources import io as IO
 
     spark = _session("roadlens-train")
-    df = P.impute_claims(P.prepare_features(IO.load_features(spark, a.features_path)))
+    # the fit (once per iteration), the predictions and the outputs all read the labelled table: write it once
+    df = materialize(P.impute_claims(P.prepare_features(IO.load_features(spark, a.features_path))), "training")
     train, test = P.split(df)
-    fit = M.fit_glm(train, a.model)
+    fit = M.fit_glm(train, a.model, written=True)
     pred = M.predict_with(fit, test).select("driver_id", "exposure_km", "claim_count", "predicted_claim_count", "predicted_frequency")
-    IO.write_outputs(spark, a.output_dir, df, M.coefficients(spark, fit), pred, M.evaluate(pred), M.summary_text(fit))
+    metrics = materialize(M.evaluate(pred), "metrics")
+    summary = M.summary_text(fit)
+    IO.write_outputs(spark, a.output_dir, df, M.coefficients(spark, fit), pred, metrics, summary)
     M.save_model(fit, a.model_path)
-    print(M.summary_text(fit))
-    M.evaluate(pred).show(truncate=False)
+    print(summary)
+    metrics.show(truncate=False)
 
 
 def cmd_score(a):
     from .operators import model as M
     from .operators import pricing as P
     from .operators import reports as R
-    from .session import shared_dir
+    from .session import materialize
     from .sources import io as IO
 
     spark = _session("roadlens-score")
@@ -119,9 +125,8 @@ def cmd_score(a):
     run = P.premium_run(
         IO.load_features(spark, a.features_path), fit.coefficient_pairs(), history, a.base_premium, a.premium_change_cap
     )
-    # The run reads the history it is about to extend: materialise it first (shared checkpoint folder).
-    shared_dir(spark)
-    run = run.checkpoint(eager=True)
+    # The run reads the history it is about to extend: write it first (shared folder).
+    run = materialize(run, "premium_run")
     IO.append_history(run, a.premium_history_path)
     R.top_premiums(run, 20).show(20, truncate=False)
     if a.publish_kafka:
@@ -151,17 +156,31 @@ def cmd_rolling(a):
 
     spark = _session("roadlens-rolling")
     events = spark.read.parquet(a.events_path)
-    flagged = E.flag_events(E.normalise_event_time(events) if "event_time_ts" not in events.columns else events)
-    decisions = RL.tick_decisions(flagged, a.window_events, a.every, seq=a.sequence_column)
-    IO.write_decisions(decisions, a.output)
+    if "event_time_ts" not in events.columns:
+        events = E.normalise_event_time(events)
+    if a.sequence_column not in events.columns:  # arrival order is not stored: time order, then event id
+        events = RL.with_sequence(events, "event_time_ts", "event_id", name=a.sequence_column)
+    flagged = E.flag_events(events, with_incident=True)
+    IO.write_decisions(RL.demo_decisions(flagged, a.window_events, a.every, seq=a.sequence_column), a.output)
 
 
 def cmd_consume(a):
+    """Print decisions: all there are (``--from-beginning``), or those that arrive from now on."""
     from .sources import io as IO
+    from .streaming import jobs as J
 
     spark = _session("roadlens-consume")
     cfg = JobConfig(bootstrap_servers=a.bootstrap_server, decision_topic=a.decision_topic)
-    IO.read_decisions(spark, cfg, a.from_beginning).show(50, truncate=False)
+    if a.from_beginning:
+        J.print_rows(IO.read_decisions(spark, cfg, a.source_path), 0)
+    else:
+        _run_streams(spark, [J.preview(IO.read_decisions_stream(spark, cfg, a.source_path), "append", _trigger(a))], a)
+
+
+def cmd_compact(a):
+    from .streaming import jobs as J
+
+    J.compact_features(_session("roadlens-compact"), a.features_path, a.into, a.files_per_date)
 
 
 def main(argv=None) -> None:
@@ -224,7 +243,7 @@ def main(argv=None) -> None:
 
     r = sub.add_parser("rolling")
     r.add_argument("--events-path", required=True)
-    r.add_argument("--output", default="data/real-time-decision-extension/offline_interventions")
+    r.add_argument("--output", default="data/rolling_decisions")
     r.add_argument("--window-events", type=int, default=12)
     r.add_argument("--every", type=int, default=10)
     r.add_argument("--sequence-column", default="event_no")
@@ -234,8 +253,16 @@ def main(argv=None) -> None:
     c.add_argument("--bootstrap-server", default="broker:9092")
     c.add_argument("--decision-topic", default=C.DECISION_TOPIC)
     c.add_argument("--from-beginning", action="store_true")
+    c.add_argument("--source-path", default=None, help="a folder of key/value messages instead of the broker")
+    c.add_argument("--available-now", action="store_true", help="process what is available, then stop")
     c.set_defaults(fn=cmd_consume)
 
+    k = sub.add_parser("compact", help="rewrite a feature folder with few files per date")
+    k.add_argument("--features-path", default="data/historical_features/tumbling_1m")
+    k.add_argument("--into", required=True)
+    k.add_argument("--files-per-date", type=int, default=1)
+    k.set_defaults(fn=cmd_compact)
+
     a = p.parse_args(argv)
     a.fn(a)
 

@@ -22,7 +22,7 @@ from ..operators import reports as R
 from ..operators import rolling as RL
 from ..operators import windows as W
 from ..schemas import EVENT_COLUMNS, PREMIUM_HISTORY_COLUMNS
-from ..sources.fixture import raw_events, raw_messages
+from .fixture import raw_events, raw_messages
 from . import inputs as I
 from .inputs import flagged_events
 
@@ -369,25 +369,26 @@ def q_rolling_features(spark, sf_dir):
 
 @register("rolling_tick_decisions")
 def q_rolling_ticks(spark, sf_dir):
-    ticks = RL.tick_decisions(flagged_events(spark, sf_dir), n=C.JobConfig.window_events, every=C.JobConfig.tick_every)
-    return ticks.drop("decision_ts")
+    """Each buffer state with a decision once, with the range of ticks it is judged at (one row per state)."""
+    ranges = RL.tick_decision_ranges(flagged_events(spark, sf_dir), n=C.JobConfig.window_events, every=C.JobConfig.tick_every)
+    return ranges.drop("decision_ts")
 
 
 @register("latest_premium")
 def q_latest_premium(spark, sf_dir):
-    return history_output(P.latest_premium(I.earlier_history(spark, sf_dir)))
+    return history_output(P.latest_premium(I.premium_history(spark, sf_dir, 2)))
 
 
 @register("join_previous_premium")
 def q_join_previous(spark, sf_dir):
     rolled = P.driver_rollup(P.prepare_features(I.pricing_features(spark, sf_dir)))
-    joined_prev = P.with_previous(rolled, I.earlier_history(spark, sf_dir))
+    joined_prev = P.with_previous(rolled, I.premium_history(spark, sf_dir, 2))
     return joined_prev.select("driver_id", "technical_premium_previous")
 
 
 @register("premium_trajectory_top5")
 def q_trajectory(spark, sf_dir):
-    traj = R.trajectory(I.full_history(spark, sf_dir), 5)
+    traj = R.trajectory(I.premium_history(spark, sf_dir), 5)
     return traj.select("driver_id", "scored_at", "technical_premium", "technical_premium_previous")
 
 
@@ -399,12 +400,12 @@ def q_top_premiums(spark, sf_dir):
 
 @register("top_latest_premiums")
 def q_top_latest(spark, sf_dir):
-    return R.top_latest(I.full_history(spark, sf_dir), 15).select("driver_id", "scored_at", "technical_premium")
+    return R.top_latest(I.premium_history(spark, sf_dir), 15).select("driver_id", "scored_at", "technical_premium")
 
 
 @register("union_history")
 def q_union_history(spark, sf_dir):
-    return history_output(I.full_history(spark, sf_dir))
+    return history_output(I.premium_history(spark, sf_dir))
 
 
 @register("union_decisions")
@@ -464,47 +465,52 @@ def q_premium_cap(spark, sf_dir):
     return history_output(I.premium_runs(spark, sf_dir)[-1])
 
 
-# --- 2.7 model fits (rows-only in the driver; optimum conditions are unit-tested) --------------
+# --- 2.7 model fits: what the optimum fixes, so that SQL can tell without fitting ----------------
+
+
+def moment_output(moments: DataFrame) -> DataFrame:
+    """(term, moment) rounded to what the fit's tolerance allows."""
+    return moments.select("term", F.round("moment", 4).alias("moment"))
 
 
 def _fit(spark, sf_dir, kind: str):
     from ..operators.model import fit_glm
 
-    train, test = I.train_test(spark, sf_dir, materialized=True)  # the fit and the predictions both read it
-    return fit_glm(train, kind), test
+    train, _ = I.train_test(spark, sf_dir, materialized=True)  # the fit and the moments both read it
+    return fit_glm(train, kind, written=True), train
 
 
 @register("glm_offset")
 def q_glm_offset(spark, sf_dir):
-    from ..operators.model import predict_with
+    """Per term, the sum of the feature times the fitted claim count; at the optimum that of the actual count."""
+    from ..operators.model import moments
 
-    fit, test = _fit(spark, sf_dir, "offset")
-    return predict_with(fit, test).select(
-        "driver_id", epoch_s("window_start"), "claim_count", r9("predicted_claim_count"), r9("predicted_frequency")
-    )
+    fit, train = _fit(spark, sf_dir, "offset")
+    return moment_output(moments(fit.coefficient_pairs(), train))
 
 
 @register("glm_rate_weighted")
 def q_glm_rate(spark, sf_dir):
-    from ..operators.model import predict_with
+    """As ``glm_offset`` for the penalised rate form: the penalty's gradient is part of the moment."""
+    from ..operators.model import moments
 
-    fit, test = _fit(spark, sf_dir, "rate")
-    return predict_with(fit, test).select(
-        "driver_id", epoch_s("window_start"), "claim_count", r9("predicted_claim_count"), r9("predicted_frequency")
-    )
+    fit, train = _fit(spark, sf_dir, "rate")
+    return moment_output(moments(fit.coefficient_pairs(), train, C.RATE_MODEL_ALPHA))
 
 
 @register("glm_coefficients")
 def q_glm_coefficients(spark, sf_dir):
-    from ..operators.model import coefficients
+    """The rate moments from the coefficient table as it is given out."""
+    from ..operators.model import coefficients, moments
 
-    fit, _ = _fit(spark, sf_dir, "rate")
-    return coefficients(spark, fit)
+    fit, train = _fit(spark, sf_dir, "rate")
+    pairs = [(r["term"], r["coef"]) for r in coefficients(spark, fit).collect()]  # one row per term
+    return moment_output(moments(pairs, train, C.RATE_MODEL_ALPHA))
 
 
 @register("glm_summary")
 def q_glm_summary(spark, sf_dir):
-    from ..operators.model import summary_text
-
+    """Rows and null deviance (that of the mean rate) from the fit's summary."""
     fit, _ = _fit(spark, sf_dir, "offset")
-    return spark.createDataFrame([(line,) for line in summary_text(fit).splitlines()], "line string")
+    s = fit.model.summary
+    return spark.createDataFrame([(s.numInstances, round(s.nullDeviance, 4))], "n_rows long, null_deviance double")

@@ -6,9 +6,8 @@
 * the claim label, drawn with a uniform that is plain arithmetic on the
   driver number and the window minute (so SQL can reproduce it);
 * the test split, also arithmetic on the same two numbers;
-* premium history: two earlier scoring runs on growing time prefixes of the
-  features (every seventh driver left out, so the base-premium default is
-  exercised), then the current run over all windows.
+* premium history: three scoring runs over all drivers and all windows that
+  differ in base premium and cap, each taking the history of the runs before.
 """
 
 from __future__ import annotations
@@ -20,8 +19,8 @@ from .. import config as C
 from ..operators import events as E
 from ..operators import pricing as P
 from ..operators import windows as W
-from ..session import shared_dir
-from ..sources.fixture import TARGET_EPOCH_MS, raw_events
+from ..session import materialize
+from .fixture import TARGET_EPOCH_MS, raw_events
 
 # fixed values: fixture parameters of the pricing inputs
 EXPOSURE_SCALE = 10.0
@@ -31,12 +30,11 @@ LABEL_MINUTE_MULT = 104729
 SPLIT_D_MULT = 31
 SPLIT_MINUTE_MULT = 17
 SPLIT_MOD = 4
-LEFT_OUT_EVERY = 7
 RUNS = (
-    # (last minute exclusive or None for all, scored_at)
-    (72, "2026-01-01T01:12:00+00:00"),
-    (144, "2026-01-01T02:24:00+00:00"),
-    (None, "2026-01-01T03:36:00+00:00"),
+    # (base premium, cap, scored_at)
+    (900.0, 0.20, "2026-01-01T01:12:00+00:00"),
+    (950.0, 0.15, "2026-01-01T02:24:00+00:00"),
+    (1000.0, 0.10, "2026-01-01T03:36:00+00:00"),
 )
 
 
@@ -45,12 +43,6 @@ def flagged_events(spark: SparkSession, sf_dir: str, with_incident: bool = True)
     return E.flag_events(raw_events(spark, sf_dir), with_incident)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage (reused several times below)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def pricing_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     fl = flagged_events(spark, sf_dir, with_incident=False)
     feats = W.tumbling_features(fl, keys=("driver_id", "driver_profile"))
@@ -93,34 +85,25 @@ def test_predictions(spark: SparkSession, sf_dir: str, coefficients=C.COMMITTED_
     )
 
 
-def _run_features(features: DataFrame, last_minute: int | None) -> DataFrame:
-    if last_minute is None:
-        return features
-    keep = (F.col("minute") < F.lit(last_minute)) & ((F.col("d") + F.lit(1)) % F.lit(LEFT_OUT_EVERY) != F.lit(0))
-    return features.filter(keep)
-
-
-def premium_runs(spark: SparkSession, sf_dir: str, coefficients=C.COMMITTED_COEFFICIENTS) -> list[DataFrame]:
-    """The three scoring runs, each taking the history of the runs before it.
+def premium_runs(spark: SparkSession, sf_dir: str, n: int = len(RUNS), coefficients=C.COMMITTED_COEFFICIENTS) -> list[DataFrame]:
+    """The first ``n`` scoring runs, each over all drivers and taking the history of the runs before it.
 
-    The feature table is materialised once; each run's rows (one per driver)
-    are materialised as the next run's history, as a history table would be.
+    The drivers' roll-up is the same for all runs; it is written once (one row
+    per driver).  The runs themselves are lazy plans over that small table.
     """
-    features = materialize(pricing_features(spark, sf_dir))
+    rolled = materialize(P.driver_rollup(P.prepare_features(pricing_features(spark, sf_dir))), "rollup")
     runs: list[DataFrame] = []
     history: DataFrame | None = None
-    for last_minute, stamp in RUNS:
-        run = materialize(P.premium_run(_run_features(features, last_minute), coefficients, history, scored_at=stamp))
+    for base, cap, stamp in RUNS[:n]:
+        run = P.premium_run_of_rollup(rolled, coefficients, history, base, cap, scored_at=stamp)
         runs.append(run)
         history = P.union_history(history, run)
     return runs
 
 
-def earlier_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r1, r2, _ = premium_runs(spark, sf_dir)
-    return P.union_history(r1, r2)
-
-
-def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r1, r2, r3 = premium_runs(spark, sf_dir)
-    return P.union_history(P.union_history(r1, r2), r3)
+def premium_history(spark: SparkSession, sf_dir: str, n: int = len(RUNS)) -> DataFrame:
+    """The history after the first ``n`` runs."""
+    history: DataFrame | None = None
+    for run in premium_runs(spark, sf_dir, n):
+        history = P.union_history(history, run)
+    return history

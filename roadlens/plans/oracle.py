@@ -9,14 +9,105 @@ decimal cast.
 from __future__ import annotations
 
 
-from ..sources.fixture import (
-    COMPRESSION_US_PER_MS,
-    PROFILE_K,
-    PROFILES,
-    SOURCE_EPOCH_US,
-    TARGET_EPOCH_MS,
-    USERS_PER_DRIVER,
-)
+class C:
+    """Fixed values, written out here and not imported, so that a wrong one in the library shows."""
+
+    ACTION_CHECK_STATUS = "Send push/SMS asking if the driver is safe and prepare assistance triage."
+    ACTION_ESCALATE = "Flag this active trip for operational review and possible outbound contact."
+    ACTION_EVENT_NUDGE = "Send an in-app safety nudge during the trip."
+    ACTION_POINTS = "Add safe-driving points to the customer's reward wallet."
+    ACTION_WINDOW_NUDGE = "Send a real-time safety nudge before the risky pattern becomes a claim."
+    CHECK_DRIVER_STATUS = "CHECK_DRIVER_STATUS"
+    CLAIM_RATE_MAX = 2.5
+    CLAIM_RATE_MIN = 0.0001
+    CLAIM_RULE_BETA = {
+        "speeding_ratio": 1.3,
+        "hard_braking_count_per_100km": 0.012,
+        "harsh_acceleration_count_per_100km": 0.01,
+        "night_event_ratio": 0.55,
+        "bad_weather_event_ratio": 0.5,
+        "phone_usage_count": 0.12,
+    }
+    CLAIM_RULE_INTERCEPT = -5.15
+    COMMITTED_COEFFICIENTS = (
+        ("intercept", -3.9642357053226336),
+        ("speeding_ratio", 1.0605755894906441),
+        ("hard_braking_count_per_100km", 0.008673115566415842),
+        ("harsh_acceleration_count_per_100km", 0.0056476225341995845),
+        ("night_event_ratio", 0.9652447617386383),
+        ("bad_weather_event_ratio", -0.25270991966130324),
+        ("phone_usage_count", -0.15931899635964047),
+    )
+    ESCALATE_HIGH_RISK_REVIEW = "ESCALATE_HIGH_RISK_REVIEW"
+    ESCALATE_PHONE = 3
+    ESCALATE_SCORE = 12
+    EVENT_HIGH_SCORE = 5
+    EVENT_NUDGE_SCORE = 4
+    GRANT_SAFE_DRIVING_POINTS = "GRANT_SAFE_DRIVING_POINTS"
+    MESSAGE_CHECK_STATUS = "Wykryto gwaltowne zdarzenie. Czy wszystko w porzadku?"
+    MESSAGE_EVENT_NUDGE = "W ostatnich minutach jazda wyglada ryzykownie. Zwolnij i zachowaj wiekszy odstep."
+    MESSAGE_POINTS = "Dobra, spokojna jazda. Dodajemy punkty safe driving do Twojego konta."
+    MESSAGE_ROLLING_RISK = "Widzimy podwyzszone ryzyko tej podrozy. Jedz ostrozniej, zeby utrzymac bonus."
+    MESSAGE_WINDOW_RISK = "Widzimy podwyzszone ryzyko tej podrozy. Jedz ostrozniej, zeby utrzymac bonus za bezpieczna jazde."
+    METRICS_NOTE = "If residual variance materially exceeds the mean, consider Negative Binomial or Tweedie."
+    MIN_MEAN_FREQUENCY = 1e-09
+    NUDGE_INTENSITY = 0.45
+    NUDGE_MIN_EVENTS = 5
+    POINTS_MIN_EVENTS = 10
+    POINTS_MIN_KM = 0.25
+    POISSON_MAX_COUNT = 30
+    PROFILE_EFFECT = {
+        "safe": -0.45,
+        "average": 0.0,
+        "aggressive": 0.45,
+        "night_driver": 0.25,
+        "urban_driver": 0.1,
+    }
+    RULES_WITHOUT_EXTREME = (
+        ("is_speeding", "speeding"),
+        ("is_hard_braking", "hard_braking"),
+        ("is_harsh_acceleration", "harsh_acceleration"),
+        ("is_sharp_cornering", "sharp_cornering"),
+        ("is_night_risk", "night_speed_risk"),
+        ("is_bad_weather", "bad_weather"),
+        ("is_phone_usage", "phone_usage"),
+    )
+    RULES_WITH_EXTREME = (
+        ("is_speeding", "speeding"),
+        ("is_hard_braking", "hard_braking"),
+        ("is_extreme_braking", "extreme_braking"),
+        ("is_harsh_acceleration", "harsh_acceleration"),
+        ("is_sharp_cornering", "sharp_cornering"),
+        ("is_night_risk", "night_speed_risk"),
+        ("is_bad_weather", "bad_weather"),
+        ("is_phone_usage", "phone_usage"),
+    )
+    SEND_SAFETY_NUDGE = "SEND_SAFETY_NUDGE"
+    SOURCE_EVENT = "event"
+    SOURCE_ROLLING = "rolling_window_demo"
+    SOURCE_SLIDING = "sliding_window_5m"
+    WINDOW_REASON_PREFIX = "5-minute window: events="
+
+
+# fixed values of the projection and of the pricing inputs, written out like those of C
+COMPRESSION_US_PER_MS = 200000
+PROFILE_K = (30, 75, 130, 90, 80)
+PROFILES = ("safe", "average", "aggressive", "night_driver", "urban_driver")
+SOURCE_EPOCH_US = 1704067200000000
+TARGET_EPOCH_MS = 1767225600000
+USERS_PER_DRIVER = 6
+EXPOSURE_SCALE = 10.0
+LABEL_D_MULT = 7919
+LABEL_MINUTE_MULT = 104729
+LABEL_MOD = 10007
+RUNS = (
+    (900.0, 0.2, "2026-01-01T01:12:00+00:00"),
+    (950.0, 0.15, "2026-01-01T02:24:00+00:00"),
+    (1000.0, 0.1, "2026-01-01T03:36:00+00:00"),
+)
+SPLIT_D_MULT = 31
+SPLIT_MINUTE_MULT = 17
+SPLIT_MOD = 4
 
 ORACLE: dict[str, str] = {}
 
@@ -177,20 +268,6 @@ sql("features_sliding_5m", features_sql(5))
 
 # --- shared SQL pieces -----------------------------------------------------------------------------
 
-from .. import config as C  # noqa: E402
-from .inputs import (  # noqa: E402
-    EXPOSURE_SCALE,
-    LABEL_D_MULT,
-    LABEL_MINUTE_MULT,
-    LABEL_MOD,
-    LEFT_OUT_EVERY,
-    RUNS,
-    SPLIT_D_MULT,
-    SPLIT_MINUTE_MULT,
-    SPLIT_MOD,
-)
-
-
 def dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
@@ -335,10 +412,7 @@ HISTORY_OUT = """driver_id, RND(exposure_km, 9) AS exposure_km, RND(speeding_rat
   technical_premium_previous, technical_premium, scored_at, base_premium, premium_change_cap"""
 
 
-def _run_ctes(i: int, last_minute, stamp: str, history: str | None, base: float = 1000.0, cap: float = 0.10) -> str:
-    where = "TRUE" if last_minute is None else (
-        f"minute < {last_minute} AND (d + 1) % {LEFT_OUT_EVERY} <> 0"
-    )
+def _run_ctes(i: int, base: float, cap: float, stamp: str, history: str | None) -> str:
     prev = (
         f"""r{i}_prev AS (
   SELECT driver_id, technical_premium AS tp FROM (
@@ -348,7 +422,7 @@ def _run_ctes(i: int, last_minute, stamp: str, history: str | None, base: float
         if history
         else f"r{i}_prev AS (SELECT NULL::VARCHAR AS driver_id, NULL::DOUBLE AS tp WHERE FALSE),"
     )
-    return f"""r{i}_roll AS (SELECT {ROLLUP_SELECT} FROM pf WHERE {where} AND driver_id IS NOT NULL GROUP BY driver_id),
+    return f"""r{i}_roll AS (SELECT {ROLLUP_SELECT} FROM pf WHERE driver_id IS NOT NULL GROUP BY driver_id),
 r{i}_p0 AS (SELECT *, exp({COMMITTED_ETA}) * greatest(exposure_km, {dbl(0.001)}) AS predicted_claim_count FROM r{i}_roll),
 r{i}_p1 AS (SELECT *, predicted_claim_count / greatest(exposure_km, {dbl(0.001)}) AS predicted_frequency FROM r{i}_p0),
 r{i}_mean AS (SELECT greatest(avg(predicted_frequency), {dbl(C.MIN_MEAN_FREQUENCY)}) AS mf FROM r{i}_p1),
@@ -366,8 +440,8 @@ r{i} AS (
 def premium_ctes() -> str:
     parts = []
     history = None
-    for i, (last_minute, stamp) in enumerate(RUNS, start=1):
-        parts.append(_run_ctes(i, last_minute, stamp, history))
+    for i, (base, cap, stamp) in enumerate(RUNS, start=1):
+        parts.append(_run_ctes(i, base, cap, stamp, history))
         hist_name = f"h{i}"
         union = " UNION ALL ".join(f"SELECT {HISTORY_COLS} FROM r{j}" for j in range(1, i + 1))
         parts.append(f"{hist_name} AS ({union})")
@@ -468,7 +542,7 @@ sql(
 sql(
     "mean_speeding_by_driver",
     f"""WITH {FL}, {TS_CTES}
-SELECT driver_id, RND(avg(speeding_ratio), 9) AS speeding_ratio FROM tset GROUP BY driver_id
+SELECT driver_id, RND(avg(speeding_ratio), 9) AS speeding_ratio FROM tset WHERE driver_id IS NOT NULL GROUP BY driver_id
 ORDER BY speeding_ratio DESC, driver_id LIMIT 15""",
 )
 RISK_SCORE_DRIVER = (
@@ -478,13 +552,13 @@ RISK_SCORE_DRIVER = (
 sql(
     "driver_risk_score",
     f"""WITH {FL}, {TS_CTES}
-SELECT driver_id, RND(avg({RISK_SCORE_DRIVER}), 9) AS risk_score_driver FROM tset GROUP BY driver_id
+SELECT driver_id, RND(avg({RISK_SCORE_DRIVER}), 9) AS risk_score_driver FROM tset WHERE driver_id IS NOT NULL GROUP BY driver_id
 ORDER BY risk_score_driver DESC, driver_id LIMIT 15""",
 )
 sql(
     "predicted_frequency_by_driver",
     f"""WITH {FL}, {TS_CTES}
-SELECT driver_id, RND(avg(predicted_frequency), 9) AS predicted_frequency FROM tpred GROUP BY driver_id
+SELECT driver_id, RND(avg(predicted_frequency), 9) AS predicted_frequency FROM tpred WHERE driver_id IS NOT NULL GROUP BY driver_id
 ORDER BY predicted_frequency DESC, driver_id LIMIT 15""",
 )
 sql(
@@ -553,6 +627,32 @@ sql(
 SELECT driver_id, RND(predicted_claim_count, 9) AS predicted_claim_count, RND(predicted_frequency, 9) AS predicted_frequency,
   RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 9) AS target_technical_premium FROM r3""",
 )
+_TERMS = ("speeding_ratio", "hard_braking_count_per_100km", "harsh_acceleration_count_per_100km", "night_event_ratio", "bad_weather_event_ratio", "phone_usage_count")
+
+
+def _moments(intercept: str) -> str:
+    rows = " UNION ALL ".join(f"SELECT '{t}' AS term, RND(sum({x} * claim_count), 4) AS moment FROM tr" for t, x in [(intercept, "1.0"), *[(t, t) for t in _TERMS]])
+    return f"WITH {FL}, {TS_CTES}, tr AS (SELECT * FROM tset WHERE NOT is_test) {rows}"
+
+
+sql("glm_offset", _moments("const"))
+for _name in ("glm_rate_weighted", "glm_coefficients", "model_store"):
+    sql(_name, _moments("intercept"))
+sql(
+    "glm_summary",
+    f"""WITH {FL}, {TS_CTES}, tr AS (SELECT greatest(exposure_km, {dbl(0.001)}) AS e, claim_count AS y FROM tset WHERE NOT is_test),
+m AS (SELECT sum(y) / sum(e) AS r FROM tr)
+SELECT count(*) AS n_rows, RND(2 * sum((CASE WHEN y > 0 THEN y * ln(y / (e * r)) ELSE 0 END) - (y - e * r)), 4) AS null_deviance FROM tr, m""",
+)
+sql(
+    "sink_model_outputs",
+    f"""WITH {FL}, {TS_CTES}
+SELECT 'training_dataset' AS output, count(*) AS n_rows, RND(sum(claim_count), 6) AS total FROM tset WHERE NOT is_test
+UNION ALL SELECT 'glm_test_predictions', count(*), RND(sum(claim_count), 6) FROM tset WHERE is_test
+UNION ALL SELECT 'glm_coefficients', 7, {dbl(0.0)}
+UNION ALL SELECT 'glm_metrics', 1, RND(avg(claim_count), 6) FROM tset WHERE is_test
+UNION ALL SELECT 'glm_summary', 2, {dbl(0.0)}""",
+)
 sql("premium_cap", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM r3")
 
 
@@ -586,9 +686,9 @@ rd AS (
   FROM rl),
 lastseq AS (SELECT max(event_no) AS ls FROM fl),
 tk AS (
-  SELECT rd.*, unnest(range(((event_no + 9) // 10) * 10, (coalesce(next_seq - 1, ls) // 10) * 10 + 1, 10)) AS tick
-  FROM rd, lastseq WHERE decision_type IS NOT NULL)
-SELECT tick, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, decision_type,
+  SELECT * FROM (SELECT rd.*, ((event_no + 9) // 10) * 10 AS first_tick, (coalesce(next_seq - 1, ls) // 10) * 10 AS last_tick
+    FROM rd, lastseq WHERE decision_type IS NOT NULL) WHERE first_tick <= last_tick)
+SELECT first_tick, last_tick, (last_tick - first_tick) // 10 + 1 AS n_ticks, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, decision_type,
   CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN 'high' WHEN '{C.SEND_SAFETY_NUDGE}' THEN 'medium' ELSE 'low' END AS priority,
   CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN '{C.ACTION_ESCALATE}'
        WHEN '{C.SEND_SAFETY_NUDGE}' THEN '{C.ACTION_WINDOW_NUDGE}' ELSE '{C.ACTION_POINTS.replace("'", "''")}' END AS recommended_action,
@@ -610,7 +710,18 @@ ORACLE["stream_sliding_update"] = ORACLE["features_sliding_5m"]
 ORACLE["stream_event_decisions"] = ORACLE["event_decisions"]
 ORACLE["stream_window_decisions"] = ORACLE["window_decisions"]
 ORACLE["source_feature_store"] = ORACLE["features_tumbling_1m"]
-sql("source_premium_history", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM h2")
+_OLDER = ", ".join(
+    c if c in ("driver_id", "scored_at", "technical_premium", "technical_premium_previous")
+    else f"CAST(NULL AS {'BIGINT' if c == 'phone_usage_count' else 'DOUBLE'}) AS {c}"
+    for c in HISTORY_COLS.replace("\n", " ").replace(" ", "").split(",")
+)
+sql(
+    "source_premium_history",
+    f"""WITH {FL}, {premium_ctes()},
+hist AS (SELECT {_OLDER} FROM r1 UNION ALL SELECT {HISTORY_COLS} FROM r2
+         UNION ALL SELECT {HISTORY_COLS.replace('scored_at', f"'{RUNS[2][2]}' AS scored_at")} FROM r1)
+SELECT {HISTORY_OUT}, read_from FROM hist, (VALUES ('parquet'), ('csv')) v(read_from)""",
+)
 ORACLE["sink_premium_history"] = ORACLE["union_history"]
 sql("sink_premium_updates", f"WITH {FL}, {premium_ctes()} SELECT driver_id AS key, {HISTORY_OUT} FROM r3")
 sql(
@@ -625,15 +736,15 @@ rd AS (
   FROM rl),
 lastseq AS (SELECT max(event_no) AS ls FROM fl),
 tk AS (
-  SELECT rd.*, unnest(range(((event_no + 9) // 10) * 10, (coalesce(next_seq - 1, ls) // 10) * 10 + 1, 10)) AS tick
-  FROM rd, lastseq WHERE rdt IS NOT NULL)
-SELECT event_no AS at_event, '{C.SOURCE_EVENT}' AS decision_source, driver_id, event_id, decision_type,
+  SELECT * FROM (SELECT rd.*, ((event_no + 9) // 10) * 10 AS first_tick, (coalesce(next_seq - 1, ls) // 10) * 10 AS last_tick
+    FROM rd, lastseq WHERE rdt IS NOT NULL) WHERE first_tick <= last_tick)
+SELECT event_no AS at_event, CAST(NULL AS BIGINT) AS last_tick, CAST(NULL AS BIGINT) AS n_ticks, '{C.SOURCE_EVENT}' AS decision_source, driver_id, event_id, decision_type,
   {DEMO_PRIORITY} AS priority, recommended_action, customer_message, active_rules, risk_score_event,
   CAST(NULL AS BIGINT) AS event_count, CAST(NULL AS DOUBLE) AS km_driven, CAST(NULL AS BIGINT) AS risk_event_count,
   CAST(NULL AS BIGINT) AS risk_score_window, CAST(NULL AS DOUBLE) AS risk_intensity, CAST(NULL AS BIGINT) AS phone_usage_count
 FROM ed WHERE decision_type IS NOT NULL
 UNION ALL
-SELECT tick AS at_event, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, CAST(NULL AS VARCHAR) AS event_id, rdt AS decision_type,
+SELECT first_tick AS at_event, last_tick, (last_tick - first_tick) // 10 + 1 AS n_ticks, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, CAST(NULL AS VARCHAR) AS event_id, rdt AS decision_type,
   CASE rdt WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN 'high' WHEN '{C.SEND_SAFETY_NUDGE}' THEN 'medium' ELSE 'low' END AS priority,
   CASE rdt WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN '{C.ACTION_ESCALATE}'
        WHEN '{C.SEND_SAFETY_NUDGE}' THEN '{C.ACTION_WINDOW_NUDGE}' ELSE '{C.ACTION_POINTS.replace("'", "''")}' END AS recommended_action,
@@ -655,7 +766,7 @@ sql(
     f"SELECT driver_id AS key, * FROM ({features_sql(1, CLOSED)})",
 )
 
-from ..plans.streams import SPLIT_MS as _SPLIT_MS  # noqa: E402
+_SPLIT_MS = TARGET_EPOCH_MS + 108 * 60_000
 
 sql(
     "late_data",
@@ -664,6 +775,14 @@ sql(
     ),
 )
 ORACLE["checkpoint_restart"] = ORACLE["alerts"]
+sql(
+    "stream_fanout",
+    f"""WITH {FL}, {EVENT_DECISION_CTE}
+SELECT 'alert' AS output, event_id, driver_id, event_ms AS event_time_ts, {rules_text(False)} AS active_rules, CAST(NULL AS VARCHAR) AS decision_type
+FROM fl WHERE risk_event
+UNION ALL
+SELECT 'decision', event_id, driver_id, event_ms, active_rules, decision_type FROM ed WHERE decision_type IS NOT NULL""",
+)
 sql(
     "multi_query",
     f"""WITH {FL},

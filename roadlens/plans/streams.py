@@ -20,9 +20,9 @@ from ..operators import pricing as P
 from ..operators import rolling as RL
 from ..operators import windows as W
 from ..schemas import DECISION_SCHEMA, EVENT_COLUMNS, PREMIUM_HISTORY_SCHEMA
-from ..session import scratch_path
+from ..session import materialize, release, scratch_path
 from ..sources import io as IO
-from ..sources.fixture import TARGET_EPOCH_MS, raw_events
+from .fixture import TARGET_EPOCH_MS, raw_events
 from ..streaming import jobs as J
 from . import inputs as I
 from .catalog import (
@@ -30,6 +30,7 @@ from .catalog import (
     event_decision_output,
     feature_output,
     history_output,
+    moment_output,
     register,
     window_decision_output,
 )
@@ -59,6 +60,8 @@ def _run(spark: SparkSession, sf_dir: str, name: str, start, batches: int = 1):
     for part in slices:
         part.drop("event_ms").write.mode("append").parquet(src)
         J.run_until_done(start(spark, cfg, sinks))
+    release(spark, src)  # the results are read from what the sinks wrote
+    release(spark, cfg.checkpoint_dir)
     return cfg, sinks
 
 
@@ -154,9 +157,7 @@ def q_source_feature_store(spark, sf_dir):
     path = scratch_path(spark, "feature_store") + "/tumbling_1m.csv"
     feats = W.tumbling_features(I.flagged_events(spark, sf_dir, with_incident=False))
     IO.write_features_csv(feature_output(feats), path)
-    loaded = IO.load_features(spark, path)
-    typed = feature_output(feats).schema
-    return loaded.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in typed.fields])
+    return IO.load_features(spark, path, feature_output(feats).schema)
 
 
 def _history_path(spark, name: str) -> str:
@@ -165,23 +166,30 @@ def _history_path(spark, name: str) -> str:
 
 @register("source_premium_history")
 def q_source_premium_history(spark, sf_dir):
+    """A history of two runs and of files older than the present columns, in CSV and in Parquet: read by name."""
     path = _history_path(spark, "source_premium_history")
-    r1, r2, _ = I.premium_runs(spark, sf_dir)
     assert IO.load_history(spark, path) is None
-    IO.append_history(r1, path)
-    IO.append_history(r2, path)
-    return history_output(IO.load_history(spark, path))
+    first, second = I.premium_runs(spark, sf_dir, 2)
+    older = first.select("scored_at", "technical_premium", "driver_id", "technical_premium_previous")
+    histories = []
+    for kind in ("parquet", "csv"):
+        at = f"{path}.{kind}"
+        writer = older.write.mode("append").option("header", True)
+        writer.csv(at) if kind == "csv" else writer.parquet(at)
+        IO.append_history(second, at)
+        IO.append_history(first.select(*reversed(first.columns)).withColumn("scored_at", F.lit(I.RUNS[2][2])), at)
+        histories.append(history_output(IO.load_history(spark, at)).withColumn("read_from", F.lit(kind)))
+    return histories[0].unionByName(histories[1])
 
 
 @register("sink_premium_history")
 def q_sink_premium_history(spark, sf_dir):
     """Three runs, each reading the history the earlier runs appended."""
     path = _history_path(spark, "sink_premium_history")
-    features = I.pricing_features(spark, sf_dir)
-    for last_minute, stamp in I.RUNS:
+    rolled = materialize(P.driver_rollup(P.prepare_features(I.pricing_features(spark, sf_dir))), "rollup")
+    for base, cap, stamp in I.RUNS:
         history = IO.load_history(spark, path)
-        run = P.premium_run(I._run_features(features, last_minute), C.COMMITTED_COEFFICIENTS, history, scored_at=stamp)
-        IO.append_history(run, path)
+        IO.append_history(P.premium_run_of_rollup(rolled, C.COMMITTED_COEFFICIENTS, history, base, cap, scored_at=stamp), path)
     return history_output(IO.load_history(spark, path))
 
 
@@ -201,7 +209,7 @@ def _history_with_key(decoded: DataFrame) -> DataFrame:
 
 
 DEMO_OUTPUT = (
-    "at_event", "decision_source", "driver_id", "event_id", "decision_type", "priority", "recommended_action",
+    "at_event", "last_tick", "n_ticks", "decision_source", "driver_id", "event_id", "decision_type", "priority", "recommended_action",
     "customer_message", "active_rules", "risk_score_event", "event_count", "km_driven", "risk_event_count",
     "risk_score_window", "risk_intensity", "phone_usage_count",
 )
@@ -209,7 +217,7 @@ DEMO_OUTPUT = (
 
 @register("sink_decisions_jsonl")
 def q_sink_decisions_jsonl(spark, sf_dir):
-    """The count-window policy's decisions (per event and per tick) written as JSON lines and read back."""
+    """The count-window policy's decisions (per event, and per state with its range of ticks) as JSON lines, read back."""
     path = scratch_path(spark, "decisions_jsonl")
     decisions = RL.demo_decisions(I.flagged_events(spark, sf_dir), C.JobConfig.window_events, C.JobConfig.tick_every)
     IO.write_decisions(decisions, path)
@@ -224,7 +232,7 @@ def q_source_decisions(spark, sf_dir):
     flagged = I.flagged_events(spark, sf_dir)
     E.build_event_decisions(flagged).write.mode("append").parquet(path)
     W.build_window_decisions(W.decision_windows(flagged)).write.mode("append").parquet(path)
-    d = IO.read_decisions(spark, JobConfig(), from_beginning=True, path=path)
+    d = IO.read_decisions(spark, JobConfig(), path=path)
     return d.select(
         "key",
         "decision_source",
@@ -238,24 +246,40 @@ def q_source_decisions(spark, sf_dir):
 
 @register("sink_model_outputs")
 def q_sink_model_outputs(spark, sf_dir):
+    """All five outputs written, then read back: rows and sums of each."""
     out = scratch_path(spark, "model_outputs")
     train, test = I.train_test(spark, sf_dir, materialized=True)
-    fit = M.fit_glm(train, "rate")
+    fit = M.fit_glm(train, "rate", written=True)
     pred = M.predict_with(fit, test).select(
         "driver_id", "exposure_km", "claim_count", "predicted_claim_count", "predicted_frequency"
     )
     IO.write_outputs(spark, out, train, M.coefficients(spark, fit), pred, M.evaluate(pred), M.summary_text(fit))
-    return spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/glm_coefficients")
+
+    def line(df: DataFrame, output: str, total) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.round(total, 6).alias("total")).select(F.lit(output).alias("output"), "n_rows", "total")
+
+    table = lambda name: IO.load_features(spark, f"{out}/{name}.csv")
+    parts = [
+        line(table("training_dataset"), "training_dataset", F.sum("claim_count").cast("double")),
+        line(table("glm_test_predictions"), "glm_test_predictions", F.sum("claim_count").cast("double")),
+        line(table("glm_coefficients"), "glm_coefficients", F.sum(F.col("exp_coef").cast("double") - F.exp(F.col("coef").cast("double")))),
+        line(spark.read.json(f"{out}/glm_metrics"), "glm_metrics", F.sum("mean_claim_count")),
+        line(spark.read.text(f"{out}/glm_summary").filter("value LIKE '%=%'"), "glm_summary", F.lit(0.0)),
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 @register("model_store")
 def q_model_store(spark, sf_dir):
+    """The rate model saved and loaded again; its moments over the training part (see ``moment_output``)."""
+    train, _ = I.train_test(spark, sf_dir, materialized=True)
     path = scratch_path(spark, "model_store")
-    train, _ = I.train_test(spark, sf_dir)
-    fit = M.fit_glm(train, "rate")
-    M.save_model(fit, path)
+    M.save_model(M.fit_glm(train, "rate", written=True), path)
     loaded = M.load_model(path)
-    return M.coefficients(spark, loaded).withColumn("model_type", F.lit(loaded.kind))
+    return moment_output(M.moments(loaded.coefficient_pairs(), train, C.RATE_MODEL_ALPHA))
 
 
 @register("sink_topic_stream")
@@ -278,9 +302,27 @@ def _run_slices(spark, sf_dir, name, start, slices):
         if cond is not None:
             msgs.filter(cond).drop("event_ms").write.mode("append").parquet(cfg.source_path)
         J.run_until_done(start(spark, cfg, sinks))
+    release(spark, cfg.source_path)
+    release(spark, cfg.checkpoint_dir)
     return cfg, sinks
 
 
+@register("stream_fanout")
+def q_stream_fanout(spark, sf_dir):
+    """One read of the messages feeding alerts and event decisions; both outputs in one table."""
+    cfg, sinks = _run(spark, sf_dir, "stream_fanout", lambda s, c, k: [J.start_stateless_fanout(s, c, k, TRIGGER)], batches=2)
+    log = _topic(spark, sinks, cfg.alert_topic, "alerts")
+    alerts = alert_output(log.select(F.from_json("value", _alert_schema(spark, sf_dir)).alias("a")).select("a.*"))
+    decisions = _decision_log(spark, sinks, cfg, "event_interventions")
+    return alerts.select(
+        F.lit("alert").alias("output"), "event_id", "driver_id", "event_time_ts", "active_rules", F.lit(None).cast("string").alias("decision_type")
+    ).unionByName(
+        event_decision_output(decisions.select(*E.EVENT_DECISION_FIELDS)).select(
+            F.lit("decision").alias("output"), "event_id", "driver_id", "event_time_ts", "active_rules", "decision_type"
+        )
+    )
+
+
 @register("late_data")
 def q_late_data(spark, sf_dir):
     """Later half of the stream first, earlier half second: the earlier rows are behind the watermark and dropped."""

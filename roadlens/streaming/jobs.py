@@ -3,7 +3,9 @@
 The operators are the batch ones: each query is ``source -> parse -> flags ->
 operator -> sink`` with a 30 s watermark on ``event_time_ts``.  Every query
 has its own checkpoint folder, so a restart resumes from its offsets and
-state; console previews keep none.
+state; previews keep none.  Window state lives in RocksDB (on disk, with
+changelog checkpoints), so it is not bound by executor heap; a rate limit on
+the source (``cfg.max_per_trigger``) bounds a micro-batch after a long stop.
 
 Sinks: ``cfg.sink_format = "kafka"`` writes topics through Spark's Kafka sink.
 Without a broker, ``"parquet"`` writes each topic as a folder of key/value
@@ -21,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import config as C
 from ..config import JobConfig
 from ..operators import events as E
 from ..operators import windows as W
@@ -36,6 +37,17 @@ class StreamSinks:
     topic_root: str | None = None  # folder holding one sub-folder per topic when not kafka
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """State of the queries started from now on lives in RocksDB, unless the session already names a provider."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "HDFSBackedStateStoreProvider" in (spark.conf.get(key) or "HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, STATE_STORE)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def flagged_stream(spark: SparkSession, cfg: JobConfig, with_incident: bool = False) -> DataFrame:
     return E.flag_events(E.parse_events(read_events_stream(spark, cfg)), with_incident)
 
@@ -106,10 +118,27 @@ def write_features(
     return _trigger(writer, trigger).start()
 
 
+def print_rows(batch: DataFrame, batch_id: int) -> None:
+    """Every row of a micro-batch as one JSON line, not truncated; the driver holds one partition at a time."""
+    for line in batch.toJSON().toLocalIterator():
+        print(line, flush=True)
+
+
 def preview(df: DataFrame, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
-    """Console preview, not truncated (no checkpoint)."""
-    writer = df.writeStream.format("console").option("truncate", False).outputMode(mode)
-    return _trigger(writer, trigger).start()
+    """Rows printed as they come (no checkpoint)."""
+    return _trigger(df.writeStream.foreachBatch(print_rows).outputMode(mode), trigger).start()
+
+
+def compact_features(spark: SparkSession, path: str, into: str, files_per_date: int = 1) -> None:
+    """Rewrite a feature folder with ``files_per_date`` files per ``window_date`` (a stream leaves one per task and batch).
+
+    The result goes to a new folder, so readers of the old one are not
+    disturbed; a date is spread by driver, so no date meets in one task when
+    more files are asked for.
+    """
+    table = spark.read.parquet(path)
+    part = F.pmod(F.xxhash64("driver_id", "window_start"), F.lit(files_per_date))
+    table.repartition(F.col("window_date"), part).write.partitionBy("window_date").parquet(into)
 
 
 def start_alerts(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> StreamingQuery:
@@ -156,6 +185,7 @@ def start_window_decisions(spark, cfg: JobConfig, sinks: StreamSinks, trigger=No
 
 def run_features_job(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> list[StreamingQuery]:
     """Alerts, tumbling features to parquet, sliding preview; optional event preview and feature topic."""
+    use_rocksdb(spark)
     queries = [start_alerts(spark, cfg, sinks, trigger), start_features(spark, cfg, trigger)]
     if cfg.show_console:
         queries.append(preview(E.event_preview(flagged_stream(spark, cfg)), "append", trigger))
@@ -166,6 +196,7 @@ def run_features_job(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) ->
 
 
 def run_decisions_job(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> list[StreamingQuery]:
+    use_rocksdb(spark)
     queries = [start_event_decisions(spark, cfg, sinks, trigger), start_window_decisions(spark, cfg, sinks, trigger)]
     if cfg.show_console:
         flagged = flagged_stream(spark, cfg, with_incident=True)
@@ -206,6 +237,7 @@ def start_stateless_fanout(spark, cfg: JobConfig, sinks: StreamSinks, trigger=No
 
 def run_combined_job(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> list[StreamingQuery]:
     """Both jobs in one session with three reads of the topic: stateless fan-out, tumbling features, window decisions."""
+    use_rocksdb(spark)
     return [
         start_stateless_fanout(spark, cfg, sinks, trigger),
         start_features(spark, cfg, trigger),
@@ -251,6 +283,3 @@ def with_paths(cfg: JobConfig, root: str, source_path: str, source_format: str =
         source_path=source_path,
     )
 
-
-DEFAULT_TRIGGER = {"availableNow": True}
-WATERMARK = C.WATERMARK

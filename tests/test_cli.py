@@ -17,7 +17,7 @@ def test_train_score_lookup(spark, capsys):
     feats.write.parquet(f"{root}/features")
     cli.main(["train", "--features-path", f"{root}/features", "--output-dir", f"{root}/outputs",
               "--model-path", f"{root}/model", "--model", "rate"])
-    coef = spark.read.option("header", True).csv(f"{root}/outputs/glm_coefficients")
+    coef = spark.read.option("header", True).csv(f"{root}/outputs/glm_coefficients.csv")
     assert coef.count() == 7
     for _ in range(2):
         cli.main(["score", "--features-path", f"{root}/features", "--model-path", f"{root}/model",
@@ -49,3 +49,13 @@ def test_streams_command_replays_a_message_folder(spark):
     assert spark.read.parquet(f"{root}/topics/telematics_alerts/alerts").count() == 2
     # watermark = 00:03:10 - 30 s: the windows ending at 00:01 and 00:02 are closed and written
     assert spark.read.parquet(f"{root}/features/tumbling_1m").count() == 2
+
+
+def test_rolling_writes_both_kinds_of_decisions_and_derives_the_sequence(spark):
+    from roadlens.plans.fixture import raw_events
+
+    root = scratch_path(spark, "cli-rolling")
+    raw_events(spark, SF001).drop("event_no", "event_ms", "event_time_ts").write.parquet(f"{root}/events")
+    cli.main(["rolling", "--events-path", f"{root}/events", "--output", f"{root}/out"])
+    kinds = {r["decision_source"]: r["count"] for r in spark.read.json(f"{root}/out").groupBy("decision_source").count().collect()}
+    assert len(kinds) == 2 and min(kinds.values()) > 0

@@ -117,14 +117,63 @@ def test_stateless_fanout_equals_separate_queries(spark):
     assert [json.loads(r["value"])["decision_type"] for r in decisions.collect()] == ["CHECK_DRIVER_STATUS"]
 
 
-def test_console_preview_runs_without_checkpoint_option(spark):
+def test_preview_prints_every_row(spark, capsys):
     from roadlens.operators import events as E
 
     cfg, _ = _setup(spark, "console")
     _write_batch(spark, cfg.source_path, ["2026-01-01T00:00:10.000Z"], "a")
     q = J.preview(E.event_preview(J.flagged_stream(spark, cfg)), "append", TRIGGER)
     J.run_until_done([q])
-    assert q.lastProgress["numInputRows"] == 1
+    assert [json.loads(line)["event_id"] for line in capsys.readouterr().out.splitlines() if line.startswith("{")] == ["a0"]
+
+
+def test_window_state_lives_in_rocksdb(spark):
+    cfg, sinks = _setup(spark, "rocksdb")
+    _write_batch(spark, cfg.source_path, [f"2026-01-01T00:0{m}:10.000Z" for m in range(4)], "a")
+    queries = J.run_decisions_job(spark, cfg, sinks, TRIGGER)
+    J.run_until_done(queries)
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert any("rocksdb" in k.lower() for q in queries for s in q.lastProgress["stateOperators"] for k in s["customMetrics"])
+
+
+def test_rate_limit_cuts_a_backlog_into_batches(spark):
+    from dataclasses import replace
+
+    cfg, sinks = _setup(spark, "rate")
+    for i in range(3):
+        _write_batch(spark, cfg.source_path, ["2026-01-01T00:00:10.000Z"], f"b{i}")
+    files = len([f for f in spark.read.parquet(cfg.source_path).inputFiles()])
+    q = J.start_event_decisions(spark, replace(cfg, max_per_trigger=1), sinks, TRIGGER)
+    J.run_until_done([q])
+    assert q.lastProgress["batchId"] >= files - 1
+
+
+def test_compaction_keeps_rows_and_leaves_few_files(spark):
+    cfg, _ = _setup(spark, "compact")
+    for i in range(3):
+        _write_batch(spark, cfg.source_path, [f"2026-01-01T00:{10 * i + m}:10.000Z" for m in range(5)], f"c{i}")
+        J.run_until_done([J.start_features(spark, cfg, TRIGGER)])
+    path, into = f"{cfg.output_dir}/tumbling_1m", f"{cfg.output_dir}/compact"
+    J.compact_features(spark, path, into)
+    before, after = spark.read.parquet(path), spark.read.parquet(into)
+    assert len(after.inputFiles()) == 1 <= len(before.inputFiles())
+    assert before.exceptAll(after.select(before.columns)).count() == 0 and before.count() == after.count()
+
+
+def test_decisions_can_be_followed(spark, capsys):
+    from roadlens import cli
+    from roadlens.sources import io as IO
+
+    path = scratch_path(spark, "follow")
+    rows = [("D1", json.dumps({"driver_id": f"D{i}", "decision_type": "SEND_SAFETY_NUDGE"})) for i in range(60)]
+    spark.createDataFrame(rows, "key string, value string").write.parquet(path)
+    for mode in ("--available-now", "--from-beginning"):
+        cli.main(["consume", "--source-path", path, mode])
+        seen = [json.loads(line)["driver_id"] for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+        assert sorted(seen) == sorted(f"D{i}" for i in range(60))
+    assert IO.read_decisions_stream(spark, JobConfig(), path).isStreaming
+    options = IO.decision_source_options(JobConfig(), "latest")
+    assert options["startingOffsets"] == "latest" and options["subscribe"] == "driver_interventions"
 
 
 def test_read_decisions_keeps_null_keys_and_decodes_both_payloads(spark):
