@@ -6,8 +6,9 @@ rolling hash over its own word numbers, and every hash hit is verified word
 by word, so hash collisions never count.
 
 The window set is broadcast in blocks of items of bounded size: one block
-for a usual benchmark, several scans (combined per row) for a huge one.  Texts
-are never shuffled.
+for a usual benchmark.  A huge one takes several scans of ``BLOCKS_PER_SCAN``
+blocks; what a scan found is written with its rows before the next one, so a
+task never holds more than one scan's blocks.  Texts are never shuffled.
 
 Edge cases: null and word-free texts have no words and are clean.  Items
 without a word are ignored; items with equal windows all count; rows that
@@ -27,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_TABLE
+from .common import LOWER_TABLE, write_table
 
 WINDOW = 13
 #: In UTF-8, characters above 0x7F are the bytes above 0x7F.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-#: Most bytes of item text in one broadcast window set.
-BLOCK_BYTES = 16 << 20
+#: Bytes of item text in one broadcast window set (its windows take some fifty times as much).
+BLOCK_BYTES = 4 << 20
+BLOCKS_PER_SCAN = 4
 BASE = np.uint64(0x9E3779B97F4A7C15)
 ABSENT = -1
 
@@ -137,7 +139,9 @@ def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("body"))
     blocks = window_blocks(benchmark, window, block_bytes)
     parts = [f"s{i}" for i in range(len(blocks))]
-    for name, block in zip(parts, blocks):
+    for i, (name, block) in enumerate(zip(parts, blocks)):
+        if i and i % BLOCKS_PER_SCAN == 0:
+            out = write_table(out, "scanned")
         out = out.withColumn(name, scanner(docs, block)(F.col("body")))
     join = lambda field: F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{p}.{field}") for p in parts]))))
     return out.select("row", F.col(f"{parts[0]}.n_words").alias("n_words"), join("hits").alias("hits"), join("items").alias("items"))

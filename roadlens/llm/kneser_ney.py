@@ -11,9 +11,11 @@ is preceded by ``ORDER - 1`` begin tokens.  An n-gram is one 64-bit word.
    they are shuffled.  Sharded joins with the count tables of each order, by
    (language, n-gram), (language, context) and (language, suffix), give the
    log-probability of each n-gram that any document asks for.
-4. These answers are cut into shards of at most ``SHARD_ROWS`` rows.  Each is
-   broadcast (its size is bounded) and texts are scored where they lie: one
-   scan for up to ``SHARDS_PER_SCAN`` shards, more scans beyond, sums per row.
+4. Texts are dealt into batches of about ``BATCH_BYTES`` (by a hash, so no batch
+   is hot), compressed, in one shuffle.  A batch asks for its distinct n-grams
+   once, a join with the answers by (language, n-gram) fetches them, and the
+   batch meets its own answers in a cogroup, where its texts are scored.  The
+   model itself never passes through the driver or one task.
 5. Perplexity is per byte.  A document is kept if it lies between two quantiles
    of the trusted documents of its language.  These come from a fifth of the
    trusted documents that the model never saw (by a hash of the id); its own
@@ -36,6 +38,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import BinaryType
 
 from .common import drop_table, small_side, write_table
 
@@ -49,8 +53,9 @@ LOW_QUANTILE, HIGH_QUANTILE = 0.002, 0.98
 PIECE_BYTES = 2 << 20
 #: Distinct n-grams that a task holds before it hands on its partial counts.
 FLUSH_GRAMS = 1_000_000
-SHARD_ROWS = 2_000_000
-SHARDS_PER_SCAN = 8
+#: Bytes of text of one scoring batch; a longer text is a batch of its own size.
+BATCH_BYTES = 32 << 20
+CODEC = "zstd"
 
 
 def suffix(gram: Column, order: int) -> Column:
@@ -193,66 +198,81 @@ def log_probabilities(trusted: DataFrame, texts: DataFrame) -> DataFrame:
 
 # ---- scoring
 
-def _shard(logs: DataFrame, i: int, n: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """lang -> (sorted n-grams, log-probabilities) of one shard."""
-    rows = logs.filter(F.pmod(F.xxhash64("lang", "gram"), F.lit(n)) == i).toArrow()
-    out = {}
-    langs = rows["lang"].combine_chunks().dictionary_encode()
-    codes = langs.indices.to_numpy()
-    keys, values = rows["gram"].to_numpy(), rows["logp"].to_numpy()
-    for code, lang in enumerate(langs.dictionary.to_pylist()):
-        at = np.flatnonzero(codes == code)
-        at = at[np.argsort(keys[at])]
-        out[lang] = (keys[at], values[at])
-    return out
-
-
-def scorer(docs: DataFrame, shard: dict):
-    """Arrow function (lang, text) -> sum of the log-probabilities that the shard holds; null without a model."""
-    shared = docs.sparkSession.sparkContext.broadcast(shard)
-
-    @F.arrow_udf("double")
-    def score(langs: pa.Array, texts: pa.Array) -> pa.Array:
-        sums = np.zeros(len(texts))
-        for lang, at, bodies in _by_language(pa.RecordBatch.from_arrays([langs, texts], ["lang", "text"])):
-            keys, values = shared.value.get(lang, (np.empty(0, np.int64), np.empty(0, np.float32)))
-            if not len(keys):
+def _pack(texts: pa.Array) -> pa.Array:
+    codec = pa.Codec(CODEC)
+    return pa.array([None if t is None else codec.compress(t, asbytes=True) for t in texts.to_pylist()], pa.binary())
+
+
+def _unpack(sizes: list[int], packed: list[bytes | None]) -> list[bytes | None]:
+    codec = pa.Codec(CODEC)
+    return [codec.decompress(p, n, asbytes=True) if n else b"" for n, p in zip(sizes, packed)]
+
+
+def _asked_by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by batch -> (batch, lang, gram): the distinct n-grams of each batch and language."""
+    now, seen = None, {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, keys in seen.items():
+            yield pa.RecordBatch.from_arrays([pa.array([now] * len(keys), pa.int64()), pa.array([lang] * len(keys)), pa.array(keys)], ["batch", "lang", "gram"])
+        seen.clear()
+
+    for rows in batches:
+        numbers = rows.column("batch").to_numpy()
+        cuts = np.flatnonzero(np.diff(numbers)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(numbers)]):
+            if now is not None and numbers[lo] != now:
+                yield from flush()
+            now = int(numbers[lo])
+            part = rows.slice(lo, hi - lo)
+            texts = pa.array(_unpack(part.column("n_bytes").to_pylist(), part.column("packed").to_pylist()), pa.binary())
+            for lang, _, bodies in _by_language(pa.RecordBatch.from_arrays([part.column("lang"), texts], ["lang", "text"])):
+                for piece in pieces(bodies):
+                    keys = pc.unique(pa.array(grams(piece))).to_numpy()
+                    seen[lang] = np.union1d(seen[lang], keys) if lang in seen else np.sort(keys)
+    if now is not None:
+        yield from flush()
+
+
+def _scorer(id_type: pa.DataType):
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        """One batch: its texts and the answers to what they ask; sums of log-probabilities per text."""
+        bodies = pa.array(_unpack(texts["n_bytes"].to_pylist(), texts["packed"].to_pylist()), pa.binary())
+        langs = texts["lang"].combine_chunks()
+        known = np.array(answers["lang"].to_pylist(), object)
+        gram, logp = answers["gram"].to_numpy(), answers["logp"].to_numpy()
+        sums = np.zeros(len(bodies))
+        for lang, at, some in _by_language(pa.RecordBatch.from_arrays([langs, bodies], ["lang", "text"])):
+            mine = np.flatnonzero(known == lang)
+            if not len(mine):
                 continue
-            for piece in pieces(bodies):
+            mine = mine[np.argsort(gram[mine])]
+            keys, values = gram[mine], logp[mine].astype(np.float64)
+            for piece in pieces(some):
                 words = pa.array(grams(piece)).dictionary_encode()
-                distinct = words.dictionary.to_numpy()
-                place = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
-                logp = np.where(keys[place] == distinct, values[place], 0.0).astype(np.float64)
+                found = values[np.searchsorted(keys, words.dictionary.to_numpy())]
                 starts = np.cumsum([0] + [len(body) for _, _, body in piece])[:-1]
                 rows = np.array([at[row] for row, _, _ in piece])
-                np.add.at(sums, rows, np.add.reduceat(logp[words.indices.to_numpy()], starts))
-        return pa.array(sums)
+                np.add.at(sums, rows, np.add.reduceat(found[words.indices.to_numpy()], starts))
+        return pa.table({"doc_id": texts["doc_id"].cast(id_type), "lang": texts["lang"], "n_bytes": texts["n_bytes"], "log_sum": pa.array(sums)})
 
     return score
 
 
-def text_scores(docs: DataFrame, logs: DataFrame, shard_rows: int = SHARD_ROWS, shards_per_scan: int = SHARDS_PER_SCAN) -> DataFrame:
-    """(doc_id, lang, n_bytes, log_sum) of every row of ``docs(doc_id, lang, text)``; ``text`` is binary."""
-    n = max(1, -(-logs.count() // shard_rows))
-    scans = []
-    for first in range(0, n, shards_per_scan):
-        some = range(first, min(first + shards_per_scan, n))
-        parts = [scorer(docs, _shard(logs, i, n))(F.col("lang"), F.col("text")) for i in some]
-        total = parts[0]
-        for p in parts[1:]:
-            total = total + p
-        size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-        own = [] if n <= shards_per_scan else [F.sha2(F.coalesce(F.col("text"), F.lit(b"")), 256).alias("own")]
-        scans.append(docs.select("doc_id", "lang", size, total.alias("log_sum"), *own))
-    if len(scans) == 1:
-        return scans[0]
-    parts = scans[0].withColumn("copies", F.lit(1))
-    for scan in scans[1:]:
-        parts = parts.unionByName(scan.withColumn("copies", F.lit(0)))
-    sums = parts.groupBy("doc_id", "lang", "n_bytes", "own").agg(F.sum("log_sum").alias("log_sum"), F.sum("copies").alias("copies"))
-    # rows that repeat id and text were summed together
-    sums = sums.withColumn("log_sum", F.col("log_sum") / F.col("copies"))
-    return sums.select("doc_id", "lang", "n_bytes", "log_sum", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")
+def text_scores(docs: DataFrame, logs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """(doc_id, lang, n_bytes, log_sum) of every row of ``docs(doc_id, lang, text)``; ``text`` is binary; 0 without a model."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(1, -(-total // batch_bytes))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch")
+    # both uses below read this one shuffle
+    dealt = docs.select("doc_id", "lang", size, batch, F.arrow_udf(_pack, BinaryType())("text").alias("packed")).repartition("batch").sortWithinPartitions("batch")
+    asked = dealt.mapInArrow(_asked_by_batch, "batch long, lang string, gram long")
+    answers = asked.join(logs, ["lang", "gram"]).select("batch", "lang", "gram", "logp")
+    id_type = docs.schema["doc_id"].dataType
+    return dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+        _scorer(to_arrow_type(id_type)), f"doc_id {id_type.simpleString()}, lang string, n_bytes long, log_sum double"
+    )
 
 
 def good_documents(labels: DataFrame) -> DataFrame:
@@ -263,14 +283,14 @@ def good_documents(labels: DataFrame) -> DataFrame:
     return write_table(marks.filter("fine").select(F.col("doc_id").alias("good_id")).withColumn("unseen", unseen), "good_documents")
 
 
-def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE, **shards) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """One row per input row: doc_id, lang, perplexity, low and high (the bounds of its language), kept."""
     rows = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     good = good_documents(labels)
     n_good = good.count()
     trusted = rows.filter(F.octet_length("text") > 0).join(small_side(good.filter("NOT unseen"), 16, n_good), F.col("doc_id") == F.col("good_id"))
     logs = log_probabilities(trusted.select("lang", "text"), rows.select("lang", "text"))
-    scores = text_scores(rows, logs, **shards)
+    scores = text_scores(rows, logs, batch_bytes)
     judged = F.when((F.col("n_bytes") > 0) & (F.col("log_sum") < 0), F.exp(-F.col("log_sum") / F.col("n_bytes")))
     scores = write_table(scores.select("doc_id", "lang", "n_bytes", judged.alias("perplexity")), "perplexities")
     reference = scores.join(small_side(good.filter("unseen"), 16, n_good), F.col("doc_id") == F.col("good_id"), "left_semi").filter("perplexity IS NOT NULL")
