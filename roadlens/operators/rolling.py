@@ -9,10 +9,10 @@ events of a driver are cut into *chunks* of at most ``chunk_size`` rows:
 * a running sum over a driver's buckets merges neighbouring buckets until
   half a chunk is full.  A driver with few rows in every bucket still gets
   full chunks, and an ordinary driver gets a single one;
-* only chunks after a driver's first are listed, so the list that the events
-  are joined with has at most ``2 * rows / chunk_size`` chunks, none if no driver
-  is hot.  The join is a plain equi-join (null-safe: events without a driver
-  are a key like any other) whose strategy is left to the optimizer.
+* only drivers that need several chunks are listed, so the list that the events
+  are joined with has at most ``2 * rows / chunk_size`` chunks and is empty if no
+  driver is hot.  The join is a plain equi-join (events without a driver are a
+  key like any other) whose strategy is left to the optimizer.
 
 A frame of the last N events may reach back into the driver's earlier chunk,
 so each later chunk receives a *halo*: the N-1 events just before its first
@@ -21,7 +21,7 @@ row.  Those are always among the last N-1 rows of the earlier chunks
 ``rowsBetween(-(N-1), 0)`` frame per (driver, chunk) gives exact results; halo
 rows are then dropped.  The next event of the same driver (how long a buffer
 state stays current) is ``lead`` inside a chunk, and for its last row the first
-row of the driver's next chunk.
+row of the driver's next chunk, which the list of chunks knows.
 
 There is one plan for every size of data; nothing is counted while it is built.
 """
@@ -64,35 +64,46 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def chunk_starts(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
-    """(driver_id, bucket, chunk) of the buckets that belong to a driver's second or later chunk."""
+def _key() -> Column:
+    """The driver as a key that is never null (events without a driver are a key like any other)."""
+    return F.struct(F.col("driver_id").isNull().alias("none"), F.coalesce("driver_id", F.lit("")).alias("id"))
+
+
+def hot_chunks(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
+    """(_driver, _bucket, _chunk, _next_first) of every bucket of the drivers that need more than one chunk.
+
+    ``_next_first`` is the first event number of the driver's next chunk.
+    """
     half = max(1, chunk_size // 2)
-    sizes = df.groupBy("driver_id", F.expr(f"CAST({seq} AS BIGINT) div {half}").alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("driver_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    chunk = F.expr(f"coalesce(_before, 0L) div {half}")
-    chunked = sizes.withColumn("_before", F.sum("_n").over(before)).select(F.col("driver_id").alias("_driver"), "_bucket", chunk.alias("_chunk"))
-    return chunked.filter(F.col("_chunk") > 0)
+    sizes = df.groupBy(_key().alias("_driver"), F.expr(f"CAST({seq} AS BIGINT) div {half}").alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_first")
+    )
+    driver = Window.partitionBy("_driver")
+    before = driver.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    chunked = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_chunk", F.expr(f"_before div {half}"))
+    # a bucket has at most half a chunk, so the chunks of a driver are numbered without gaps
+    following = driver.orderBy("_chunk").rangeBetween(1, 1)
+    chunked = chunked.withColumns({"_next_first": F.min("_first").over(following), "_last": F.max("_chunk").over(driver)})
+    return chunked.filter(F.col("_last") > 0).select("_driver", "_bucket", "_chunk", "_next_first")
 
 
 def assign_chunks(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
-    """``df`` with ``_chunk``: 0 for a driver's first ``chunk_size`` rows or so, then counted on; at most ``chunk_size`` rows each."""
+    """``df`` with ``_driver`` (the key), ``_chunk`` (at most ``chunk_size`` rows each; null for drivers of a single chunk) and ``_next_first``."""
     half = max(1, chunk_size // 2)
-    starts = chunk_starts(df, seq, chunk_size)
-    here = F.expr(f"CAST({seq} AS BIGINT) div {half}")
-    rows = df.withColumn("_at", here).join(starts, F.col("driver_id").eqNullSafe(F.col("_driver")) & (F.col("_at") == F.col("_bucket")), "left")
-    return rows.withColumn("_chunk", F.coalesce("_chunk", F.lit(0).cast("long"))).drop("_at", "_driver", "_bucket")
+    rows = df.withColumns({"_driver": _key(), "_bucket": F.expr(f"CAST({seq} AS BIGINT) div {half}")})
+    return rows.join(hot_chunks(df, seq, chunk_size), ["_driver", "_bucket"], "left").drop("_bucket")
 
 
-def _halo(base: DataFrame, hot: DataFrame, n: int, seq: str) -> DataFrame:
+def _halo(base: DataFrame, n: int, seq: str) -> DataFrame:
     """For the later chunks of drivers with several: the n-1 rows of the driver just before each (``_home`` false)."""
-    hot_rows = base.join(hot, F.col("driver_id").eqNullSafe(F.col("_hot_driver")), "left_semi")
+    hot_rows = base.filter(F.col("_chunk").isNotNull())
     # Last n-1 rows of each chunk: row_number <= n-1 plans as a WindowGroupLimit, whose partial step runs
     # before the shuffle, so at most n-1 rows per (driver, chunk) and map task are shuffled here.
-    per_chunk_desc = Window.partitionBy("driver_id", "_chunk").orderBy(F.col(seq).desc())
+    per_chunk_desc = Window.partitionBy("_driver", "_chunk").orderBy(F.col(seq).desc())
     tails = hot_rows.withColumn("_k", F.row_number().over(per_chunk_desc)).filter(F.col("_k") <= n - 1).drop("_k")
     # Over a driver's tails ((n-1) rows per full chunk), a tail row belongs to the halo of every chunk whose
     # first tail row is one of the next n-1 tail rows.
-    per_driver = Window.partitionBy("driver_id").orderBy(seq)
+    per_driver = Window.partitionBy("_driver").orderBy(seq)
     prev_chunk = F.lag("_chunk").over(per_driver)
     tails = tails.withColumn("_starts", prev_chunk.isNull() | (prev_chunk != F.col("_chunk")))
     targets = F.array(*[F.when(F.lead("_starts", j).over(per_driver), F.lead("_chunk", j).over(per_driver)) for j in range(1, n)])
@@ -114,13 +125,11 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
     ``phone_usage_count`` and ``next_seq`` (the driver's next event number, null
     for its last event).  ``chunk_size`` bounds the rows of one partition.
     """
-    chunk_size = chunk_size or DEFAULT_CHUNK
-    base = assign_chunks(df.withColumns(_measures()), seq, chunk_size)
-    hot = chunk_starts(df, seq, chunk_size).select(F.col("_driver").alias("_hot_driver")).distinct()
+    base = assign_chunks(df.withColumns(_measures()), seq, chunk_size or DEFAULT_CHUNK)
     rows = base.withColumn("_home", F.lit(True))
     if n > 1:
-        rows = rows.unionByName(_halo(base, hot, n, seq).select(*rows.columns))
-    part = Window.partitionBy("driver_id", "_chunk").orderBy(seq)
+        rows = rows.unionByName(_halo(base, n, seq).select(*rows.columns))
+    part = Window.partitionBy("_driver", "_chunk").orderBy(seq)
     frame = part.rowsBetween(-(n - 1), 0)
     rolled = rows.withColumns(
         {
@@ -129,17 +138,11 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
             "risk_event_count": F.sum("m_risk").over(frame).cast("long"),
             "risk_score_window": F.sum("m_score").over(frame).cast("long"),
             "phone_usage_count": F.sum("m_phone").over(frame).cast("long"),
-            "_lead": F.lead(seq).over(part),
+            # after the last row of a chunk comes the first row of the driver's next chunk
+            "next_seq": F.coalesce(F.lead(seq).over(part), F.col("_next_first")),
         }
-    ).filter(F.col("_home"))
-    # Last row of a chunk: its next event is the first row of the driver's next chunk.
-    hot_base = base.select("driver_id", "_chunk", seq).join(hot, F.col("driver_id").eqNullSafe(F.col("_hot_driver")), "left_semi")
-    firsts = hot_base.groupBy("driver_id", "_chunk").agg(F.min(seq).alias("_first"))
-    following = F.lead("_first").over(Window.partitionBy("driver_id").orderBy("_chunk"))
-    nxt = firsts.select(F.col("driver_id").alias("_d"), F.col("_chunk").alias("_c"), following.alias("_next_first"))
-    out = rolled.join(nxt, F.col("driver_id").eqNullSafe(F.col("_d")) & (F.col("_chunk") == F.col("_c")), "left")
-    out = out.withColumn("next_seq", F.coalesce(F.col("_lead"), F.col("_next_first")))
-    return out.drop("_lead", "_next_first", "_d", "_c", "_chunk", "_home", *_measures().keys())
+    )
+    return rolled.filter(F.col("_home")).drop("_next_first", "_driver", "_chunk", "_home", *_measures().keys())
 
 
 def rolling_decision_columns() -> dict[str, Column]:

@@ -106,7 +106,7 @@ def test_chunks_are_full_and_bounded(spark):
     rows = _events(600)
     df = spark.createDataFrame(rows)
     tagged = RL.assign_chunks(df, "event_no", 100).groupBy("driver_id", "_chunk").count().collect()
-    sizes = {(r["driver_id"], r["_chunk"]): r["count"] for r in tagged}
+    sizes = {(r["driver_id"], r["_chunk"]): r["count"] for r in tagged}  # the chunk is null for a driver of one chunk
     assert max(sizes.values()) <= 100 and sum(sizes.values()) == 600
     per_driver = {d: sum(n for (x, _), n in sizes.items() if x == d) for d, _ in sizes}
     for driver, n in per_driver.items():  # neighbouring buckets are merged until half a chunk is full
