@@ -128,9 +128,10 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, min_dice:
     rare, anchors = signature(sets, min_dice)
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     texts = texts.filter(F.arrays_overlap(words_of(F.col("text")), F.array(*[F.lit(w) for w in anchors])))
-    lines = texts.select("doc_id", F.posexplode(F.split("text", r"\r\n|\r|\n")).alias("line", "unit"))
-    whole = texts.filter(F.col("text").rlike(r"[\r\n]")).select("doc_id", F.lit(-1).alias("line"), F.col("text").alias("unit"))
-    units = lines.unionByName(whole).select("doc_id", (F.col("line") + 1).alias("line"), bigrams(words_of(F.col("unit"))).alias("have"))
+    lines = F.split("text", r"\r\n|\r|\n")
+    whole = F.when(F.size(lines) > 1, F.col("text"))  # line 0
+    units = texts.select("doc_id", F.posexplode(F.concat(F.array(whole), lines)).alias("line", "unit")).filter("unit IS NOT NULL")
+    units = units.select("doc_id", "line", bigrams(words_of(F.col("unit"))).alias("have"))
     units = units.filter((F.size("have") > 0) & (F.size("have") <= largest))
     units = units.filter(F.arrays_overlap("have", F.array(*[F.lit(b) for b in rare])))
     rows = [F.struct(F.lit(name).alias("license"), F.array(*[F.lit(b) for b in sorted(s)]).alias("want")) for name, s in sets.items()]
