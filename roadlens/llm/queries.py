@@ -112,6 +112,32 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON d.doc_id = best
 """
 
 
+def _packing_sql(buckets: int = packing.BUCKETS, budget: int = packing.TOKEN_BUDGET) -> str:
+    """The dynamic programme, one step per bucket (for tables with at least that many distinct lengths)."""
+    digits = packing.BIN_DIGITS
+    steps = "d1 AS (SELECT j, struct_pack(v := total * longest, i := 0) AS s FROM h)"
+    for k in range(2, buckets + 1):
+        steps += f""",
+d{k} AS (SELECT h.j AS j, min(struct_pack(v := p.s.v + (h.total - q.total) * h.longest, i := p.j)) AS s
+    FROM h JOIN d{k - 1} p ON p.j < h.j JOIN h q ON q.j = p.j GROUP BY h.j)"""
+    back = f"b{buckets} AS (SELECT max(j) AS j FROM h)"
+    for k in range(buckets - 1, 0, -1):
+        back += f", b{k} AS (SELECT d.s.i AS j FROM d{k + 1} d JOIN b{k + 1} b ON d.j = b.j)"
+    uppers = " UNION ALL ".join(f"SELECT longest FROM h JOIN b{k} USING (j)" for k in range(1, buckets + 1))
+    return rf"""
+WITH t AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n FROM documents),
+bins AS (
+    SELECT max(n) AS longest, count(*) AS c FROM t
+    GROUP BY CASE WHEN n < {1 << digits} THEN n ELSE (n >> (len(bin(n)) - {digits})) << (len(bin(n)) - {digits}) END
+), h AS (SELECT row_number() OVER w AS j, longest, CAST(sum(c) OVER w AS BIGINT) AS total FROM bins WINDOW w AS (ORDER BY longest)),
+{steps}, {back}, u AS ({uppers}),
+r AS (
+    SELECT doc_id, n, (SELECT CAST(count(*) + 1 AS INTEGER) FROM u WHERE u.longest < n) AS bucket, (SELECT min(u.longest) FROM u WHERE u.longest >= n) AS bucket_tokens FROM t
+), p AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1 AS place, greatest(1, {budget} // greatest(bucket_tokens, 1)) AS capacity FROM r)
+SELECT doc_id, n AS n_tokens, bucket, bucket_tokens, place // capacity AS batch, place % capacity AS slot FROM p
+"""
+
+
 def _shrunk(groups: str) -> str:
     """SQL of one shrinkage level: ``groups`` has bad, n, parent and weight; adds rate, pages and bound."""
     low, high = url_reputation.STRENGTH
@@ -154,6 +180,7 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hw ON d.doc_id = hw.doc_id LEFT JOIN it ON d.doc_id = it.doc_id
 """,
+    "op6_packing": _packing_sql(),
     "op9_exact_dedup": f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, digest AS text_sha256
 FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS digest FROM documents)
