@@ -51,8 +51,10 @@ SIDE_NAMES = frozenset(
     "notices alert popup modal overlay newsletter subscribe subscription paywall nav navbar navigation menu menus topnav subnav breadcrumb breadcrumbs crumbs sidebar "
     "rail widget widgets related recommended recommendations trending footer foot header masthead topbar toolbar comment comments commentlist disqus reply replies "
     "respond responses discussion share sharing social login signin signup register search searchbox pagination pager paginator toc skip copyright legal disclaimer "
-    "outbrain taboola teaser hidden".split()
+    "outbrain taboola teaser hidden adbox adslot adunit adsense announcement warning toast offcanvas megamenu dropdown sidenav navmenu colophon".split()
 )
+#: Beginnings of longer names of the same kind.
+SIDE_STEMS = ("advert", "breadcrumb", "cookie", "footer", "newsletter", "sidebar", "sponsor", "subscri")
 #: A name with one of these tells how the page is laid out, not what the element is.
 LAYOUT_NAMES = frozenset("has with no without layout".split())
 MAIN_NAMES = frozenset("article articlebody post entry story".split())
@@ -90,7 +92,7 @@ def _kind(tag: str, attributes: str) -> int:
             return -1
         if tag not in ("html", "body"):
             names = {p.lower() for p in NAME_PART.findall(found.get("class", "") + " " + found.get("id", ""))}
-            if names & SIDE_NAMES and not names & LAYOUT_NAMES:
+            if (names & SIDE_NAMES or any(n.startswith(SIDE_STEMS) for n in names)) and not names & LAYOUT_NAMES:
                 return -1
             if role in ("main", "article") or (names & MAIN_NAMES and tag in ("div", "section", "td")):
                 return 1
