@@ -4,14 +4,17 @@ Texts are equal when identical after lower-casing A-Z; the row with the
 largest document id stays.  Only DataFrame functions, no Python in tasks.
 
 1. ``digests``: one scan of the texts writes (doc_id, digest, row_no).
-2. ``heavy_winners``: ``approx_top_k`` (a mergeable Misra-Gries summary of
-   ``counters`` counters, one per task, merged) names the digests that can
-   hold more than ``rows / counters`` rows.  The named digests are counted
-   again exactly; what the summary overestimated falls out.  At most
-   ``candidates`` rows stay, so their broadcast has a fixed bound.
+2. ``heavy_winners``: Spark's ``approx_top_k`` functions (a mergeable
+   Misra-Gries summary with ``counters`` counters) summarise 64-bit hashes of
+   the digests per task, merge the summaries in ``MERGE_GROUPS`` groups and
+   those in one, so the last task reads a fixed number of them.  The
+   ``candidates`` most frequent are counted again exactly by their digests;
+   what the summary overestimated, or a hash threw together, falls out.  The
+   broadcast of the winners has a fixed bound.
 3. ``assign``: rows of heavy digests meet their winner in a broadcast join
-   and never shuffle.  All other groups are below ``rows / counters`` rows and
-   meet in one window over the digest.
+   and never shuffle.  Every other group is smaller than each of the
+   candidates (so below about ``rows / candidates``, within the summary's error
+   of ``rows / counters``) and meets in one window over the digest.
 
 Edge cases: a null text counts as the empty text.  A null id loses against
 any other id.  Rows that repeat the same id and text are copies of each
@@ -27,10 +30,11 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, text_digest, without_rows, write_table
 
-#: Counters of the Misra-Gries summary: every digest above rows / COUNTERS rows is found.
-COUNTERS = 10_000
-#: Most digests taken from the summary, and so most rows of the broadcast winners.
-CANDIDATES = 1_000
+#: Counters of the Misra-Gries summary: its counts are off by rows / COUNTERS at most.
+COUNTERS = 32_768
+#: Digests taken from the summary, and so most rows of the broadcast winners.
+CANDIDATES = 4_096
+MERGE_GROUPS = 128
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own: bool = False) -> DataFrame:
@@ -44,10 +48,16 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own
 
 def heavy_winners(rows: DataFrame, counters: int = COUNTERS, candidates: int = CANDIDATES) -> DataFrame:
     """Written table (digest, n, winner) of the verified frequent digests; at most ``candidates`` rows."""
-    summary = rows.agg(F.expr(f"approx_top_k(digest, {int(candidates)}, {int(counters)})").alias("top"))
-    named = summary.select(F.explode("top").alias("t")).select(F.col("t.item").alias("digest"))
+    mark = F.xxhash64("digest")
+    summarise = F.expr(f"approx_top_k_accumulate(mark, {int(counters)})").alias("summary")
+    marks = rows.select(mark.alias("mark"), (F.spark_partition_id() % MERGE_GROUPS).alias("part"))
+    parts = marks.groupBy("part").agg(summarise).select("summary")
+    parts = parts.union(marks.filter(F.lit(False)).agg(summarise))  # an empty table has a summary too
+    whole = parts.agg(F.expr(f"approx_top_k_combine(summary, {int(counters)})").alias("summary"))
+    named = whole.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {int(candidates)})")).alias("t")).select(F.col("t.item").alias("mark"))
     exact = (
-        rows.join(F.broadcast(named), "digest", "left_semi")
+        rows.withColumn("mark", mark)
+        .join(F.broadcast(named), "mark", "left_semi")
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("doc_id", "row_no")).alias("winner"))
         .filter(F.col("n") > 1)
