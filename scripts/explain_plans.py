@@ -17,14 +17,13 @@ from roadlens.operators import reports as R  # noqa: E402
 from roadlens.operators import rolling as RL  # noqa: E402
 from roadlens.plans import REGISTRY  # noqa: E402
 from roadlens.plans import inputs as I  # noqa: E402
-from roadlens.session import build_session  # noqa: E402
+from roadlens.session import build_session, materialize  # noqa: E402
 
 NOTES = {
     "features_tumbling_1m": "One scan of 3 of the 6 source columns, one codegen'd projection, partial HashAggregate, one Exchange hashed on (driver_id, window), final HashAggregate.",
     "features_sliding_5m": "As above with an Expand (5 windows per row) before the partial aggregate: the shuffle carries partial rows per (driver, window), not raw rows.",
     "window_decisions": "The decision rule chain is a Filter + Project after the final aggregate: no extra shuffle.",
-    "rolling_last_n_features (no hot driver)": "A single Exchange on (driver_id, _chunk = 0) and a bounded RowFrame(-11, 0) window, plus the small per-driver count that looks for hot drivers.",
-    "rolling_last_n_features (hot drivers, chunk_size=100)": "Hot drivers found by a partial count and broadcast after a size check. Tails via WindowGroupLimit (partial before the shuffle), halo targets by lead over the tails, union, one window per (driver, chunk), and a small join for the next chunk's first event.",
+    "rolling_last_n_features": "One plan for every size. The chunk list (partial count per driver and bucket, running sum) is joined with the events by an equi-join left to AQE. Tails via WindowGroupLimit (partial before the shuffle), halo targets by lead over the tails, union, one bounded RowFrame(-11, 0) window per (driver, chunk). With an empty list AQE drops the halo branch.",
     "premium_score": "Per-driver roll-up (partial aggregate), prediction as column arithmetic, the mean frequency as a scalar Subquery (no join).",
     "latest_premium (one driver)": "The driver filter reaches the parquet scan (PushedFilters on the FileScan); max(struct) aggregate with a partial step before the shuffle (sort-based: the struct holds strings).",
     "premium_trajectory_top5": "Top-k (TakeOrderedAndProject) of latest premiums, broadcast (k rows) into a left-semi join over the history.",
@@ -43,14 +42,13 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     flagged = I.flagged_events(spark, sf_dir)
-    history = I.full_history(spark, sf_dir)
-    history_path = I.materialize(history)
+    history = I.premium_history(spark, sf_dir)
+    history_path = materialize(history)
     frames = {
         "features_tumbling_1m": REGISTRY["features_tumbling_1m"](spark, sf_dir),
         "features_sliding_5m": REGISTRY["features_sliding_5m"](spark, sf_dir),
         "window_decisions": REGISTRY["window_decisions"](spark, sf_dir),
-        "rolling_last_n_features (no hot driver)": RL.rolling_features(flagged, 12),
-        "rolling_last_n_features (hot drivers, chunk_size=100)": RL.rolling_features(flagged, 12, chunk_size=100),
+        "rolling_last_n_features": RL.rolling_features(flagged, 12),
         "premium_score": P.score(P.driver_rollup(P.prepare_features(I.pricing_features(spark, sf_dir))), C.COMMITTED_COEFFICIENTS),
         "latest_premium (one driver)": None,
         "premium_trajectory_top5": R.trajectory(history_path, 5),
