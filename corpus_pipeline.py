@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.llm import decontaminate, exact_dedup, langid, packing, simhash
-from roadlens.llm.common import reachable, table, write_table
+from roadlens.llm.common import drop_table, reachable, table, write_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written and read again, and dropped when its successor is written."""
     reachable(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, made = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = write_table(stage(spark, docs, sf_dir), name)
+        if made is not None:
+            drop_table(made)
+        made = docs
     return STAGES[-1][1](spark, docs, sf_dir)
