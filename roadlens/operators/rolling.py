@@ -64,34 +64,37 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def _key() -> Column:
-    """The driver as a key that is never null (events without a driver are a key like any other)."""
-    return F.struct(F.col("driver_id").isNull().alias("none"), F.coalesce("driver_id", F.lit("")).alias("id"))
+#: The driver as a key that is never null (events without a driver are a key like any other).
+KEY = ("_id", "_none")
+
+
+def _with_key(df: DataFrame) -> DataFrame:
+    return df.withColumns({"_id": F.coalesce("driver_id", F.lit("")), "_none": F.col("driver_id").isNull()})
 
 
 def hot_chunks(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
-    """(_driver, _bucket, _chunk, _next_first) of every bucket of the drivers that need more than one chunk.
+    """(KEY, _bucket, _chunk, _next_first) of every bucket of the drivers that need more than one chunk.
 
     ``_next_first`` is the first event number of the driver's next chunk.
     """
     half = max(1, chunk_size // 2)
-    sizes = df.groupBy(_key().alias("_driver"), F.expr(f"CAST({seq} AS BIGINT) div {half}").alias("_bucket")).agg(
+    sizes = _with_key(df).groupBy(*KEY, F.expr(f"CAST({seq} AS BIGINT) div {half}").alias("_bucket")).agg(
         F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_first")
     )
-    driver = Window.partitionBy("_driver")
+    driver = Window.partitionBy(*KEY)
     before = driver.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     chunked = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_chunk", F.expr(f"_before div {half}"))
     # a bucket has at most half a chunk, so the chunks of a driver are numbered without gaps
     following = driver.orderBy("_chunk").rangeBetween(1, 1)
     chunked = chunked.withColumns({"_next_first": F.min("_first").over(following), "_last": F.max("_chunk").over(driver)})
-    return chunked.filter(F.col("_last") > 0).select("_driver", "_bucket", "_chunk", "_next_first")
+    return chunked.filter(F.col("_last") > 0).select(*KEY, "_bucket", "_chunk", "_next_first")
 
 
 def assign_chunks(df: DataFrame, seq: str, chunk_size: int) -> DataFrame:
-    """``df`` with ``_driver`` (the key), ``_chunk`` (at most ``chunk_size`` rows each; null for drivers of a single chunk) and ``_next_first``."""
+    """``df`` with KEY, ``_chunk`` (at most ``chunk_size`` rows each; null for drivers of a single chunk) and ``_next_first``."""
     half = max(1, chunk_size // 2)
-    rows = df.withColumns({"_driver": _key(), "_bucket": F.expr(f"CAST({seq} AS BIGINT) div {half}")})
-    return rows.join(hot_chunks(df, seq, chunk_size), ["_driver", "_bucket"], "left").drop("_bucket")
+    rows = _with_key(df).withColumn("_bucket", F.expr(f"CAST({seq} AS BIGINT) div {half}"))
+    return rows.join(hot_chunks(df, seq, chunk_size), [*KEY, "_bucket"], "left").drop("_bucket")
 
 
 def _halo(base: DataFrame, n: int, seq: str) -> DataFrame:
@@ -99,11 +102,11 @@ def _halo(base: DataFrame, n: int, seq: str) -> DataFrame:
     hot_rows = base.filter(F.col("_chunk").isNotNull())
     # Last n-1 rows of each chunk: row_number <= n-1 plans as a WindowGroupLimit, whose partial step runs
     # before the shuffle, so at most n-1 rows per (driver, chunk) and map task are shuffled here.
-    per_chunk_desc = Window.partitionBy("_driver", "_chunk").orderBy(F.col(seq).desc())
+    per_chunk_desc = Window.partitionBy(*KEY, "_chunk").orderBy(F.col(seq).desc())
     tails = hot_rows.withColumn("_k", F.row_number().over(per_chunk_desc)).filter(F.col("_k") <= n - 1).drop("_k")
     # Over a driver's tails ((n-1) rows per full chunk), a tail row belongs to the halo of every chunk whose
     # first tail row is one of the next n-1 tail rows.
-    per_driver = Window.partitionBy("_driver").orderBy(seq)
+    per_driver = Window.partitionBy(*KEY).orderBy(seq)
     prev_chunk = F.lag("_chunk").over(per_driver)
     tails = tails.withColumn("_starts", prev_chunk.isNull() | (prev_chunk != F.col("_chunk")))
     targets = F.array(*[F.when(F.lead("_starts", j).over(per_driver), F.lead("_chunk", j).over(per_driver)) for j in range(1, n)])
@@ -129,7 +132,7 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
     rows = base.withColumn("_home", F.lit(True))
     if n > 1:
         rows = rows.unionByName(_halo(base, n, seq).select(*rows.columns))
-    part = Window.partitionBy("_driver", "_chunk").orderBy(seq)
+    part = Window.partitionBy(*KEY, "_chunk").orderBy(seq)
     frame = part.rowsBetween(-(n - 1), 0)
     rolled = rows.withColumns(
         {
@@ -142,7 +145,7 @@ def rolling_features(df: DataFrame, n: int = 12, seq: str = "event_no", chunk_si
             "next_seq": F.coalesce(F.lead(seq).over(part), F.col("_next_first")),
         }
     )
-    return rolled.filter(F.col("_home")).drop("_next_first", "_driver", "_chunk", "_home", *_measures().keys())
+    return rolled.filter(F.col("_home")).drop("_next_first", *KEY, "_chunk", "_home", *_measures().keys())
 
 
 def rolling_decision_columns() -> dict[str, Column]:
