@@ -53,7 +53,8 @@ def heavy_winners(rows: DataFrame, counters: int = COUNTERS, candidates: int = C
     marks = rows.select(mark.alias("mark"), (F.spark_partition_id() % MERGE_GROUPS).alias("part"))
     parts = marks.groupBy("part").agg(summarise).select("summary")
     parts = parts.union(marks.filter(F.lit(False)).agg(summarise))  # an empty table has a summary too
-    whole = parts.agg(F.expr(f"approx_top_k_combine(summary, {int(counters)})").alias("summary"))
+    # Spark's combine cannot take a partition without a row, so the few summaries meet in one partition
+    whole = parts.coalesce(1).agg(F.expr(f"approx_top_k_combine(summary, {int(counters)})").alias("summary"))
     named = whole.select(F.explode(F.expr(f"approx_top_k_estimate(summary, {int(candidates)})")).alias("t")).select(F.col("t.item").alias("mark"))
     exact = (
         rows.withColumn("mark", mark)
