@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -160,14 +161,19 @@ def blocks(page: str | None) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
     stack: list[tuple[str, int, bool]] = []  # tag, inside, unseen
+    open_tags: Counter[str] = Counter()
     pieces: list[str] = []
     linked: list[str] = []
 
+    def pop(at: int) -> None:
+        open_tags.subtract(tag for tag, _, _ in stack[at:])
+        del stack[at:]
+
     def end_block() -> None:
         words = entities.unescape("".join(pieces)).split()
         if words:
             in_links = len(entities.unescape(" ".join(linked)).split())
-            heading = any(tag in HEADINGS for tag, _, _ in stack)
+            heading = any(open_tags[tag] > 0 for tag in HEADINGS)
             out.append(Block(" ".join(words), len(words), min(in_links, len(words)), stack[-1][1] if stack else 0, heading))
         pieces.clear()
         linked.clear()
@@ -176,7 +182,7 @@ def blocks(page: str | None) -> list[Block]:
         if len(token) == 2:
             if not (stack and stack[-1][2]):
                 pieces.append(token[1])
-                if any(tag == "a" for tag, _, _ in stack):
+                if open_tags["a"] > 0:
                     linked.append(token[1])
             continue
         tag, closing, attributes = token
@@ -184,11 +190,11 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in INLINE or kind < 0:
             end_block()
         if closing:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if at is not None:
+            if open_tags[tag] > 0:
+                at = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
                 if tag in INLINE and stack[at][1] != (stack[at - 1][1] if at else 0):
                     end_block()
-                del stack[at:]
+                pop(at)
             continue
         if tag in VOID:
             continue
@@ -199,11 +205,12 @@ def blocks(page: str | None) -> list[Block]:
                     low = i
                 elif stack[i][0] not in INLINE and stack[i][0] not in OPEN_ENDED:
                     break
-            del stack[low:]
+            pop(low)
         above, unseen = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         # an article in a side container is a teaser or a comment: only main begins main content there
         inside = kind if kind and (kind < 0 or above >= 0 or tag == "main") else above
         stack.append((tag, inside, unseen or tag in UNSEEN))
+        open_tags[tag] += 1
     end_block()
     return out
 
