@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -102,16 +103,14 @@ class WindowSet:
         return n, np.flatnonzero(np.cumsum(marks[:n])), seen
 
 
-def window_blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> list[WindowSet]:
-    """Window sets over blocks of whole items, each with at most ``block_bytes`` of item text (or one item)."""
+def window_blocks(benchmark: DataFrame, window: int, block_bytes: int = BLOCK_BYTES) -> Iterator[WindowSet]:
+    """Window sets over blocks of whole items, of about half of ``block_bytes`` of item text (or one item), one at a time."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text")).filter("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // max(1, block_bytes // 2)))
-    sets = []
     for i in range(n):
         block = items if n == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        sets.append(WindowSet.build([(r["item"], bytes(r["text"])) for r in block.collect()], window))
-    return sets
+        yield WindowSet.build([(r["item"], bytes(r["text"])) for r in block.collect()], window)
 
 
 def scanner(docs: DataFrame, windows: WindowSet):
@@ -137,12 +136,12 @@ def scanned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
     """(row, n_words, hits, items): every row of ``docs`` with its hit word positions and the items found."""
     text = F.col("text").cast("binary")
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("body"))
-    blocks = window_blocks(benchmark, window, block_bytes)
-    parts = [f"s{i}" for i in range(len(blocks))]
-    for i, (name, block) in enumerate(zip(parts, blocks)):
+    parts = []
+    for i, block in enumerate(window_blocks(benchmark, window, block_bytes)):
         if i and i % BLOCKS_PER_SCAN == 0:
             out = write_table(out, "scanned")
-        out = out.withColumn(name, scanner(docs, block)(F.col("body")))
+        parts.append(f"s{i}")
+        out = out.withColumn(parts[-1], scanner(docs, block)(F.col("body")))
     join = lambda field: F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{p}.{field}") for p in parts]))))
     return out.select("row", F.col(f"{parts[0]}.n_words").alias("n_words"), join("hits").alias("hits"), join("items").alias("items"))
 

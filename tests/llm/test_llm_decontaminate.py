@@ -57,7 +57,7 @@ def test_blocks_of_items_change_nothing(spark):
     docs, items = case()
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    assert len(D.window_blocks(b, 13, 400)) > 3
+    assert len(list(D.window_blocks(b, 13, 400))) > D.BLOCKS_PER_SCAN
     key = lambda df: sorted((str(r.row.doc_id), r.row.text or "", r.n_words, r.hits, r["items"]) for r in df.collect())
     assert key(D.scanned(d, b, 13, 400)) == key(D.scanned(d, b))
 
