@@ -138,14 +138,19 @@ def window_decision_output(df: DataFrame) -> DataFrame:
     return df.select(*[epoch_s(c) if c in ("window_start", "window_end") else F.col(c) for c in cols])
 
 
+def target_premium() -> Column:
+    """The target premium to 6 places: in the hundreds, 9 places would reach into the order of a floating-point sum."""
+    return F.round("target_technical_premium", 6).alias("target_technical_premium")
+
+
 def history_output(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         *extra,
         *[
             r9(c) if c in ("exposure_km", "speeding_ratio", "hard_braking_count_per_100km",
                            "harsh_acceleration_count_per_100km", "night_event_ratio", "bad_weather_event_ratio",
-                           "predicted_claim_count", "predicted_frequency", "risk_multiplier",
-                           "target_technical_premium") else F.col(c)
+                           "predicted_claim_count", "predicted_frequency", "risk_multiplier")
+            else target_premium() if c == "target_technical_premium" else F.col(c)
             for c in PREMIUM_HISTORY_COLUMNS
         ]
     )
@@ -395,7 +400,7 @@ def q_trajectory(spark, sf_dir):
 @register("top_premiums")
 def q_top_premiums(spark, sf_dir):
     run = I.premium_runs(spark, sf_dir)[-1]
-    return R.top_premiums(run, 20).select("driver_id", "technical_premium", r9("target_technical_premium"))
+    return R.top_premiums(run, 20).select("driver_id", "technical_premium", target_premium())
 
 
 @register("top_latest_premiums")
@@ -456,7 +461,7 @@ def q_premium_score(spark, sf_dir):
         r9("predicted_claim_count"),
         r9("predicted_frequency"),
         r9("risk_multiplier"),
-        r9("target_technical_premium"),
+        target_premium(),
     )
 
 

@@ -408,7 +408,7 @@ HISTORY_OUT = """driver_id, RND(exposure_km, 9) AS exposure_km, RND(speeding_rat
   RND(harsh_acceleration_count_per_100km, 9) AS harsh_acceleration_count_per_100km,
   RND(night_event_ratio, 9) AS night_event_ratio, RND(bad_weather_event_ratio, 9) AS bad_weather_event_ratio,
   phone_usage_count, RND(predicted_claim_count, 9) AS predicted_claim_count, RND(predicted_frequency, 9) AS predicted_frequency,
-  RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 9) AS target_technical_premium,
+  RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 6) AS target_technical_premium,
   technical_premium_previous, technical_premium, scored_at, base_premium, premium_change_cap"""
 
 
@@ -594,7 +594,7 @@ SELECT driver_id, scored_at, technical_premium, technical_premium_previous FROM
 sql(
     "top_premiums",
     f"""WITH {FL}, {premium_ctes()}
-SELECT driver_id, technical_premium, RND(target_technical_premium, 9) AS target_technical_premium FROM r3
+SELECT driver_id, technical_premium, RND(target_technical_premium, 6) AS target_technical_premium FROM r3
 ORDER BY technical_premium DESC, driver_id LIMIT 20""",
 )
 sql(
@@ -625,7 +625,7 @@ sql(
     "premium_score",
     f"""WITH {FL}, {premium_ctes()}
 SELECT driver_id, RND(predicted_claim_count, 9) AS predicted_claim_count, RND(predicted_frequency, 9) AS predicted_frequency,
-  RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 9) AS target_technical_premium FROM r3""",
+  RND(risk_multiplier, 9) AS risk_multiplier, RND(target_technical_premium, 6) AS target_technical_premium FROM r3""",
 )
 _TERMS = ("speeding_ratio", "hard_braking_count_per_100km", "harsh_acceleration_count_per_100km", "night_event_ratio", "bad_weather_event_ratio", "phone_usage_count")
 
