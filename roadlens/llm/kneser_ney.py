@@ -31,7 +31,7 @@ Repeated rows are scored each.  Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,7 +68,7 @@ def context(gram: Column) -> Column:
 
 # ---- n-grams of texts
 
-def pieces(texts: list[bytes | None]) -> Iterator[list[tuple[int, bytes | None, bytes]]]:
+def pieces(texts: Iterable[bytes | None]) -> Iterator[list[tuple[int, bytes | None, bytes]]]:
     """Lists of (row, bytes before or None at the beginning, bytes) of PIECE_BYTES or less each; whole texts are covered."""
     held, size = [], 0
     for row, text in enumerate(texts):
@@ -203,9 +203,15 @@ def _pack(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else codec.compress(t, asbytes=True) for t in texts.to_pylist()], pa.binary())
 
 
-def _unpack(sizes: list[int], packed: list[bytes | None]) -> list[bytes | None]:
-    codec = pa.Codec(CODEC)
-    return [codec.decompress(p, n, asbytes=True) if n else b"" for n, p in zip(sizes, packed)]
+def _unpacked(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[str, list[int], Iterator[bytes]]]:
+    """(lang, row numbers, their texts) per language; a text is unpacked when it is asked for and not held."""
+    codec, sizes, packed = pa.Codec(CODEC), rows["n_bytes"].to_pylist(), rows["packed"]
+    packed = packed.combine_chunks() if isinstance(packed, pa.ChunkedArray) else packed
+    by_lang: dict[str, list[int]] = {}
+    for i, lang in enumerate(rows["lang"].to_pylist()):
+        by_lang.setdefault(lang, []).append(i)
+    for lang, at in by_lang.items():
+        yield lang, at, (codec.decompress(packed[i].as_py(), sizes[i], asbytes=True) if sizes[i] else b"" for i in at)
 
 
 def _asked_by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,8 +231,7 @@ def _asked_by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield from flush()
             now = int(numbers[lo])
             part = rows.slice(lo, hi - lo)
-            texts = pa.array(_unpack(part.column("n_bytes").to_pylist(), part.column("packed").to_pylist()), pa.binary())
-            for lang, _, bodies in _by_language(pa.RecordBatch.from_arrays([part.column("lang"), texts], ["lang", "text"])):
+            for lang, _, bodies in _unpacked(part):
                 for piece in pieces(bodies):
                     keys = pc.unique(pa.array(grams(piece))).to_numpy()
                     seen[lang] = np.union1d(seen[lang], keys) if lang in seen else np.sort(keys)
@@ -237,13 +242,12 @@ def _asked_by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _scorer(id_type: pa.DataType):
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         """One batch: its texts and the answers to what they ask; sums of log-probabilities per text."""
-        bodies = pa.array(_unpack(texts["n_bytes"].to_pylist(), texts["packed"].to_pylist()), pa.binary())
-        langs = texts["lang"].combine_chunks()
-        known = np.array(answers["lang"].to_pylist(), object)
+        known = answers["lang"].combine_chunks().dictionary_encode()
+        names, codes = known.dictionary.to_pylist(), known.indices.to_numpy()
         gram, logp = answers["gram"].to_numpy(), answers["logp"].to_numpy()
-        sums = np.zeros(len(bodies))
-        for lang, at, some in _by_language(pa.RecordBatch.from_arrays([langs, bodies], ["lang", "text"])):
-            mine = np.flatnonzero(known == lang)
+        sums = np.zeros(len(texts))
+        for lang, at, some in _unpacked(texts):
+            mine = np.flatnonzero(codes == names.index(lang)) if lang in names else ()
             if not len(mine):
                 continue
             mine = mine[np.argsort(gram[mine])]
