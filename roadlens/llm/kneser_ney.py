@@ -50,7 +50,7 @@ VOCABULARY = 256
 BOUND_FOLDS = 5
 LOW_QUANTILE, HIGH_QUANTILE = 0.002, 0.99
 #: Bytes of text that a task turns into n-grams at once.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Distinct n-grams that a task holds before it hands on its partial counts.
 FLUSH_GRAMS = 1_000_000
 #: Bytes of text of one scoring batch; a longer text is a batch of its own size.
