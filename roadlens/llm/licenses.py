@@ -1,4 +1,4 @@
-"""Licence scan: lines and whole texts against licence templates by Dice coefficient over word bigrams.
+"""Licence scan: lines, whole texts and word windows against licence templates by Dice coefficient over word bigrams.
 
 A unit (a line, and a whole text of several lines) is normalised to words of
 letters and digits.  Dice = 2 |A & B| / (|A| + |B|) over the sets of word
@@ -12,6 +12,13 @@ bigrams (a single word counts as one).  Two prunings lose nothing:
   text without an anchor is dropped before its lines are looked at, a unit
   without a signature bigram before it meets templates.
 
+A licence that no line and not the whole text of a document reaches is looked
+for in windows of as many words as its template has, from any word on and
+across line ends: a notice wrapped over lines of a longer text, or beside other
+words in a line.  The best window of a document counts, as one match.  The prunings
+hold here too: a text meets only templates of whose bigrams it has the fewest
+that can do, and only windows near a signature bigram.
+
 Only DataFrame functions.  Texts are not shuffled: units stay in their row's
 task, and only matches and document ids meet by id, after partial sums.
 Templates are a fixed table in the plan.
@@ -36,7 +43,7 @@ from .common import lower_ascii
 MIN_DICE = 0.8
 SPLIT = r"[^0-9a-z\x{80}-\x{10FFFF}]+"
 
-# fixed values: public licence notices (short forms as they stand in texts, and two whole short licences)
+# fixed values: public licence notices (short forms as they stand in texts, two grants, and the same two short licences whole)
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": (
@@ -67,14 +74,28 @@ TEMPLATES = {
     ),
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+TEMPLATES |= {
+    "isc-whole": TEMPLATES["isc"] + " "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "mit-whole": TEMPLATES["mit-grant"] + " "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+}
 
 
 #: Words of most English texts, poor anchors.
 COMMON_WORDS = frozenset("a all an and any as at be but by can for from in is it limited may no not of on or other than that the this to under use which with without you".split())
 
 
+def template_words(text: str) -> list[str]:
+    return re.findall("[0-9a-z\x80-\U0010ffff]+", text.translate({c: c + 32 for c in range(65, 91)}))
+
+
 def template_bigrams(text: str) -> set[str]:
-    words = re.findall("[0-9a-z\x80-\U0010ffff]+", text.translate({c: c + 32 for c in range(65, 91)}))
+    words = template_words(text)
     return {f"{a} {b}" for a, b in zip(words, words[1:])} or set(words)
 
 
@@ -113,11 +134,20 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(text), SPLIT), "")
 
 
+def pairs(words: Column) -> Column:
+    """The word bigrams of an array column in order; a single word stands for itself."""
+    n = F.size(words)
+    found = F.zip_with(F.slice(words, 1, n - 1), F.slice(words, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(n > 1, found).otherwise(words)
+
+
 def bigrams(words: Column) -> Column:
     """The set of word bigrams of an array column; a single word stands for itself."""
-    n = F.size(words)
-    pairs = F.zip_with(F.slice(words, 1, n - 1), F.slice(words, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.when(n > 1, pairs).otherwise(words))
+    return F.array_distinct(pairs(words))
+
+
+def strings(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def matches(docs: DataFrame, templates: dict[str, str] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
@@ -143,11 +173,52 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, min_dice:
     return met.select("doc_id", "line", "license", dice.alias("dice")).filter(F.col("dice") >= min_dice)
 
 
+def windows(docs: DataFrame, templates: dict[str, str] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
+    """(doc_id, license, dice) of windows that reach ``min_dice``, the best of each stretch of a text; a window has as many words as its template."""
+    chosen = {name: (template_bigrams(text), max(1, len(template_words(text)) - 1)) for name, text in sorted((templates or TEMPLATES).items())}
+    chosen = {name: found for name, found in chosen.items() if found[0]}
+    rare, anchors = signature({name: s for name, (s, _) in chosen.items()}, min_dice)
+    single = {name for name, text in (templates or TEMPLATES).items() if len(template_words(text)) == 1}
+    texts = docs.select("doc_id", words_of(F.coalesce(F.col("text"), F.lit(""))).alias("words")).filter(F.arrays_overlap("words", strings(anchors)))
+    texts = texts.select("doc_id", "words", pairs(F.col("words")).alias("steps"))
+    # a template of one word is looked for among the words, any other among the bigrams
+    known = F.array_intersect(F.concat("steps", "words") if single else F.col("steps"), strings(sorted({b for s, _ in chosen.values() for b in s})))
+    rows = [
+        F.struct(
+            F.lit(name).alias("license"), strings(sorted(s)).alias("want"), strings(sorted(s.intersection(rare))).alias("rare"),
+            F.lit(bounds(len(s), min_dice)[0]).alias("least"), F.lit(m).alias("m"), F.lit(name in single).alias("single"),
+        )
+        for name, (s, m) in chosen.items()
+    ]
+    texts = texts.withColumn("known", known).filter(F.size("known") > 0)
+    met = texts.withColumn("t", F.explode(F.filter(F.array(*rows), lambda t: F.size(F.array_intersect("known", t["want"])) >= t["least"])))
+    steps = F.when(F.col("t.single"), F.col("words")).otherwise(F.col("steps"))
+    met = met.select("doc_id", "t.*", steps.alias("steps")).filter(F.size("steps") >= F.col("m"))
+    # every window with a signature bigram begins in the stretch of m places that has the bigram, or in the one before it
+    place = F.filter(F.transform("steps", lambda b, i: F.when(F.array_contains(F.col("rare"), b), F.floor(i / F.col("m")))), lambda i: i.isNotNull())
+    stretches = F.array_distinct(F.flatten(F.transform(F.array_distinct(place), lambda i: F.array(F.greatest(i - 1, F.lit(0)), i))))
+    met = met.withColumn("stretch", F.explode(stretches)).withColumn("start", F.col("stretch") * F.col("m") + 1)
+    # the places of a stretch and of the windows that begin there
+    near = F.slice("steps", F.col("start").cast("int"), 2 * F.col("m") - 1)
+    met = met.select("doc_id", "license", "want", "m", near.alias("steps")).filter(F.size("steps") >= F.col("m"))
+
+    def dice(start: Column) -> Column:
+        have = F.array_distinct(F.slice("steps", start, F.col("m")))
+        return 2.0 * F.size(F.array_intersect(have, F.col("want"))) / (F.size(have) + F.size("want"))
+
+    best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("steps") - F.col("m") + 1), dice))
+    return met.select("doc_id", "license", F.explode(F.filter(F.array(best), lambda d: d >= min_dice)).alias("dice"))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, min_dice: float = MIN_DICE) -> DataFrame:
     """One row per document: doc_id, license (best, null if none), dice (of the best, 0 if none), n_matches, licenses (all, comma-joined)."""
     found = matches(docs, templates, min_dice).select("doc_id", "line", "license", "dice")
+    found = found.unionByName(windows(docs, templates, min_dice).withColumn("line", F.lit(-1)))
     ids = docs.select("doc_id", F.lit(None).cast("int").alias("line"), F.lit(None).cast("string").alias("license"), F.lit(None).cast("double").alias("dice"))
-    per_license = found.unionByName(ids).groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count("line").alias("n"))
+    unit = F.when(F.col("line") >= 0, F.col("dice"))
+    per_license = found.unionByName(ids).groupBy("doc_id", "license").agg(
+        F.coalesce(F.max(unit), F.max("dice")).alias("dice"), F.greatest(F.count(unit), F.least(F.count("line"), F.lit(1))).alias("n")
+    )
     best = F.min(F.when(F.col("license").isNotNull(), F.struct((-F.col("dice")).alias("d"), F.col("license").alias("l"))))
     return per_license.groupBy("doc_id").agg(
         best.alias("best"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 import re
 
@@ -63,3 +64,60 @@ def test_one_row_per_document(spark):
 
 def test_empty_table(spark):
     assert L.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@functools.cache
+def best_window(text, body):
+    words, b = re.findall("[0-9a-z\x80-\U0010ffff]+", text.lower()), grams(body)
+    size = len(re.findall("[0-9a-z]+", body.lower()))
+    found = ({f"{x} {y}" for x, y in zip(w, w[1:])} or set(w) for w in (words[i : i + size] for i in range(len(words) - size + 1)))
+    return max((2 * len(a & b) / (len(a) + len(b)) for a in found), default=0.0)
+
+
+def brute_windows(text, templates, least=L.MIN_DICE):
+    """Best Dice per template over all windows of as many words as the template has."""
+    best = {name: best_window(text or "", body) for name, body in templates.items()}
+    return {name: round(d, 9) for name, d in best.items() if d >= least}
+
+
+def wrapped(body, width, mark="# "):
+    words = body.split()
+    return "\n".join(mark + " ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def window_rows():
+    rng = random.Random(5)
+    prose = lambda n: " ".join(rng.choice("the of software license version and copy under any public notice".split()) for _ in range(n))
+    out = [(1, None), (2, "license"), (3, prose(250))]
+    for i, body in enumerate(L.TEMPLATES.values()):
+        changed = [w if rng.random() > 0.04 else "foo" for w in body.split()]
+        out.append((10 + i, f"{prose(40)}\n{wrapped(body, 9)}\n{prose(30)}"))
+        out.append((40 + i, f"{prose(50)} {' '.join(changed)} {prose(20)}"))
+        out.append((70 + i, f"{wrapped(body, 7, '// ')}\n{prose(60)}\n{wrapped(body, 5)}"))
+    return out
+
+
+def test_wrapped_and_embedded_notices_match_brute_force(spark):
+    rows, templates = window_rows(), L.TEMPLATES | {"word": "Unlicense"}
+    rows.append((4, "this is the unlicense of " * 3 + "\n" + "prose " * 50))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for least in (0.6, 0.8, 1.0):
+        got = {}
+        for r in L.windows(df, templates, least).collect():
+            of = got.setdefault(r.doc_id, {})
+            of[r.license] = max(of.get(r.license, 0.0), round(r.dice, 9))
+        assert got == {i: w for i, t in rows if (w := brute_windows(t, templates, least))} and len(got) > 20
+    out = {r.doc_id: r for r in L.scan(df, templates).collect()}
+    units = brute(rows, templates)
+    for i, t in rows:
+        lines = {m[2] for m in units if m[0] == str(i)}
+        assert set(out[i].licenses.split(",")) - {""} == lines | set(brute_windows(t, templates))
+        assert out[i].n_matches == sum(m[0] == str(i) for m in units) + len(set(brute_windows(t, templates)) - lines)
+    assert all(name in out[10 + i].licenses.split(",") for i, name in enumerate(L.TEMPLATES))
+
+
+def test_whole_short_licences(spark):
+    head = "MIT License\n\nCopyright (c) 2020 A. Person\n\n"
+    df = spark.createDataFrame([(i, head + wrapped(L.TEMPLATES[n], 11, "")) for i, n in enumerate(("mit-whole", "isc-whole"))], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.licenses) for r in L.scan(df).collect()}
+    assert [got[i][1] for i in (0, 1)] == ["mit-grant,mit-whole", "isc,isc-whole"]
