@@ -19,12 +19,14 @@ is preceded by ``ORDER - 1`` begin tokens.  An n-gram is one 64-bit word.
 5. Perplexity is per byte.  A document is kept if it lies between two quantiles
    of the trusted documents of its language.  These come from a fifth of the
    trusted documents that the model never saw (by a hash of the id); its own
-   training texts would look too good.
+   training texts would look too good.  The upper quantile is the one of
+   ``HIGH_QUANTILES`` with the best balanced accuracy on that fifth and the
+   documents labelled bad that the same hash picks (ties: the highest).
 
 Edge cases: a null language is the language ``und``.  Null and empty texts
 have no perplexity and are not kept.  In a language without trusted text
 nothing can be judged: no perplexity, kept; without an unseen trusted text there are no
-bounds: kept.  Labels that repeat a document
+bounds: kept; without a document labelled bad the upper quantile is ``HIGH_QUANTILE``.  Labels that repeat a document
 must all call it good.  Null labels are not good.  Null ids match no label.
 Repeated rows are scored each.  Other columns are not read.
 """
@@ -49,6 +51,8 @@ VOCABULARY = 256
 #: One in so many trusted documents sets the bounds instead of training the model.
 BOUND_FOLDS = 5
 LOW_QUANTILE, HIGH_QUANTILE = 0.002, 0.99
+#: The upper quantiles that labelled documents choose from, per language.
+HIGH_QUANTILES = (0.9, 0.92, 0.94, 0.95, 0.96, 0.97, 0.98, 0.99, 0.995)
 #: Bytes of text that a task turns into n-grams at once.
 PIECE_BYTES = 1 << 20
 #: Distinct n-grams that a task holds before it hands on its partial counts.
@@ -287,8 +291,27 @@ def good_documents(labels: DataFrame) -> DataFrame:
     return write_table(marks.filter("fine").select(F.col("doc_id").alias("good_id")).withColumn("unseen", unseen), "good_documents")
 
 
-def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """One row per input row: doc_id, lang, perplexity, low and high (the bounds of its language), kept."""
+def bad_documents(labels: DataFrame) -> DataFrame:
+    """Written table (bad_id, unseen): documents that a label calls bad or toxic; ``unseen`` as of ``good_documents``."""
+    bad = labels.filter("doc_id IS NOT NULL AND (quality = 0 OR toxic = 1)").select(F.col("doc_id").alias("bad_id")).distinct()
+    return write_table(bad.withColumn("unseen", F.pmod(F.xxhash64("bad_id"), F.lit(BOUND_FOLDS)) == 0), "bad_documents")
+
+
+def bounds_of(reference: DataFrame, low: float = LOW_QUANTILE, highs: tuple[float, ...] = HIGH_QUANTILES) -> DataFrame:
+    """(lang, low, high) from unseen labelled documents ``reference(lang, perplexity, fine)``."""
+    names = [f"h{i}" for i in range(len(highs))]
+    tail = HIGH_QUANTILE if len(highs) > 1 else highs[0]
+    q = reference.filter("fine").groupBy("lang").agg(F.percentile_approx("perplexity", [low, *highs, tail], 10_000).alias("q"))
+    inside = [F.col("perplexity").between(F.col("q")[0], F.col("q")[i + 1]) for i in range(len(highs))]
+    rates = [(F.avg(F.when(F.col("fine"), i.cast("double"))) + F.avg(F.when(~F.col("fine"), (~i).cast("double")))).alias(n) for i, n in zip(inside, names)]
+    rated = reference.join(small_side(q, 160), "lang").groupBy("lang").agg(F.first("q").alias("q"), *rates)
+    # without bad documents there is no rate
+    best = F.array_max(F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.col(n).alias("rate"), F.col("q")[i + 1].alias("high"))) for i, n in enumerate(names)]))
+    return rated.select("lang", F.col("q")[0].alias("low"), F.coalesce(best["high"], F.col("q")[len(highs) + 1]).alias("high"))
+
+
+def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high: float | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """One row per input row: doc_id, lang, perplexity, low and high (the bounds of its language), kept; without ``high`` the labels choose it."""
     rows = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     good = good_documents(labels)
     n_good = good.count()
@@ -298,8 +321,10 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high
     judged = F.when((F.col("n_bytes") > 0) & (F.col("log_sum") < 0), F.exp(-F.col("log_sum") / F.col("n_bytes")))
     scores = write_table(scores.select("doc_id", "lang", "n_bytes", judged.alias("perplexity")), "perplexities")
     reference = scores.join(small_side(good.filter("unseen"), 16, n_good), F.col("doc_id") == F.col("good_id"), "left_semi").filter("perplexity IS NOT NULL")
-    bounds = reference.groupBy("lang").agg(F.percentile_approx("perplexity", [low, high], 10_000).alias("q"))
-    bounds = write_table(bounds.select("lang", F.col("q")[0].alias("low"), F.col("q")[1].alias("high")), "bounds")
+    bad = bad_documents(labels)
+    wrong = scores.join(small_side(bad.filter("unseen"), 16, bad.count()), F.col("doc_id") == F.col("bad_id"), "left_semi").filter("perplexity IS NOT NULL")
+    reference = reference.withColumn("fine", F.lit(True)).unionByName(wrong.withColumn("fine", F.lit(False)))
+    bounds = write_table(bounds_of(reference, low, HIGH_QUANTILES if high is None else (high,)), "bounds")
     inside = F.col("perplexity").between(F.col("low"), F.col("high"))
     kept = (F.col("n_bytes") > 0) & F.coalesce(inside, F.col("low").isNull())
     return scores.join(small_side(bounds, 96), "lang", "left").select("doc_id", "lang", "perplexity", "low", "high", kept.alias("kept"))

@@ -116,3 +116,16 @@ def test_empty_tables(spark):
     d, l = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r.perplexity, r.kept) for r in K.classify(d, l).collect()] == [(None, True)]
     assert K.classify(d.limit(0), l).collect() == []
+
+
+def test_labelled_documents_choose_the_upper_bound(spark):
+    """Odd good documents in the tail do not open the bound to documents labelled bad; both error rates are measured."""
+    rows = [("en", 4 + i / 1000, True) for i in range(970)] + [("en", 8.0, True)] * 30 + [("en", 6.0, False)] * 45 + [("en", 9.0, False)] * 5
+    rows += [("de", 4 + i / 1000, True) for i in range(1000)] + [("fr", 9.0, False)]
+    got = {r.lang: r for r in K.bounds_of(spark.createDataFrame(rows, "lang string, perplexity double, fine boolean")).collect()}
+    assert set(got) == {"en", "de"} and got["de"].high == pytest.approx(4.99, abs=0.002)
+    lost = sum(f and not got["en"].low <= p <= got["en"].high for lang, p, f in rows if lang == "en") / 1000
+    kept = sum(not f and got["en"].low <= p <= got["en"].high for lang, p, f in rows if lang == "en") / 50
+    assert kept == 0 and lost <= 0.035
+    fixed = K.bounds_of(spark.createDataFrame(rows, "lang string, perplexity double, fine boolean"), highs=(0.99,)).filter("lang = 'en'").first()
+    assert fixed.high == 8.0  # the fixed quantile keeps 45 of 50
