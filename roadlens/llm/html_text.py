@@ -36,6 +36,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 UNSEEN = frozenset("script style noscript template textarea select button svg math iframe object audio video canvas title datalist".split())
 #: Of these, the content is raw and ends only at the closing tag.
 RAW = frozenset("script style textarea title noscript iframe template svg".split())
+#: Elements that a "/" at the end of their start tag ends at once, as in XML.
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -196,7 +198,7 @@ def blocks(page: str | None) -> list[Block]:
                     end_block()
                 pop(at)
             continue
-        if tag in VOID:
+        if tag in VOID or tag in FOREIGN and attributes.endswith("/"):
             continue
         if tag not in INLINE:
             ended, low = (*ENDS.get(tag, ()), "p"), len(stack)

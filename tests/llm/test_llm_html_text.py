@@ -72,3 +72,10 @@ def test_nulls_repeats_and_other_columns(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in got.collect()) == [("1", "", 0), ("1", "", 0), ("2", "", 0), ("None", P1, len(P1))]
     assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_self_closed_foreign_elements_end_at_once(tree):
+    for mark in ("<svg class=icon />", "<svg/>", "<math />", "<SVG viewBox='0 0 1 1'/>"):
+        assert H.main_text(f"<article><p>{P1}</p>{mark}<p>{P2}</p></article>", tree) == f"{P1} {P2}"
+        assert H.main_text(f"<article><p>{P1} {mark} {P2}</p></article>", tree) == f"{P1} {P2}"
+    assert H.main_text(f"<article><p>{P1}</p><svg class=icon><title>x</title></svg><math><mi>x</mi></math><p>{P2}</p></article>", tree) == f"{P1} {P2}"
