@@ -75,25 +75,33 @@ def without_rows(docs: DataFrame, losers: DataFrame, n_losers: int) -> DataFrame
     return row.join(small_side(gone, 120, n_losers), same, "left_anti").select("row.*")
 
 
-def ranked(df: DataFrame, *order: str, group: str | None = None) -> DataFrame:
+def ranked(df: DataFrame, *order: str, group: str | None = None, total: str | None = None) -> DataFrame:
     """Written table: ``df`` with ``rank``, the exact place (from 0) of each row in ``order``, within ``group`` if given.
 
     Rows are range-sorted; a row's rank is its place in its partition plus the
     rows of the partitions before it.  Only one small row per partition (and
-    group) is broadcast; nothing is gathered into one task.
+    group) meets the rows again, broadcast if they fit the bound; nothing is
+    gathered into one task.  ``total`` names a column for the rows of the group.
     """
     keys = [group, *order] if group else list(order)
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id())
     placed = write_table(placed.withColumn("part", F.shiftright("place", 33)), "placed")
     by = [group] if group else []
-    earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("part", *by)
-        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-        .select("part", *by, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    every = Window.partitionBy(*by)
+    earlier = every.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("part", *by).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    starts = write_table(
+        starts.select(
+            "part",
+            *by,
+            (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
+            *([F.sum("n").over(every).alias(total)] if total else []),
+        ),
+        "starts",
     )
-    found = placed.join(F.broadcast(starts), ["part", *by])
-    return found.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("place") + F.col("shift")).alias("rank"))
+    found = placed.join(small_side(starts, 96), ["part", *by])
+    named = [F.col(f"`{c}`") for c in df.columns]
+    return found.select(*named, (F.col("place") + F.col("shift")).alias("rank"), *([total] if total else []))
 
 
 def reachable(spark: SparkSession) -> None:

@@ -6,8 +6,9 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, kneser_ney, langid, licenses, packing, simhash, url_reputation, warc
+from . import decontaminate, exact_dedup, html_text, kneser_ney, langid, licenses, merkle, packing, simhash, url_reputation, warc
 from .common import LOWER, UPPER, reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.document_manifest(table(spark, sf_dir, "documents"), claimed=tampered)
+
+
 def _registered(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +94,7 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_exact_dedup,
         op10_licenses,
+        op13_merkle_manifest,
     )
 }
 
@@ -149,6 +157,53 @@ def _shrunk(groups: str) -> str:
                 FROM ({groups}) WHERE n > 0)))"""
 
 
+#: DuckDB: the 256 remainders of CRC-32, and the CRC-32 of a whole number's digits.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))) AS t"
+
+
+def _crc_sql(number: str) -> str:
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {digits}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _merkle_sql(inner: int = 20, outer: int = 12) -> str:
+    """One step per level: ``inner`` within a source, ``outer`` over the sources (3 to that power are covered)."""
+
+    def field(v: str) -> str:
+        return f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def climb(node: str, path: str, levels: int) -> str:
+        steps = []
+        for k in range(levels):
+            steps.append(f"""
+{node}{k}g AS MATERIALIZED (SELECT tree, i // 3 AS i, list(d ORDER BY i) AS ds, any_value(n) AS n FROM {node}{k} GROUP BY tree, i // 3),
+{node}{k + 1} AS MATERIALIZED (SELECT tree, i, (n + 2) // 3 AS n, CASE WHEN n = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d FROM {node}{k}g),
+{path}{k + 1} AS MATERIALIZED (
+    SELECT p.* EXCLUDE (g, pre, post) REPLACE (p.i // 3 AS i, CASE WHEN g.n = 1 THEN proof ELSE proof || pre || post END AS proof, CASE WHEN g.n = 1 THEN claim ELSE sha256(pre || claim || post) END AS claim)
+    FROM (SELECT p.*, g, array_to_string(g.ds[1 : p.i % 3], '') AS pre, array_to_string(g.ds[p.i % 3 + 2 :], '') AS post FROM {path}{k} p JOIN {node}{k}g g ON g.tree = p.tree AND g.i = p.i // 3) p
+)""")
+        return ",".join(steps)
+
+    return f"""
+WITH crc AS ({_CRC_TABLE}),
+rows AS (
+    SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf("text")} AS leaf,
+           CASE WHEN {_crc_sql("doc_id")} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS claim FROM documents, crc
+), p0 AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS i, '' AS proof FROM rows
+), n0 AS MATERIALIZED (SELECT tree, i, count(*) OVER (PARTITION BY tree) AS n, leaf AS d FROM p0),
+{climb("n", "p", inner)},
+tops AS (SELECT tree AS name, d, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM n{inner}),
+m0 AS MATERIALIZED (SELECT '' AS tree, i, n, d FROM tops),
+q0 AS MATERIALIZED (SELECT doc_id, '' AS tree, leaf, claim, tops.i AS i, proof, tops.d AS subroot FROM p{inner} p JOIN tops ON p.tree = tops.name),
+{climb("m", "q", outer)}
+SELECT doc_id, leaf, subroot, m.d AS root, sha256(proof) AS proof_sha256, claim AS folded_root, claim = m.d AS verified FROM q{outer}, m{outer} m
+"""
+
+
 _RULE = "CASE " + " ".join(
     f"WHEN (host = '{n}' OR ends_with(host, '.{n}')) AND starts_with(path, '/{p}') THEN '{{{i}}}'"
     for i, (n, _, p) in enumerate(r[0].partition("/") for r in sorted(URL_RULES, key=lambda r: -len(r[0])))
@@ -215,4 +270,5 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest,
 FROM (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest, min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first_id FROM pages)
 """,
     "op10_licenses": _license_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }

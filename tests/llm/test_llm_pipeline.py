@@ -56,7 +56,7 @@ def canon(v):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     cur = con.execute(entry.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
