@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, kneser_ney, langid, licenses, merkle, packing, simhash, url_reputation, warc
+from . import decontaminate, exact_dedup, html_text, kneser_ney, langid, licenses, merkle, packing, prefix_trie, simhash, suffix_dedup, url_reputation, warc
 from .common import LOWER, UPPER, reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     tampered = F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -94,6 +102,8 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_exact_dedup,
         op10_licenses,
+        op11_suffix_dedup,
+        op12_prefix_trie,
         op13_merkle_manifest,
     )
 }
@@ -204,6 +214,38 @@ SELECT doc_id, leaf, subroot, m.d AS root, sha256(proof) AS proof_sha256, claim
 """
 
 
+def _trie_sql() -> str:
+    return f"""
+WITH crc AS ({_CRC_TABLE}),
+t AS (
+    SELECT conv_id, d, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM (
+        SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, length(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL)
+), sizes AS (SELECT conv_id, n FROM t WHERE i = 1),
+c AS (
+    SELECT s.conv_id, s.conv_id - s.conv_id % {prefix_trie.FAMILY} AS family, coalesce(f.n, 0) AS fn, {_crc_sql("s.conv_id")} % {prefix_trie.OPENINGS} AS h
+    FROM sizes s LEFT JOIN sizes f ON f.conv_id = s.conv_id - s.conv_id % {prefix_trie.FAMILY}, crc
+), r AS (
+    SELECT conv_id, 0 AS depth, '' AS d, 0 AS size FROM c
+    UNION ALL SELECT c.conv_id, t.i, t.d, t.size FROM c JOIN t ON t.conv_id = c.family AND t.i <= c.h
+    UNION ALL SELECT c.conv_id, t.i - c.h + least(c.h, c.fn), t.d, t.size FROM c JOIN t ON t.conv_id = c.conv_id AND t.i > c.h
+), k AS MATERIALIZED (
+    SELECT conv_id, depth, size, sha256(string_agg(d, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM r
+), up AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM k),
+nodes AS MATERIALIZED (
+    SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends
+    FROM up GROUP BY node
+), kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+    SELECT a.node AS node, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n.n_convs - 1) * n.size) AS saved
+    FROM nodes n JOIN k a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN kids ON kids.node = n.node GROUP BY a.node
+)
+SELECT n.conv_id AS conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs AS n_convs, CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN sums ON sums.node = n.node LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN kids ON kids.node = n.node
+"""
+
+
 _RULE = "CASE " + " ".join(
     f"WHEN (host = '{n}' OR ends_with(host, '.{n}')) AND starts_with(path, '/{p}') THEN '{{{i}}}'"
     for i, (n, _, p) in enumerate(r[0].partition("/") for r in sorted(URL_RULES, key=lambda r: -len(r[0])))
@@ -270,5 +312,25 @@ SELECT page_id, size AS payload_bytes, digest AS payload_digest,
 FROM (SELECT page_id, strlen(coalesce(html, '')) AS size, sha256(coalesce(html, '')) AS digest, min(page_id) OVER (PARTITION BY sha256(coalesce(html, ''))) AS first_id FROM pages)
 """,
     "op10_licenses": _license_sql(),
+    "op11_suffix_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, i, hash(substr(x, 2 * i + 1, {2 * suffix_dedup.MIN_BYTES})) AS h, md5(substr(x, 2 * i + 1, {2 * suffix_dedup.MIN_BYTES})) AS m
+    FROM (SELECT r, x, unnest(generate_series(0, len(x) // 2 - {suffix_dedup.MIN_BYTES})) AS i FROM d WHERE len(x) >= {2 * suffix_dedup.MIN_BYTES})),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY m) AS n FROM w SEMI JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) s USING (h)) WHERE n > 1),
+runs AS (
+    SELECT r, min(i) AS a, max(i) + {suffix_dedup.MIN_BYTES} AS b FROM (
+        SELECT r, i, sum(CASE WHEN i - p <= {suffix_dedup.MIN_BYTES} THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run
+        FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM again))
+    GROUP BY r, run
+), cuts AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM runs),
+kept AS (
+    SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS tail, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front
+    FROM cuts JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE front || substr(x, 2 * tail + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+""",
+    "op12_prefix_trie": _trie_sql(),
     "op13_merkle_manifest": _merkle_sql(),
 }
