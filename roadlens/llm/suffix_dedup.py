@@ -25,8 +25,9 @@ the collection is cut where equal strings must be cut alike:
    repeat by their count.
 5. A core with more than ``CROWD`` different pieces (a passage that very many
    texts share, each going on in its own way) does not go to one task: its
-   windows are cut into cells of 16 neighbours and then one, each with a longer
-   core, so pieces that differ fall apart and equal ones become one.
+   windows are cut into cells of 64, 16, 4 and at last one neighbour, each with a
+   longer core: pieces that differ fall apart, equal ones become one, and only
+   cells that are still crowded are cut again.
 6. Repeated windows are spans; the spans of a text are merged, and the texts
    that keep some of their bytes are read once more for the digest.
 
@@ -62,9 +63,9 @@ SLICE = 1 << 20
 #: Pieces of one suffix order.
 GROUP = 8192
 #: More different pieces than this with one core are cut into cells.
-CROWD = 20_000
+CROWD = 1_000
 #: Neighbouring windows per cell, from cut to cut; windows alone cannot crowd.
-CELLS = (16, 1)
+CELLS = (64, 16, 4, 1)
 
 #: Low bits of an ordering key that hold the place (leftmost wins); a power of two above ``SLICE`` and its overhang.
 PLACE = np.uint64((1 << 24) - 1)
