@@ -88,15 +88,15 @@ def normalise_event_time(df: DataFrame, source: str = "event_time", target: str
     return df.withColumn(target, F.try_to_timestamp(clean, F.lit(EVENT_TIME_PATTERN)))
 
 
-def parse_events(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """Message value (JSON text or bytes) -> the 15 typed event columns + ``event_time_ts``.
+def parse_events(messages: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Message value (JSON text or bytes) -> the 15 typed event columns + ``event_time_ts``, and the message columns to ``keep``.
 
     Unparseable text gives an all-null row; a field of the wrong type is null
     on its own.  Catalyst prunes the JSON schema to the fields used later.
     """
     parsed = messages.select(
-        F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("event")
-    ).select("event.*")
+        F.from_json(F.col(value_col).cast("string"), EVENT_SCHEMA).alias("event"), *keep
+    ).select("event.*", *keep)
     return normalise_event_time(parsed)
 
 

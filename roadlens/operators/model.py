@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +119,29 @@ def summary_text(fit: GlmFit) -> str:
     )
 
 
+def summary_rows(text: str) -> list[dict]:
+    """The lines of a summary with one term each: term, coef, std_err, z, p."""
+    head, *lines = text.splitlines()
+    names = head.split()
+    return [dict(zip(names, [term, *map(float, rest)])) for term, *rest in (line.split() for line in lines if "=" not in line)]
+
+
+def information(fit: GlmFit, train: DataFrame) -> np.ndarray:
+    """X'WX of an unpenalised fit at its solution (W: the fitted counts), intercept first; one distributed sum per pair of terms."""
+    terms = [F.lit(1.0), *[F.col(c).cast("double") for c in fit.feature_columns]]
+    pairs = [(i, j) for i in range(len(terms)) for j in range(i, len(terms))]
+    sums = predict_with(fit, train).agg(*[F.sum(F.col("predicted_claim_count") * terms[i] * terms[j]) for i, j in pairs]).first()  # one row
+    out = np.zeros((len(terms), len(terms)))
+    for (i, j), v in zip(pairs, sums):
+        out[i, j] = out[j, i] = v
+    return out
+
+
+def standard_errors(matrix: np.ndarray) -> list[float]:
+    """Of each term, from the information matrix."""
+    return np.sqrt(np.diag(np.linalg.inv(matrix))).tolist()
+
+
 def predict_with(fit: GlmFit, df: DataFrame) -> DataFrame:
     """predicted_claim_count and predicted_frequency for rows of ``df`` (both model forms give the same values)."""
     return predict(df, fit.coefficient_pairs())

@@ -91,11 +91,12 @@ def trajectory(history: DataFrame, n: int = 5) -> DataFrame:
     """History rows of the n drivers with the highest latest premium, in time order per driver.
 
     The n driver ids come from a top-k (bounded by n), and the history is
-    filtered by a left-semi join against them.
+    filtered by a left-semi join against them.  A stamp that is no instant
+    comes first, as it is older than any in ``latest_premium``; ties by its text.
     """
     top = top_latest(history, n).select("driver_id")
     return (
         history.join(F.broadcast(top), "driver_id", "left_semi")
-        .withColumn("scored_at_ts", F.to_timestamp("scored_at"))
-        .orderBy("driver_id", "scored_at_ts")
+        .withColumn("scored_at_ts", F.try_to_timestamp("scored_at"))
+        .orderBy("driver_id", "scored_at_ts", "scored_at")
     )

@@ -10,6 +10,8 @@ are rounded to 9 places for the same reason, and rule arrays are joined to
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -297,9 +299,7 @@ def q_window_decisions(spark, sf_dir):
     return window_decision_output(W.build_window_decision_rows(decision_window_frame(spark, sf_dir)))
 
 
-@register("driver_rollup")
-def q_driver_rollup(spark, sf_dir):
-    roll = P.driver_rollup(I.training_set(spark, sf_dir))
+def rollup_output(roll: DataFrame) -> DataFrame:
     return roll.select(
         "driver_id",
         r9("exposure_km"),
@@ -312,6 +312,11 @@ def q_driver_rollup(spark, sf_dir):
     )
 
 
+@register("driver_rollup")
+def q_driver_rollup(spark, sf_dir):
+    return rollup_output(P.driver_rollup(I.training_set(spark, sf_dir)))
+
+
 @register("mean_frequency")
 def q_mean_frequency(spark, sf_dir):
     rolled = P.driver_rollup(I.training_set(spark, sf_dir))
@@ -505,17 +510,29 @@ def q_glm_rate(spark, sf_dir):
 
 @register("glm_coefficients")
 def q_glm_coefficients(spark, sf_dir):
-    """The rate moments from the coefficient table as it is given out."""
+    """The coefficient table as it is given out: terms in order, the moment each meets, and how far ``exp_coef`` is from exp(coef)."""
     from ..operators.model import coefficients, moments
 
     fit, train = _fit(spark, sf_dir, "rate")
-    pairs = [(r["term"], r["coef"]) for r in coefficients(spark, fit).collect()]  # one row per term
-    return moment_output(moments(pairs, train, C.RATE_MODEL_ALPHA))
+    table = coefficients(spark, fit).collect()  # one row per term, in the order of the table
+    met = moments([(r["term"], r["coef"]) for r in table], train, C.RATE_MODEL_ALPHA)
+    given = [(i, r["term"], round(r["exp_coef"] - math.exp(r["coef"]), 9) + 0.0) for i, r in enumerate(table)]
+    return moment_output(met).join(spark.createDataFrame(given, "position int, term string, exp_gap double"), "term")
 
 
 @register("glm_summary")
 def q_glm_summary(spark, sf_dir):
-    """Rows and null deviance (that of the mean rate) from the fit's summary."""
-    fit, _ = _fit(spark, sf_dir, "offset")
+    """The summary text, line by line: how far each term's standard error, z and p are from those of the information
+    matrix (summed over the training rows); the number of rows and the null deviance."""
+    from ..operators.model import information, standard_errors, summary_rows, summary_text
+
+    fit, train = _fit(spark, sf_dir, "offset")
+    errors = standard_errors(information(fit, train))
+    rows = []
+    for i, (line, error) in enumerate(zip(summary_rows(summary_text(fit)), errors)):
+        z = line["coef"] / error
+        p = math.erfc(abs(z) / math.sqrt(2.0))
+        rows.append((i, line["term"], round(line["std_err"] - error, 4) + 0.0, round(line["z"] - z, 2) + 0.0, round(line["p"] - p, 3) + 0.0))
     s = fit.model.summary
-    return spark.createDataFrame([(s.numInstances, round(s.nullDeviance, 4))], "n_rows long, null_deviance double")
+    found = spark.createDataFrame(rows, "position int, term string, std_err_gap double, z_gap double, p_gap double")
+    return found.withColumns({"n_rows": F.lit(s.numInstances).cast("long"), "null_deviance": F.lit(round(s.nullDeviance, 4))})

@@ -636,22 +636,31 @@ def _moments(intercept: str) -> str:
 
 
 sql("glm_offset", _moments("const"))
-for _name in ("glm_rate_weighted", "glm_coefficients", "model_store"):
+for _name in ("glm_rate_weighted", "model_store"):
     sql(_name, _moments("intercept"))
+_PLACES = "(VALUES " + ", ".join(f"(CAST({i} AS INTEGER), '{t}')" for i, t in enumerate(("intercept", *_TERMS))) + ") p(position, term)"
+sql("glm_coefficients", f"SELECT p.position, m.term, m.moment, {dbl(0.0)} AS exp_gap FROM ({_moments('intercept')}) m JOIN {_PLACES} ON p.term = m.term")
 sql(
     "glm_summary",
     f"""WITH {FL}, {TS_CTES}, tr AS (SELECT greatest(exposure_km, {dbl(0.001)}) AS e, claim_count AS y FROM tset WHERE NOT is_test),
-m AS (SELECT sum(y) / sum(e) AS r FROM tr)
-SELECT count(*) AS n_rows, RND(2 * sum((CASE WHEN y > 0 THEN y * ln(y / (e * r)) ELSE 0 END) - (y - e * r)), 4) AS null_deviance FROM tr, m""",
+m AS (SELECT sum(y) / sum(e) AS r FROM tr),
+d AS (SELECT count(*) AS n_rows, RND(2 * sum((CASE WHEN y > 0 THEN y * ln(y / (e * r)) ELSE 0 END) - (y - e * r)), 4) AS null_deviance FROM tr, m)
+SELECT position, CASE position WHEN 0 THEN 'const' ELSE term END AS term, {dbl(0.0)} AS std_err_gap, {dbl(0.0)} AS z_gap, {dbl(0.0)} AS p_gap, n_rows, null_deviance
+FROM {_PLACES}, d""",
 )
+_TRAINING = ("exposure_km", "event_count", "claim_count", "expected_claim_rate", *_TERMS)
+_WEIGHT = "(((d + 1) * 31 + minute * 17) % 101 + 1)"
 sql(
     "sink_model_outputs",
-    f"""WITH {FL}, {TS_CTES}
-SELECT 'training_dataset' AS output, count(*) AS n_rows, RND(sum(claim_count), 6) AS total FROM tset WHERE NOT is_test
-UNION ALL SELECT 'glm_test_predictions', count(*), RND(sum(claim_count), 6) FROM tset WHERE is_test
-UNION ALL SELECT 'glm_coefficients', 7, {dbl(0.0)}
-UNION ALL SELECT 'glm_metrics', 1, RND(avg(claim_count), 6) FROM tset WHERE is_test
-UNION ALL SELECT 'glm_summary', 2, {dbl(0.0)}""",
+    f"WITH {FL}, {TS_CTES}, tr AS (SELECT * FROM tset WHERE NOT is_test), te AS (SELECT * FROM tset WHERE is_test)"
+    + " UNION ALL ".join(
+        [f" SELECT 'training_dataset' AS output, '{c}' AS column_name, count({c}) AS n_values, RND(sum({_WEIGHT} * CAST({c} AS DOUBLE)), 4) AS total FROM tr" for c in _TRAINING]
+        + [f" SELECT 'glm_test_predictions', '{c}', count({c}), RND(sum((d + 1) % 101 * CAST({c} AS DOUBLE)), 4) FROM te" for c in ("exposure_km", "claim_count")]
+        + [f" SELECT 'glm_test_predictions', '{c}', count(*), {dbl(0.0)} FROM te" for c in ("predicted_claim_count", "predicted_frequency")]
+        + [f" SELECT 'glm_coefficients', 'exp_coef', 7, {dbl(0.0)}", " SELECT 'glm_metrics', 'mean_claim_count', 1, RND(avg(claim_count), 4) FROM te"]
+        + [f" SELECT 'glm_metrics', '{c}', 1, {dbl(0.0)}" for c in ("mae", "rmse", "mean_predicted_claim_count")]
+        + [f" SELECT 'glm_summary', 'value', 2, {dbl(0.0)}"]
+    ),
 )
 sql("premium_cap", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM r3")
 
@@ -674,26 +683,28 @@ sql(
 SELECT driver_id, event_id, event_no, event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window,
   phone_usage_count, next_seq FROM rl""",
 )
-sql(
-    "rolling_tick_decisions",
-    f"""WITH {FL}, {ROLL_CTE},
-rd AS (
+#: Buffer states with their decision, and the fields of a tick decision behind its range.
+DECIDED_CTE = f"""rd AS (
   SELECT *, risk_event_count / event_count AS ri,
     CASE WHEN risk_score_window >= {C.ESCALATE_SCORE} OR phone_usage_count >= {C.ESCALATE_PHONE} THEN '{C.ESCALATE_HIGH_RISK_REVIEW}'
          WHEN event_count >= {C.NUDGE_MIN_EVENTS} AND risk_event_count / event_count >= {dbl(C.NUDGE_INTENSITY)} THEN '{C.SEND_SAFETY_NUDGE}'
          WHEN event_count >= {C.POINTS_MIN_EVENTS} AND risk_event_count = 0 AND km_window >= {dbl(C.POINTS_MIN_KM)}
            THEN '{C.GRANT_SAFE_DRIVING_POINTS}' END AS decision_type
-  FROM rl),
-lastseq AS (SELECT max(event_no) AS ls FROM fl),
-tk AS (
-  SELECT * FROM (SELECT rd.*, ((event_no + 9) // 10) * 10 AS first_tick, (coalesce(next_seq - 1, ls) // 10) * 10 AS last_tick
-    FROM rd, lastseq WHERE decision_type IS NOT NULL) WHERE first_tick <= last_tick)
-SELECT first_tick, last_tick, (last_tick - first_tick) // 10 + 1 AS n_ticks, '{C.SOURCE_ROLLING}' AS decision_source, driver_id, decision_type,
+  FROM rl)"""
+TICK_FIELDS = f"""'{C.SOURCE_ROLLING}' AS decision_source, driver_id, decision_type,
   CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN 'high' WHEN '{C.SEND_SAFETY_NUDGE}' THEN 'medium' ELSE 'low' END AS priority,
   CASE decision_type WHEN '{C.ESCALATE_HIGH_RISK_REVIEW}' THEN '{C.ACTION_ESCALATE}'
        WHEN '{C.SEND_SAFETY_NUDGE}' THEN '{C.ACTION_WINDOW_NUDGE}' ELSE '{C.ACTION_POINTS.replace("'", "''")}' END AS recommended_action,
   CASE WHEN decision_type = '{C.GRANT_SAFE_DRIVING_POINTS}' THEN '{C.MESSAGE_POINTS}' ELSE '{C.MESSAGE_ROLLING_RISK}' END AS customer_message,
-  event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window, RND(ri, 3) AS risk_intensity, phone_usage_count
+  event_count, RND(km_window, 4) AS km_driven, risk_event_count, risk_score_window, RND(ri, 3) AS risk_intensity, phone_usage_count"""
+sql(
+    "rolling_tick_decisions",
+    f"""WITH {FL}, {ROLL_CTE}, {DECIDED_CTE},
+lastseq AS (SELECT max(event_no) AS ls FROM fl),
+tk AS (
+  SELECT * FROM (SELECT rd.*, ((event_no + 9) // 10) * 10 AS first_tick, (coalesce(next_seq - 1, ls) // 10) * 10 AS last_tick
+    FROM rd, lastseq WHERE decision_type IS NOT NULL) WHERE first_tick <= last_tick)
+SELECT first_tick, last_tick, (last_tick - first_tick) // 10 + 1 AS n_ticks, {TICK_FIELDS}
 FROM tk""",
 )
 
@@ -709,7 +720,14 @@ ORACLE["stream_tumbling_append"] = ORACLE["sink_features_parquet"]
 ORACLE["stream_sliding_update"] = ORACLE["features_sliding_5m"]
 ORACLE["stream_event_decisions"] = ORACLE["event_decisions"]
 ORACLE["stream_window_decisions"] = ORACLE["window_decisions"]
-ORACLE["source_feature_store"] = ORACLE["features_tumbling_1m"]
+_OLD_LAYOUT = ", ".join(f"CASE WHEN layout = 0 THEN NULL ELSE {c} END AS {c}" for c in ("speeding_ratio", "max_speed", "phone_usage_count"))
+sql(
+    "source_feature_store",
+    f"""WITH f AS ({features_sql(1)}), g AS (SELECT *, window_start // 60 % 3 AS layout FROM f)
+SELECT * EXCLUDE (layout, speeding_ratio, max_speed, phone_usage_count), speeding_ratio, max_speed, phone_usage_count, CAST(NULL AS VARCHAR) AS fleet, 'csv' AS read_from FROM g
+UNION ALL
+SELECT * EXCLUDE (layout, speeding_ratio, max_speed, phone_usage_count), {_OLD_LAYOUT}, CASE WHEN layout = 2 THEN 'F' || right(driver_id, 1) END AS fleet, 'parquet' FROM g""",
+)
 _OLDER = ", ".join(
     c if c in ("driver_id", "scored_at", "technical_premium", "technical_premium_previous")
     else f"CAST(NULL AS {'BIGINT' if c == 'phone_usage_count' else 'DOUBLE'}) AS {c}"
@@ -768,6 +786,37 @@ sql(
 
 _SPLIT_MS = TARGET_EPOCH_MS + 108 * 60_000
 
+ORACLE["stream_sliding_table"] = ORACLE["features_sliding_5m"]
+ORACLE["stream_decision_table"] = ORACLE["window_decisions"]
+sql(
+    "state_of_open_windows",
+    f"""WITH {FL}, half AS (SELECT * FROM fl WHERE event_ms < {_SPLIT_MS}),
+{windows_cte('fw', 1, 'half')},
+agg AS (SELECT {FEATURE_AGGS} FROM fw WHERE event_ms IS NOT NULL GROUP BY driver_id, window_start, window_end)
+SELECT agg.*, restart FROM agg, (VALUES ('before'), ('after')) v(restart) WHERE window_end * 1000 > (SELECT max(event_ms) FROM half) - 30000""",
+)
+sql("premium_snapshot", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM ({LATEST.format(src='h3')})")
+sql("premium_lookup", f"WITH {FL}, {premium_ctes()} SELECT {HISTORY_OUT} FROM ({LATEST.format(src='h3')}) WHERE driver_id = 'D0007'")
+ORACLE["driver_rollup_incremental"] = ORACLE["driver_rollup"]
+sql(
+    "source_topic_offsets",
+    f"WITH {FL} SELECT event_no - 1 AS \"offset\", event_id, driver_id, event_ms AS event_time_ts FROM fl WHERE event_ms >= {_SPLIT_MS}",
+)
+ORACLE["stream_last_n_features"] = ORACLE["rolling_last_n_features"]
+sql(  # the runs end after the first half of the events and after all; a buffer open at an end is judged there if a tick has passed
+    "stream_tick_decisions",
+    f"""WITH {FL}, {ROLL_CTE}, {DECIDED_CTE},
+ends AS (SELECT max(event_no) AS n FROM fl UNION SELECT max(event_no) FROM fl WHERE event_ms < {_SPLIT_MS}),
+states AS (SELECT *, ((event_no + 9) // 10) * 10 AS first_tick FROM rd WHERE decision_type IS NOT NULL),
+tk AS (
+  SELECT * FROM (SELECT *, ((next_seq - 1) // 10) * 10 AS last_tick, (next_seq - 1) // 10 - first_tick // 10 + 1 AS n_ticks FROM states WHERE next_seq IS NOT NULL)
+  WHERE first_tick <= last_tick
+  UNION ALL
+  SELECT *, first_tick AS last_tick, CAST(0 AS BIGINT) AS n_ticks FROM states
+  WHERE EXISTS (SELECT 1 FROM ends WHERE event_no <= n AND first_tick <= n AND (next_seq IS NULL OR next_seq > n)))
+SELECT first_tick, last_tick, n_ticks, {TICK_FIELDS}
+FROM tk""",
+)
 sql(
     "late_data",
     features_sql(1, f"{CLOSED} AND window_start * 1000 >= {_SPLIT_MS}").replace(

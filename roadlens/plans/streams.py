@@ -9,6 +9,8 @@ reads what the sink wrote back as a table.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,16 +24,22 @@ from ..operators import windows as W
 from ..schemas import DECISION_SCHEMA, EVENT_COLUMNS, PREMIUM_HISTORY_SCHEMA
 from ..session import materialize, release, scratch_path
 from ..sources import io as IO
+from ..sources import premium_snapshot as PS
+from ..sources import rollup_store as RS
+from ..sources import topic_log as T
 from .fixture import TARGET_EPOCH_MS, raw_events
+from ..streaming import count_windows as CW
 from ..streaming import jobs as J
 from . import inputs as I
 from .catalog import (
     alert_output,
+    epoch_s,
     event_decision_output,
     feature_output,
     history_output,
     moment_output,
     register,
+    rollup_output,
     window_decision_output,
 )
 
@@ -46,6 +54,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("driver_id").alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in EVENT_COLUMNS])).alias("value"),
         "event_ms",
+        "event_no",
     )
 
 
@@ -58,7 +67,7 @@ def _run(spark: SparkSession, sf_dir: str, name: str, start, batches: int = 1):
     msgs = _messages(spark, sf_dir)
     slices = [msgs] if batches == 1 else [msgs.filter(F.col("event_ms") < SPLIT_MS), msgs.filter(F.col("event_ms") >= SPLIT_MS)]
     for part in slices:
-        part.drop("event_ms").write.mode("append").parquet(src)
+        part.select("key", "value").write.mode("append").parquet(src)
         J.run_until_done(start(spark, cfg, sinks))
     release(spark, src)  # the results are read from what the sinks wrote
     release(spark, cfg.checkpoint_dir)
@@ -149,15 +158,118 @@ def q_stream_window_decisions(spark, sf_dir):
     return window_decision_output(d.select(*W.WINDOW_DECISION_FIELDS))
 
 
+def _run_topic(spark: SparkSession, sf_dir: str, name: str, start, before=(), slices=(), starting: str = "earliest") -> JobConfig:
+    """Like ``_run`` over a topic folder with offsets: publish ``before``, then run ``start`` once, and again after each of ``slices``."""
+    root = scratch_path(spark, name)
+    cfg = replace(J.with_paths(JobConfig(), root, f"{root}/topic", T.FORMAT), starting_offsets=starting)
+    msgs = _messages(spark, sf_dir)
+    for cond in before:
+        T.append_messages(msgs.filter(cond), cfg.source_path, "event_ms", "event_no")
+    for cond in slices:
+        if cond is not None:
+            T.append_messages(msgs.filter(cond), cfg.source_path, "event_ms", "event_no")
+        J.run_until_done([start(spark, cfg)])
+    return cfg
+
+
+@register("source_topic_offsets")
+def q_source_topic_offsets(spark, sf_dir):
+    """A stream that starts at the latest offset: half of the messages are there before its first run and are not read;
+    the third quarter comes after a first run that found nothing, the last after a restart."""
+    late = SPLIT_MS + (SPLIT_MS - TARGET_EPOCH_MS) // 2
+    at = F.col("event_ms")
+
+    def start(spark, cfg):
+        events = E.parse_events(IO.read_events_stream(spark, cfg, with_offset=True), keep=("offset",))
+        out = events.select("offset", "event_id", "driver_id", F.unix_millis("event_time_ts").alias("event_time_ts"))
+        writer = out.writeStream.format("parquet").option("path", f"{cfg.output_dir}/events")
+        return writer.option("checkpointLocation", f"{cfg.checkpoint_dir}/events").trigger(**TRIGGER).start()
+
+    slices = [None, (at >= SPLIT_MS) & (at < late), at >= late, None]
+    cfg = _run_topic(spark, sf_dir, "source_topic_offsets", start, [at < SPLIT_MS], slices, "latest")
+    return spark.read.schema("offset long, event_id string, driver_id string, event_time_ts long").parquet(f"{cfg.output_dir}/events")
+
+
+def _last_events(spark, sf_dir, name: str) -> tuple[DataFrame, DataFrame]:
+    """(buffers sent, buffers still open) after two slices, each with a run of its own, and a restart with nothing new."""
+    halves = [F.col("event_ms") < SPLIT_MS, F.col("event_ms") >= SPLIT_MS, None]
+    cfg = _run_topic(spark, sf_dir, name, lambda s, c: J.start_last_events(s, c, TRIGGER), slices=halves)
+    sent = spark.read.parquet(f"{cfg.output_dir}/{J.LAST_EVENTS}")
+    return sent, materialize(J.open_buffers(spark, cfg), "open_buffers")
+
+
+@register("stream_last_n_features")
+def q_stream_last_n_features(spark, sf_dir):
+    """The count-window features of a stream: the buffers closed so far and, from the query's state, those still open."""
+    sent, still = _last_events(spark, sf_dir, "stream_last_n_features")
+    closed = sent.filter("status = 'closed'").select(*still.columns, "next_seq")
+    both = closed.unionByName(still.withColumn("next_seq", F.lit(None).cast("long")))
+    return both.select(
+        "driver_id", "event_id", "event_no", "event_count", F.round("km_window", 4).alias("km_driven"),
+        "risk_event_count", "risk_score_window", "phone_usage_count", "next_seq",
+    )
+
+
+@register("stream_tick_decisions")
+def q_stream_tick_decisions(spark, sf_dir):
+    """The tick decisions of a stream, as ranges of the closed buffers, and those taken on buffers open at a tick (``n_ticks`` 0)."""
+    sent, _ = _last_events(spark, sf_dir, "stream_tick_decisions")
+    ranges = CW.closed_tick_ranges(sent, C.JobConfig.tick_every).drop("decision_ts")
+    at_once = CW.open_tick_decisions(sent).drop("decision_ts").withColumnRenamed("tick", "first_tick")
+    return ranges.unionByName(at_once.withColumns({"last_tick": F.col("first_tick"), "n_ticks": F.lit(0).cast("long")}))
+
+
+@register("stream_sliding_table")
+def q_stream_sliding_table(spark, sf_dir):
+    """The sliding windows' latest state after two slices, merged batch by batch; no log of updates is read."""
+    cfg, _ = _run(spark, sf_dir, "stream_sliding_table", lambda s, c, k: [J.start_sliding_table(s, c, TRIGGER)], batches=2)
+    return feature_output(J.sliding_table(cfg, _sliding_schema(spark, sf_dir)).read(spark))
+
+
+@register("stream_decision_table")
+def q_stream_decision_table(spark, sf_dir):
+    """The decision last sent for every window, merged batch by batch."""
+    cfg, _ = _run(spark, sf_dir, "stream_decision_table", lambda s, c, k: [J.start_decision_table(s, c, TRIGGER)])
+    schema = W.build_window_decision_rows(W.decision_windows(I.flagged_events(spark, sf_dir))).schema
+    return window_decision_output(J.decision_table(cfg, schema).read(spark).select(*W.WINDOW_DECISION_FIELDS))
+
+
+@register("state_of_open_windows")
+def q_state_of_open_windows(spark, sf_dir):
+    """The windows in the state of the feature query: after the first half of the messages, and after a restart with nothing new."""
+    root = scratch_path(spark, "state_of_open_windows")
+    cfg = J.with_paths(JobConfig(), root, f"{root}/input")
+    J.use_rocksdb(spark)
+    msgs = _messages(spark, sf_dir).filter(F.col("event_ms") < SPLIT_MS)
+    msgs.select("key", "value").write.parquet(cfg.source_path)
+    found = []
+    for when in ("before", "after"):
+        J.run_until_done([J.start_features(spark, cfg, TRIGGER)])
+        found.append(materialize(J.open_windows(spark, cfg).withColumn("restart", F.lit(when)), "open_windows"))
+    both = found[0].unionByName(found[1])
+    return both.withColumns({"window_start": F.unix_seconds("window_start"), "window_end": F.unix_seconds("window_end")})
+
+
 # --- 2.1 sources and sinks (batch) ---------------------------------------------------------------------
 
 
 @register("source_feature_store")
 def q_source_feature_store(spark, sf_dir):
-    path = scratch_path(spark, "feature_store") + "/tumbling_1m.csv"
-    feats = W.tumbling_features(I.flagged_events(spark, sf_dir, with_incident=False))
-    IO.write_features_csv(feature_output(feats), path)
-    return IO.load_features(spark, path, feature_output(feats).schema)
+    """A CSV feature table, and a Parquet folder with files of three layouts: an older one without three columns, one
+    with the columns the other way round, one with a column more."""
+    path = scratch_path(spark, "feature_store")
+    feats = materialize(feature_output(W.tumbling_features(I.flagged_events(spark, sf_dir, with_incident=False))), "features")
+    IO.write_features_csv(feats, f"{path}/tumbling_1m.csv")
+    part = F.expr("window_start div 60") % 3
+    layouts = (
+        feats.filter(part == 0).drop("speeding_ratio", "max_speed", "phone_usage_count"),
+        feats.filter(part == 1).select(*reversed(feats.columns)),
+        feats.filter(part == 2).withColumn("fleet", F.concat(F.lit("F"), F.substring("driver_id", -1, 1))),
+    )
+    for layout in layouts:
+        layout.write.mode("append").parquet(f"{path}/tumbling_1m")
+    csv = IO.load_features(spark, f"{path}/tumbling_1m.csv", feats.schema).withColumns({"fleet": F.lit(None).cast("string"), "read_from": F.lit("csv")})
+    return csv.unionByName(IO.load_features(spark, f"{path}/tumbling_1m").withColumn("read_from", F.lit("parquet")))
 
 
 def _history_path(spark, name: str) -> str:
@@ -193,6 +305,40 @@ def q_sink_premium_history(spark, sf_dir):
     return history_output(IO.load_history(spark, path))
 
 
+def _snapshot(spark, sf_dir, name: str) -> str:
+    """A snapshot into which three runs were merged, one of them twice and one out of order."""
+    path = scratch_path(spark, name)
+    runs = I.premium_runs(spark, sf_dir)
+    for run in (runs[0], runs[2], runs[1], runs[2]):
+        PS.merge_run(run, path, buckets=8)
+    return path
+
+
+@register("premium_snapshot")
+def q_premium_snapshot(spark, sf_dir):
+    """The latest premium of every driver, kept by merging each run."""
+    return history_output(PS.read_snapshot(spark, _snapshot(spark, sf_dir, "premium_snapshot")))
+
+
+@register("premium_lookup")
+def q_premium_lookup(spark, sf_dir):
+    """One driver's latest premium, read from one bucket of the snapshot."""
+    return history_output(PS.lookup(spark, _snapshot(spark, sf_dir, "premium_lookup"), "D0007"))
+
+
+@register("driver_rollup_incremental")
+def q_driver_rollup_incremental(spark, sf_dir):
+    """The drivers' roll-up from stored partial sums: topped up after the first half of the windows, and after all."""
+    root = scratch_path(spark, "driver_rollup_incremental")
+    hour = F.date_format("window_start", "yyyy-MM-dd'T'HH")
+    features = materialize(I.pricing_features(spark, sf_dir).withColumn("window_hour", hour), "features")
+    first = F.unix_millis("window_start") < SPLIT_MS
+    for part in (features.filter(first), features.filter(~first)):
+        part.write.mode("append").partitionBy("window_hour").parquet(f"{root}/features")
+        RS.top_up(spark, f"{root}/features", f"{root}/rollup", "window_hour")
+    return rollup_output(RS.stored_rollup(spark, f"{root}/rollup"))
+
+
 @register("sink_premium_updates")
 def q_sink_premium_updates(spark, sf_dir):
     path = scratch_path(spark, "premium_updates")
@@ -244,32 +390,52 @@ def q_source_decisions(spark, sf_dir):
     )
 
 
+#: Of the training rows, the columns that are compared after they were written.
+TRAINING_COLUMNS = ("exposure_km", "event_count", "claim_count", "expected_claim_rate", *C.FEATURE_COLUMNS)
+
+
 @register("sink_model_outputs")
 def q_sink_model_outputs(spark, sf_dir):
-    """All five outputs written, then read back: rows and sums of each."""
+    """All five outputs written, then read back: per output and column the values counted, and summed with a weight
+    that differs from row to row; where only the fit knows a value, the difference from the value before it was written."""
     out = scratch_path(spark, "model_outputs")
     train, test = I.train_test(spark, sf_dir, materialized=True)
     fit = M.fit_glm(train, "rate", written=True)
     pred = M.predict_with(fit, test).select(
         "driver_id", "exposure_km", "claim_count", "predicted_claim_count", "predicted_frequency"
     )
-    IO.write_outputs(spark, out, train, M.coefficients(spark, fit), pred, M.evaluate(pred), M.summary_text(fit))
+    metrics = M.evaluate(pred)
+    IO.write_outputs(spark, out, train, M.coefficients(spark, fit), pred, metrics, M.summary_text(fit))
 
-    def line(df: DataFrame, output: str, total) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.round(total, 6).alias("total")).select(F.lit(output).alias("output"), "n_rows", "total")
+    def lines(df: DataFrame, output: str, totals: dict) -> DataFrame:
+        """(output, column, n_values, total) of each column."""
+        sums = df.agg(*[F.struct(F.count(v).alias("n"), F.round(F.sum(w * v), 4).alias("t")).alias(c) for c, (v, w) in totals.items()])
+        rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.n").alias("n_values"), F.col(f"{c}.t").alias("total")) for c in totals]
+        return sums.select(F.inline(F.array(*rows))).select(F.lit(output).alias("output"), "column_name", "n_values", "total")
 
+    one = F.lit(1.0)
     table = lambda name: IO.load_features(spark, f"{out}/{name}.csv")
+    driver = F.substring("driver_id", 2, 32).cast("long")
+    weight = (driver * 31 + F.col("minute").cast("long") * 17) % 101 + 1
+    kept = table("training_dataset")
+    found = lines(kept, "training_dataset", {c: (F.col(c).cast("double"), weight) for c in TRAINING_COLUMNS})
+    by_driver = {c: (F.col(c).cast("double"), driver % 101) for c in pred.columns[1:]}
+    before = lines(pred, "glm_test_predictions", by_driver).withColumnRenamed("total", "was").select("column_name", "was")
+    read = lines(table("glm_test_predictions"), "glm_test_predictions", by_driver).join(before, "column_name")
+    fitted = F.col("column_name").startswith("predicted")
+    read = read.select("output", "column_name", "n_values", F.when(fitted, F.round(F.col("total") - F.col("was"), 3) + 0.0).otherwise(F.col("total")).alias("total"))
+    gap = F.col("exp_coef").cast("double") - F.exp(F.col("coef").cast("double"))
+    made = metrics.first()
+    stored = {c: (F.col(c) - F.lit(made[c]), one) for c in ("mae", "rmse", "mean_predicted_claim_count")}
     parts = [
-        line(table("training_dataset"), "training_dataset", F.sum("claim_count").cast("double")),
-        line(table("glm_test_predictions"), "glm_test_predictions", F.sum("claim_count").cast("double")),
-        line(table("glm_coefficients"), "glm_coefficients", F.sum(F.col("exp_coef").cast("double") - F.exp(F.col("coef").cast("double")))),
-        line(spark.read.json(f"{out}/glm_metrics"), "glm_metrics", F.sum("mean_claim_count")),
-        line(spark.read.text(f"{out}/glm_summary").filter("value LIKE '%=%'"), "glm_summary", F.lit(0.0)),
+        read,
+        lines(table("glm_coefficients"), "glm_coefficients", {"exp_coef": (gap, one)}),
+        lines(spark.read.json(f"{out}/glm_metrics"), "glm_metrics", {"mean_claim_count": (F.col("mean_claim_count"), one), **stored}),
+        lines(spark.read.text(f"{out}/glm_summary").filter("value LIKE '%=%'"), "glm_summary", {"value": (F.lit(0.0), one)}),
     ]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    for part in parts:
+        found = found.unionByName(part)
+    return found
 
 
 @register("model_store")
@@ -300,7 +466,7 @@ def _run_slices(spark, sf_dir, name, start, slices):
     msgs = _messages(spark, sf_dir)
     for cond in slices:
         if cond is not None:
-            msgs.filter(cond).drop("event_ms").write.mode("append").parquet(cfg.source_path)
+            msgs.filter(cond).select("key", "value").write.mode("append").parquet(cfg.source_path)
         J.run_until_done(start(spark, cfg, sinks))
     release(spark, cfg.source_path)
     release(spark, cfg.checkpoint_dir)

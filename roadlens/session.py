@@ -31,6 +31,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package when the session was started from another folder.
+
+    On a cluster the package is installed, or shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 

@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 
 from ..config import JobConfig
 from ..schemas import DECISION_SCHEMA, FEATURE_SCHEMA, PREMIUM_HISTORY_SCHEMA
+from .topic_log import FORMAT as TOPIC_LOG
+from .topic_log import read_topic_stream
 
 MESSAGE_SCHEMA = "key string, value string"
 
@@ -74,9 +76,20 @@ def _rate_limit(cfg: JobConfig, option: str) -> dict[str, str]:
     return {} if cfg.max_per_trigger is None else {option: str(cfg.max_per_trigger)}
 
 
-def read_events_stream(spark: SparkSession, cfg: JobConfig, topic: str | None = None) -> DataFrame:
-    """Streaming ``key``/``value`` strings of the raw topic (broker or a folder of message files)."""
+def read_events_stream(spark: SparkSession, cfg: JobConfig, topic: str | None = None, with_offset: bool = False) -> DataFrame:
+    """Streaming ``key``/``value`` strings of the raw topic: a broker, a topic folder with offsets, or a folder of message files.
+
+    ``with_offset`` adds ``offset``, the message's place in the topic, where
+    the source has one (of a broker: within its partition).
+    """
     topic = topic or cfg.raw_topic
+    columns = ["key", "value", *(["offset"] if with_offset else [])]
+    if cfg.source_format == TOPIC_LOG:
+        if not cfg.source_path:
+            raise ValueError("source_path is required for a topic folder")
+        return read_topic_stream(spark, cfg.source_path, cfg.starting_offsets).select(*columns)
+    if with_offset and cfg.source_format != "kafka":
+        raise ValueError(f"messages of a {cfg.source_format} folder have no offsets; use {TOPIC_LOG}")
     if cfg.source_format == "kafka":
         raw = (
             spark.readStream.format("kafka")
@@ -87,7 +100,7 @@ def read_events_stream(spark: SparkSession, cfg: JobConfig, topic: str | None =
             .options(**cfg.source_options)
             .load()
         )
-        return raw.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+        return raw.withColumns({c: F.col(c).cast("string") for c in ("key", "value")}).select(*columns)
     if not cfg.source_path:
         raise ValueError("source_path is required for a file source")
     reader = spark.readStream.format(cfg.source_format).options(**_rate_limit(cfg, "maxFilesPerTrigger")).options(**cfg.source_options)
@@ -135,14 +148,17 @@ def read_decisions_stream(spark: SparkSession, cfg: JobConfig, path: str | None
 def load_features(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Feature table from a parquet folder, a parquet file, or a ``.csv`` file with a header.
 
-    CSV columns are matched by name and typed by ``schema`` (default: the
-    feature table's types), so nothing is inferred from the content; a column
-    without a known type stays text.
+    Columns are matched by name over all files: one that some files lack (an
+    older layout) is null in their rows, and none is lost.  CSV columns are
+    typed by ``schema`` (default: the feature table's types), so nothing is
+    inferred from the content; a column without a known type stays text.
+    Parquet files that give one column two types are an error, as one of them
+    would be misread.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"feature table not found: {path}")
     if not path.lower().endswith(".csv"):  # a CSV file, or a folder of CSV parts named *.csv
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", True).parquet(path)  # else the layout of one file would stand for all
     types = {f.name: f.dataType for f in (schema or FEATURE_SCHEMA).fields}
     text = read_csv_by_name(spark, path)
     return text.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in text.columns])

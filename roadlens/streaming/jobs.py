@@ -27,6 +27,8 @@ from ..config import JobConfig
 from ..operators import events as E
 from ..operators import windows as W
 from ..sources.io import kafka_writer_options, read_events_stream
+from . import count_windows as CW
+from .upsert import KeyedTable
 
 
 @dataclass(frozen=True)
@@ -174,6 +176,91 @@ def start_event_decisions(spark, cfg: JobConfig, sinks: StreamSinks, trigger=Non
     )
 
 
+def numbered_stream(spark: SparkSession, cfg: JobConfig) -> DataFrame:
+    """Flagged events with ``event_no``, their arrival number (from 1), of a source with offsets.
+
+    One sequence over the stream needs a topic folder, or a broker's topic of one partition.
+    """
+    messages = read_events_stream(spark, cfg, with_offset=True)
+    return E.flag_events(E.parse_events(messages, keep=("offset",))).withColumn("event_no", F.col("offset") + 1)
+
+
+LAST_EVENTS = "last_events"
+
+
+def start_last_events(spark, cfg: JobConfig, trigger=None) -> StreamingQuery:
+    """Every driver's last-N-events buffers, appended as they close (and, open, at the next tick) to ``output_dir/last_events``."""
+    use_rocksdb(spark)
+    states = CW.buffer_states(numbered_stream(spark, cfg), cfg.window_events, cfg.tick_every)
+    writer = (
+        states.writeStream.format("parquet")
+        .option("path", f"{cfg.output_dir}/{LAST_EVENTS}")
+        .option("checkpointLocation", f"{cfg.checkpoint_dir}/{LAST_EVENTS}")
+        .outputMode("append")
+    )
+    return _trigger(writer, trigger).start()
+
+
+def open_buffers(spark: SparkSession, cfg: JobConfig, seq: str = "event_no") -> DataFrame:
+    """The buffers that no later event has closed, from the query's state: one row per driver, columns as in the output."""
+    state = spark.read.format("statestore").option("stateVarName", "open").load(f"{cfg.checkpoint_dir}/{LAST_EVENTS}")
+    rows = state.select("key.driver_id", *[F.col(f"value.{c}") for c in CW.FEATURES])
+    return rows.withColumnRenamed("seq", seq)
+
+
+def start_upsert(updates: DataFrame, table: KeyedTable, checkpoint: str, trigger=None) -> StreamingQuery:
+    """An update-mode stream kept as its latest row per key (``table``) instead of a log of all updates."""
+    writer = updates.writeStream.foreachBatch(table.merge_batch).option("checkpointLocation", checkpoint).outputMode("update")
+    return _trigger(writer, trigger).start()
+
+
+SLIDING_TABLE, DECISION_TABLE = "sliding_5m_latest", "window_decisions_latest"
+
+
+def sliding_table(cfg: JobConfig, schema) -> KeyedTable:
+    return KeyedTable(f"{cfg.output_dir}/{SLIDING_TABLE}", ("driver_id", "window_start"), schema)
+
+
+def start_sliding_table(spark, cfg: JobConfig, trigger=None) -> StreamingQuery:
+    """Sliding 5-minute windows as a keyed table: every window's latest state."""
+    sliding = W.sliding_features(flagged_stream(spark, cfg), watermark=cfg.watermark)
+    return start_upsert(sliding, sliding_table(cfg, sliding.schema), f"{cfg.checkpoint_dir}/{SLIDING_TABLE}", trigger)
+
+
+def decision_table(cfg: JobConfig, schema) -> KeyedTable:
+    return KeyedTable(f"{cfg.output_dir}/{DECISION_TABLE}", ("driver_id", "window_start"), schema)
+
+
+def start_decision_table(spark, cfg: JobConfig, trigger=None) -> StreamingQuery:
+    """Window decisions as a keyed table: the decision last sent for each window."""
+    windowed = W.decision_windows(flagged_stream(spark, cfg, with_incident=True), watermark=cfg.watermark)
+    rows = W.build_window_decision_rows(windowed)
+    return start_upsert(rows, decision_table(cfg, rows.schema), f"{cfg.checkpoint_dir}/{DECISION_TABLE}", trigger)
+
+
+#: What the state of a feature query holds per window, in the order of the aggregates.
+_STATE_FIELDS = (
+    "event_count bigint, km double, speed double, speeds bigint, speeding_count bigint, hard_braking_count bigint, harsh_acceleration_count bigint, "
+    "sharp_cornering_count bigint, night_event_count bigint, bad_weather_event_count bigint, phone_usage_count bigint, risk_event_count bigint, max_speed double"
+)
+
+
+def open_windows(spark: SparkSession, cfg: JobConfig, query: str = "features_tumbling_1m") -> DataFrame:
+    """The windows that a feature query has not closed yet, from its state: what it would go on with after a restart."""
+    state = spark.read.format("statestore").load(f"{cfg.checkpoint_dir}/{query}")
+    rows = state.select("key.driver_id", "key.window", F.col("value").cast(f"struct<{_STATE_FIELDS.replace(' ', ':').replace(',:', ',')}>").alias("v"))
+    counts = [c.split()[0] for c in _STATE_FIELDS.split(", ") if c.split()[0].endswith("_count")]
+    return rows.select(
+        "driver_id",
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        *[F.col(f"v.{c}").alias(c) for c in counts],
+        F.round("v.km", 4).alias("km_driven"),
+        F.round(F.col("v.speed") / F.col("v.speeds"), 2).alias("avg_speed"),
+        F.col("v.max_speed").alias("max_speed"),
+    )
+
+
 def start_window_decisions(spark, cfg: JobConfig, sinks: StreamSinks, trigger=None) -> StreamingQuery:
     """Windowed decisions in update mode: a window's decision is re-sent whenever its state changes."""
     flagged = flagged_stream(spark, cfg, with_incident=True)
