@@ -205,9 +205,13 @@ def anchored_pieces(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def counted(pieces: DataFrame) -> DataFrame:
-    """``pieces(core, h1, h2, n, ...)`` of cores that occur more than once, with ``kinds``: how many different pieces the core has."""
+    """``pieces(core, h1, h2, n, ...)`` of cores that occur more than once, with ``kinds``: how many different pieces the core has.
+
+    Both sides of the join are plain tables, so Spark can split a core with very many pieces.
+    """
     cores = pieces.groupBy("core").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).filter("all > 1")
-    return pieces.join(cores.select(F.col("core").alias("c"), "kinds"), F.col("core") == F.col("c")).drop("c")
+    cores = write_table(cores.select(F.col("core").alias("c"), "kinds"), "cores")
+    return pieces.join(cores, F.col("core") == F.col("c")).drop("c")
 
 
 def live_pieces(pieces: DataFrame) -> DataFrame:
