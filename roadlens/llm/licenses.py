@@ -23,7 +23,8 @@ Only DataFrame functions.  Texts are not shuffled: units stay in their row's
 task, and only matches and document ids meet by id, after partial sums.
 Templates are a fixed table in the plan.
 
-Edge cases: null, empty and word-free texts have no licence.  Ties between
+Edge cases: null, empty and word-free texts have no licence.  Time and memory
+grow in proportion to a text's length.  Ties between
 templates go to the first by name.  Rows that repeat a document id are one
 document.  A null id is a document of its own.  An empty table gives an empty
 result.  Other columns are not read.
@@ -197,10 +198,9 @@ def windows(docs: DataFrame, templates: dict[str, str] | None = None, min_dice:
     # every window with a signature bigram begins in the stretch of m places that has the bigram, or in the one before it
     place = F.filter(F.transform("steps", lambda b, i: F.when(F.array_contains(F.col("rare"), b), F.floor(i / F.col("m")))), lambda i: i.isNotNull())
     stretches = F.array_distinct(F.flatten(F.transform(F.array_distinct(place), lambda i: F.array(F.greatest(i - 1, F.lit(0)), i))))
-    met = met.withColumn("stretch", F.explode(stretches)).withColumn("start", F.col("stretch") * F.col("m") + 1)
-    # the places of a stretch and of the windows that begin there
-    near = F.slice("steps", F.col("start").cast("int"), 2 * F.col("m") - 1)
-    met = met.select("doc_id", "license", "want", "m", near.alias("steps")).filter(F.size("steps") >= F.col("m"))
+    # the places of a stretch and of the windows that begin there, cut out before the rows part: a row carries its own places only
+    near = F.transform(stretches, lambda s: F.slice("steps", (s * F.col("m") + 1).cast("int"), 2 * F.col("m") - 1))
+    met = met.select("doc_id", "license", "want", "m", F.explode(near).alias("steps")).filter(F.size("steps") >= F.col("m"))
 
     def dice(start: Column) -> Column:
         have = F.array_distinct(F.slice("steps", start, F.col("m")))

@@ -124,9 +124,23 @@ t AS (SELECT license, {pairs} AS want FROM (SELECT license, {words("body")} AS w
 m AS (
     SELECT doc_id, license, dice FROM (SELECT doc_id, license, 2.0::DOUBLE * len(list_intersect(have, want)) / (len(have) + len(want)) AS dice
     FROM u JOIN t ON len(have) >= ceil(len(want) * {t / (2 - t)} - 1e-9) AND len(want) >= ceil(len(have) * {t / (2 - t)} - 1e-9)) WHERE dice >= {t}
-), best AS (SELECT doc_id, min(struct_pack(d := -dice, l := license)) AS b, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS ls FROM m GROUP BY doc_id)
+), whole AS (
+    SELECT doc_id, CASE WHEN len(w) > 1 THEN list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END AS steps
+    FROM (SELECT doc_id, {words("text")} AS w FROM texts) WHERE len(w) > 0
+), sizes AS (SELECT license, want, greatest(1, len(w) - 1) AS n, CAST(ceil(len(want) * {t / (2 - t)} - 1e-9) AS BIGINT) AS least
+    FROM (SELECT license, {pairs} AS want, w FROM (SELECT license, {words("body")} AS w FROM (VALUES {templates}) v(license, body)))
+), near AS (SELECT doc_id, license, want, n, steps FROM whole JOIN sizes ON len(steps) >= n AND len(list_intersect(steps, want)) >= least),
+windows AS (
+    SELECT doc_id, license, max(2.0::DOUBLE * len(list_intersect(have, want)) / (len(have) + len(want))) AS dice
+    FROM (SELECT doc_id, license, want, list_distinct(steps[i : i + n - 1]) AS have FROM (SELECT *, unnest(generate_series(1, len(steps) - n + 1)) AS i FROM near))
+    GROUP BY doc_id, license HAVING max(2.0::DOUBLE * len(list_intersect(have, want)) / (len(have) + len(want))) >= {t}
+), per AS (
+    SELECT coalesce(u.doc_id, v.doc_id) AS doc_id, coalesce(u.license, v.license) AS license, coalesce(u.dice, v.dice) AS dice, coalesce(u.n, 1) AS n
+    FROM (SELECT doc_id, license, max(dice) AS dice, count(*) AS n FROM m GROUP BY doc_id, license) u
+    FULL JOIN windows v ON u.doc_id IS NOT DISTINCT FROM v.doc_id AND u.license = v.license
+), best AS (SELECT doc_id, min(struct_pack(d := -dice, l := license)) AS b, CAST(sum(n) AS BIGINT) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS ls FROM per GROUP BY doc_id)
 SELECT d.doc_id, b.l AS license, coalesce(-b.d, 0.0::DOUBLE) AS dice, coalesce(n, 0)::BIGINT AS n_matches, coalesce(ls, '') AS licenses
-FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON d.doc_id = best.doc_id
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON d.doc_id IS NOT DISTINCT FROM best.doc_id
 """
 
 

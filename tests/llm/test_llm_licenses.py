@@ -5,8 +5,12 @@ from __future__ import annotations
 import functools
 import random
 import re
+import time
 
+import duckdb
+import pandas as pd
 from roadlens.llm import licenses as L
+from roadlens.llm import queries as Q
 
 
 def grams(text):
@@ -116,6 +120,35 @@ def test_wrapped_and_embedded_notices_match_brute_force(spark):
     assert all(name in out[10 + i].licenses.split(",") for i, name in enumerate(L.TEMPLATES))
 
 
+def test_sql_covers_lines_texts_and_windows(spark):
+    """The registered SQL on rows with wrapped, embedded and changed notices (no id twice with different texts)."""
+    rows = [r for r in window_rows() if r[0] is not None]
+    frame = pd.DataFrame(rows, columns=["doc_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", frame)
+    cur = con.execute(Q.ORACLE["op10_licenses"])
+    names = [d[0] for d in cur.description]
+    want = sorted((dict(zip(names, r)) for r in cur.fetchall()), key=lambda r: r["doc_id"])
+    got = L.scan(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [{c: round(v, 9) if isinstance(v, float) else v for c, v in r.asDict().items()} for r in got] == [{c: round(v, 9) if isinstance(v, float) else v for c, v in r.items()} for r in want]
+    assert sum(r["n_matches"] > 0 for r in want) > 30
+
+
+def test_time_grows_with_the_length_of_a_text(spark):
+    body = L.TEMPLATES["mit-whole"].split()
+    rng = random.Random(6)
+
+    def seconds(n):
+        words = [rng.choice(body) if i % 50 else "software without" for i in range(n)]
+        df = spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")
+        began = time.time()
+        L.windows(df).collect()
+        return time.time() - began
+
+    seconds(10_000)
+    assert seconds(160_000) < 6 * seconds(40_000) + 5
+
+
 def test_whole_short_licences(spark):
     head = "MIT License\n\nCopyright (c) 2020 A. Person\n\n"
     df = spark.createDataFrame([(i, head + wrapped(L.TEMPLATES[n], 11, "")) for i, n in enumerate(("mit-whole", "isc-whole"))], "doc_id long, text string")
