@@ -19,12 +19,14 @@
 Edge cases: null and blank texts have fingerprint zero and are linked like any
 other.  A null id counts as larger than every other id.  Rows that repeat an
 id are separate rows with one label; ``near_deduplicate`` keeps exactly one
-row of each component.  An empty table gives an empty result.  Other columns
+row of each component.  Very long texts are hashed a piece at a time.  An empty table gives an empty result.  Other columns
 pass through ``near_deduplicate`` unchanged.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,30 +47,57 @@ LANE = 255
 LANES = np.uint64(0x0101010101010101)
 
 
-def majority(hashes: np.ndarray) -> int:
-    """The 64-bit word whose bit is 1 where more than half of ``hashes`` have a 1."""
+#: Bytes of a text that are turned into words at once.
+PIECE_BYTES = 1 << 20
+SPACE = re.compile(rb"[\t-\r ]")
+
+
+def ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of ``hashes`` have a 1, for each of the 64 bits."""
     starts = np.arange(0, len(hashes), LANE)
     counts = np.zeros((8, 8), np.int64)  # bit within a byte, byte
     for bit in range(8):
         lanes = np.add.reduceat((hashes >> np.uint64(bit)) & LANES, starts)
         counts[bit] = lanes.view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64)
-    ones = (2 * counts > len(hashes)).T.reshape(-1)
-    return int(np.packbits(ones, bitorder="little").view(np.uint64)[0])
+    return counts.T.reshape(-1)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The 64-bit word whose bit is 1 where more than half of ``n`` hashes have a 1."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
+
+
+def word_lists(text: bytes) -> Iterator[list[bytes]]:
+    """The lower-cased words of a text, a piece of about ``PIECE_BYTES`` at a time (longer only by one word)."""
+    at = 0
+    while at < len(text):
+        end = at + PIECE_BYTES
+        if end < len(text):
+            gap = SPACE.search(text, end)
+            end = gap.start() if gap else len(text)
+        yield text[at:end].translate(LOWER_TABLE).split()
+        at = end
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
     """SimHash of a UTF-8 text over ``shingle``-word shingles (fewer words: the whole sequence; none: zero)."""
-    words = (text or b"").translate(LOWER_TABLE).split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), SEED)
-    line = b" ".join(words)
-    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], stops[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    spans = zip(starts[: len(words) - shingle + 1].tolist(), stops[shingle - 1 :].tolist())
-    return majority(np.fromiter((digest(line[a:b], SEED) for a, b in spans), np.uint64, len(words) - shingle + 1))
+    total, n, last = np.zeros(BITS, np.int64), 0, []
+    for words in word_lists(text or b""):
+        words = last + words
+        if len(words) >= shingle:
+            line = b" ".join(words)
+            stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+            starts = np.concatenate(([0], stops[:-1] + 1))
+            spans = zip(starts[: len(words) - shingle + 1].tolist(), stops[shingle - 1 :].tolist())
+            hashes = np.fromiter((digest(line[a:b], SEED) for a, b in spans), np.uint64, len(words) - shingle + 1)
+            total += ones(hashes)
+            n += len(hashes)
+            words = words[len(words) - shingle + 1 :]
+        last = words  # the words that later shingles begin with
+    if n:
+        return majority(total, n)
+    return digest(b" ".join(last), SEED) if last else 0
 
 
 def fingerprint_udf(shingle: int):

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 import xxhash
+from roadlens.llm import components as C
 from roadlens.llm import simhash as S
+from roadlens.llm.common import write_table
 from roadlens.llm.components import connected_components
 
 SCHEMA = "doc_id long, text string"
@@ -57,7 +60,7 @@ def test_fingerprint_matches_the_definition():
     for _, t in corpus() + [(0, "x " * 5000), (0, "one"), (0, "A b C d")]:
         assert S.fingerprint(None if t is None else t.encode(), 3) == slow_fingerprint(t)
     hashes = np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64)
-    assert S.majority(hashes) == sum(1 << b for b in range(64) if 2 * int(((hashes >> np.uint64(b)) & np.uint64(1)).sum()) > 1000)
+    assert S.majority(S.ones(hashes), 1000) == sum(1 << b for b in range(64) if 2 * int(((hashes >> np.uint64(b)) & np.uint64(1)).sum()) > 1000)
 
 
 def test_near_duplicates_match_brute_force(spark):
@@ -113,3 +116,41 @@ def test_near_deduplicate_keeps_the_smallest_row(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert S.near_duplicates(df).collect() == [] and S.near_deduplicate(df).collect() == []
+
+
+def test_a_node_with_very_many_neighbours_is_split(spark):
+    """The join of a step, on written tables, with half of all edges at one node: the adaptive plan splits it."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    hub = spark.range(1, 60_000).selectExpr("id AS a", "CAST(0 AS BIGINT) AS b")
+    links = write_table(hub.union(spark.range(100_000, 160_000).selectExpr("id * 2 + 1 AS a", "id * 2 AS b")).repartition(8), "hub")
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        pairs = C.both_ways(links)
+        met = C.moved(pairs, write_table(C.smallest(pairs), "low"))
+        assert len(met.collect()) == 2 * 119_999
+        assert "skew=true" in met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+
+
+def test_pieces_do_not_change_a_fingerprint(monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a", "bb", "Ünï", "ccc\t", "\n"]) for _ in range(n)) for n in (0, 1, 2, 3, 4, 50, 3000)]
+    want = [slow_fingerprint(t) for t in texts]
+    for size in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(S, "PIECE_BYTES", size)
+        assert [S.fingerprint(t.encode(), 3) for t in texts] == want
+
+
+def test_a_very_long_text_takes_little_memory():
+    text = b"some words that are not the same everywhere 123 " * 400_000
+    tracemalloc.start()
+    assert S.fingerprint(text, 3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * len(text)
