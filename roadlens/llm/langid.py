@@ -8,19 +8,23 @@ corrected share decides.
 
 Learning counts n-grams over every learning row (partial counts per task,
 summed by key).  An n-gram belongs to a language if it makes up at least
-``MIN_SHARE`` of the n-grams of that language, so a language has at most
-``1 / MIN_SHARE`` members and the filter a proven size, whatever the corpus.
+``min_share`` of the n-grams of that language, so a language has at most
+``1 / min_share`` members and the filter a proven size, whatever the corpus;
+with 0 every n-gram of the learning rows is a member.  A filter beyond
+``FILTER_BYTES`` is an error before anything is gathered, never a silent cut.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0.
 Rows with a null language are predicted but not learned from.  Ties, and
 texts without a known n-gram, go to the language with more learning text,
 then to the first by name.  With nothing learned every text is ``und``.  A
 null id counts as the empty string when rows are held out.  Repeated rows
-count as often as they occur.  Other columns are not read.
+count as often as they occur.  Very long texts become n-grams a piece at a
+time.  Other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,14 +40,16 @@ UNKNOWN = "und"
 GRAM = 4
 #: Least share of a language's n-grams for membership; bounds a language to 1 / MIN_SHARE members.
 MIN_SHARE = 5e-5
-#: Most languages of one model (the driver holds MAX_LANGUAGES / MIN_SHARE members at most).
-MAX_LANGUAGES = 256
+#: Most bytes of a filter (every Python worker holds one).
+FILTER_BYTES = 256 << 20
 SLOTS_PER_GRAM = 16
 #: Odd multipliers of the slot hashes (from the golden ratio and its powers).
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 FOLDS = 5
 #: Bytes of text that a task turns into n-grams at once.
 CHUNK_BYTES = 4 << 20
+#: Characters of a text that are normalised at once; a piece ends at white space if there is some in as many more.
+PIECE_CHARS = 1 << 19
 #: Distinct n-grams that a task holds before it hands on its partial counts.
 FLUSH_GRAMS = 500_000
 
@@ -51,19 +57,55 @@ FLUSH_GRAMS = 500_000
 _FOLD = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
 
 
+SPACE = re.compile(r"[ \t\n\r]")
+
+
 def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def grams(text: str) -> np.ndarray:
-    """The four-byte n-grams of ``text``, lower-cased, with runs of non-letters as one space, as 32-bit words."""
-    line = b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(_FOLD).split()) + b" "
+def _text_pieces(text: str) -> Iterator[str]:
+    at = 0
+    while at < len(text):
+        end = at + PIECE_CHARS
+        if end < len(text):
+            gap = SPACE.search(text, end, end + PIECE_CHARS)
+            end = gap.start() if gap else end
+        yield text[at:end]
+        at = end
+
+
+def gram_parts(text: str) -> Iterator[np.ndarray]:
+    """The four-byte n-grams of ``text``, lower-cased, with runs of non-letters as one space, as 32-bit words, a piece at a time."""
+    carry, gap = b" ", False  # the line begins with a space; a gap is a space still to come
+    for piece in _text_pieces(text):
+        raw = piece.lower().encode("utf-8", "replace").translate(_FOLD)
+        words = raw.split()
+        if not words:
+            gap = gap or bool(raw)
+            continue
+        begins = carry != b" " and (gap or raw[:1] == b" ")
+        line = carry + b" " * begins + b" ".join(words)
+        gap = raw[-1:] == b" "
+        yield _words(line)
+        carry = line[1 - GRAM :]
+    if carry != b" ":
+        yield _words(carry + b" ")
+
+
+def _words(line: bytes) -> np.ndarray:
     raw = np.frombuffer(line, np.uint8).astype(np.uint32)
     if len(raw) < GRAM:
         return np.empty(0, np.uint32)
     return raw[:-3] | raw[1:-2] << np.uint32(8) | raw[2:-1] << np.uint32(16) | raw[3:] << np.uint32(24)
 
 
+def grams(text: str) -> np.ndarray:
+    """All n-grams of a text, in order."""
+    parts = list(gram_parts(text))
+    return np.concatenate(parts) if parts else np.empty(0, np.uint32)
+
+
 @dataclass(frozen=True)
 class LanguageFilter:
     """``languages`` in bit order; ``slices[w]``: the slots with the bits of languages 64w .. 64w + 63."""
@@ -75,7 +117,7 @@ class LanguageFilter:
 
     @classmethod
     def build(cls, languages: list[str], members: dict[str, np.ndarray], volume: dict[str, int]) -> "LanguageFilter":
-        size = 1 << max(10, int(SLOTS_PER_GRAM * sum(len(m) for m in members.values())).bit_length())
+        size = cls.slots(sum(len(m) for m in members.values()))
         slices = []
         for lo in range(0, len(languages), 64):
             slots = np.zeros(size, np.uint64)
@@ -87,6 +129,10 @@ class LanguageFilter:
         best = min(range(len(languages)), key=lambda i: (-volume.get(languages[i], 0), languages[i])) if languages else -1
         return cls(tuple(languages), tuple(slices), np.array(full) ** len(MULTIPLIERS), best)
 
+    @staticmethod
+    def slots(members: int) -> int:
+        return 1 << max(10, (SLOTS_PER_GRAM * members).bit_length())
+
     @staticmethod
     def places(words: np.ndarray, size: int) -> list[np.ndarray]:
         shift = np.uint64(64 - size.bit_length() + 1)
@@ -107,11 +153,15 @@ class LanguageFilter:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
-        words = grams(text)
-        if not len(words):
+        found, n = np.zeros(len(self.languages), np.int64), 0
+        for words in gram_parts(text):
+            if len(words):
+                found += self.hits(words)
+                n += len(words)
+        if not n:
             return self.languages[self.fallback], 0.0
         # of n grams, s belong: hits = s + (n - s) * false_rate
-        share = (self.hits(words) / len(words) - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9)
+        share = (found / n - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9)
         share = np.clip(share, 0.0, 1.0)
         best = max(range(len(share)), key=lambda i: (share[i], i == self.fallback, -i))
         return self.languages[best], float(share[best])
@@ -144,12 +194,13 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            held.setdefault(lang, []).append(grams(text))
-            waiting += len(held[lang][-1])
-            if waiting > CHUNK_BYTES:
-                for name in list(held):
-                    settle(name)
-                waiting = 0
+            for words in gram_parts(text):
+                held.setdefault(lang, []).append(words)
+                waiting += len(words)
+                if waiting > CHUNK_BYTES:
+                    for name in list(held):
+                        settle(name)
+                    waiting = 0
         if sum(len(k) for k, _ in counts.values()) > FLUSH_GRAMS:
             yield from flush()
     yield from flush()
@@ -159,20 +210,24 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageFilter:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> LanguageFilter:
     """The filter learned from the rows that are not held out and have a language and a text."""
     rows = docs.filter(~held_out(id_col)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     counts = rows.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = write_table(counts, "language_grams")
-    volume = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(volume) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    least = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(n * MIN_SHARE)) for lang, n in volume.items()]) if volume else F.lit(0.0)
-    chosen = counts.filter(F.col("n") >= least).select("lang", "gram").toArrow().to_pydict()
+    sums = write_table(counts.groupBy("lang").agg(F.sum("n").alias("volume")), "language_volumes")
+    chosen = counts.join(F.broadcast(sums) if sums.count() <= 10_000 else sums, "lang").filter(F.col("n") >= F.col("volume") * min_share).select("lang", "gram")
+    n, languages = chosen.count(), sums.count()
+    if 8 * LanguageFilter.slots(n) * -(-languages // 64) > FILTER_BYTES:
+        raise ValueError(f"a filter of {n} n-grams of {languages} languages exceeds {FILTER_BYTES} bytes; raise min_share")
+    volume = {r["lang"]: r["volume"] for r in sums.collect()}
+    found = chosen.toArrow()
     drop_table(counts)
-    names, words = np.array(chosen["lang"], object), np.array(chosen["gram"], np.int64).astype(np.uint32)
-    members = {lang: np.sort(words[names == lang]) for lang in volume}
-    return LanguageFilter.build(sorted(volume), members, volume)
+    drop_table(sums)
+    names = sorted(volume)
+    lang = np.asarray(pc.index_in(found["lang"], value_set=pa.array(names, pa.string())))
+    words = np.asarray(found["gram"]).astype(np.uint32)
+    return LanguageFilter.build(names, {name: np.sort(words[lang == i]) for i, name in enumerate(names)}, volume)
 
 
 def predictor(docs: DataFrame, model: LanguageFilter):
@@ -187,15 +242,20 @@ def predictor(docs: DataFrame, model: LanguageFilter):
     return predict
 
 
-def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> DataFrame:
     """One row per input row: doc_id, held_out, lang_pred, score."""
-    predict = predictor(docs, learn(docs, id_col, text_col, lang_col))
+    predict = predictor(docs, learn(docs, id_col, text_col, lang_col, min_share))
     rows = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), predict(F.col(text_col)).alias("p"))
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text is put in some learned language (``und`` goes), all columns as they are."""
+def keep_identified(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` whose text is put in some learned language, all columns as they are.
+
+    Rejected are ``und`` and every text whose best score is not above
+    ``least_score``: by default those without one n-gram of any language (an
+    unknown language or script, noise), which only the fallback would name.
+    """
     predict = predictor(docs, learn(docs))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predict(F.col("text")).alias("p"))
-    return rows.filter(F.col("p.lang_pred") != UNKNOWN).select("row.*")
+    return rows.filter((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") > least_score)).select("row.*")

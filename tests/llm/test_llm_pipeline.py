@@ -10,14 +10,17 @@ import duckdb
 import pytest
 from conftest import SF001
 from roadlens.llm import queries as Q
+from roadlens.llm.langid import MIN_SHARE
 from test_llm_decontaminate import brute
+from test_llm_langid import brute as brute_languages
 from test_llm_simhash import slow_components, slow_fingerprint
 
 
 def brute_pipeline():
-    docs = duckdb.sql(f"SELECT doc_id, text FROM read_parquet('{SF001}/documents.parquet')").fetchall()
+    rows = duckdb.sql(f"SELECT doc_id, text, lang FROM read_parquet('{SF001}/documents.parquet')").fetchall()
+    languages = brute_languages(rows, MIN_SHARE)
+    docs = [(i, t) for i, t, _ in rows if languages[i][1] > 0]
     items = duckdb.sql(f"SELECT item_id, text FROM read_parquet('{SF001}/benchmark.parquet')").fetchall()
-    docs = [(i, t) for i, t in docs if t and any(c.isalpha() for c in t)]
     last = {}
     for i, t in docs:
         key = t.translate({c: c + 32 for c in range(65, 91)})
@@ -67,4 +70,4 @@ def test_query_matches_its_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = list(entry.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
