@@ -17,9 +17,11 @@ is preceded by ``ORDER - 1`` begin tokens.  An n-gram is one 64-bit word.
    batch meets its own answers in a cogroup, where its texts are scored.  The
    model itself never passes through the driver or one task.
 5. Perplexity is per byte.  A document is kept if it lies between two quantiles
-   of the trusted documents of its language.  These come from a fifth of the
-   trusted documents that the model never saw (by a hash of the id); its own
-   training texts would look too good.  The upper quantile is the one of
+   of the trusted documents of its language.  The upper one comes from a fifth of
+   the trusted documents that the model never saw (by a hash of the text without
+   letter case, so that copies of a training text are not among them); its own
+   training texts would look too good.  The lower one comes from all of them, as
+   the training texts lie lowest and are good.  The upper quantile is the one of
    ``HIGH_QUANTILES`` with the best balanced accuracy on that fifth and the
    documents labelled bad that the same hash picks (ties: the highest).
 
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import BinaryType
 
-from .common import drop_table, small_side, write_table
+from .common import drop_table, lower_ascii, small_side, write_table
 
 ORDER = 5
 TOKEN_BITS = 9
@@ -262,67 +264,81 @@ def _scorer(id_type: pa.DataType):
                 starts = np.cumsum([0] + [len(body) for _, _, body in piece])[:-1]
                 rows = np.array([at[row] for row, _, _ in piece])
                 np.add.at(sums, rows, np.add.reduceat(found[words.indices.to_numpy()], starts))
-        return pa.table({"doc_id": texts["doc_id"].cast(id_type), "lang": texts["lang"], "n_bytes": texts["n_bytes"], "log_sum": pa.array(sums)})
+        return pa.table({"doc_id": texts["doc_id"].cast(id_type), "lang": texts["lang"], "unseen": texts["unseen"], "n_bytes": texts["n_bytes"], "log_sum": pa.array(sums)})
 
     return score
 
 
-def text_scores(docs: DataFrame, logs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(doc_id, lang, n_bytes, log_sum) of every row of ``docs(doc_id, lang, text)``; ``text`` is binary; 0 without a model."""
+def dealt_rows(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """The rows of ``docs(doc_id, lang, unseen, text)``, packed, in batches of about ``batch_bytes`` of text."""
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = max(1, -(-total // batch_bytes))
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
-    batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch")
-    # both uses below read this one shuffle
-    dealt = docs.select("doc_id", "lang", size, batch, F.arrow_udf(_pack, BinaryType())("text").alias("packed")).repartition("batch").sortWithinPartitions("batch")
+    # the place of a row is part of the hash: rows that repeat id and text are dealt out like any others
+    batch = F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(n)).alias("batch")
+    return docs.select("doc_id", "lang", "unseen", size, batch, F.arrow_udf(_pack, BinaryType())("text").alias("packed")).repartition("batch").sortWithinPartitions("batch")
+
+
+def text_scores(docs: DataFrame, logs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """(doc_id, lang, unseen, n_bytes, log_sum) of every row of ``docs(doc_id, lang, unseen, text)``; ``text`` is binary; 0 without a model."""
+    dealt = dealt_rows(docs, batch_bytes)  # both uses below read this one shuffle
     asked = dealt.mapInArrow(_asked_by_batch, "batch long, lang string, gram long")
     answers = asked.join(logs, ["lang", "gram"]).select("batch", "lang", "gram", "logp")
     id_type = docs.schema["doc_id"].dataType
     return dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        _scorer(to_arrow_type(id_type)), f"doc_id {id_type.simpleString()}, lang string, n_bytes long, log_sum double"
+        _scorer(to_arrow_type(id_type)), f"doc_id {id_type.simpleString()}, lang string, unseen boolean, n_bytes long, log_sum double"
     )
 
 
 def good_documents(labels: DataFrame) -> DataFrame:
-    """Written table (good_id, unseen): documents that all their labels call good and not toxic; a fifth is ``unseen``."""
+    """Written table (good_id): documents that all their labels call good and not toxic."""
     fine = F.coalesce((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0), F.lit(False))
     marks = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(fine).alias("fine"))
-    unseen = F.pmod(F.xxhash64("good_id"), F.lit(BOUND_FOLDS)) == 0
-    return write_table(marks.filter("fine").select(F.col("doc_id").alias("good_id")).withColumn("unseen", unseen), "good_documents")
+    return write_table(marks.filter("fine").select(F.col("doc_id").alias("good_id")), "good_documents")
 
 
 def bad_documents(labels: DataFrame) -> DataFrame:
-    """Written table (bad_id, unseen): documents that a label calls bad or toxic; ``unseen`` as of ``good_documents``."""
-    bad = labels.filter("doc_id IS NOT NULL AND (quality = 0 OR toxic = 1)").select(F.col("doc_id").alias("bad_id")).distinct()
-    return write_table(bad.withColumn("unseen", F.pmod(F.xxhash64("bad_id"), F.lit(BOUND_FOLDS)) == 0), "bad_documents")
+    """Written table (bad_id): documents that a label calls bad or toxic."""
+    return write_table(labels.filter("doc_id IS NOT NULL AND (quality = 0 OR toxic = 1)").select(F.col("doc_id").alias("bad_id")).distinct(), "bad_documents")
 
 
 def bounds_of(reference: DataFrame, low: float = LOW_QUANTILE, highs: tuple[float, ...] = HIGH_QUANTILES) -> DataFrame:
-    """(lang, low, high) from unseen labelled documents ``reference(lang, perplexity, fine)``."""
+    """(lang, low, high) from labelled documents ``reference(lang, perplexity, fine, unseen)``.
+
+    ``low`` is a quantile of all good documents: those that the model was
+    trained on lie lowest, and are no worse for it.  ``high`` is one of the
+    unseen good documents.
+    """
     names = [f"h{i}" for i in range(len(highs))]
     tail = HIGH_QUANTILE if len(highs) > 1 else highs[0]
-    q = reference.filter("fine").groupBy("lang").agg(F.percentile_approx("perplexity", [low, *highs, tail], 10_000).alias("q"))
-    inside = [F.col("perplexity").between(F.col("q")[0], F.col("q")[i + 1]) for i in range(len(highs))]
+    q = reference.filter("fine").groupBy("lang").agg(
+        F.percentile_approx(F.when(F.col("unseen"), F.col("perplexity")), [*highs, tail], 10_000).alias("q"),
+        F.percentile_approx("perplexity", low, 10_000).alias("low"),
+    )
+    q = q.filter("q IS NOT NULL")
+    inside = [F.col("perplexity").between(F.col("low"), F.col("q")[i]) for i in range(len(highs))]
     rates = [(F.avg(F.when(F.col("fine"), i.cast("double"))) + F.avg(F.when(~F.col("fine"), (~i).cast("double")))).alias(n) for i, n in zip(inside, names)]
-    rated = reference.join(small_side(q, 160), "lang").groupBy("lang").agg(F.first("q").alias("q"), *rates)
+    rated = reference.filter("unseen").join(small_side(q, 160), "lang").groupBy("lang", "low").agg(F.first("q").alias("q"), *rates)
     # without bad documents there is no rate
-    best = F.array_max(F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.col(n).alias("rate"), F.col("q")[i + 1].alias("high"))) for i, n in enumerate(names)]))
-    return rated.select("lang", F.col("q")[0].alias("low"), F.coalesce(best["high"], F.col("q")[len(highs) + 1]).alias("high"))
+    best = F.array_max(F.array(*[F.when(F.col(n).isNotNull(), F.struct(F.col(n).alias("rate"), F.col("q")[i].alias("high"))) for i, n in enumerate(names)]))
+    return rated.select("lang", "low", F.coalesce(best["high"], F.col("q")[len(highs)]).alias("high"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high: float | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """One row per input row: doc_id, lang, perplexity, low and high (the bounds of its language), kept; without ``high`` the labels choose it."""
-    rows = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
+    unseen = F.pmod(F.xxhash64(lower_ascii(F.col("text").cast("string"))), F.lit(BOUND_FOLDS)) == 0  # all copies of a text on one side
+    rows = docs.select("doc_id", F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), unseen.alias("unseen"), F.col("text").cast("binary").alias("text"))
     good = good_documents(labels)
     n_good = good.count()
-    trusted = rows.filter(F.octet_length("text") > 0).join(small_side(good.filter("NOT unseen"), 16, n_good), F.col("doc_id") == F.col("good_id"))
+    trusted = rows.filter((F.octet_length("text") > 0) & ~F.col("unseen")).join(small_side(good, 16, n_good), F.col("doc_id") == F.col("good_id"))
     logs = log_probabilities(trusted.select("lang", "text"), rows.select("lang", "text"))
     scores = text_scores(rows, logs, batch_bytes)
     judged = F.when((F.col("n_bytes") > 0) & (F.col("log_sum") < 0), F.exp(-F.col("log_sum") / F.col("n_bytes")))
-    scores = write_table(scores.select("doc_id", "lang", "n_bytes", judged.alias("perplexity")), "perplexities")
-    reference = scores.join(small_side(good.filter("unseen"), 16, n_good), F.col("doc_id") == F.col("good_id"), "left_semi").filter("perplexity IS NOT NULL")
+    scores = write_table(scores.select("doc_id", "lang", "unseen", "n_bytes", judged.alias("perplexity")), "perplexities")
+    judged = scores.filter("perplexity IS NOT NULL")
+    reference = judged.join(small_side(good, 16, n_good), F.col("doc_id") == F.col("good_id"), "left_semi")
     bad = bad_documents(labels)
-    wrong = scores.join(small_side(bad.filter("unseen"), 16, bad.count()), F.col("doc_id") == F.col("bad_id"), "left_semi").filter("perplexity IS NOT NULL")
+    wrong = judged.join(small_side(bad, 16, bad.count()), F.col("doc_id") == F.col("bad_id"), "left_semi")
     reference = reference.withColumn("fine", F.lit(True)).unionByName(wrong.withColumn("fine", F.lit(False)))
     bounds = write_table(bounds_of(reference, low, HIGH_QUANTILES if high is None else (high,)), "bounds")
     inside = F.col("perplexity").between(F.col("low"), F.col("high"))

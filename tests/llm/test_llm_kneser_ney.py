@@ -6,7 +6,9 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from roadlens.llm import kneser_ney as K
 
@@ -84,7 +86,7 @@ def test_scores_match_the_formulas_for_any_batch_size(model):
     plain, rows, docs, logs = model
     want = sorted((str(i), len(t or b""), plain.log(t or b"") if lang == "en" else 0.0) for i, lang, t in rows)
     for options in ({}, {"batch_bytes": 300}, {"batch_bytes": 20}):
-        got = sorted((str(r.doc_id), r.n_bytes, r.log_sum) for r in K.text_scores(docs, logs, **options).collect())
+        got = sorted((str(r.doc_id), r.n_bytes, r.log_sum) for r in K.text_scores(docs.withColumn("unseen", F.lit(False)), logs, **options).collect())
         assert [w[:2] for w in want] == [g[:2] for g in got] and all(math.isclose(a[2], b[2], abs_tol=1e-2) for a, b in zip(want, got))
 
 
@@ -112,6 +114,57 @@ def test_decisions(spark):
     assert not rows[2000].kept and not rows[2001].kept and rows[2001].lang == "und" and rows[2002].kept and rows[2002].perplexity is None
 
 
+def brute_bounds(reference):
+    """Bounds from sorted lists: the smallest value whose rank reaches the quantile; the best balanced accuracy, ties to the highest."""
+    at = lambda values, q: values[max(0, math.ceil(q * len(values)) - 1)]
+    out = {}
+    for lang in {lang for lang, _, fine, unseen in reference if fine and unseen}:
+        fine = sorted(p for own, p, f, unseen in reference if own == lang and f and unseen)
+        bad = [p for own, p, f, unseen in reference if own == lang and not f and unseen]
+        low = at(sorted(p for own, p, f, _ in reference if own == lang and f), K.LOW_QUANTILE)
+        highs = [at(fine, q) for q in K.HIGH_QUANTILES]
+        if bad:
+            rate = lambda h: sum(low <= p <= h for p in fine) / len(fine) + sum(not low <= p <= h for p in bad) / len(bad)
+            out[lang] = (low, max((round(rate(h), 12), h) for h in highs)[1])
+        else:
+            out[lang] = (low, at(fine, K.HIGH_QUANTILE))
+    return out
+
+
+def test_bounds_and_decisions_match_brute_force(spark):
+    rng = random.Random(11)
+    docs, labels = [], []
+    for i, t in enumerate(corpora() * 4):
+        text = t + " " + rng.choice(["a", "B", "c"]) * rng.randrange(1, 9)
+        docs.append((i, text, rng.choice(["en", "de"])))
+        labels.append((i, 1, 0))
+    for i in range(1000, 1060):
+        docs.append((i, "".join(chr(rng.randrange(33, 110)) for _ in range(60)), "en"))
+        labels.append((i, 0, 0))
+    docs += [(2000 + i, docs[i][1].translate({c: c - 32 for c in range(97, 123)}), docs[i][2]) for i in range(40)]  # copies but for letter case: on the side of their text
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in K.classify(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    lowered = lambda t: t.translate({c: c + 32 for c in range(65, 91)}).encode()
+    unseen = {i: np.int64(np.uint64(xxhash.xxh64_intdigest(lowered(t), 42))) % K.BOUND_FOLDS == 0 for i, t, _ in docs}
+    assert all(unseen[2000 + i] == unseen[docs[i][0]] for i in range(40))
+    marks = {i: q == 1 for i, q, _ in labels}
+    reference = [(lang, rows[i].perplexity, marks[i], unseen[i]) for i, _, lang in docs if i in marks]
+    bounds = brute_bounds(reference)
+    assert set(bounds) == {"en", "de"}
+    for i, _, lang in docs:
+        r, (low, high) = rows[i], bounds[lang]
+        assert (r.low, r.high) == (low, high) and r.kept == (low <= r.perplexity <= high)
+    assert any(not r.kept for r in rows.values())
+
+
+def test_rows_that_repeat_everything_are_dealt_out(spark):
+    same = spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("en").alias("lang"), F.lit(False).alias("unseen"), F.lit(b"x" * 100).alias("text"))
+    logs = spark.createDataFrame([], "lang string, gram long, logp double")
+    plan = K.text_scores(same.repartition(4), logs, batch_bytes=1000)
+    assert plan.count() == 10_000
+    assert K.dealt_rows(same.repartition(4), 1000).select("batch").distinct().count() > 900
+
+
 def test_empty_tables(spark):
     d, l = spark.createDataFrame([(1, "a", "en")], "doc_id long, text string, lang string"), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r.perplexity, r.kept) for r in K.classify(d, l).collect()] == [(None, True)]
@@ -122,10 +175,13 @@ def test_labelled_documents_choose_the_upper_bound(spark):
     """Odd good documents in the tail do not open the bound to documents labelled bad; both error rates are measured."""
     rows = [("en", 4 + i / 1000, True) for i in range(970)] + [("en", 8.0, True)] * 30 + [("en", 6.0, False)] * 45 + [("en", 9.0, False)] * 5
     rows += [("de", 4 + i / 1000, True) for i in range(1000)] + [("fr", 9.0, False)]
-    got = {r.lang: r for r in K.bounds_of(spark.createDataFrame(rows, "lang string, perplexity double, fine boolean")).collect()}
+    reference = spark.createDataFrame(rows, "lang string, perplexity double, fine boolean").withColumn("unseen", F.lit(True))
+    trained = reference.limit(0).union(spark.createDataFrame([("en", 2 + i / 1000, True, False) for i in range(1000)], "lang string, perplexity double, fine boolean, unseen boolean"))
+    got = {r.lang: r for r in K.bounds_of(reference.union(trained)).collect()}
+    assert got["en"].low < 2.01  # texts that the model was trained on are not below the bound
     assert set(got) == {"en", "de"} and got["de"].high == pytest.approx(4.99, abs=0.002)
     lost = sum(f and not got["en"].low <= p <= got["en"].high for lang, p, f in rows if lang == "en") / 1000
     kept = sum(not f and got["en"].low <= p <= got["en"].high for lang, p, f in rows if lang == "en") / 50
     assert kept == 0 and lost <= 0.035
-    fixed = K.bounds_of(spark.createDataFrame(rows, "lang string, perplexity double, fine boolean"), highs=(0.99,)).filter("lang = 'en'").first()
+    fixed = K.bounds_of(reference, highs=(0.99,)).filter("lang = 'en'").first()
     assert fixed.high == 8.0  # the fixed quantile keeps 45 of 50
