@@ -536,3 +536,25 @@ def q_glm_summary(spark, sf_dir):
     s = fit.model.summary
     found = spark.createDataFrame(rows, "position int, term string, std_err_gap double, z_gap double, p_gap double")
     return found.withColumns({"n_rows": F.lit(s.numInstances).cast("long"), "null_deviance": F.lit(round(s.nullDeviance, 4))})
+
+
+@register("model_dispersion")
+def q_model_dispersion(spark, sf_dir):
+    """How much more the held-out counts vary than the Poisson form says, for the committed coefficients."""
+    from ..operators.model import dispersion
+
+    found = dispersion(I.test_predictions(spark, sf_dir), len(C.COMMITTED_COEFFICIENTS))
+    return found.select("n_rows", r9("mean_claim_count"), r9("variance_claim_count"), r9("dispersion"))
+
+
+@register("glm_tweedie")
+def q_glm_tweedie(spark, sf_dir):
+    """Two Tweedie fits: per term, how far the estimating equations are from their solution."""
+    from ..operators.model import fit_tweedie, tweedie_gradient
+
+    train, _ = I.train_test(spark, sf_dir, materialized=True)
+    parts = [
+        tweedie_gradient(fit_tweedie(train, power, written=True), train, power).select(F.lit(power).alias("power"), "term", (F.round("gradient", 3) + 0.0).alias("gradient"))
+        for power in (1.2, 1.5)
+    ]
+    return parts[0].unionByName(parts[1])

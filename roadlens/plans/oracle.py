@@ -648,6 +648,14 @@ d AS (SELECT count(*) AS n_rows, RND(2 * sum((CASE WHEN y > 0 THEN y * ln(y / (e
 SELECT position, CASE position WHEN 0 THEN 'const' ELSE term END AS term, {dbl(0.0)} AS std_err_gap, {dbl(0.0)} AS z_gap, {dbl(0.0)} AS p_gap, n_rows, null_deviance
 FROM {_PLACES}, d""",
 )
+sql(
+    "model_dispersion",
+    f"""WITH {FL}, {TS_CTES}
+SELECT count(*) AS n_rows, RND(avg(claim_count), 9) AS mean_claim_count, RND(var_samp(claim_count), 9) AS variance_claim_count,
+  RND(sum((claim_count - predicted_claim_count) * (claim_count - predicted_claim_count) / predicted_claim_count) / (count(*) - {len(C.COMMITTED_COEFFICIENTS)}), 9) AS dispersion
+FROM tpred""",
+)
+sql("glm_tweedie", f"SELECT power, CASE position WHEN 0 THEN 'const' ELSE term END AS term, {dbl(0.0)} AS gradient FROM {_PLACES}, (VALUES ({dbl(1.2)}), ({dbl(1.5)})) v(power)")
 _TRAINING = ("exposure_km", "event_count", "claim_count", "expected_claim_rate", *_TERMS)
 _WEIGHT = "(((d + 1) * 31 + minute * 17) % 101 + 1)"
 sql(
@@ -786,6 +794,21 @@ sql(
 
 _SPLIT_MS = TARGET_EPOCH_MS + 108 * 60_000
 
+sql(  # per driver, the next decision at least two minutes after the one sent before
+    "stream_decision_cooldown",
+    f"""WITH RECURSIVE {FL}, {EVENT_DECISION_CTE},
+d AS (SELECT event_id, driver_id, event_ms, decision_type, {STREAM_PRIORITY} AS priority FROM ed WHERE decision_type IS NOT NULL),
+sent(driver_id, pick) AS (
+  SELECT driver_id, min(struct_pack(t := event_ms, e := event_id)) FROM d GROUP BY driver_id
+  UNION ALL
+  SELECT d.driver_id, min(struct_pack(t := d.event_ms, e := d.event_id)) FROM sent JOIN d ON d.driver_id = sent.driver_id AND d.event_ms >= sent.pick.t + 120000 GROUP BY d.driver_id)
+SELECT d.event_id, d.driver_id, event_ms AS event_time_ts, decision_type, priority FROM d JOIN sent ON sent.driver_id = d.driver_id AND sent.pick.e = d.event_id""",
+)
+sql(
+    "late_rows",
+    f"""WITH {FL} SELECT event_id, driver_id, event_ms AS event_time_ts,
+  CASE WHEN event_ms >= {_SPLIT_MS} OR event_ms >= (SELECT max(event_ms) FROM fl) - 30000 THEN 'on_time' ELSE 'late' END AS kind FROM fl""",
+)
 ORACLE["stream_sliding_table"] = ORACLE["features_sliding_5m"]
 ORACLE["stream_decision_table"] = ORACLE["window_decisions"]
 sql(

@@ -28,8 +28,10 @@ from ..sources import premium_snapshot as PS
 from ..sources import rollup_store as RS
 from ..sources import topic_log as T
 from .fixture import TARGET_EPOCH_MS, raw_events
+from ..streaming import cooldown as CD
 from ..streaming import count_windows as CW
 from ..streaming import jobs as J
+from ..streaming import late as LT
 from . import inputs as I
 from .catalog import (
     alert_output,
@@ -250,6 +252,47 @@ def q_state_of_open_windows(spark, sf_dir):
     return both.withColumns({"window_start": F.unix_seconds("window_start"), "window_end": F.unix_seconds("window_end")})
 
 
+COOLDOWN_S = 120
+
+
+@register("stream_decision_cooldown")
+def q_stream_decision_cooldown(spark, sf_dir):
+    """Event decisions with every message published twice: one per event, and one per driver within two minutes."""
+    root = scratch_path(spark, "stream_decision_cooldown")
+    cfg = J.with_paths(JobConfig(), root, f"{root}/input")
+    J.use_rocksdb(spark)
+    msgs = _messages(spark, sf_dir)
+    fields = ["event_id", "driver_id", "event_time_ts", "decision_type", "priority"]
+    for cond in (F.col("event_ms") < SPLIT_MS, F.col("event_ms") >= SPLIT_MS, None):
+        if cond is not None:
+            part = msgs.filter(cond).select("key", "value")
+            part.union(part).write.mode("append").parquet(cfg.source_path)
+        events = CD.once_per_event(J.flagged_stream(spark, cfg, with_incident=True), cfg.watermark)
+        sent = CD.with_cooldown(E.build_event_decision_rows(events, "stream").select(*fields), COOLDOWN_S)
+        writer = sent.writeStream.format("parquet").option("path", f"{root}/sent").option("checkpointLocation", f"{root}/checkpoint")
+        J.run_until_done([writer.trigger(**TRIGGER).start()])
+    release(spark, cfg.source_path)
+    return spark.read.parquet(f"{root}/sent").withColumn("event_time_ts", F.unix_millis("event_time_ts"))
+
+
+@register("late_rows")
+def q_late_rows(spark, sf_dir):
+    """The later half of the messages first, then the earlier half: every row is on time or late, and kept."""
+    root = scratch_path(spark, "late_rows")
+    cfg = J.with_paths(JobConfig(), root, f"{root}/input")
+    split = LT.LateSplit(f"{root}/split", 30_000)
+    msgs = _messages(spark, sf_dir)
+    schema = None
+    for cond in (F.col("event_ms") >= SPLIT_MS, F.col("event_ms") < SPLIT_MS, None):
+        if cond is not None:
+            msgs.filter(cond).select("key", "value").write.mode("append").parquet(cfg.source_path)
+        events = J.flagged_stream(spark, cfg).select("event_id", "driver_id", "event_time_ts")
+        schema = events.schema
+        J.run_until_done([LT.start_late_split(events, split, f"{root}/checkpoint", TRIGGER)])
+    parts = [split.read(spark, kind, schema).withColumn("kind", F.lit(kind)) for kind in ("on_time", "late")]
+    return parts[0].unionByName(parts[1]).withColumn("event_time_ts", F.unix_millis("event_time_ts"))
+
+
 # --- 2.1 sources and sinks (batch) ---------------------------------------------------------------------
 
 

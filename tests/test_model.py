@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pytest
 
 from conftest import SF01
@@ -81,3 +84,32 @@ def test_deviance_of_the_summary(spark):
     rows = M.predict_with(fit, train).select("claim_count", "predicted_claim_count").collect()
     want = 2 * sum((y * math.log(y / mu) if y else 0.0) - (y - mu) for y, mu in rows)
     assert abs(fit.model.summary.deviance - want) < 1e-6 * want
+
+
+def test_tweedie_fits_solve_their_equations_and_the_profile_finds_the_power(spark):
+    rng = np.random.default_rng(5)
+    n = 4000
+    x = rng.uniform(0, 1, (n, 2))
+    mu = np.exp(0.3 + 0.8 * x[:, 0] - 0.5 * x[:, 1])
+    counts = rng.poisson(mu).astype(int)
+    heavy = np.where(rng.random(n) < 0.5, 0, rng.poisson(2 * mu * rng.gamma(0.8, 1 / 0.8, n))).astype(int)
+    for y, low, high in ((counts, 0.9, 1.1), (heavy, 1.8, 9.0)):
+        df = spark.createDataFrame([(float(a), float(b), 1.0, int(c)) for (a, b), c in zip(x, y)], "a double, b double, exposure_km double, claim_count long").repartition(4)
+        for power in (1.0, 1.3, 1.7):
+            fit = M.fit_tweedie(df, power, ("a", "b"))
+            assert max(abs(r.gradient) for r in M.tweedie_gradient(fit, df, power).collect()) < 1e-5
+            # the same solution by plain iterations
+            design, beta = np.column_stack([np.ones(n), x]), np.array([math.log(y.mean()), 0.0, 0.0])
+            for _ in range(60):
+                m = np.exp(design @ beta)
+                w = m ** (2 - power)
+                beta = beta + np.linalg.solve(design.T @ (design * w[:, None]), design.T @ ((y - m) * m ** (1 - power)))
+            assert np.allclose([b for _, b in fit.coefficient_pairs()], beta, atol=1e-6)
+        pred = M.predict_with(M.fit_tweedie(df, 1.0, ("a", "b")), df)
+        row = M.dispersion(pred, 3).first()
+        m, c = np.array([(r.predicted_claim_count, r.claim_count) for r in pred.collect()]).T
+        assert math.isclose(row.dispersion, ((c - m) ** 2 / m).sum() / (n - 3), rel_tol=1e-9) and low < row.dispersion < high
+    best, _ = M.profile_power(df, (1.0, 1.5), ("a", "b"))
+    assert best == 1.5  # the heavy counts
+    with pytest.raises(ValueError):
+        M.fit_tweedie(df, 2.0, ("a", "b"))
