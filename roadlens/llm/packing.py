@@ -1,11 +1,13 @@
 """Packing: optimal length buckets over the global histogram, token-budget batches inside each bucket.
 
 1. Lengths are counted once into a narrow written table.
-2. The histogram is grouped by Spark.  Its bins are exact below 1,024 tokens
-   and within 0.2 percent above (the ten leading binary digits), so it has a
-   few thousand rows at any size of corpus; each bin knows its longest length.
-3. Dynamic programming on the driver over these bins chooses the boundaries
-   of ``buckets`` buckets with the least padding.
+2. Spark groups the histogram of exact lengths.  D different lengths add up to
+   at least D * D / 2 tokens, so it has at most the square root of twice the
+   corpus's tokens as rows (14 million of two numbers at 10^14 tokens).
+3. Dynamic programming on the driver chooses the boundaries of ``buckets``
+   buckets with the least padding.  The cost has the Monge property, so the best
+   cut moves one way and each step is a divide and conquer in D * log(D) time,
+   a level of it at once.
 4. Rows are range-sorted by (bucket, doc_id); their place inside a bucket is
    their place in the partition plus the rows of earlier partitions (one small
    row per partition and bucket).  No bucket is gathered anywhere.
@@ -27,39 +29,54 @@ from .common import ranked, write_table
 
 BUCKETS = 8
 TOKEN_BUDGET = 8_192
-#: Leading binary digits that a histogram bin keeps.
-BIN_DIGITS = 10
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def length_bin(n: Column) -> Column:
-    """The length without all but its ten leading binary digits (exact below 1,024)."""
-    drop = F.greatest(F.length(F.bin(n)) - F.lit(BIN_DIGITS), F.lit(0))
-    return F.call_function("shiftleft", F.call_function("shiftright", n, drop), drop)
+def _step(least: np.ndarray, total: np.ndarray, lengths: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """One bucket more: for every j >= ``first``, the least of least[i] + (total[j] - total[i]) * lengths[j - 1] over
+    first - 1 <= i < j, and the smallest such i.
+
+    That i never moves back as j grows.  So the middle j of a range bounds the
+    search of both halves; all middles of one level are searched together.
+    """
+    m = len(lengths)
+    best, cut = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    ranges = np.array([[first, m, first - 1, m - 1]])  # j from, j to, i from, i to
+    while len(ranges):
+        mid = (ranges[:, 0] + ranges[:, 1]) // 2
+        high = np.minimum(ranges[:, 3], mid - 1)
+        size = high - ranges[:, 2] + 1
+        starts = np.cumsum(size) - size
+        i = np.arange(size.sum()) - np.repeat(starts, size) + np.repeat(ranges[:, 2], size)
+        j = np.repeat(mid, size)
+        cost = least[i] + (total[j] - total[i]) * lengths[j - 1]
+        low = np.minimum.reduceat(cost, starts)
+        hit = np.flatnonzero(cost == np.repeat(low, size))
+        at = i[hit[np.searchsorted(hit, starts)]]
+        best[mid], cut[mid] = low, at
+        left = np.stack([ranges[:, 0], mid - 1, ranges[:, 2], at], axis=1)
+        right = np.stack([mid + 1, ranges[:, 1], at, ranges[:, 3]], axis=1)
+        ranges = np.concatenate([left, right])
+        ranges = ranges[ranges[:, 0] <= ranges[:, 1]]
+    return best, cut
 
 
 def boundaries(lengths: np.ndarray, rows: np.ndarray, buckets: int) -> list[int]:
     """Upper lengths of at most ``buckets`` buckets with the least total padding (ties: the shorter boundary first).
 
-    ``lengths`` ascending, one per bin, with ``rows`` documents each padded at
-    least to it.  least[k][j]: padded tokens of the first j bins in k buckets.
+    ``lengths`` ascending, each with ``rows`` documents.
     """
     m = len(lengths)
     if not m:
         return []
-    total = np.concatenate(([0], np.cumsum(rows))).astype(np.float64)
-    least, cuts = np.full(m + 1, np.inf), []
-    least[0] = 0.0
-    for _ in range(min(buckets, m)):
-        nxt, cut = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64)
-        for j in range(1, m + 1):
-            cost = least[:j] + (total[j] - total[:j]) * float(lengths[j - 1])
-            cut[j] = int(np.argmin(cost))
-            nxt[j] = cost[cut[j]]
-        least = nxt
+    lengths = np.asarray(lengths, np.int64)
+    total = np.concatenate(([0], np.cumsum(np.asarray(rows, np.int64))))
+    least, cuts = np.concatenate(([0], total[1:] * lengths)), [np.zeros(m + 1, np.int64)]
+    for k in range(2, min(buckets, m) + 1):
+        least, cut = _step(least, total, lengths, k)
         cuts.append(cut)
     out, j = [], m
     for cut in reversed(cuts):
@@ -75,9 +92,8 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, token_budget: int = TOKEN_BUDG
     """
     counted = (word_count(F.col("text")) if length is None else F.coalesce(length, F.lit(0))).cast("long")
     rows = write_table(docs.select("doc_id", counted.alias("n_tokens")).withColumn("row_no", F.monotonically_increasing_id()), "lengths")
-    bins = rows.groupBy(length_bin(F.col("n_tokens")).alias("bin")).agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n"))
-    bins = sorted((r["longest"], r["n"]) for r in bins.collect())
-    uppers = boundaries(np.array([b[0] for b in bins]), np.array([b[1] for b in bins]), buckets)
+    histogram = rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).toArrow().sort_by("n_tokens")
+    uppers = boundaries(np.asarray(histogram["n_tokens"]), np.asarray(histogram["n"]), buckets)
     number, tokens = F.lit(len(uppers)), F.lit(uppers[-1] if uppers else 0)
     for i, upper in reversed(list(enumerate(uppers[:-1], 1))):
         number = F.when(F.col("n_tokens") <= upper, i).otherwise(number)

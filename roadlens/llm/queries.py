@@ -146,7 +146,6 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN best ON d.doc_id IS NOT
 
 def _packing_sql(buckets: int = packing.BUCKETS, budget: int = packing.TOKEN_BUDGET) -> str:
     """The dynamic programme, one step per bucket (for tables with at least that many distinct lengths)."""
-    digits = packing.BIN_DIGITS
     steps = "d1 AS (SELECT j, struct_pack(v := total * longest, i := 0) AS s FROM h)"
     for k in range(2, buckets + 1):
         steps += f""",
@@ -158,10 +157,8 @@ d{k} AS (SELECT h.j AS j, min(struct_pack(v := p.s.v + (h.total - q.total) * h.l
     uppers = " UNION ALL ".join(f"SELECT longest FROM h JOIN b{k} USING (j)" for k in range(1, buckets + 1))
     return rf"""
 WITH t AS (SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n FROM documents),
-bins AS (
-    SELECT max(n) AS longest, count(*) AS c FROM t
-    GROUP BY CASE WHEN n < {1 << digits} THEN n ELSE (n >> (len(bin(n)) - {digits})) << (len(bin(n)) - {digits}) END
-), h AS (SELECT row_number() OVER w AS j, longest, CAST(sum(c) OVER w AS BIGINT) AS total FROM bins WINDOW w AS (ORDER BY longest)),
+bins AS (SELECT n AS longest, count(*) AS c FROM t GROUP BY n),
+h AS (SELECT row_number() OVER w AS j, longest, CAST(sum(c) OVER w AS BIGINT) AS total FROM bins WINDOW w AS (ORDER BY longest)),
 {steps}, {back}, u AS ({uppers}),
 r AS (
     SELECT doc_id, n, (SELECT CAST(count(*) + 1 AS INTEGER) FROM u WHERE u.longest < n) AS bucket, (SELECT min(u.longest) FROM u WHERE u.longest >= n) AS bucket_tokens FROM t
@@ -265,7 +262,8 @@ _RULE = "CASE " + " ".join(
     for i, (n, _, p) in enumerate(r[0].partition("/") for r in sorted(URL_RULES, key=lambda r: -len(r[0])))
 ) + " END"
 _SORTED = sorted(URL_RULES, key=lambda r: -len(r[0]))
-_DOUBLES = ", ".join(f"'{d}'" for d in url_reputation.DOUBLE_SUFFIXES)
+_DOUBLES = ", ".join(f"'{d}'" for d in url_reputation.SHARED_SUFFIXES)
+_SECOND = ", ".join(f"'{d}'" for d in url_reputation.SECOND_LEVELS)
 _REST = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
 
 ORACLE: dict[str, str] = {
@@ -308,7 +306,7 @@ WITH p AS (
     FROM p LEFT JOIN marks ON try_cast(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) AS BIGINT) = doc_id WHERE host <> '' GROUP BY host
 ), h1 AS (
     SELECT *, CASE WHEN len(string_split(host, '.')) <= 2 THEN host
-        WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_DOUBLES}) THEN array_to_string(string_split(host, '.')[-3:], '.')
+        WHEN array_to_string(string_split(host, '.')[-2:], '.') IN ({_DOUBLES}) OR (len(string_split(host, '.')[-1]) = 2 AND string_split(host, '.')[-2] IN ({_SECOND})) THEN array_to_string(string_split(host, '.')[-3:], '.')
         ELSE array_to_string(string_split(host, '.')[-2:], '.') END AS domain FROM h0
 ), h AS (SELECT *, CASE WHEN instr(domain, '.') > 0 THEN substr(domain, instr(domain, '.') + 1) ELSE '' END AS suffix FROM h1),
 overall AS (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0) AS parent, coalesce(sum(n), 0) + 1 AS weight FROM h),

@@ -13,8 +13,11 @@ Only DataFrame functions.  Outcomes are summed per host before anything is
 joined; a host with a third of all pages is one row in every table but the
 last join of the pages with their hosts, which the adaptive skew join splits.
 
-Edge cases: a null url, or one without ``://``, has empty host and path and
-the overall rate decides.  Ports and user names belong to the host, as it
+Registered domains follow a rule (second-level names under country codes) and a
+list of hosting services; both are arguments of ``domain_of``.
+
+Edge cases: a null url, or one without ``://``, has empty host and path: no
+host can be judged, so it is allowed unless a rule fits.  Ports and user names belong to the host, as it
 stands.  Pages without an outcome count for nothing; with no outcome at all
 every method verdict is allow.  Rows that repeat an id keep their own rows.
 Labels that repeat a document count once, bad if one says so; labels with
@@ -36,8 +39,16 @@ MAX_BAD = 0.5
 BOUND_Z = 1.645
 #: Prior strength (in pages) is kept between these.
 STRENGTH = (1.0, 10_000.0)
-#: Suffixes of two labels under which domains are registered.
-DOUBLE_SUFFIXES = ("ac.uk", "co.jp", "co.uk", "com.au", "com.br", "gov.uk", "org.uk")
+# fixed values: names under a two-letter country code below which domains are registered ("co" of "co.nz")
+SECOND_LEVELS = tuple(
+    "ab ac ad asn asso biz co com coop ed edu firm gc gob gouv gov govt gr gub gv id in info lg ltd me mi mil muni mus ne net nhs nic nom or org "
+    "plc police press pro rec res sch tm web".split()
+)
+# fixed values: hosting services whose customers have a name of their own each
+SHARED_SUFFIXES = tuple(
+    "appspot.com azurewebsites.net blogspot.com cloudfront.net firebaseapp.com fly.dev github.io gitlab.io glitch.me herokuapp.com neocities.org netlify.app "
+    "onrender.com pages.dev readthedocs.io substack.com surge.sh tumblr.com typepad.com vercel.app web.app weebly.com wixsite.com wordpress.com workers.dev".split()
+)
 
 
 def host_of(url: Column) -> Column:
@@ -65,10 +76,14 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]])
     return rule, verdict
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the suffix and one label more."""
+def domain_of(host: Column, shared: Sequence[str] = SHARED_SUFFIXES, second_levels: Sequence[str] = SECOND_LEVELS) -> Column:
+    """Registered domain: the suffix and one label more.
+
+    A suffix has two labels if it is one of ``shared``, or a country code below one of ``second_levels``.
+    """
     labels = F.split(host, r"\.")
-    double = F.substring_index(host, ".", -2).isin(*DOUBLE_SUFFIXES)
+    below_country = (F.char_length(F.element_at(labels, -1)) == 2) & F.try_element_at(labels, F.lit(-2)).isin(*second_levels)
+    double = F.substring_index(host, ".", -2).isin(*shared) | F.coalesce(below_country, F.lit(False))
     last = lambda n: F.array_join(F.slice(labels, -n, n), ".")
     return F.when(F.size(labels) <= 2, host).when(double, last(3)).otherwise(last(2))
 

@@ -58,10 +58,38 @@ def test_token_counts_can_come_from_a_column(spark):
     check(rows, 4)
 
 
-def test_bins_are_exact_below_1024_and_fine_above(spark):
-    df = spark.createDataFrame([(n,) for n in [*range(0, 1100, 13), 1023, 1024, 5000, 123_456, 2**40]], "n long")
-    for r in df.select("n", P.length_bin(F.col("n")).alias("b")).collect():
-        assert r.b == r.n if r.n < 1024 else 0 <= r.n - r.b < r.n / 512
+def slow_boundaries(lengths, rows, buckets):
+    """The plain dynamic programme over all cuts; the smallest cut of equal ones."""
+    total = [0]
+    for n in rows:
+        total.append(total[-1] + n)
+    m = len(lengths)
+    least = [(0, 0)] + [(total[j] * lengths[j - 1], 0) for j in range(1, m + 1)]
+    cuts = [least]
+    for k in range(2, min(buckets, m) + 1):
+        nxt = [(0, 0)] * k + [min((cuts[-1][i][0] + (total[j] - total[i]) * lengths[j - 1], i) for i in range(k - 1, j)) for j in range(k, m + 1)]
+        cuts.append(nxt)
+    out, j = [], m
+    for cut in reversed(cuts):
+        out.append(lengths[j - 1])
+        j = cut[j][1]
+    return out[::-1]
+
+
+def test_divide_and_conquer_finds_the_cuts_of_the_plain_programme():
+    rng = random.Random(7)
+    for _ in range(80):
+        lengths = sorted(rng.sample(range(0, 5000), rng.randrange(1, 120)))
+        rows = [rng.choice([1, 1, 2, 500]) for _ in lengths]
+        k = rng.randrange(1, 12)
+        assert P.boundaries(np.array(lengths), np.array(rows), k) == slow_boundaries(lengths, rows, k)
+
+
+def test_boundaries_of_very_many_lengths():
+    lengths = np.arange(1, 200_001) * 3
+    rows = np.random.default_rng(1).integers(1, 1000, len(lengths))
+    uppers = P.boundaries(lengths, rows, 8)
+    assert len(uppers) == 8 and uppers == sorted(set(uppers)) and uppers[-1] == 600_000
 
 
 def test_empty_table(spark):

@@ -37,12 +37,13 @@ def test_rules_match_the_plain_version(spark):
 
 
 def test_domains_and_suffixes(spark):
-    hosts = ["a.b.example.com", "example.com", "com", "x.y.co.uk", "y.co.uk", "co.uk", ""]
+    hosts = ["a.b.example.com", "example.com", "com", "x.y.co.uk", "y.co.uk", "co.uk", "", "a.b.co.nz", "x.com.cn", "me.github.io", "a.de", "www.a.de", "t.co"]
     df = spark.createDataFrame([(h,) for h in hosts], "host string")
     rows = df.withColumn("d", U.domain_of(F.col("host"))).withColumn("s", U.suffix_of(F.col("d"))).collect()
     assert {r.host: (r.d, r.s) for r in rows} == {
         "a.b.example.com": ("example.com", "com"), "example.com": ("example.com", "com"), "com": ("com", ""),
-        "x.y.co.uk": ("y.co.uk", "co.uk"), "y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "": ("", ""),
+        "x.y.co.uk": ("y.co.uk", "co.uk"), "y.co.uk": ("y.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "": ("", ""), "a.b.co.nz": ("b.co.nz", "co.nz"), "x.com.cn": ("x.com.cn", "com.cn"),
+        "me.github.io": ("me.github.io", "github.io"), "a.de": ("a.de", "de"), "www.a.de": ("a.de", "de"), "t.co": ("t.co", "co"),
     }
 
 
