@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
 from roadlens.llm import decontaminate as D
 
@@ -79,3 +80,41 @@ def test_empty_tables(spark):
     assert D.contamination(d.limit(0), b).collect() == []
     row = D.contamination(d, b.limit(0)).first()
     assert (row.n_hit, row.n_items, row.contaminated, row.items_sha256) == (0, 0, False, hashlib.sha256(b"").hexdigest())
+
+
+def test_pieces_and_hash_collisions_change_nothing(monkeypatch):
+    rng = random.Random(12)
+    vocabulary = ["a", "B", "ü", "c1", "d"]
+    items = [(str(i), " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 5, 40])))) for i in range(30)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 1, 4, 60, 400]))) + rng.choice(["", "!", " --"]) for _ in range(60)]
+    rows = [(i, t.encode()) for i, t in items]
+
+    def results(base):
+        windows = D.WindowSet.build(rows, 5, base)
+        return windows.base, [(n, hits.tolist(), sorted(seen)) for n, hits, seen in (windows.scan(t.encode()) for t in texts)]
+
+    _, want = results(D.BASE)
+    assert any(h for _, h, _ in want) and any(not h for _, h, _ in want)
+    base, got = results(1)  # a sum of word numbers: many windows collide, so another factor is taken
+    assert got == want and base > 1
+    for size in (1, 9, 100):
+        monkeypatch.setattr(D, "PIECE_BYTES", size)
+        assert results(D.BASE)[1] == want
+
+
+def test_window_sets_and_long_texts_take_little_memory():
+    rng = random.Random(13)
+    vocabulary = [f"word{i}" for i in range(20_000)]
+    items = [(str(i), " ".join(rng.choice(vocabulary) for _ in range(2_000)).encode()) for i in range(100)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    windows = D.WindowSet.build(items, 13)
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    text = b"word1 word2 something else " * 300_000 + items[0][1]
+    before = tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    assert windows.scan(text)[2] == {"0"}
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert held < 20 * size and most < 12 * len(text)
