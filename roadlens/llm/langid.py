@@ -46,6 +46,8 @@ SLOTS_PER_GRAM = 16
 #: Odd multipliers of the slot hashes (from the golden ratio and its powers).
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 FOLDS = 5
+#: A text is rejected below this share of this quantile of its language's learning scores.
+LOW_QUANTILE, LOW_SHARE = 0.001, 0.5
 #: Bytes of text that a task turns into n-grams at once.
 CHUNK_BYTES = 4 << 20
 #: Characters of a text that are normalised at once; a piece ends at white space if there is some in as many more.
@@ -249,13 +251,23 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return rows.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def keep_identified(docs: DataFrame, least_score: float = 0.0) -> DataFrame:
+def score_bounds(docs: DataFrame, model: LanguageFilter, quantile: float, share: float) -> dict[str, float]:
+    """Per language, ``share`` of a low quantile of the scores of the learning rows that are put in it."""
+    rows = docs.filter(~held_out()).filter(F.col("lang").isNotNull()).select(predictor(docs, model)(F.col("text")).alias("p"))
+    low = rows.filter("p.score > 0").groupBy("p.lang_pred").agg(F.percentile_approx("p.score", quantile, 10_000).alias("low"))
+    return {r["lang_pred"]: share * r["low"] for r in low.collect()}  # one row per language
+
+
+def keep_identified(docs: DataFrame, quantile: float = LOW_QUANTILE, share: float = LOW_SHARE) -> DataFrame:
     """The rows of ``docs`` whose text is put in some learned language, all columns as they are.
 
-    Rejected are ``und`` and every text whose best score is not above
-    ``least_score``: by default those without one n-gram of any language (an
-    unknown language or script, noise), which only the fallback would name.
+    Rejected are ``und``, texts without one n-gram of any language (which only
+    the fallback would name), and those that score below ``share`` of what
+    nearly all learning rows of their language reach: another language or
+    script, or noise.
     """
-    predict = predictor(docs, learn(docs))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predict(F.col("text")).alias("p"))
-    return rows.filter((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") > least_score)).select("row.*")
+    model = learn(docs)
+    bounds = score_bounds(docs, model, quantile, share)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), predictor(docs, model)(F.col("text")).alias("p"))
+    bound = F.coalesce(*[F.when(F.col("p.lang_pred") == lang, F.lit(b)) for lang, b in sorted(bounds.items())], F.lit(0.0))
+    return rows.filter((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") > 0) & (F.col("p.score") >= bound)).select("row.*")

@@ -47,6 +47,15 @@ def test_edge_cases(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None and r.doc_id >= 100) == [104, 106]
 
 
+def test_the_stage_rejects_other_languages_and_noise(spark):
+    rng = random.Random(3)
+    words = {"en": "the cat and dog was in house with river of night".split(), "de": "der hund und die katze im haus am fluss bei nacht".split()}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(30)), lang) for i, lang in enumerate(["en", "de"] * 60)]
+    odd = [(1000, "przez wszystkie szczegóły zażółć gęślą jaźń", None), (1001, "Привет как дела", None), (1002, "xq7 zzkw 99 qqx vvb", None), (1003, "the dog in the house", None)]
+    kept = {r.doc_id for r in L.keep_identified(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")).collect()}
+    assert kept == {i for i, _, _ in rows} | {1003}
+
+
 def plain_grams(text):
     line = " " + " ".join("".join(c if c.isalpha() or ord(c) >= 128 else " " for c in text.lower()).split()) + " "
     raw = line.encode()
