@@ -36,6 +36,8 @@ from ..session import materialize
 from .events import DEMO_EVENT_DECISION_FIELDS, build_event_decision_rows
 from .windows import window_action, window_decision_type, window_priority
 
+#: Most partition offsets that are broadcast (two numbers each).
+MOST_OFFSETS = 1_000_000
 DEFAULT_CHUNK = 1 << 22  # most rows of one (driver, chunk) partition (~4 million)
 
 ROLLING_DECISION_FIELDS = (
@@ -242,13 +244,18 @@ def demo_decisions(flagged: DataFrame, n: int = 12, every: int = 10, seq: str =
 
 
 def with_sequence(events: DataFrame, *order: str, name: str = "event_no") -> DataFrame:
-    """``events`` with their exact place (from 1) in ``order``: a range sort, then partition offsets (one small row each)."""
+    """``events`` with their exact place (from 1) in ``order``: a range sort, then partition offsets (one small row each).
+
+    The offsets are broadcast up to ``MOST_OFFSETS`` partitions, and joined by shuffle beyond.
+    """
     placed = events.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
     placed = materialize(placed.withColumn("_part", F.shiftright("_place", 33)), "sequence")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     shifts = sizes.select("_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
-    return placed.join(F.broadcast(shifts), "_part").withColumn(name, F.col("_place") + F.col("_shift")).drop("_place", "_part", "_shift")
+    shifts = materialize(shifts, "sequence_offsets")
+    shifts = F.broadcast(shifts) if shifts.count() <= MOST_OFFSETS else shifts
+    return placed.join(shifts, "_part").withColumn(name, F.col("_place") + F.col("_shift")).drop("_place", "_part", "_shift")
 
 
 def _event_rows_with_seq(flagged: DataFrame, seq: str) -> DataFrame:
