@@ -35,7 +35,6 @@ from ..streaming import late as LT
 from . import inputs as I
 from .catalog import (
     alert_output,
-    epoch_s,
     event_decision_output,
     feature_output,
     history_output,
