@@ -89,14 +89,15 @@ def premium_runs(spark: SparkSession, sf_dir: str, n: int = len(RUNS), coefficie
     """The first ``n`` scoring runs, each over all drivers and taking the history of the runs before it.
 
     The drivers' roll-up is the same for all runs; it is written once (one row
-    per driver), and so is each run, as a history would be: a run's plan holds
-    no earlier run's plan.
+    per driver), and so is each run that a later one builds on, as a history
+    would be: a run's plan holds no earlier run's plan.
     """
     rolled = materialize(P.driver_rollup(P.prepare_features(pricing_features(spark, sf_dir))), "rollup")
     runs: list[DataFrame] = []
     history: DataFrame | None = None
-    for base, cap, stamp in RUNS[:n]:
-        run = materialize(P.premium_run_of_rollup(rolled, coefficients, history, base, cap, scored_at=stamp), "premium_run")
+    for k, (base, cap, stamp) in enumerate(RUNS[:n], 1):
+        run = P.premium_run_of_rollup(rolled, coefficients, history, base, cap, scored_at=stamp)
+        run = run if k == n else materialize(run, "premium_run")
         runs.append(run)
         history = P.union_history(history, run)
     return runs
