@@ -19,6 +19,9 @@ Outputs of ``buffer_states``:
 * ``open`` -- when a multiple of K passes first: the features that are judged
   at this tick (a decision must not wait for the driver's next event).
 
+A buffer that closes leaves its timer: it finds a later buffer and does
+nothing, which is cheaper than a list of timers at every visit.
+
 State per driver is N rows, whatever the stream's length.  A driver's events of
 one micro-batch meet in one task; the source's rate limit bounds them.  State
 lives in RocksDB with the query's checkpoint, so a restart goes on from it.
@@ -33,7 +36,7 @@ numbers of a topic never are.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
+from typing import Any, NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -69,9 +72,38 @@ def rolled(tail: np.ndarray, new: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return np.minimum(place + 1, n), np.where(seen > 0, sums, np.nan)
 
 
-def _frame(rows: list[dict], names: tuple[str, ...]) -> pd.DataFrame:
-    """A frame whose whole numbers stay whole beside nulls."""
-    return pd.DataFrame({c: pd.array([r[c] for r in rows], dtype="Int64" if c not in ("driver_id", "status", "event_id", "km_window") else "Float64" if c == "km_window" else "string") for c in names})
+def _whole(values: np.ndarray) -> pd.api.extensions.ExtensionArray:
+    """Whole numbers held as floats; NaN becomes null."""
+    null = np.isnan(values)
+    return pd.arrays.IntegerArray(np.where(null, 0, values).astype(np.int64), null)
+
+
+class Buffers(NamedTuple):
+    """The features after each of some events of a driver, as columns; NaN is null in ``sums`` (in the order of ``SUMS``)."""
+
+    event_id: np.ndarray
+    seq: np.ndarray
+    count: np.ndarray
+    sums: np.ndarray
+
+    @classmethod
+    def of(cls, held: tuple) -> "Buffers":
+        """One buffer, of its row in the state."""
+        event_id, seq, count, *sums = held
+        sums = [np.nan if v is None else v for v in sums]
+        return cls(np.array([event_id], object), np.array([seq], np.int64), np.array([count], np.int64), np.array([sums], float))
+
+    def after(self, held: tuple) -> "Buffers":
+        return Buffers(*(np.concatenate(pair) for pair in zip(Buffers.of(held), self)))
+
+    def but_last(self) -> "Buffers":
+        return Buffers(*(c[:-1] for c in self))
+
+    def row(self, i: int) -> tuple:
+        """The row of the state, in the order of ``BUFFER``."""
+        event_id, (km, *whole) = self.event_id[i], self.sums[i].tolist()
+        event_id = None if event_id is None or event_id != event_id else event_id
+        return (event_id, int(self.seq[i]), int(self.count[i]), None if km != km else km, *(None if v != v else int(v) for v in whole))
 
 
 class LastEvents(StatefulProcessor):
@@ -91,38 +123,37 @@ class LastEvents(StatefulProcessor):
     def _first_tick(self, seq: int) -> int:
         return -(-seq // self.every) * self.every
 
+    def _frame(self, driver: Any, status: str, tick: Any, next_seq: Any, states: "Buffers") -> pd.DataFrame:
+        """Output rows of ``states``, a column at a time; ``tick`` and ``next_seq`` are one number, an array or NaN."""
+        n = len(states.seq)
+        columns = [np.full(n, driver, object), np.full(n, status, object)]
+        columns += [_whole(np.full(n, v, float)) if np.ndim(v) == 0 and v != v else np.broadcast_to(np.asarray(v, np.int64), n) for v in (tick, next_seq)]
+        columns += [states.event_id, states.seq, states.count, states.sums[:, 0], *(_whole(v) for v in states.sums[:, 1:].T)]
+        return pd.DataFrame(dict(zip(self.NAMES, columns)), copy=False)
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        parts = list(rows)
+        new = parts[0] if len(parts) == 1 else pd.concat(parts)
+        seq = new["seq"].to_numpy(np.int64)
+        order = np.argsort(seq, kind="stable")
         tail = np.array([tuple(np.nan if v is None else v for v in t) for t in self.tail.get()], float).reshape(-1, len(MEASURES))
-        measures = new[list(MEASURES)].to_numpy(float, na_value=np.nan)
-        counts, sums = rolled(tail, measures, self.n)
-        states = []
-        for seq, event_id, count, own in zip(new["seq"].tolist(), new["event_id"].tolist(), counts.tolist(), sums.tolist()):
-            km, *whole = (None if np.isnan(v) else v for v in own)
-            states.append(dict(zip(FEATURES, (None if event_id is None or event_id != event_id else event_id, seq, count, km, *(None if v is None else int(v) for v in whole)))))
+        measures = np.column_stack([new[m].to_numpy(float, na_value=np.nan) for m in MEASURES])[order]
+        states = Buffers(new["event_id"].to_numpy(object)[order], seq[order], *rolled(tail, measures, self.n))
+        keep = np.concatenate([tail, measures])[max(0, len(tail) + len(measures) - self.n + 1) :] if self.n > 1 else measures[:0]
+        self.tail.put([tuple(None if v != v else v for v in r) for r in keep.tolist()]) if len(keep) else self.tail.clear()
         before = self.open.get()
         if before is not None:
-            states.insert(0, dict(zip(FEATURES, before)))
-            self._stop(states[0]["seq"])
-        keep = np.concatenate([tail, measures])[max(0, len(tail) + len(measures) - self.n + 1) :] if self.n > 1 else np.empty((0, len(MEASURES)))
-        self.tail.put([tuple(None if np.isnan(v) else float(v) for v in r) for r in keep]) if len(keep) else self.tail.clear()
-        self.open.update(tuple(states[-1][c] for c in FEATURES))
-        self.handle.registerTimer(self._first_tick(states[-1]["seq"]))
-        closed = [{**a, "driver_id": key[0], "status": "closed", "tick": None, "next_seq": b["seq"]} for a, b in zip(states, states[1:])]
-        if closed:
-            yield _frame(closed, self.NAMES)
-
-    def _stop(self, seq: int) -> None:
-        """The buffer is no longer open: its timer, if it has not fired, goes."""
-        tick = self._first_tick(seq)
-        if tick in {t for (t,) in map(lambda x: x if isinstance(x, tuple) else (x,), self.handle.listTimers())}:
-            self.handle.deleteTimer(tick)
+            states = states.after(before)
+        self.open.update(states.row(-1))
+        self.handle.registerTimer(self._first_tick(int(states.seq[-1])))
+        if len(states.seq) > 1:
+            yield self._frame(key[0], "closed", np.nan, states.seq[1:], states.but_last())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        held = self.open.get()
-        if held is not None:
-            state = dict(zip(FEATURES, held))
-            yield _frame([{**state, "driver_id": key[0], "status": "open", "tick": expiredTimerInfo.getExpiryTimeInMs(), "next_seq": None}], self.NAMES)
+        """The open buffer is judged; the timer of a buffer that has closed since finds a later one and does nothing."""
+        held, tick = self.open.get(), expiredTimerInfo.getExpiryTimeInMs()
+        if held is not None and self._first_tick(held[1]) == tick:
+            yield self._frame(key[0], "open", tick, np.nan, Buffers.of(held))
 
     def close(self) -> None:
         pass

@@ -69,3 +69,20 @@ def test_empty_topic_and_bad_options(spark, tmp_path):
         drain(T.read_topic_stream(spark, str(tmp_path / "none"), "soon"), str(tmp_path / "x"))
     with pytest.raises(ValueError, match="no offsets"):
         IO.read_events_stream(spark, JobConfig(source_format="parquet", source_path="x"), with_offset=True)
+
+
+def test_parts_that_share_a_task_out_of_order_are_published(spark, tmp_path):
+    """Parts of unequal size are packed by size, so a file may hold the offsets before and behind another's."""
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in zip(keys, ("false", "3", "1")):
+        spark.conf.set(k, v)
+    path = str(tmp_path / "topic")
+    try:
+        assert T.append_messages(messages(spark, 400).withColumn("value", F.repeat("value", (F.col("id") * 37 % 11).cast("int"))), path, "id") == 400
+        assert T.append_messages(messages(spark, 50, 400), path, "id") == 450
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(r.offset for r in T.read_topic(spark, path).collect()) == list(range(450))
+    assert sum(len(b) for p in T.file_ranges(path, 100, 300) for b in T.read_range(path, p)) == 200
