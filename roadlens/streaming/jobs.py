@@ -22,6 +22,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
 from ..config import JobConfig
 from ..operators import events as E
@@ -350,12 +351,20 @@ def topic_log(spark: SparkSession, sinks: StreamSinks, topic: str, name: str) ->
     return spark.read.parquet(f"{sinks.topic_root}/{topic}/{name}")
 
 
+#: Types whose values an aggregate can change in place.
+FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType)
+
+
 def latest_updates(log: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert view of an update-mode log: the last row per key by batch id.
 
-    A ``max_by`` aggregate: each input partition reduces a key to one partial row before the shuffle.
+    A ``max_by`` aggregate: each input partition reduces a key to one partial row before the shuffle.  Values of
+    fixed width are taken one by one, which Spark can hash; a struct or text in the aggregate means a sort.  A key
+    stands once per batch, so all of them come from one row.
     """
     rest = [c for c in log.columns if c not in keys]
+    if all(isinstance(log.schema[c].dataType, FIXED_WIDTH) for c in rest):
+        return log.groupBy(*keys).agg(*[F.max_by(c, "batch_id").alias(c) for c in rest])
     last = F.max_by(F.struct(*[F.col(c) for c in rest]), F.col("batch_id")).alias("_last")
     return log.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 

@@ -189,3 +189,13 @@ def test_read_decisions_keeps_null_keys_and_decodes_both_payloads(spark):
     got = {r["driver_id"]: r for r in IO.read_decisions(spark, JobConfig(), path=path).collect()}
     assert got["D1"]["key"] is None and got["D1"]["event_id"] == "E1"
     assert got["D2"]["event_count"] == 12 and got["D2"]["window_start"] is not None
+
+
+def test_latest_updates_of_fixed_width_are_hashed_and_keep_nulls(spark):
+    rows = [("A", 1, 0, 5, 1.5), ("A", 1, 2, None, 2.5), ("A", 1, 1, 7, None), (None, 1, 1, 3, None), ("A", None, 4, 4, 4.0)]
+    log = spark.createDataFrame(rows, "k string, w long, batch_id int, n long, x double")
+    latest = J.latest_updates(log, ["k", "w"])
+    assert sorted(map(tuple, latest.collect()), key=repr) == sorted([("A", 1, 2, None, 2.5), (None, 1, 1, 3, None), ("A", None, 4, 4, 4.0)], key=repr)
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
+    text = J.latest_updates(log.withColumn("t", F.concat("k", F.col("batch_id").cast("string"))), ["k", "w"])  # text: one struct
+    assert {r.t for r in text.collect()} == {"A2", "A4", None}
